@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream processing -- no watermark, window, trigger or state. Its
+"streaming" is chunk-wise range reading, which here is the chunk column plus Parquet
+pushdown, and its incremental part is the batch resume of failed chunks
+(:func:`voxlake.plans.ingest.resume`). The per-chunk 3-sigma rule also needs a whole
+chunk before any point can be kept, so a record-at-a-time form would not be faithful.
+"""
