@@ -73,3 +73,20 @@ def voxelize_points(points: DataFrame, cfg: VoxelConfig, bounds: Bounds | None =
         chosen = select_chunks(grid.chunks(points.sparkSession), None, cfg.max_chunks)
         assigned = points_of_chunks(assigned, chosen, grid.n_chunks)
     return chunk_voxels(assigned, grid, cfg)
+
+
+def profile_voxels(points: DataFrame, voxel_size: float, filter_outliers: bool = True,
+                   z_min: float = Z_MIN_LIMIT, z_max: float = Z_MAX_LIMIT) -> DataFrame:
+    """The whole input as one chunk: clean (range + 3 sigma over all points) and voxelize.
+
+    The single-call form of the voxel operator (S4.1 with S2.3-S2.5): 8 columns, no chunk id.
+    The stats are one global aggregate (one broadcast row); the voxel aggregate is partial +
+    final on the voxel key, so no single task ever holds the whole input.
+    """
+    pts = points.where(valid_point()).select(F.lit(0).alias("chunk"), "x", "y", "z")
+    if filter_outliers:
+        if z_min > z_max:
+            raise ValueError("z_min must not exceed z_max")
+        pts = elevation_filter(pts, z_min, z_max)
+        pts = sigma_filter(pts, chunk_z_stats(pts), "chunk", 1)
+    return voxelize(pts.drop("chunk"), voxel_size, by=[])

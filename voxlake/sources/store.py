@@ -102,17 +102,32 @@ class VoxelStore:
         return read_voxel_layout(self.spark, self.voxels_path)
 
     def voxels(self, max_chunks_bound: int | None = None) -> DataFrame:
-        """Voxel rows of the chunks whose latest outcome is ``ok``.
+        """Visible voxel rows: every partition except chunks whose latest outcome is not ``ok``.
 
-        The ok-chunk list is at most G^2 rows; it is broadcast into a left-semi join on the
-        partition column, which also lets dynamic partition pruning skip other folders.
+        That hides a stale partition of a chunk that was re-run into no voxels or failed (B6)
+        while rows bulk-appended without an ingest stay visible. The hidden list is at most
+        G^2 ids and is broadcast into a left-anti join on the partition column.
         """
         self.require()
         bound = max_chunks_bound or self._chunk_bound()
-        latest = (self.outcomes().groupBy("chunk_id")
+        hidden = (self.outcomes().groupBy("chunk_id")
                   .agg(F.max_by("status", "run_seq").alias("status"))
-                  .where(F.col("status") == STATUS_OK).select("chunk_id"))
-        return self.raw_voxels().join(maybe_broadcast(latest, bound), "chunk_id", "left_semi")
+                  .where(F.col("status") != STATUS_OK).select("chunk_id"))
+        return self.raw_voxels().join(maybe_broadcast(hidden, bound), "chunk_id", "left_anti")
+
+    def append_voxels(self, voxels: DataFrame, chunk_id: str = "loaded") -> None:
+        """S1.6: bulk append of voxel rows (``chunk_id`` column, or the given id); empty -> no-op."""
+        if voxels.isEmpty():
+            return
+        rows = voxels if "chunk_id" in voxels.columns else voxels.withColumn("chunk_id", F.lit(chunk_id))
+        (rows.select(*VOXEL_COLUMNS, "chunk_id").write.mode("append")
+         .partitionBy("chunk_id").parquet(self.voxels_path))
+
+    def reset(self) -> None:
+        """S1.8: empty the voxel table and its outcome log; metadata is kept."""
+        empty = self.spark.createDataFrame([], STORED_VOXEL_SCHEMA)
+        write_voxel_layout(empty, self.voxels_path, "reset")
+        self.spark.createDataFrame([], OUTCOME_SCHEMA).write.mode("overwrite").parquet(self.outcomes_path)
 
     def _chunk_bound(self) -> int:
         g = self.get_metadata("grid_size", None)
