@@ -1,15 +1,18 @@
 """Column expressions shared by the operators (all native Spark expressions)."""
 
 from voxlake.functions.exprs import (
+    all_finite,
+    chunk_id_of,
+    dlit,
     finite,
+    floor_bound,
     floor_index,
-    round_half_away,
     quantize,
+    round_half_away,
     trunc_index,
-    floor_bound,
-    chunk_id_of,
 )
 
 __all__ = [
-    "finite", "floor_index", "round_half_away", "quantize", "trunc_index", "floor_bound", "chunk_id_of",
+    "all_finite", "chunk_id_of", "dlit", "finite", "floor_bound", "floor_index", "quantize",
+    "round_half_away", "trunc_index",
 ]

@@ -1,4 +1,10 @@
-"""Scalar building blocks (S8.*). Everything returns a JVM-side Column, so plans stay in codegen."""
+"""Scalar building blocks (S8.*). Everything returns a JVM-side Column, so plans stay in codegen.
+
+Expressions over named columns are written as SQL expression strings (one ``F.expr`` call
+each): building them with chained ``F.col`` / operator calls costs a py4j round trip per
+node, which dominated plan construction for small inputs. Double literals carry the ``D``
+suffix, so they are doubles in the plan (a bare ``0.1`` would be a DECIMAL).
+"""
 
 from __future__ import annotations
 
@@ -7,42 +13,57 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INF = float("inf")
 
+def dlit(v: float) -> str:
+    """A finite double as a Spark SQL double literal (round-trips exactly)."""
+    v = float(v)
+    if not math.isfinite(v):
+        raise ValueError(f"literal must be finite, got {v}")
+    return f"{v!r}D"
+
+
+def _name(c: str) -> str:
+    return f"`{c}`"
 
-def finite(c: Column | str) -> Column:
-    """True for a finite double; NULL input gives NULL, NaN and +-inf give false.
+
+def finite(c: str) -> Column:
+    """True for a finite double; NULL gives NULL, NaN and +-inf give false.
 
     Spark orders NaN above +inf, so ``NaN < inf`` is false and two comparisons reject
     NaN, both infinities and (through NULL) missing values.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    return (c > F.lit(-_INF)) & (c < F.lit(_INF))
+    n = _name(c)
+    return F.expr(f"({n} > CAST('-Infinity' AS DOUBLE) AND {n} < CAST('Infinity' AS DOUBLE))")
+
+
+def all_finite(*cols: str) -> Column:
+    """Non-null boolean: every column is finite."""
+    parts = " AND ".join(f"{_name(c)} > CAST('-Infinity' AS DOUBLE) AND {_name(c)} < CAST('Infinity' AS DOUBLE)"
+                         for c in cols)
+    return F.expr(f"coalesce({parts}, false)")
 
 
-def floor_index(c: Column | str, size: float) -> Column:
+def floor_index(c: str, size: float) -> Column:
     """Voxel index ``floor(c / size)`` as BIGINT (S2.6, R5): true division, then floor, so -0.5 -> -1."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c / F.lit(float(size)))
+    return F.expr(f"floor({_name(c)} / {dlit(size)})")
 
 
-def round_half_away(c: Column | str, digits: int) -> Column:
+def round_half_away(c: str, digits: int) -> Column:
     """Round to ``digits`` decimals, halves away from zero, by plain double arithmetic.
 
-    ``F.round`` rounds the decimal form (1.005 -> 1.01) while most engines round the binary
-    product (1.005 -> 1.0); this form gives the same bits in Spark and in SQL engines that
-    evaluate ``sign(v) * floor(abs(v) * 10^d + 0.5) / 10^d``.
+    ``F.round`` rounds the decimal form (1.005 -> 1.01) while the reference's engine rounds
+    the binary product (1.005 -> 1.0); ``sign(v) * floor(abs(v) * 10^d + 0.5) / 10^d``
+    reproduces the latter bit for bit.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    scale = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    n, scale = _name(c), dlit(10.0 ** digits)
+    return F.expr(f"signum({n}) * floor(abs({n}) * {scale} + 0.5D) / {scale}")
 
 
 # Compare-grid of :func:`quantize`: multiples of 2^-16 (about 1.5e-5).
 QUANTUM_BITS = 16
 
 
-def quantize(c: Column | str, bits: int = QUANTUM_BITS) -> Column:
+def quantize(c: str, bits: int = QUANTUM_BITS) -> Column:
     """Round to the nearest multiple of ``2^-bits`` for comparing float aggregates across engines.
 
     Scaling by a power of two, adding 0.5 and flooring are exact in binary floating point,
@@ -50,9 +71,8 @@ def quantize(c: Column | str, bits: int = QUANTUM_BITS) -> Column:
     value sits within those bits of a boundary. A decimal grid (e.g. 1e-6) would not do:
     means of decimal data land exactly on decimal ties, where last-bit noise decides.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    scale = float(2 ** bits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scale = dlit(2.0 ** bits)
+    return F.expr(f"floor({_name(c)} * {scale} + 0.5D) / {scale}")
 
 
 def floor_bound(value: float | None, size: float) -> int | None:
@@ -69,8 +89,6 @@ def trunc_index(value: float | None) -> int | None:
     return int(float(value))
 
 
-def chunk_id_of(i: Column | str, j: Column | str) -> Column:
-    """Chunk id ``"i_j"`` (S8.6)."""
-    i = F.col(i) if isinstance(i, str) else i
-    j = F.col(j) if isinstance(j, str) else j
-    return F.concat_ws("_", i.cast("string"), j.cast("string"))
+def chunk_id_of(i: str, j: str) -> Column:
+    """Chunk id ``"i_j"`` (S8.6) from two integer columns."""
+    return F.expr(f"concat_ws('_', CAST({_name(i)} AS STRING), CAST({_name(j)} AS STRING))")

@@ -12,26 +12,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.functions import chunk_id_of, finite
+from voxlake.functions import all_finite, chunk_id_of, dlit
+
+
+VALID_SQL = ("coalesce(x > CAST('-Infinity' AS DOUBLE) AND x < CAST('Infinity' AS DOUBLE) AND "
+             "y > CAST('-Infinity' AS DOUBLE) AND y < CAST('Infinity' AS DOUBLE) AND "
+             "z > CAST('-Infinity' AS DOUBLE) AND z < CAST('Infinity' AS DOUBLE), false)")
 
 
 def valid_point() -> Column:
     """Row has finite x, y and z (R9); NULL and NaN are rejected, not failed."""
-    return F.coalesce(finite("x") & finite("y") & finite("z"), F.lit(False))
+    return all_finite("x", "y", "z")
 
 
 def points_bounds(points: DataFrame) -> DataFrame:
     """Dataset header in one pass (S1.1, S4.3): extents of the valid points and the row count."""
-    ok = valid_point()
-    return points.agg(
-        F.min(F.when(ok, F.col("x"))).alias("min_x"),
-        F.max(F.when(ok, F.col("x"))).alias("max_x"),
-        F.min(F.when(ok, F.col("y"))).alias("min_y"),
-        F.max(F.when(ok, F.col("y"))).alias("max_y"),
-        F.min(F.when(ok, F.col("z"))).alias("min_z"),
-        F.max(F.when(ok, F.col("z"))).alias("max_z"),
-        F.count(F.lit(1)).alias("point_count"),
-    )
+    aggs = [f"{fn}(CASE WHEN {VALID_SQL} THEN {c} END) AS {fn}_{c}"
+            for c in ("x", "y", "z") for fn in ("min", "max")]
+    return points.selectExpr(*aggs, "count(1) AS point_count").select(
+        "min_x", "max_x", "min_y", "max_y", "min_z", "max_z", "point_count")
 
 
 @dataclass(frozen=True)
@@ -80,15 +79,22 @@ class Grid:
     def n_chunks(self) -> int:
         return self.size * self.size
 
-    def _cell(self, c: Column, lo: float, step: float) -> Column:
+    def _cell_sql(self, c: str, lo: float, step: float) -> str:
         # Zero extent gives step 0; ANSI mode would raise on the division, so use cell 0.
         if step <= 0:
-            return F.lit(0)
-        return F.least(F.floor((c - F.lit(lo)) / F.lit(step)), F.lit(self.size - 1)).cast("int")
+            return "0"
+        return f"CAST(least(floor(({c} - {dlit(lo)}) / {dlit(step)}), {self.size - 1}) AS INT)"
 
-    def in_extent(self) -> Column:
+    def in_extent_sql(self) -> str:
         b = self.bounds
-        return (F.col("x").between(b.min_x, b.max_x) & F.col("y").between(b.min_y, b.max_y))
+        return (f"x BETWEEN {dlit(b.min_x)} AND {dlit(b.max_x)} AND "
+                f"y BETWEEN {dlit(b.min_y)} AND {dlit(b.max_y)}")
+
+    def chunk_sql(self) -> str:
+        b = self.bounds
+        i = self._cell_sql("x", b.min_x, self.x_step)
+        j = self._cell_sql("y", b.min_y, self.y_step)
+        return f"CASE WHEN {self.in_extent_sql()} THEN {i} * {self.size} + {j} END"
 
     def assign(self, points: DataFrame) -> DataFrame:
         """Add the chunk ordinal ``chunk = i * G + j`` (S2.2). Points outside the extent get NULL.
@@ -96,29 +102,26 @@ class Grid:
         An int ordinal (not the id string) travels through the shuffles; the ``i_j`` id is
         derived after aggregation.
         """
-        b = self.bounds
-        i = self._cell(F.col("x"), b.min_x, self.x_step)
-        j = self._cell(F.col("y"), b.min_y, self.y_step)
-        return points.withColumn("chunk", F.when(self.in_extent(), i * F.lit(self.size) + j))
+        return points.withColumn("chunk", F.expr(self.chunk_sql()))
 
-    def chunk_id(self, chunk: Column | str = "chunk") -> Column:
-        c = F.col(chunk) if isinstance(chunk, str) else chunk
-        return chunk_id_of(F.floor(c / F.lit(self.size)).cast("int"), (c % F.lit(self.size)).cast("int"))
+    def chunk_id(self, chunk: str = "chunk") -> Column:
+        g = self.size
+        return F.expr(f"concat_ws('_', CAST({chunk} DIV {g} AS STRING), CAST({chunk} % {g} AS STRING))")
 
     def chunks(self, spark: SparkSession) -> DataFrame:
         """The grid as a DataFrame of G^2 rows (S2.1); boxes are ``min + k * step``."""
         b, g = self.bounds, self.size
-        return (spark.range(g * g)
-                .select(F.col("id").cast("int").alias("chunk"))
-                .withColumn("i", F.floor(F.col("chunk") / F.lit(g)).cast("int"))
-                .withColumn("j", (F.col("chunk") % F.lit(g)).cast("int"))
-                .select(
-                    chunk_id_of("i", "j").alias("chunk_id"), "chunk", "i", "j",
-                    (F.lit(b.min_x) + F.col("i").cast("double") * F.lit(self.x_step)).alias("xmin"),
-                    (F.lit(b.min_x) + (F.col("i") + 1).cast("double") * F.lit(self.x_step)).alias("xmax"),
-                    (F.lit(b.min_y) + F.col("j").cast("double") * F.lit(self.y_step)).alias("ymin"),
-                    (F.lit(b.min_y) + (F.col("j") + 1).cast("double") * F.lit(self.y_step)).alias("ymax"),
-                ))
+        sx, sy = dlit(self.x_step), dlit(self.y_step)
+        return spark.range(g * g).selectExpr(
+            f"concat_ws('_', CAST(id DIV {g} AS STRING), CAST(id % {g} AS STRING)) AS chunk_id",
+            "CAST(id AS INT) AS chunk",
+            f"CAST(id DIV {g} AS INT) AS i",
+            f"CAST(id % {g} AS INT) AS j",
+            f"{dlit(b.min_x)} + CAST(id DIV {g} AS DOUBLE) * {sx} AS xmin",
+            f"{dlit(b.min_x)} + CAST(id DIV {g} + 1 AS DOUBLE) * {sx} AS xmax",
+            f"{dlit(b.min_y)} + CAST(id % {g} AS DOUBLE) * {sy} AS ymin",
+            f"{dlit(b.min_y)} + CAST(id % {g} + 1 AS DOUBLE) * {sy} AS ymax",
+        )
 
     def ordinal(self, chunk_id: str) -> int:
         i, j = (int(p) for p in chunk_id.split("_"))
@@ -141,13 +144,9 @@ def points_in_box(points: DataFrame, min_x: float | None = None, max_x: float |
     Only x, y, z are projected, and the comparisons are literal, so on a Parquet point
     table both reach the scan as ``PushedFilters`` and ``ReadSchema``.
     """
-    cond = F.lit(True)
-    for col, lo, hi in (("x", min_x, max_x), ("y", min_y, max_y)):
-        if lo is not None:
-            cond = cond & (F.col(col) >= F.lit(float(lo)))
-        if hi is not None:
-            cond = cond & (F.col(col) <= F.lit(float(hi)))
-    return points.where(cond).select("x", "y", "z")
+    parts = [f"{c} {op} {dlit(v)}" for c, op, v in
+             (("x", ">=", min_x), ("x", "<=", max_x), ("y", ">=", min_y), ("y", "<=", max_y)) if v is not None]
+    return points.where(" AND ".join(parts) or "true").select("x", "y", "z")
 
 
 def chunk_occupancy(points: DataFrame, grid: Grid) -> DataFrame:
@@ -156,8 +155,8 @@ def chunk_occupancy(points: DataFrame, grid: Grid) -> DataFrame:
     The per-chunk count is a partial/final aggregate (at most G^2 rows); joining it to the
     G^2-row grid is a join of two bounded tables.
     """
-    counts = (grid.assign(points).where(valid_point() & F.col("chunk").isNotNull())
-              .groupBy("chunk").agg(F.count(F.lit(1)).alias("n_points")))
+    counts = (grid.assign(points).where(f"{VALID_SQL} AND chunk IS NOT NULL")
+              .groupBy("chunk").agg(F.expr("count(1) AS n_points")))
     return (grid.chunks(points.sparkSession).join(counts, "chunk", "left")
-            .select("chunk_id", "i", "j", "xmin", "xmax", "ymin", "ymax",
-                    F.coalesce(F.col("n_points"), F.lit(0)).cast("long").alias("n_points")))
+            .selectExpr("chunk_id", "i", "j", "xmin", "xmax", "ymin", "ymax",
+                        "CAST(coalesce(n_points, 0) AS BIGINT) AS n_points"))

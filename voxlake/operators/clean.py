@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.functions import dlit
+
 # Fixed values of the reference's cleaning rule.
 Z_MIN_LIMIT = -50.0
 Z_MAX_LIMIT = 150.0
@@ -30,7 +32,7 @@ def maybe_broadcast(df: DataFrame, row_bound: int, limit: int = MAX_BROADCAST_CH
 
 def in_range(lo: float = Z_MIN_LIMIT, hi: float = Z_MAX_LIMIT) -> Column:
     """Inclusive absolute elevation window (R2). NaN fails ``z <= hi``."""
-    return F.col("z").between(F.lit(float(lo)), F.lit(float(hi)))
+    return F.expr(f"z BETWEEN {dlit(lo)} AND {dlit(hi)}")
 
 
 def elevation_filter(points: DataFrame, lo: float = Z_MIN_LIMIT, hi: float = Z_MAX_LIMIT) -> DataFrame:
@@ -49,8 +51,7 @@ def chunk_z_stats(points: DataFrame, key: str = "chunk") -> DataFrame:
 
 def sigma_keep(k: float = SIGMA_K, min_sigma: float = MIN_SIGMA) -> Column:
     """Apply 3-sigma only with more than one survivor and std > 0.01; bound inclusive."""
-    return ((F.col("n_z") <= 1) | (F.col("std_pop_z") <= F.lit(min_sigma))
-            | (F.abs(F.col("z") - F.col("mean_z")) <= F.lit(k) * F.col("std_pop_z")))
+    return F.expr(f"n_z <= 1 OR std_pop_z <= {dlit(min_sigma)} OR abs(z - mean_z) <= {dlit(k)} * std_pop_z")
 
 
 def sigma_filter(points: DataFrame, stats: DataFrame, key: str = "chunk",

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.operators.chunks import valid_point
-from voxlake.operators.clean import Z_MAX_LIMIT, Z_MIN_LIMIT, in_range
+from voxlake.functions import dlit
+from voxlake.operators.chunks import VALID_SQL
+from voxlake.operators.clean import Z_MAX_LIMIT, Z_MIN_LIMIT
 from voxlake.schemas import STATUS_EMPTY, STATUS_FAILED, STATUS_OK
 
 
@@ -23,14 +24,13 @@ def chunk_profile(assigned: DataFrame, z_min: float = Z_MIN_LIMIT, z_max: float
     ``assigned`` holds every row read (valid or not) with its chunk ordinal; rows whose x or y
     cannot be placed have a NULL chunk and form one dataset-level group.
     """
-    ok = valid_point()
-    zin = F.when(ok & in_range(z_min, z_max), F.col("z"))
+    zin = f"CASE WHEN {VALID_SQL} AND z BETWEEN {dlit(z_min)} AND {dlit(z_max)} THEN z END"
     return assigned.groupBy(key).agg(
-        F.count(F.lit(1)).alias("points_read"),
-        F.count(F.when(~ok, F.lit(1))).alias("points_rejected"),
-        F.count(zin).alias("n_z"),
-        F.avg(zin).alias("mean_z"),
-        F.stddev_pop(zin).alias("std_pop_z"),
+        F.expr("count(1) AS points_read"),
+        F.expr(f"count_if(NOT {VALID_SQL}) AS points_rejected"),
+        F.expr(f"count({zin}) AS n_z"),
+        F.expr(f"avg({zin}) AS mean_z"),
+        F.expr(f"stddev_pop({zin}) AS std_pop_z"),
     )
 
 
@@ -75,38 +75,32 @@ def chunk_outcomes(chunks: DataFrame, profile: DataFrame, vcounts: DataFrame,
         profile.select("chunk", "points_read", "points_rejected"), "chunk", "left")
     if manifest is not None:
         out = out.join(manifest, "chunk", "left")
+        failed = "coalesce(points_read, 0) <> coalesce(expected_points, 0)"
     else:
-        out = out.withColumn("expected_points", F.lit(None).cast("long"))
+        out = out.withColumn("expected_points", F.expr("CAST(NULL AS BIGINT)"))
+        failed = "false"
     out = out.join(vcounts, "chunk_id", "left")
-    read = F.coalesce(F.col("points_read"), F.lit(0))
-    failed = (F.lit(manifest is not None)
-              & (read != F.coalesce(F.col("expected_points"), F.lit(0))))
-    status = (F.when(failed, F.lit(STATUS_FAILED))
-              .when(read == 0, F.lit(STATUS_EMPTY))
-              .otherwise(F.lit(STATUS_OK)))
-    return out.select(
+    return out.selectExpr(
         "chunk_id",
-        F.col("expected_points").cast("long").alias("expected_points"),
-        read.cast("long").alias("points_read"),
-        F.coalesce(F.col("points_rejected"), F.lit(0)).cast("long").alias("points_rejected"),
-        F.when(failed, F.lit(0)).otherwise(F.coalesce(F.col("points_kept"), F.lit(0))).cast("long")
-        .alias("points_kept"),
-        F.when(failed, F.lit(0)).otherwise(F.coalesce(F.col("voxels"), F.lit(0))).cast("long").alias("voxels"),
-        status.alias("status"),
+        "CAST(expected_points AS BIGINT) AS expected_points",
+        "CAST(coalesce(points_read, 0) AS BIGINT) AS points_read",
+        "CAST(coalesce(points_rejected, 0) AS BIGINT) AS points_rejected",
+        f"CAST(CASE WHEN {failed} THEN 0 ELSE coalesce(points_kept, 0) END AS BIGINT) AS points_kept",
+        f"CAST(CASE WHEN {failed} THEN 0 ELSE coalesce(voxels, 0) END AS BIGINT) AS voxels",
+        f"CASE WHEN {failed} THEN '{STATUS_FAILED}' WHEN coalesce(points_read, 0) = 0 THEN '{STATUS_EMPTY}' "
+        f"ELSE '{STATUS_OK}' END AS status",
     )
 
 
 def ingest_totals(outcomes: DataFrame) -> DataFrame:
     """S4.9 / S4.12: points read before filtering (loaded chunks only), voxel rows, ratio, chunk states."""
-    loaded = F.col("status") != F.lit(STATUS_FAILED)
-    pts = F.sum(F.when(loaded, F.col("points_read")).otherwise(F.lit(0)))
-    vox = F.sum("voxels")
-    return outcomes.agg(
-        pts.cast("long").alias("total_points_read"),
-        F.sum(F.when(loaded, F.col("points_kept")).otherwise(F.lit(0))).cast("long").alias("total_points_kept"),
-        vox.cast("long").alias("total_voxels"),
-        F.count(F.when(F.col("status") == STATUS_OK, 1)).alias("chunks_ok"),
-        F.count(F.when(F.col("status") == STATUS_EMPTY, 1)).alias("chunks_empty"),
-        F.count(F.when(F.col("status") == STATUS_FAILED, 1)).alias("chunks_failed"),
-        (pts / F.when(vox > 0, vox)).alias("points_per_voxel"),
+    loaded = f"status <> '{STATUS_FAILED}'"
+    return outcomes.selectExpr(
+        f"CAST(sum(CASE WHEN {loaded} THEN points_read ELSE 0 END) AS BIGINT) AS total_points_read",
+        f"CAST(sum(CASE WHEN {loaded} THEN points_kept ELSE 0 END) AS BIGINT) AS total_points_kept",
+        "CAST(sum(voxels) AS BIGINT) AS total_voxels",
+        f"count_if(status = '{STATUS_OK}') AS chunks_ok",
+        f"count_if(status = '{STATUS_EMPTY}') AS chunks_empty",
+        f"count_if(status = '{STATUS_FAILED}') AS chunks_failed",
+        f"sum(CASE WHEN {loaded} THEN points_read ELSE 0 END) / nullif(sum(voxels), 0) AS points_per_voxel",
     )

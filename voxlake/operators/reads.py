@@ -40,44 +40,33 @@ def _out_cols(voxels: DataFrame) -> list[str]:
 
 def voxel_stats(voxels: DataFrame) -> DataFrame:
     """S4.4: rows (partial voxels included, R8), points, index ranges. Empty table -> NULL sums."""
-    return voxels.agg(
-        F.count(F.lit(1)).alias("total_voxels"),
-        F.sum("point_count").alias("total_points"),
-        F.min("voxel_x").alias("x_min"), F.max("voxel_x").alias("x_max"),
-        F.min("voxel_y").alias("y_min"), F.max("voxel_y").alias("y_max"),
-        F.min("voxel_z").alias("z_min"), F.max("voxel_z").alias("z_max"),
+    return voxels.selectExpr(
+        "count(1) AS total_voxels", "sum(point_count) AS total_points",
+        "min(voxel_x) AS x_min", "max(voxel_x) AS x_max",
+        "min(voxel_y) AS y_min", "max(voxel_y) AS y_max",
+        "min(voxel_z) AS z_min", "max(voxel_z) AS z_max",
     )
 
 
 def voxel_summary(voxels: DataFrame) -> DataFrame:
     """S4.5: voxel rows, points represented, mean points per voxel row."""
-    return voxels.agg(
-        F.count(F.lit(1)).alias("voxel_count"),
-        F.sum("point_count").alias("total_points"),
-        F.avg("point_count").alias("avg_points_per_voxel"),
-    )
+    return voxels.selectExpr("count(1) AS voxel_count", "sum(point_count) AS total_points",
+                             "avg(point_count) AS avg_points_per_voxel")
 
 
 def voxel_extents(voxels: DataFrame) -> DataFrame:
     """S4.6: min/max of each voxel index."""
-    aggs = []
-    for c in INDEX_COLUMNS:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return voxels.agg(*aggs)
+    return voxels.selectExpr(*[f"{fn}({c}) AS {fn}_{c}" for c in INDEX_COLUMNS for fn in ("min", "max")])
 
 
 def elevation_profile(voxels: DataFrame) -> DataFrame:
     """S4.7: lowest min_z, highest max_z, and the *unweighted* mean of voxel means."""
-    return voxels.agg(
-        F.min("min_z").alias("min_elev"),
-        F.max("max_z").alias("max_elev"),
-        F.avg("mean_z").alias("avg_elev"),
-    )
+    return voxels.selectExpr("min(min_z) AS min_elev", "max(max_z) AS max_elev", "avg(mean_z) AS avg_elev")
 
 
 def row_count(voxels: DataFrame) -> DataFrame:
     """S4.8: ``SELECT COUNT(*)``."""
-    return voxels.agg(F.count(F.lit(1)).alias("row_count"))
+    return voxels.selectExpr("count(1) AS row_count")
 
 
 def densest_voxels(voxels: DataFrame, limit: int = DENSEST_DEFAULT) -> DataFrame:
@@ -105,16 +94,16 @@ def index_bounds(min_x=None, max_x=None, min_y=None, max_y=None, min_z=None, max
     return {k: floor_bound(v, voxel_size) for k, v in raw.items()}
 
 
-def box_predicate(bounds: dict) -> Column:
+def box_predicate(bounds: dict) -> str:
     """S2.7: AND of the given inclusive bounds on voxel indices; none given -> all rows."""
-    cond = F.lit(True)
+    parts = []
     for axis in ("x", "y", "z"):
         lo, hi = bounds.get(f"min_{axis}"), bounds.get(f"max_{axis}")
         if lo is not None:
-            cond = cond & (F.col(f"voxel_{axis}") >= F.lit(int(lo)))
+            parts.append(f"voxel_{axis} >= {int(lo)}")
         if hi is not None:
-            cond = cond & (F.col(f"voxel_{axis}") <= F.lit(int(hi)))
-    return cond
+            parts.append(f"voxel_{axis} <= {int(hi)}")
+    return " AND ".join(parts) or "true"
 
 
 def voxels_in_box(voxels: DataFrame, min_x=None, max_x=None, min_y=None, max_y=None,
@@ -133,8 +122,8 @@ def voxels_in_box(voxels: DataFrame, min_x=None, max_x=None, min_y=None, max_y=N
 
 def voxels_between(voxels: DataFrame, x_lo: int, x_hi: int, y_lo: int, y_hi: int) -> DataFrame:
     """S2.10: ``voxel_x BETWEEN .. AND voxel_y BETWEEN ..`` (no limit)."""
-    return voxels.where(F.col("voxel_x").between(int(x_lo), int(x_hi))
-                        & F.col("voxel_y").between(int(y_lo), int(y_hi))).select(*_out_cols(voxels))
+    return voxels.where(f"voxel_x BETWEEN {int(x_lo)} AND {int(x_hi)} AND "
+                        f"voxel_y BETWEEN {int(y_lo)} AND {int(y_hi)}").select(*_out_cols(voxels))
 
 
 # Metadata keys and the defaults the reference's stats endpoint falls back to.

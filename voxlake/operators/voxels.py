@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.functions import floor_index
+from voxlake.functions import dlit
 from voxlake.schemas import INDEX_COLUMNS, VOXEL_COLUMNS
 
 
@@ -19,18 +19,18 @@ def _check_size(voxel_size: float) -> float:
 def voxel_index(points: DataFrame, voxel_size: float) -> DataFrame:
     """S2.6: add ``voxel_x/y/z = floor(c / size)`` as BIGINT."""
     size = _check_size(voxel_size)
-    return points.select("*", *[floor_index(c, size).alias(f"voxel_{c}") for c in ("x", "y", "z")])
+    return points.select("*", *[F.expr(f"floor({c} / {dlit(size)}) AS voxel_{c}") for c in ("x", "y", "z")])
 
 
 def voxel_aggregates():
     """S4.1 aggregates of z: count, mean, sample std (0.0 for one point, R6/S2.13), min, max."""
-    return [
-        F.count("z").alias("point_count"),
-        F.avg("z").alias("mean_z"),
-        F.coalesce(F.stddev_samp("z"), F.lit(0.0)).alias("std_z"),
-        F.min("z").alias("min_z"),
-        F.max("z").alias("max_z"),
-    ]
+    return [F.expr(e) for e in (
+        "count(z) AS point_count",
+        "avg(z) AS mean_z",
+        "coalesce(stddev_samp(z), 0.0D) AS std_z",
+        "min(z) AS min_z",
+        "max(z) AS max_z",
+    )]
 
 
 def voxelize(points: DataFrame, voxel_size: float, by: list[str] | None = None) -> DataFrame:

@@ -13,11 +13,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlake.operators.chunks import Bounds, Grid, valid_point
+from voxlake.operators.chunks import VALID_SQL, Bounds, Grid
 from voxlake.operators.clean import Z_MAX_LIMIT, Z_MIN_LIMIT, chunk_z_stats, elevation_filter, sigma_filter
 from voxlake.operators.recovery import points_of_chunks, select_chunks
 from voxlake.operators.voxels import voxelize
 from voxlake.schemas import VOXEL_COLUMNS
+from voxlake.sources.points import spread
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,7 @@ class VoxelConfig:
 
 def usable_points(assigned: DataFrame) -> DataFrame:
     """Valid points that fall in a chunk, projected to what cleaning and aggregation read."""
-    return assigned.where(valid_point() & F.col("chunk").isNotNull()).select("chunk", "x", "y", "z")
+    return assigned.where(f"{VALID_SQL} AND chunk IS NOT NULL").select("chunk", "x", "y", "z")
 
 
 def chunk_voxels(assigned: DataFrame, grid: Grid, cfg: VoxelConfig, stats: DataFrame | None = None) -> DataFrame:
@@ -68,7 +69,7 @@ def voxelize_points(points: DataFrame, cfg: VoxelConfig, bounds: Bounds | None =
     chunk limit, cleaning and voxel aggregation. Returns a lazy DataFrame."""
     bounds = bounds or Bounds.of(points)
     grid = Grid(bounds, cfg.grid_size)
-    assigned = grid.assign(points)
+    assigned = grid.assign(spread(points))
     if cfg.max_chunks is not None:
         chosen = select_chunks(grid.chunks(points.sparkSession), None, cfg.max_chunks)
         assigned = points_of_chunks(assigned, chosen, grid.n_chunks)
@@ -83,7 +84,7 @@ def profile_voxels(points: DataFrame, voxel_size: float, filter_outliers: bool =
     The stats are one global aggregate (one broadcast row); the voxel aggregate is partial +
     final on the voxel key, so no single task ever holds the whole input.
     """
-    pts = points.where(valid_point()).select(F.lit(0).alias("chunk"), "x", "y", "z")
+    pts = points.where(VALID_SQL).selectExpr("0 AS chunk", "x", "y", "z")
     if filter_outliers:
         if z_min > z_max:
             raise ValueError("z_min must not exceed z_max")

@@ -78,7 +78,7 @@ LOSSES_LEDGER = ({"0_1": 7, "1_3": 5, "3_0": 3}, {"1_3": 5})
 def q_voxels(vox: DataFrame) -> DataFrame:
     """Voxel rows for comparison: mean/std quantized, other columns exact."""
     cols = [c for c in (["chunk_id"] if "chunk_id" in vox.columns else [])] + VOXEL_COLUMNS
-    return vox.select(*[quantize(c).alias(c) if c in ("mean_z", "std_z") else F.col(c) for c in cols])
+    return vox.select(*[quantize(c).alias(c) if c in ("mean_z", "std_z") else c for c in cols])
 
 
 def _grid(view: PointView, pts: DataFrame) -> Grid:
@@ -116,7 +116,7 @@ def run_chunks(full: DataFrame, grid: Grid, cfg: VoxelConfig, attempted: DataFra
 def _events_run(spark: SparkSession, d: str, losses: dict):
     pts = EVENTS.points(spark, d, keep=["event_id"])
     grid = _grid(EVENTS, pts)
-    full = grid.assign(pts)
+    full = grid.assign(P.spread(pts))
     chunks = grid.chunks(spark)
     out, vox = run_chunks(full, grid, EVENTS.config(), chunks, losses)
     return grid, full, chunks, out, vox
@@ -161,7 +161,7 @@ def chunk_z_stats_q(spark, d):
 def sigma_filter_q(spark, d):
     pts = EVENTS.points(spark, d)
     grid = _grid(EVENTS, pts)
-    kept = clean_points(usable_points(grid.assign(pts)), True, EVENTS.z_min, EVENTS.z_max,
+    kept = clean_points(usable_points(grid.assign(P.spread(pts))), True, EVENTS.z_min, EVENTS.z_max,
                         chunk_bound=grid.n_chunks)
     return (kept.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_kept"))
             .select(grid.chunk_id("chunk").alias("chunk_id"), "n_kept"))
@@ -203,7 +203,7 @@ def chunk_outcomes_q(spark, d):
 def ingest_totals_q(spark, d):
     pts = LINEITEM.points(spark, d)
     grid = _grid(LINEITEM, pts)
-    out, _ = run_chunks(grid.assign(pts), grid, LINEITEM.config(), grid.chunks(spark), {})
+    out, _ = run_chunks(grid.assign(P.spread(pts)), grid, LINEITEM.config(), grid.chunks(spark), {})
     return ingest_totals(out)
 
 

@@ -27,6 +27,7 @@ from voxlake.operators.recovery import points_of_chunks, select_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
 from voxlake.schemas import STATUS_FAILED
 from voxlake.session import scratch_path
+from voxlake.sources.points import spread
 from voxlake.sources.store import VoxelStore
 
 # At most this many chunk boxes are added as literal x/y predicates on a resume read, so that
@@ -67,7 +68,7 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
     chunks = grid.chunks(spark)
     run_seq = 1 if reset else store.next_run_seq()
 
-    assigned = grid.assign(points if pushed is None else points.where(_box_filter(grid, pushed)))
+    assigned = grid.assign(spread(points if pushed is None else points.where(_box_filter(grid, pushed))))
     whole_grid = reset and cfg.max_chunks is None
     if not whole_grid:
         assigned = points_of_chunks(assigned, selected, n)

@@ -45,32 +45,45 @@ def read_points(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 
 def lineitem_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """x = part key, y = days since 1995-01-01 of the ship date, z = price * discount / 50 - 52."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return points_from(
-        li,
-        F.col("l_partkey").cast("double"),
-        F.datediff(F.col("l_shipdate").cast("date"), F.lit(LINEITEM_Y_ORIGIN).cast("date")).cast("double"),
-        F.col("l_extendedprice") * F.col("l_discount") / F.lit(50) - F.lit(52),
-        keep,
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        *(keep or []),
+        "CAST(l_partkey AS DOUBLE) AS x",
+        f"CAST(datediff(CAST(l_shipdate AS DATE), DATE'{LINEITEM_Y_ORIGIN}') AS DOUBLE) AS y",
+        "l_extendedprice * l_discount / 50 - 52 AS z",
     )
 
 
 def events_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """x = user id, y = hours since 2024-01-01 (time-zone free on TIMESTAMP_NTZ), z = value / 2 - 52."""
-    ev = read_table(spark, sf_dir, "events")
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EVENTS_Y_ORIGIN}', ts)")
-    return points_from(
-        ev,
-        F.col("user_id").cast("double"),
-        micros / F.lit(3.6e9),
-        F.col("value") * F.lit(0.5) - F.lit(52),
-        keep,
+    return read_table(spark, sf_dir, "events").selectExpr(
+        *(keep or []),
+        "CAST(user_id AS DOUBLE) AS x",
+        f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EVENTS_Y_ORIGIN}', ts) / 3.6e9D AS y",
+        "value * 0.5D - 52 AS z",
     )
 
 
 def embedding_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """100 x the first three embedding elements (values straddle zero: negative floors)."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    e = F.col("embedding")
-    s = F.lit(EMBEDDING_SCALE)
-    return points_from(emb, s * e[0].cast("double"), s * e[1].cast("double"), s * e[2].cast("double"), keep)
+    s = f"{EMBEDDING_SCALE!r}D"
+    return read_table(spark, sf_dir, "embeddings").selectExpr(
+        *(keep or []),
+        f"{s} * CAST(embedding[0] AS DOUBLE) AS x",
+        f"{s} * CAST(embedding[1] AS DOUBLE) AS y",
+        f"{s} * CAST(embedding[2] AS DOUBLE) AS z",
+    )
+
+
+def spread(points: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Rebalance a source that scans into fewer tasks than the session runs at once.
+
+    A large table scans into thousands of splits and is returned untouched (no shuffle).
+    A small one -- e.g. one Parquet row group, which Spark cannot split -- would run the
+    whole cleaning and aggregation in a single task; a hash exchange on the coordinates
+    spreads it, and both passes of the cleaning job read that one exchange. The input is
+    bounded by ``min_tasks`` splits here, so a skewed coordinate cannot make a large task.
+    """
+    target = min_tasks or points.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() >= target:
+        return points
+    return points.repartition(target, *[c for c in ("x", "y", "z") if c in points.columns])
