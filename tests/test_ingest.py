@@ -122,6 +122,9 @@ def test_resume_with_limit_keeps_unattempted(spark, store_root):
     again = resume(spark, _lose(full, BOX_1_0), store_root, manifest=man, max_chunks=2)
     assert again.attempted == 2
     assert again.failed == ["1_0", "1_1"]          # 1_0 failed again, 1_1 not attempted
+    st = VoxelStore(spark, store_root)
+    assert sorted(r.chunk_id for r in st.ledger().collect()) == again.failed      # ledger as data agrees
+    assert json.loads(st.get_metadata("failed_chunks")) == again.failed
     last = resume(spark, full, store_root, manifest=man)
     assert last.failed == [] and last.attempted == 2
 

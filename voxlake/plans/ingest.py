@@ -23,7 +23,8 @@ from voxlake.operators.chunks import Bounds, Grid
 from voxlake.operators.clean import maybe_broadcast
 from voxlake.operators.outcomes import chunk_outcomes, chunk_profile, failed_chunks, voxel_counts
 from voxlake.operators.reads import run_summary, voxel_stats
-from voxlake.operators.recovery import points_of_chunks, select_chunks
+from voxlake.functions import dlit
+from voxlake.operators.recovery import points_of_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
 from voxlake.schemas import STATUS_FAILED
 from voxlake.session import scratch_path
@@ -44,61 +45,78 @@ class RunResult:
     stats: dict = field(default_factory=dict)
 
 
-def _box_filter(grid: Grid, ordinals: list[int]):
-    cond = F.lit(False)
+def _box_filter(grid: Grid, ordinals: list[int]) -> str:
+    boxes = []
     for o in ordinals:
         x0, x1, y0, y1 = grid.box(o)
-        cond = cond | (F.col("x").between(x0, x1) & F.col("y").between(y0, y1))
-    return cond
+        boxes.append(f"(x BETWEEN {dlit(x0)} AND {dlit(x1)} AND y BETWEEN {dlit(y0)} AND {dlit(y1)})")
+    return " OR ".join(boxes) or "false"
 
 
 def _manifest_by_ordinal(manifest: DataFrame | None, chunks: DataFrame, bound: int) -> DataFrame | None:
     """Manifest given as (chunk_id, expected_points) -> keyed by the chunk ordinal."""
     if manifest is None:
         return None
-    return (manifest.select("chunk_id", F.col("expected_points").cast("long"))
+    return (manifest.selectExpr("chunk_id", "CAST(expected_points AS BIGINT) AS expected_points")
             .join(maybe_broadcast(chunks.select("chunk_id", "chunk"), bound), "chunk_id")
             .select("chunk", "expected_points"))
 
 
+def _chunk_list(spark: SparkSession, grid: Grid, ordinals: list[int] | None) -> DataFrame:
+    """The attempted chunks as a DataFrame: the whole grid, or a semi-join with a small id list."""
+    chunks = grid.chunks(spark)
+    if ordinals is None:
+        return chunks
+    ids = spark.createDataFrame([(int(o),) for o in ordinals], "chunk int")
+    return chunks.join(maybe_broadcast(ids, grid.n_chunks), "chunk", "left_semi")
+
+
 def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelConfig, grid: Grid,
-         selected: DataFrame, manifest: DataFrame | None, reset: bool, source: str,
-         pushed: list[int] | None = None) -> RunResult:
+         ordinals: list[int] | None, manifest: DataFrame | None, reset: bool, source: str,
+         previous_ledger: list[str], run_seq: int, pushed: bool = False) -> RunResult:
+    """One attempt of the chunks ``ordinals`` (None = whole grid). Chunk-id lists (at most G^2)
+    are the only things held on the driver."""
     n = grid.n_chunks
-    chunks = grid.chunks(spark)
-    run_seq = 1 if reset else store.next_run_seq()
+    selected = _chunk_list(spark, grid, ordinals)
+    attempted = list(range(n)) if ordinals is None else list(ordinals)
+    attempted_ids = [f"{o // grid.size}_{o % grid.size}" for o in attempted]
 
-    assigned = grid.assign(spread(points if pushed is None else points.where(_box_filter(grid, pushed))))
-    whole_grid = reset and cfg.max_chunks is None
-    if not whole_grid:
+    src = points.where(_box_filter(grid, attempted)) if pushed else points
+    assigned = grid.assign(spread(src))
+    if ordinals is not None:
         assigned = points_of_chunks(assigned, selected, n)
 
-    # Job 2: chunk profile, written once (lineage cut, and the rest of the run reuses it).
+    # Job: chunk profile, written once (lineage cut, and the rest of the run reuses it).
     # The NULL-chunk group counts rows whose x or y cannot be placed (dataset-level rejects).
     prof_path = scratch_path(spark, "chunk-profile")
     chunk_profile(assigned, cfg.z_min, cfg.z_max).coalesce(1).write.parquet(prof_path)
-    profile = spark.read.parquet(prof_path)
-    unplaced = profile.where(F.col("chunk").isNull()).select("points_read").first()
-    profile = profile.where(F.col("chunk").isNotNull())
-
-    man = _manifest_by_ordinal(manifest, chunks, n)
-    bad = failed_chunks(selected, profile, man)
-    attempted_ids = [r["chunk_id"] for r in selected.select("chunk_id").collect()]   # <= G^2 ids
-    bad_n = bad.count()
-    if attempted_ids and bad_n == len(attempted_ids):
-        raise RuntimeError(f"all {len(attempted_ids)} attempted chunks failed; nothing was loaded (S11.2)")
-
-    # Job 3: clean + voxelize the loadable chunks and write their partitions.
-    loadable = selected.join(maybe_broadcast(bad, n), "chunk", "left_anti")
-    vox = chunk_voxels(points_of_chunks(assigned, loadable, n), grid, cfg, stats=profile)
+    profile_all = spark.read.parquet(prof_path)
+    profile = profile_all.where("chunk IS NOT NULL")
+
+    man = _manifest_by_ordinal(manifest, grid.chunks(spark), n)
+    bad_ids: list[str] = []
+    loadable = selected
+    if man is not None:
+        bad = failed_chunks(selected, profile, man)
+        bad_ord = sorted(r["chunk"] for r in bad.collect())                        # <= G^2 ids
+        bad_ids = [f"{o // grid.size}_{o % grid.size}" for o in bad_ord]
+        if attempted and len(bad_ord) == len(attempted):
+            raise RuntimeError(f"all {len(attempted)} attempted chunks failed; nothing was loaded (S11.2)")
+        if bad_ord:
+            loadable = _chunk_list(spark, grid, sorted(set(attempted) - set(bad_ord)))
+
+    # Job: clean + voxelize the loadable chunks and write their partitions.
+    vox = chunk_voxels(assigned if not bad_ids else points_of_chunks(assigned, loadable, n), grid, cfg,
+                       stats=profile)
     store.write_voxels(vox, reset=reset)
 
-    # Job 4: per-chunk voxel counts from the written partitions of this run.
+    # Job: outcomes, with voxel counts read back from the partitions written by this run.
     written = store.raw_voxels().join(maybe_broadcast(loadable.select("chunk_id"), n), "chunk_id", "left_semi")
-    outcomes = chunk_outcomes(selected, profile, voxel_counts(written), man)
-    store.write_outcomes(outcomes, run_seq, reset=reset)
+    store.write_outcomes(chunk_outcomes(selected, profile, voxel_counts(written), man), run_seq, reset=reset)
 
-    ledger = sorted(r["chunk_id"] for r in store.ledger().collect())                # <= G^2 ids
+    # Ledger (S7.2 / S7.3): (previous - attempted) U failed now; on a full run, failed now.
+    ledger = sorted((set(previous_ledger) - set(attempted_ids)) | set(bad_ids))
+    unplaced = profile_all.where("chunk IS NULL").select("points_read").first()
     b = grid.bounds
     store.set_metadata({
         "voxel_size": float(cfg.voxel_size), "grid_size": int(cfg.grid_size), "source": source,
@@ -110,7 +128,7 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
         "points_unplaced": 0 if unplaced is None else int(unplaced["points_read"]),
     })
     stats = voxel_stats(store.voxels(n)).first().asDict()
-    return RunResult("success", run_seq, len(attempted_ids), ledger, stats)
+    return RunResult("success", run_seq, len(attempted), ledger, stats)
 
 
 def ingest(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig, source: str = "",
@@ -123,8 +141,9 @@ def ingest(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig,
     """
     store = VoxelStore(spark, root)
     grid = Grid(bounds or Bounds.of(points), cfg.grid_size)
-    selected = select_chunks(grid.chunks(spark), None, cfg.max_chunks)
-    return _run(spark, points, store, cfg, grid, selected, manifest, reset=True, source=source)
+    ordinals = None if cfg.max_chunks is None else list(range(min(int(cfg.max_chunks), grid.n_chunks)))
+    return _run(spark, points, store, cfg, grid, ordinals, manifest, reset=True, source=source,
+                previous_ledger=[], run_seq=1)
 
 
 def stored_config(store: VoxelStore) -> tuple[VoxelConfig, Bounds, str]:
@@ -145,7 +164,8 @@ def resume(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig |
     The grid is rebuilt from the stored header, so chunk ids mean the same as in the first
     run. A ``cfg`` or ``source`` that disagrees with the stored run is refused (B2). Only the
     chunks actually attempted leave the ledger (B1); their partitions are replaced, so a
-    retried resume never duplicates rows (B3).
+    retried resume never duplicates rows (B3). The failed chunks' boxes are pushed to the
+    point scan as literal x/y ranges (up to ``MAX_PUSHED_BOXES``).
     """
     store = VoxelStore(spark, root)
     store.require()
@@ -157,15 +177,22 @@ def resume(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig |
                                  f"{getattr(stored, k)!r}")
     if source is not None and source != stored_source:
         raise ValueError(f"resume source {source!r} differs from the stored run's {stored_source!r}")
+    if max_chunks is not None and int(max_chunks) < 0:
+        raise ValueError("max_chunks must be >= 0")
     cfg = stored.with_(max_chunks=max_chunks)
     grid = Grid(bounds, cfg.grid_size)
-    selected = select_chunks(grid.chunks(spark), store.ledger(), cfg.max_chunks)
-    ordinals = sorted(r["chunk"] for r in selected.select("chunk").collect())       # <= G^2
-    if not ordinals:
-        return RunResult("skipped", failed=[])                                        # S11.4
-    pushed = ordinals if len(ordinals) <= MAX_PUSHED_BOXES else None
-    return _run(spark, points, store, cfg, grid, selected, manifest, reset=False, source=stored_source,
-                pushed=pushed)
+    # One read of the outcome log gives the ledger (latest status failed) and the last run number.
+    latest = (store.outcomes().groupBy("chunk_id")
+              .agg(F.max_by("status", "run_seq").alias("status"), F.max("run_seq").alias("seq")).collect())
+    ledger = sorted(r["chunk_id"] for r in latest if r["status"] == STATUS_FAILED)       # <= G^2 ids
+    run_seq = max((r["seq"] for r in latest), default=0) + 1
+    todo = sorted(grid.ordinal(c) for c in ledger)                                       # S3.1, grid order
+    if max_chunks is not None:
+        todo = todo[:int(max_chunks)]                                                    # S2.11
+    if not todo:
+        return RunResult("skipped", failed=ledger)                                       # S11.4
+    return _run(spark, points, store, cfg, grid, todo, manifest, reset=False, source=stored_source,
+                previous_ledger=ledger, run_seq=run_seq, pushed=len(todo) <= MAX_PUSHED_BOXES)
 
 
 def summary(spark: SparkSession, root: str) -> DataFrame:
