@@ -86,3 +86,23 @@ def test_stale_partition_hidden(spark, store_root):
     st.write_outcomes(empty.drop("run_seq"), 2, reset=False)
     assert st.raw_voxels().count() == 7                # the stale folder is still there ...
     assert st.voxels().count() == 3                    # ... but readers do not see it
+
+
+def test_box_lookup_prunes_chunks_and_matches_unpruned(spark, store_root):
+    """Store box lookup: chunk partitions outside the box are pruned; rows equal the plain query."""
+    from voxlake.operators.reads import voxels_in_box
+    from voxlake.plans.build import VoxelConfig
+    from voxlake.plans.ingest import ingest
+    from voxlake.sources.points import lineitem_points
+    pts = lineitem_points(spark, "/root/testdata/sf0.001")
+    ingest(spark, pts, store_root, VoxelConfig(grid_size=4, voxel_size=50.0), source="lineitem")
+    st = VoxelStore(spark, store_root)
+    for kw in (dict(min_x=100.0, max_x=600.0, min_y=0.0, max_y=900.0, max_z=40.0),
+               dict(min_x=3, max_x=5, min_y=-1.5, is_voxel_coords=True),
+               dict(max_y=250.0)):
+        pruned = st.box_voxels(limit=50000, **kw)
+        plain = voxels_in_box(st.voxels(), voxel_size=50.0, limit=50000, **kw)
+        assert sorted(tuple(r) for r in pruned.collect()) == sorted(tuple(r) for r in plain.collect())
+    plan = plan_text(st.box_voxels(min_x=100.0, max_x=600.0))
+    part = [line for line in plan.splitlines() if "PartitionFilters: [chunk_id" in line]
+    assert part and " IN (" in part[0] and "0_0" not in part[0]      # chunks left of x=100 m pruned

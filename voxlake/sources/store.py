@@ -16,6 +16,7 @@ which hides a stale partition left by a chunk that was re-run into no voxels (B6
 
 from __future__ import annotations
 
+import math
 import os
 import time
 
@@ -30,6 +31,8 @@ from voxlake.schemas import (INDEX_COLUMNS, METADATA_SCHEMA, OUTCOME_SCHEMA, STA
 
 # Rows per output file; keeps files bounded even for a chunk with a third of all voxels.
 MAX_RECORDS_PER_FILE = 4_000_000
+# Largest chunk-id list turned into a partition filter by box lookups.
+MAX_PRUNE_LIST = 10_000
 
 
 def _read(spark: SparkSession, schema, path: str) -> DataFrame | None:
@@ -167,6 +170,38 @@ class VoxelStore:
         self.spark.createDataFrame(rows, METADATA_SCHEMA).coalesce(1).write.mode("append").parquet(
             self.metadata_path)
 
+    def box_voxels(self, min_x=None, max_x=None, min_y=None, max_y=None, min_z=None, max_z=None,
+                   is_voxel_coords: bool = False, limit: int = 1000) -> DataFrame:
+        """Box lookup on the stored table (S2.7-S2.9, S6.3) with chunk-partition pruning.
+
+        The stored header and grid tell which chunks can hold voxel_x / voxel_y in the box:
+        chunk ``i`` covers x in [xmin_i, xmax_i], hence voxel_x in [floor(xmin_i / s),
+        floor(xmax_i / s)]. The surviving chunk ids become a literal ``chunk_id IN (...)``
+        partition filter, and the index bounds are pushed to the Parquet scan, where the
+        index-sorted files skip row groups (the role the reference's B-tree index played).
+        """
+        from voxlake.operators.reads import index_bounds, voxels_in_box
+        meta = {r["key"]: r["value"] for r in self.metadata().collect()}          # a handful of keys
+        size = float(meta.get("voxel_size", "2.0"))
+        vox = self.voxels()
+        if all(k in meta for k in ("grid_size", "min_x", "max_x", "min_y", "max_y")):
+            g = int(meta["grid_size"])
+            b = index_bounds(min_x, max_x, min_y, max_y, None, None, is_voxel_coords, size)
+            x0, x1 = float(meta["min_x"]), float(meta["max_x"])
+            y0, y1 = float(meta["min_y"]), float(meta["max_y"])
+            sx, sy = (x1 - x0) / g, (y1 - y0) / g
+
+            def reach(lo, hi, origin, step, k):
+                a, c = math.floor((origin + k * step) / size), math.floor((origin + (k + 1) * step) / size)
+                return (lo is None or c >= lo) and (hi is None or a <= hi)
+
+            xs = [i for i in range(g) if reach(b["min_x"], b["max_x"], x0, sx, i)]
+            ys = [j for j in range(g) if reach(b["min_y"], b["max_y"], y0, sy, j)]
+            if len(xs) * len(ys) < g * g and len(xs) * len(ys) <= MAX_PRUNE_LIST:
+                ids = [f"{i}_{j}" for i in xs for j in ys]
+                vox = vox.where(F.col("chunk_id").isin(ids))
+        return voxels_in_box(vox, min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size, limit)
+
     def get_metadata(self, key: str, default: str | None = None) -> str | None:
         """Point lookup with default (S1.10); a missing key gives the default, errors propagate."""
         row = self.metadata().where(F.col("key") == key).select("value").first()
