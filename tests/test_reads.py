@@ -115,3 +115,15 @@ def test_run_summary_defaults_and_latest(spark, f7):
     bad = spark.createDataFrame([("failed_chunks", "not json"), ("filter_outliers", "False")], "key string, value string")
     b = run_summary(f7, bad).first()
     assert b.failed_chunk_count == 0 and b.outliers_filtered is False
+
+
+def test_verification_report(spark, f7):
+    """S1.14: formatted report; an empty table formats NULL sums without failing."""
+    from voxlake.plans.report import as_json_rows, format_report
+    text = format_report(f7)
+    assert "Total Processed Voxels:      3" in text and "Total Points Represented:    650" in text
+    assert "(11, 21, 31)" in text.split("Top 5")[1].splitlines()[2]
+    empty = format_report(spark.createDataFrame([], VOXEL_SCHEMA))
+    assert "Total Processed Voxels:      0" in empty
+    js = [r.json for r in as_json_rows(f7.limit(1)).collect()]
+    assert js[0].startswith('{"voxel_x":10')

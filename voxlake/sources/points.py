@@ -83,7 +83,10 @@ def spread(points: DataFrame, min_tasks: int | None = None) -> DataFrame:
     spreads it, and both passes of the cleaning job read that one exchange. The input is
     bounded by ``min_tasks`` splits here, so a skewed coordinate cannot make a large task.
     """
-    target = min_tasks or points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() >= target:
+    try:
+        target = min_tasks or points.sparkSession.sparkContext.defaultParallelism
+        if points.rdd.getNumPartitions() >= target:
+            return points
+    except Exception:          # no RDD view of the plan (e.g. a Connect session): leave it as is
         return points
     return points.repartition(target, *[c for c in ("x", "y", "z") if c in points.columns])
