@@ -117,3 +117,40 @@ def test_voxelize_requires_positive_size(spark):
     for bad in (0.0, -1.0, math.nan):
         with pytest.raises(ValueError):
             voxelize(pts, bad)
+
+
+def test_voxel_straddling_chunk_edge_gives_two_rows(spark):
+    """A voxel cut by a chunk edge yields one row per chunk with the same key, never merged."""
+    from voxlake.operators.chunks import Bounds, Grid
+    from voxlake.plans.build import VoxelConfig, chunk_voxels
+    g = Grid(Bounds(0.0, 10.0, 0.0, 10.0), 2)                  # inner edge at x = 5
+    pts = make_points(spark, [4.5, 4.9, 5.1, 5.5, 0.0, 10.0], [1.0] * 4 + [9.0, 9.0], [1.0, 2.0, 3.0, 4.0, 1.0, 1.0])
+    vox = chunk_voxels(g.assign(pts), g, VoxelConfig(grid_size=2, voxel_size=4.0, filter_outliers=False))
+    rows = sorted((r.chunk_id, r.voxel_x, r.voxel_y, r.voxel_z, r.point_count)
+                  for r in vox.where("voxel_y = 0").collect())
+    assert rows == [("0_0", 1, 0, 0, 2), ("1_0", 1, 0, 0, 1), ("1_0", 1, 0, 1, 1)]
+    from voxlake.operators.reads import voxel_stats
+    st = voxel_stats(vox).first()
+    assert st.total_voxels == 5 and st.total_points == 6          # R8: rows, partial voxels included
+
+
+def test_sigma_rule_is_per_chunk_not_global(spark):
+    """Each chunk is cleaned with its own mean/std; a global rule keeps a different set."""
+    from voxlake.operators.chunks import Bounds, Grid
+    from voxlake.plans.build import VoxelConfig, chunk_voxels
+    rng = np.random.RandomState(11)
+    za = list(rng.normal(10.0, 0.5, 200)) + [14.0]             # chunk 0: 14 is > 3 sigma away
+    zb = list(rng.normal(14.0, 3.0, 200))                       # chunk 1: wide, 14 is typical
+    xs = [1.0] * len(za) + [9.0] * len(zb)
+    pts = make_points(spark, xs, [1.0] * len(xs), za + zb)
+    g = Grid(Bounds(0.0, 10.0, 0.0, 10.0), 2)
+    kept = chunk_voxels(g.assign(pts), g, VoxelConfig(grid_size=2, voxel_size=100.0))
+    per_chunk = {r.chunk_id: r.point_count for r in kept.collect()}
+    ea = np.array(za)
+    eb = np.array(zb)
+    exp_a = int((np.abs(ea - ea.mean()) <= 3 * ea.std()).sum())
+    exp_b = int((np.abs(eb - eb.mean()) <= 3 * eb.std()).sum())
+    assert per_chunk == {"0_0": exp_a, "1_0": exp_b}
+    allz = np.array(za + zb)
+    glob = int((np.abs(allz - allz.mean()) <= 3 * allz.std()).sum())
+    assert exp_a == 200 and glob != exp_a + exp_b
