@@ -106,3 +106,22 @@ def test_box_lookup_prunes_chunks_and_matches_unpruned(spark, store_root):
     plan = plan_text(st.box_voxels(min_x=100.0, max_x=600.0))
     part = [line for line in plan.splitlines() if "PartitionFilters: [chunk_id" in line]
     assert part and " IN (" in part[0] and "0_0" not in part[0]      # chunks left of x=100 m pruned
+
+
+def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
+    """A chunk holding most voxel rows is written by several tasks (AQE splits the rebalance
+    partition above the advisory size), not funnelled into one; rows are all kept."""
+    path = str(tmp_path / "vox")
+    hot = spark.range(60000).selectExpr("id AS voxel_x", "id % 97 AS voxel_y", "0L AS voxel_z", "1L AS point_count",
+                                        "1.0D AS mean_z", "0.0D AS std_z", "1.0D AS min_z", "1.0D AS max_z",
+                                        "'0_0' AS chunk_id").repartition(8)
+    rest = _vox(spark, "1_1", 50)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_voxel_layout(hot.unionByName(rest), path, "reset")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(os.path.join(path, "chunk_id=0_0")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert read_voxel_layout(spark, path).where("chunk_id = '0_0'").count() == 60000

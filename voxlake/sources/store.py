@@ -2,9 +2,9 @@
 
 Layout under one root folder (shared storage on a cluster):
 
-- ``voxels/chunk_id=i_j/*.parquet`` -- voxel rows, partitioned by chunk, range-partitioned
-  and sorted by ``(voxel_x, voxel_y, voxel_z)`` inside each chunk, so Parquet row-group
-  min/max statistics act as the coordinate index (S1.11).
+- ``voxels/chunk_id=i_j/*.parquet`` -- voxel rows, partitioned by chunk and sorted by
+  ``(voxel_x, voxel_y, voxel_z)`` inside each file, so Parquet row-group min/max statistics
+  act as the coordinate index (S1.11).
 - ``outcomes/`` -- append-only log of chunk outcomes, one row per chunk and run.
 - ``metadata/`` -- append-only key/value log; the highest version of a key wins (S1.9).
 
@@ -49,17 +49,18 @@ def write_voxel_layout(voxels: DataFrame, path: str, mode: str = "reset",
                        num_partitions: int | None = None) -> None:
     """Write voxel rows partitioned by ``chunk_id``, sorted by index inside each file.
 
-    ``repartitionByRange(chunk_id, voxel_x, voxel_y, voxel_z)`` samples the key
-    distribution, so one huge chunk is split over many writer tasks instead of landing
-    in one (a hash repartition on ``chunk_id`` would put it in a single task).
+    The ``REBALANCE(chunk_id)`` hint lets AQE size the writer tasks at run time: small
+    chunks are coalesced into one task, and a chunk holding a large share of the voxels is
+    split over several tasks instead of landing in one (a plain hash repartition on
+    ``chunk_id`` would put it in a single task). No sampling pass is needed, unlike a range
+    repartition. Each file is sorted by ``(voxel_x, voxel_y, voxel_z)``, so Parquet
+    row-group min/max statistics serve box lookups, and ``maxRecordsPerFile`` bounds files.
     ``mode='reset'`` replaces the table (S1.8); ``mode='chunks'`` replaces only the chunk
-    partitions present in ``voxels`` (S1.4 with dynamic overwrite).
+    partitions present in ``voxels`` (S1.4 with dynamic overwrite, S1.12).
     """
-    keys = ["chunk_id", *INDEX_COLUMNS]
     rows = voxels.select(*VOXEL_COLUMNS, "chunk_id")
-    rows = (rows.repartitionByRange(num_partitions, *keys) if num_partitions
-            else rows.repartitionByRange(*keys))
-    writer = (rows.sortWithinPartitions(*keys).write
+    rows = rows.hint("rebalance", num_partitions, "chunk_id") if num_partitions else rows.hint("rebalance", "chunk_id")
+    writer = (rows.sortWithinPartitions("chunk_id", *INDEX_COLUMNS).write
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
               .partitionBy("chunk_id"))
     if mode == "reset":
