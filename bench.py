@@ -2,7 +2,7 @@
 
 Each query is run once to warm the JVM and caches, then timed ``BENCH_REPS`` times with a
 ``noop`` sink (the whole plan executes, nothing is collected); the median is reported.
-``ingest_full`` and ``resume_failed`` run the stored-table jobs end to end (writes included)
+``ingest_full`` and ``ingest_and_resume`` run the stored-table jobs end to end (writes included)
 into a fresh folder under the checkpoint root.
 """
 
@@ -64,7 +64,7 @@ def timed(fn, reps: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     spark = session(cpus)
     times: dict[str, float] = {}
     for key in HEADLINE:
