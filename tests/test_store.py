@@ -125,3 +125,22 @@ def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
     files = [f for f in os.listdir(os.path.join(path, "chunk_id=0_0")) if f.endswith(".parquet")]
     assert len(files) > 1
     assert read_voxel_layout(spark, path).where("chunk_id = '0_0'").count() == 60000
+
+
+def test_compact_keeps_latest_state(spark, store_root):
+    """S1.9 compaction: metadata values, ledger and visible voxels are unchanged; fewer files."""
+    st = VoxelStore(spark, store_root)
+    st.write_voxels(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)), reset=True)
+    st.write_outcomes(spark.createDataFrame([(0, "0_0", None, 3, 0, 3, 3, "ok"), (0, "0_1", None, 4, 0, 0, 0, "failed")],
+                                            OUTCOME_SCHEMA).drop("run_seq"), 1, reset=True)
+    st.write_outcomes(spark.createDataFrame([(0, "0_1", None, 4, 0, 4, 4, "ok")], OUTCOME_SCHEMA).drop("run_seq"),
+                      2, reset=False)
+    for v in ("a", "b", "c"):
+        st.set_metadata({"k": v, "grid_size": 2})
+    before = (st.get_metadata("k"), sorted(r.chunk_id for r in st.ledger().collect()), st.voxels().count())
+    n_files = len([f for f in os.listdir(st.metadata_path) if f.endswith(".parquet")])
+    st.compact()
+    after = (st.get_metadata("k"), sorted(r.chunk_id for r in st.ledger().collect()), st.voxels().count())
+    assert before == after == ("c", [], 7)
+    assert len([f for f in os.listdir(st.metadata_path) if f.endswith(".parquet")]) < n_files
+    assert st.metadata_log().count() == 2 and st.outcomes().count() == 2

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.functions import all_finite, chunk_id_of, dlit
+from voxlake.functions import all_finite, dlit
 
 
 VALID_SQL = ("coalesce(x > CAST('-Infinity' AS DOUBLE) AND x < CAST('Infinity' AS DOUBLE) AND "

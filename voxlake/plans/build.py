@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from voxlake.operators.chunks import VALID_SQL, Bounds, Grid
 from voxlake.operators.clean import Z_MAX_LIMIT, Z_MIN_LIMIT, chunk_z_stats, elevation_filter, sigma_filter

@@ -203,6 +203,27 @@ class VoxelStore:
                 vox = vox.where(F.col("chunk_id").isin(ids))
         return voxels_in_box(vox, min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size, limit)
 
+    def compact(self) -> None:
+        """Rewrite the metadata and outcome logs to their latest row per key / chunk.
+
+        Both logs are append-only, so many runs leave many small files. Every reader uses
+        only the latest version per key (metadata) or per chunk (ledger, hidden chunks), so
+        keeping those rows changes no result. The compacted rows go to a scratch copy under
+        the checkpoint root first, then replace the log (a path is never read and
+        overwritten by the same job).
+        """
+        from voxlake.session import scratch_path
+        latest_meta = (self.metadata_log().groupBy("key")
+                       .agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version")))
+        latest_out = (self.outcomes().groupBy("chunk_id")
+                      .agg(F.max_by(F.struct(*OUTCOME_SCHEMA.fieldNames()), "run_seq").alias("o"))
+                      .select("o.*"))
+        for df, schema, path in ((latest_meta, METADATA_SCHEMA, self.metadata_path),
+                                 (latest_out, OUTCOME_SCHEMA, self.outcomes_path)):
+            tmp = scratch_path(self.spark, "store-compact")
+            df.select(*schema.fieldNames()).coalesce(1).write.parquet(tmp)
+            self.spark.read.schema(schema).parquet(tmp).coalesce(1).write.mode("overwrite").parquet(path)
+
     def get_metadata(self, key: str, default: str | None = None) -> str | None:
         """Point lookup with default (S1.10); a missing key gives the default, errors propagate."""
         row = self.metadata().where(F.col("key") == key).select("value").first()
