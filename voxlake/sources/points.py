@@ -18,8 +18,19 @@ EVENTS_Y_ORIGIN = "2024-01-01 00:00:00"   # y = hours since this instant
 EMBEDDING_SCALE = 100.0                   # x, y, z = 100 * elements 1, 2, 3
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Declared input columns of each view (types as stored): no schema inference when a query is
+# built, and only these columns can ever be read.
+VIEW_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_extendedprice DOUBLE, l_discount DOUBLE, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def points_from(df: DataFrame, x: Column | str, y: Column | str, z: Column | str,
@@ -45,7 +56,7 @@ def read_points(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 
 def lineitem_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """x = part key, y = days since 1995-01-01 of the ship date, z = price * discount / 50 - 52."""
-    return read_table(spark, sf_dir, "lineitem").selectExpr(
+    return read_table(spark, sf_dir, "lineitem", VIEW_SCHEMAS["lineitem"]).selectExpr(
         *(keep or []),
         "CAST(l_partkey AS DOUBLE) AS x",
         f"CAST(datediff(CAST(l_shipdate AS DATE), DATE'{LINEITEM_Y_ORIGIN}') AS DOUBLE) AS y",
@@ -55,7 +66,7 @@ def lineitem_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = N
 
 def events_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """x = user id, y = hours since 2024-01-01 (time-zone free on TIMESTAMP_NTZ), z = value / 2 - 52."""
-    return read_table(spark, sf_dir, "events").selectExpr(
+    return read_table(spark, sf_dir, "events", VIEW_SCHEMAS["events"]).selectExpr(
         *(keep or []),
         "CAST(user_id AS DOUBLE) AS x",
         f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EVENTS_Y_ORIGIN}', ts) / 3.6e9D AS y",
@@ -66,7 +77,7 @@ def events_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = Non
 def embedding_points(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """100 x the first three embedding elements (values straddle zero: negative floors)."""
     s = f"{EMBEDDING_SCALE!r}D"
-    return read_table(spark, sf_dir, "embeddings").selectExpr(
+    return read_table(spark, sf_dir, "embeddings", VIEW_SCHEMAS["embeddings"]).selectExpr(
         *(keep or []),
         f"{s} * CAST(embedding[0] AS DOUBLE) AS x",
         f"{s} * CAST(embedding[1] AS DOUBLE) AS y",
