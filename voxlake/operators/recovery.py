@@ -13,14 +13,18 @@ from voxlake.operators.clean import maybe_broadcast
 
 
 def select_chunks(chunks: DataFrame, failed: DataFrame | None = None,
-                  max_chunks: int | None = None) -> DataFrame:
+                  max_chunks: int | None = None, n_chunks_bound: int | None = None) -> DataFrame:
     """Chunks to attempt: the resume filter first (S3.1), then the first N in grid order (S2.11).
 
     ``chunks`` has ``chunk`` (ordinal, i.e. grid order) and ``chunk_id``; ``failed`` has ``chunk_id``.
+    The distinct failed ids are broadcast when ``n_chunks_bound`` (G^2) proves them small;
+    without a bound the join strategy is left to AQE's runtime statistics.
     """
     sel = chunks
     if failed is not None:
-        sel = sel.join(F.broadcast(failed.select("chunk_id").distinct()), "chunk_id", "left_semi")
+        ids = failed.select("chunk_id").distinct()
+        ids = maybe_broadcast(ids, n_chunks_bound) if n_chunks_bound is not None else ids
+        sel = sel.join(ids, "chunk_id", "left_semi")
     if max_chunks is not None:
         if int(max_chunks) < 0:
             raise ValueError("max_chunks must be >= 0")

@@ -70,7 +70,7 @@ def voxelize_points(points: DataFrame, cfg: VoxelConfig, bounds: Bounds | None =
     grid = Grid(bounds, cfg.grid_size)
     assigned = grid.assign(spread(points))
     if cfg.max_chunks is not None:
-        chosen = select_chunks(grid.chunks(points.sparkSession), None, cfg.max_chunks)
+        chosen = select_chunks(grid.chunks(points.sparkSession), None, cfg.max_chunks, grid.n_chunks)
         assigned = points_of_chunks(assigned, chosen, grid.n_chunks)
     return chunk_voxels(assigned, grid, cfg)
 

@@ -77,7 +77,7 @@ LOSSES_LEDGER = ({"0_1": 7, "1_3": 5, "3_0": 3}, {"1_3": 5})
 
 def q_voxels(vox: DataFrame) -> DataFrame:
     """Voxel rows for comparison: mean/std quantized, other columns exact."""
-    cols = [c for c in (["chunk_id"] if "chunk_id" in vox.columns else [])] + VOXEL_COLUMNS
+    cols = (["chunk_id"] if "chunk_id" in vox.columns else []) + VOXEL_COLUMNS
     return vox.select(*[quantize(c).alias(c) if c in ("mean_z", "std_z") else c for c in cols])
 
 
@@ -255,14 +255,14 @@ def voxels_between_q(spark, d):
 def resume_points_q(spark, d):
     grid, full, chunks, out, _ = _events_run(spark, d, LOSS_OUTCOMES)
     ledger = out.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    chosen = select_chunks(chunks, ledger)
+    chosen = select_chunks(chunks, ledger, n_chunks_bound=grid.n_chunks)
     return q_voxels(chunk_voxels(points_of_chunks(full, chosen, grid.n_chunks), grid, EVENTS.config()))
 
 
 def resume_append_q(spark, d):
     grid, full, chunks, out, first = _events_run(spark, d, LOSS_OUTCOMES)
     ledger = out.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    chosen = select_chunks(chunks, ledger)
+    chosen = select_chunks(chunks, ledger, n_chunks_bound=grid.n_chunks)
     recovered = chunk_voxels(points_of_chunks(full, chosen, grid.n_chunks), grid, EVENTS.config())
     return q_voxels(first.unionByName(recovered))
 
@@ -271,7 +271,7 @@ def ledger_after_resume_q(spark, d):
     first_losses, again_losses = LOSSES_LEDGER
     grid, full, chunks, out_a, _ = _events_run(spark, d, first_losses)
     previous = out_a.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    attempted = select_chunks(chunks, previous, EVENTS.resume_max_chunks)
+    attempted = select_chunks(chunks, previous, EVENTS.resume_max_chunks, grid.n_chunks)
     out_b, _ = run_chunks(full, grid, EVENTS.config(), attempted, again_losses)
     failed_now = out_b.where(F.col("status") == STATUS_FAILED).select("chunk_id")
     return ledger_update(previous, attempted, failed_now)
