@@ -189,3 +189,12 @@ def test_shuffle_partitions_do_not_change_rows(spark, store_root):
     for r1, r2 in zip(one, many):
         assert r1[:4] == r2[:4] and r1[-1] == r2[-1]
         assert all(abs(u - v) <= 1e-9 * max(1.0, abs(u)) for u, v in zip(r1[4:8], r2[4:8]))
+
+
+def test_zero_chunk_run_is_skipped_and_leaves_store(spark, store_root):
+    """S11.4: a run that attempts no chunk (limit 0) is skipped and does not reset the table."""
+    ingest(spark, _points(spark), store_root, CFG, bounds=HEADER)
+    n = VoxelStore(spark, store_root).voxels().count()
+    res = ingest(spark, _points(spark), store_root, CFG.with_(max_chunks=0), bounds=HEADER)
+    assert res.status == "skipped" and res.attempted == 0
+    assert VoxelStore(spark, store_root).voxels().count() == n > 0

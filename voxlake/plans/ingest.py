@@ -142,6 +142,8 @@ def ingest(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig,
     store = VoxelStore(spark, root)
     grid = Grid(bounds or Bounds.of(points), cfg.grid_size)
     ordinals = None if cfg.max_chunks is None else list(range(min(int(cfg.max_chunks), grid.n_chunks)))
+    if ordinals == []:
+        return RunResult("skipped")                       # nothing attempted: tables untouched (S11.4)
     return _run(spark, points, store, cfg, grid, ordinals, manifest, reset=True, source=source,
                 previous_ledger=[], run_seq=1)
 
