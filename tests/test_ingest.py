@@ -198,3 +198,13 @@ def test_zero_chunk_run_is_skipped_and_leaves_store(spark, store_root):
     res = ingest(spark, _points(spark), store_root, CFG.with_(max_chunks=0), bounds=HEADER)
     assert res.status == "skipped" and res.attempted == 0
     assert VoxelStore(spark, store_root).voxels().count() == n > 0
+
+
+def test_empty_source_gives_empty_table(spark, store_root):
+    """S11.2 design: no points at all -> every chunk 'empty', an empty voxel table, no error."""
+    empty = spark.createDataFrame([], "pid long, x double, y double, z double")
+    res = ingest(spark, empty, store_root, CFG)
+    assert res.status == "success" and res.failed == [] and res.stats["total_voxels"] == 0
+    st = VoxelStore(spark, store_root)
+    assert {r.status for r in st.outcomes().collect()} == {"empty"}
+    assert st.voxels().count() == 0 and st.voxels().columns[-1] == "chunk_id"

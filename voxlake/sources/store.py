@@ -117,7 +117,8 @@ class VoxelStore:
         hidden = (self.outcomes().groupBy("chunk_id")
                   .agg(F.max_by("status", "run_seq").alias("status"))
                   .where(F.col("status") != STATUS_OK).select("chunk_id"))
-        return self.raw_voxels().join(maybe_broadcast(hidden, bound), "chunk_id", "left_anti")
+        return (self.raw_voxels().join(maybe_broadcast(hidden, bound), "chunk_id", "left_anti")
+                .select(*STORED_VOXEL_SCHEMA.fieldNames()))
 
     def append_voxels(self, voxels: DataFrame, chunk_id: str = "loaded") -> None:
         """S1.6: bulk append of voxel rows (``chunk_id`` column, or the given id); empty -> no-op."""
