@@ -67,3 +67,19 @@ def test_hot_chunk_is_reduced_map_side(spark):
     assert "Keys [4]: [chunk" in plan                      # grouped by (chunk, voxel_x, voxel_y, voxel_z)
     assert "partial_count(z" in plan and "hashpartitioning(chunk" in plan
     assert vox.agg(F.sum("point_count")).first()[0] == 3100
+
+
+def test_resume_read_pushes_chunk_boxes(spark, tmp_path):
+    """Resume reads only the failed chunks: their boxes reach the Parquet scan as x/y ranges."""
+    from voxlake.plans.ingest import _box_filter
+    path = str(tmp_path / "pts")
+    lineitem_points(spark, SF_MID).write.parquet(path)
+    pts = spark.read.parquet(path)
+    g = Grid(Bounds.of(pts), 8)
+    q = g.assign(pts.where(_box_filter(g, [g.ordinal("0_1"), g.ordinal("3_5")])))
+    plan = plan_text(q)
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
+    assert "Or(" in pushed and "GreaterThanOrEqual(x," in pushed and "LessThanOrEqual(y," in pushed
+    x0, x1, y0, y1 = g.box(g.ordinal("0_1"))
+    inside = pts.where(f"x BETWEEN {x0!r}D AND {x1!r}D AND y BETWEEN {y0!r}D AND {y1!r}D").count()
+    assert q.where("chunk = 1").count() <= inside
