@@ -43,8 +43,8 @@ def test_missing_store_raises(spark, tmp_path):
         read_voxel_layout(spark, str(tmp_path / "nope"))
 
 
-def _vox(spark, chunk, n, base=0):
-    rows = [(base + k, k, 0, 1, 1.0, 0.0, 1.0, 1.0, chunk) for k in range(n)]
+def _vox(spark, chunk, n, base=0, run_seq=None):
+    rows = [(base + k, k, 0, 1, 1.0, 0.0, 1.0, 1.0, run_seq, chunk) for k in range(n)]
     return spark.createDataFrame(rows, STORED_VOXEL_SCHEMA)
 
 
@@ -76,9 +76,9 @@ def test_dynamic_overwrite_is_idempotent(spark, tmp_path):
 
 
 def test_stale_partition_hidden(spark, store_root):
-    """A chunk whose latest outcome is not ok (re-run into nothing) does not show old rows."""
+    """A chunk shows only rows of its latest ok run; older rows left in its folder are hidden."""
     st = VoxelStore(spark, store_root)
-    st.write_voxels(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)), reset=True)
+    st.write_voxels(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)).drop("run_seq"), reset=True, run_seq=1)
     ok = spark.createDataFrame([(0, "0_0", None, 3, 0, 3, 3, "ok"), (0, "0_1", None, 4, 0, 4, 4, "ok")], OUTCOME_SCHEMA)
     st.write_outcomes(ok.drop("run_seq"), 1, reset=True)
     assert st.voxels().count() == 7
@@ -86,6 +86,14 @@ def test_stale_partition_hidden(spark, store_root):
     st.write_outcomes(empty.drop("run_seq"), 2, reset=False)
     assert st.raw_voxels().count() == 7                # the stale folder is still there ...
     assert st.voxels().count() == 3                    # ... but readers do not see it
+    # re-run 3 keeps points but yields no voxels (or died after writing): status ok, nothing new written
+    rerun = spark.createDataFrame([(0, "0_1", None, 5, 0, 0, 0, "ok")], OUTCOME_SCHEMA)
+    st.write_outcomes(rerun.drop("run_seq"), 3, reset=False)
+    assert st.voxels().count() == 3                    # run-1 rows of 0_1 are not its latest run's rows
+    st.write_voxels(_vox(spark, "0_1", 2).drop("run_seq"), reset=False, run_seq=4)
+    st.write_outcomes(spark.createDataFrame([(0, "0_1", None, 2, 0, 2, 2, "ok")], OUTCOME_SCHEMA).drop("run_seq"),
+                      4, reset=False)
+    assert st.voxels().count() == 5 and st.raw_voxels().count() == 5
 
 
 def test_box_lookup_prunes_chunks_and_matches_unpruned(spark, store_root):
@@ -115,7 +123,7 @@ def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
     hot = spark.range(60000).selectExpr("id AS voxel_x", "id % 97 AS voxel_y", "0L AS voxel_z", "1L AS point_count",
                                         "1.0D AS mean_z", "0.0D AS std_z", "1.0D AS min_z", "1.0D AS max_z",
                                         "'0_0' AS chunk_id").repartition(8)
-    rest = _vox(spark, "1_1", 50)
+    rest = _vox(spark, "1_1", 50).drop("run_seq")
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
@@ -130,7 +138,7 @@ def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
 def test_compact_keeps_latest_state(spark, store_root):
     """S1.9 compaction: metadata values, ledger and visible voxels are unchanged; fewer files."""
     st = VoxelStore(spark, store_root)
-    st.write_voxels(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)), reset=True)
+    st.write_voxels(_vox(spark, "0_0", 3, run_seq=1).unionByName(_vox(spark, "0_1", 4, run_seq=2)), reset=True)
     st.write_outcomes(spark.createDataFrame([(0, "0_0", None, 3, 0, 3, 3, "ok"), (0, "0_1", None, 4, 0, 0, 0, "failed")],
                                             OUTCOME_SCHEMA).drop("run_seq"), 1, reset=True)
     st.write_outcomes(spark.createDataFrame([(0, "0_1", None, 4, 0, 4, 4, "ok")], OUTCOME_SCHEMA).drop("run_seq"),

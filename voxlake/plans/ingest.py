@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from voxlake.operators.chunks import Bounds, Grid
 from voxlake.operators.clean import maybe_broadcast
 from voxlake.operators.outcomes import chunk_outcomes, chunk_profile, failed_chunks, voxel_counts
-from voxlake.operators.reads import run_summary, voxel_stats
 from voxlake.functions import dlit
+from voxlake.operators.reads import run_summary, voxel_stats
 from voxlake.operators.recovery import points_of_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
 from voxlake.schemas import STATUS_FAILED
@@ -108,10 +108,11 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
     # Job: clean + voxelize the loadable chunks and write their partitions.
     vox = chunk_voxels(assigned if not bad_ids else points_of_chunks(assigned, loadable, n), grid, cfg,
                        stats=profile)
-    store.write_voxels(vox, reset=reset)
+    store.write_voxels(vox, reset=reset, run_seq=run_seq)
 
-    # Job: outcomes, with voxel counts read back from the partitions written by this run.
-    written = store.raw_voxels().join(maybe_broadcast(loadable.select("chunk_id"), n), "chunk_id", "left_semi")
+    # Job: outcomes, with voxel counts read back from the rows written by this run.
+    written = (store.raw_voxels().where(f"run_seq = {int(run_seq)}")
+               .join(maybe_broadcast(loadable.select("chunk_id"), n), "chunk_id", "left_semi"))
     store.write_outcomes(chunk_outcomes(selected, profile, voxel_counts(written), man), run_seq, reset=reset)
 
     # Ledger (S7.2 / S7.3): (previous - attempted) U failed now; on a full run, failed now.

@@ -28,8 +28,10 @@ VOXEL_SCHEMA = T.StructType([
     T.StructField("max_z", T.DoubleType()),
 ])
 
-# Stored voxel rows carry the chunk they were aggregated in (physical partition column).
-STORED_VOXEL_SCHEMA = T.StructType(VOXEL_SCHEMA.fields + [T.StructField("chunk_id", T.StringType())])
+# Stored voxel rows carry the run that wrote them (NULL for rows appended outside a run) and
+# the chunk they were aggregated in (physical partition column).
+STORED_VOXEL_SCHEMA = T.StructType(VOXEL_SCHEMA.fields + [T.StructField("run_seq", T.LongType()),
+                                                          T.StructField("chunk_id", T.StringType())])
 
 CHUNK_SCHEMA = T.StructType([
     T.StructField("chunk_id", T.StringType()),

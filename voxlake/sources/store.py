@@ -58,7 +58,7 @@ def write_voxel_layout(voxels: DataFrame, path: str, mode: str = "reset",
     ``mode='reset'`` replaces the table (S1.8); ``mode='chunks'`` replaces only the chunk
     partitions present in ``voxels`` (S1.4 with dynamic overwrite, S1.12).
     """
-    rows = voxels.select(*VOXEL_COLUMNS, "chunk_id")
+    rows = voxels.select(*VOXEL_COLUMNS, *(["run_seq"] if "run_seq" in voxels.columns else []), "chunk_id")
     rows = rows.hint("rebalance", num_partitions, "chunk_id") if num_partitions else rows.hint("rebalance", "chunk_id")
     writer = (rows.sortWithinPartitions("chunk_id", *INDEX_COLUMNS).write
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -98,26 +98,31 @@ class VoxelStore:
             raise FileNotFoundError(f"no voxel store at {self.root}; run an ingest first")
 
     # -- voxels ------------------------------------------------------------------------------
-    def write_voxels(self, voxels: DataFrame, reset: bool) -> None:
-        write_voxel_layout(voxels, self.voxels_path, "reset" if reset else "chunks")
+    def write_voxels(self, voxels: DataFrame, reset: bool, run_seq: int | None = None) -> None:
+        """Write the voxel rows of one run, tagged with its ``run_seq``."""
+        rows = voxels if run_seq is None else voxels.withColumn("run_seq", F.lit(int(run_seq)).cast("long"))
+        write_voxel_layout(rows, self.voxels_path, "reset" if reset else "chunks")
 
     def raw_voxels(self) -> DataFrame:
         """Every stored partition, stale ones included."""
         return read_voxel_layout(self.spark, self.voxels_path)
 
     def voxels(self, max_chunks_bound: int | None = None) -> DataFrame:
-        """Visible voxel rows: every partition except chunks whose latest outcome is not ``ok``.
-
-        That hides a stale partition of a chunk that was re-run into no voxels or failed (B6)
-        while rows bulk-appended without an ingest stay visible. The hidden list is at most
-        G^2 ids and is broadcast into a left-anti join on the partition column.
+        """Visible voxel rows.
+
+        A chunk managed by runs shows only the rows written by its latest outcome, and only
+        if that outcome is ``ok``. A partition left over from an older run -- a chunk re-run
+        into no voxels, or a run that wrote voxels but died before recording its outcome --
+        is therefore never shown (B6). Rows appended outside any run (no outcome for their
+        chunk) stay visible. The latest-outcome table is at most G^2 rows and is broadcast
+        into a left join on the partition column.
         """
         self.require()
         bound = max_chunks_bound or self._chunk_bound()
-        hidden = (self.outcomes().groupBy("chunk_id")
-                  .agg(F.max_by("status", "run_seq").alias("status"))
-                  .where(F.col("status") != STATUS_OK).select("chunk_id"))
-        return (self.raw_voxels().join(maybe_broadcast(hidden, bound), "chunk_id", "left_anti")
+        latest = (self.outcomes().groupBy("chunk_id")
+                  .agg(F.max_by("status", "run_seq").alias("latest_status"), F.max("run_seq").alias("latest_seq")))
+        return (self.raw_voxels().join(maybe_broadcast(latest, bound), "chunk_id", "left")
+                .where(f"latest_status IS NULL OR (latest_status = '{STATUS_OK}' AND run_seq = latest_seq)")
                 .select(*STORED_VOXEL_SCHEMA.fieldNames()))
 
     def append_voxels(self, voxels: DataFrame, chunk_id: str = "loaded") -> None:
@@ -125,7 +130,7 @@ class VoxelStore:
         if voxels.isEmpty():
             return
         rows = voxels if "chunk_id" in voxels.columns else voxels.withColumn("chunk_id", F.lit(chunk_id))
-        (rows.select(*VOXEL_COLUMNS, "chunk_id").write.mode("append")
+        (rows.select(*VOXEL_COLUMNS, F.lit(None).cast("long").alias("run_seq"), "chunk_id").write.mode("append")
          .partitionBy("chunk_id").parquet(self.voxels_path))
 
     def reset(self) -> None:
