@@ -93,3 +93,11 @@ def test_read_points_any_format_same_voxels(spark, tmp_path):
         assert pts.columns == ["x", "y", "z"]
         results.append(sorted(tuple(r) for r in voxelize_points(pts, cfg).collect()))
     assert results[0] == results[1] == results[2] and len(results[0]) > 0
+
+
+def test_grid_size_bounds():
+    import pytest
+    for bad in (0, 46341):
+        with pytest.raises(ValueError):
+            Grid(Bounds(0.0, 1.0, 0.0, 1.0), bad)
+    assert Grid(Bounds(0.0, 1.0, 0.0, 1.0), 46340).n_chunks == 46340 ** 2

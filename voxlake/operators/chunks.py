@@ -56,6 +56,10 @@ class Bounds:
                     min_z=self.min_z, max_z=self.max_z, point_count=self.point_count)
 
 
+# The chunk ordinal i * G + j is an INT, so G^2 must stay below 2^31.
+MAX_GRID = 46340
+
+
 @dataclass(frozen=True)
 class Grid:
     """G x G split of the XY extent; chunk ``i_j`` has ``i`` along x (outer) and ``j`` along y."""
@@ -64,8 +68,8 @@ class Grid:
     size: int
 
     def __post_init__(self):
-        if int(self.size) < 1:
-            raise ValueError(f"grid size must be >= 1, got {self.size}")
+        if not 1 <= int(self.size) <= MAX_GRID:
+            raise ValueError(f"grid size must be in 1..{MAX_GRID} (int chunk ordinal), got {self.size}")
 
     @property
     def x_step(self) -> float:
