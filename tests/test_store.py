@@ -152,3 +152,15 @@ def test_compact_keeps_latest_state(spark, store_root):
     assert before == after == ("c", [], 7)
     assert len([f for f in os.listdir(st.metadata_path) if f.endswith(".parquet")]) < n_files
     assert st.metadata_log().count() == 2 and st.outcomes().count() == 2
+
+
+def test_create_if_absent(spark, store_root):
+    """S1.7: creating an absent store gives empty tables with their schemas; creating again keeps data."""
+    st = VoxelStore(spark, store_root)
+    assert not st.exists()
+    st.create()
+    assert st.exists() and st.voxels().count() == 0 and st.metadata().count() == 0
+    assert st.voxels().columns == STORED_VOXEL_SCHEMA.fieldNames()
+    st.append_voxels(spark.createDataFrame([(1, 2, 3, 4, 1.0, 0.0, 1.0, 1.0)], VOXEL_SCHEMA))
+    st.create()
+    assert st.voxels().count() == 1

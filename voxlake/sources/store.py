@@ -133,6 +133,16 @@ class VoxelStore:
         (rows.select(*VOXEL_COLUMNS, F.lit(None).cast("long").alias("run_seq"), "chunk_id").write.mode("append")
          .partitionBy("chunk_id").parquet(self.voxels_path))
 
+    def create(self) -> "VoxelStore":
+        """S1.7: create the empty tables if absent (existing tables are left as they are)."""
+        if not self.exists():
+            write_voxel_layout(self.spark.createDataFrame([], STORED_VOXEL_SCHEMA), self.voxels_path, "reset")
+        if _read(self.spark, OUTCOME_SCHEMA, self.outcomes_path) is None:
+            self.spark.createDataFrame([], OUTCOME_SCHEMA).write.parquet(self.outcomes_path)
+        if _read(self.spark, METADATA_SCHEMA, self.metadata_path) is None:
+            self.spark.createDataFrame([], METADATA_SCHEMA).write.parquet(self.metadata_path)
+        return self
+
     def reset(self) -> None:
         """S1.8: empty the voxel table and its outcome log; metadata is kept."""
         empty = self.spark.createDataFrame([], STORED_VOXEL_SCHEMA)
