@@ -208,3 +208,16 @@ def test_empty_source_gives_empty_table(spark, store_root):
     st = VoxelStore(spark, store_root)
     assert {r.status for r in st.outcomes().collect()} == {"empty"}
     assert st.voxels().count() == 0 and st.voxels().columns[-1] == "chunk_id"
+
+
+def test_store_endpoints(spark, store_root):
+    """The reference's stats / densest / box / verify calls map to store methods."""
+    ingest(spark, _points(spark, per_chunk=30), store_root, CFG, source="src", bounds=HEADER)
+    st = VoxelStore(spark, store_root)
+    s = st.summary().first()
+    assert s.total_points == 120 and s.grid_size == 2 and s.source == "src" and s.failed_chunk_count == 0
+    top = st.densest(3).collect()
+    assert len(top) == 3 and top[0].point_count >= top[-1].point_count
+    box = st.box_voxels(min_x=188000.0, max_x=188099.0).collect()
+    assert box and all(r.voxel_x <= 94049 for r in box)
+    assert "Total Points Represented:    120" in st.report()

@@ -240,6 +240,22 @@ class VoxelStore:
             df.select(*schema.fieldNames()).coalesce(1).write.parquet(tmp)
             self.spark.read.schema(schema).parquet(tmp).coalesce(1).write.mode("overwrite").parquet(path)
 
+    # -- the reference's read endpoints and verification, over the stored table -------------
+    def summary(self) -> DataFrame:
+        """Table stats plus the typed run configuration (S4.11)."""
+        from voxlake.operators.reads import run_summary
+        return run_summary(self.voxels(), self.metadata())
+
+    def densest(self, limit: int = 10) -> DataFrame:
+        """Top-N voxel rows by point count (S6.1)."""
+        from voxlake.operators.reads import densest_voxels
+        return densest_voxels(self.voxels(), limit)
+
+    def report(self) -> str:
+        """The four verification queries, formatted (S1.14)."""
+        from voxlake.plans.report import format_report
+        return format_report(self.voxels())
+
     def get_metadata(self, key: str, default: str | None = None) -> str | None:
         """Point lookup with default (S1.10); a missing key gives the default, errors propagate."""
         row = self.metadata().where(F.col("key") == key).select("value").first()
