@@ -5,6 +5,10 @@ expressions), ``operators`` (DataFrame -> DataFrame steps), ``plans`` (composed
 voxel build, ingest / resume against a store, the registered query catalog).
 """
 
-from voxlake.plans.build import VoxelConfig, chunk_voxels, voxelize_points
+from voxlake.plans.build import VoxelConfig, chunk_voxels, profile_voxels, voxelize_points
+from voxlake.plans.ingest import RunResult, ingest, resume, summary
+from voxlake.sources.points import read_points
+from voxlake.sources.store import VoxelStore
 
-__all__ = ["VoxelConfig", "chunk_voxels", "voxelize_points"]
+__all__ = ["VoxelConfig", "chunk_voxels", "profile_voxels", "voxelize_points", "RunResult", "ingest", "resume",
+           "summary", "read_points", "VoxelStore"]
