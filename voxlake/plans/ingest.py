@@ -111,7 +111,8 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
     store.write_voxels(vox, reset=reset, run_seq=run_seq)
 
     # Job: outcomes, with voxel counts read back from the rows written by this run.
-    written = (store.raw_voxels().where(f"run_seq = {int(run_seq)}")
+    raw = store.raw_voxels()                     # listed once, reused for the final stats
+    written = (raw.where(f"run_seq = {int(run_seq)}")
                .join(maybe_broadcast(loadable.select("chunk_id"), n), "chunk_id", "left_semi"))
     store.write_outcomes(chunk_outcomes(selected, profile, voxel_counts(written), man), run_seq, reset=reset)
 
@@ -128,7 +129,7 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
         "failed_chunks": json.dumps(ledger),
         "points_unplaced": 0 if unplaced is None else int(unplaced["points_read"]),
     })
-    stats = voxel_stats(store.voxels(n)).first().asDict()
+    stats = voxel_stats(store.voxels(n, raw=raw)).first().asDict()
     return RunResult("success", run_seq, len(attempted), ledger, stats)
 
 

@@ -107,7 +107,7 @@ class VoxelStore:
         """Every stored partition, stale ones included."""
         return read_voxel_layout(self.spark, self.voxels_path)
 
-    def voxels(self, max_chunks_bound: int | None = None) -> DataFrame:
+    def voxels(self, max_chunks_bound: int | None = None, raw: DataFrame | None = None) -> DataFrame:
         """Visible voxel rows.
 
         A chunk managed by runs shows only the rows written by its latest outcome, and only
@@ -115,13 +115,17 @@ class VoxelStore:
         into no voxels, or a run that wrote voxels but died before recording its outcome --
         is therefore never shown (B6). Rows appended outside any run (no outcome for their
         chunk) stay visible. The latest-outcome table is at most G^2 rows and is broadcast
-        into a left join on the partition column.
+        into a left join on the partition column. ``raw`` reuses an already listed read of
+        the table (listing a table with many chunk folders is itself a Spark job).
         """
-        self.require()
+        if raw is None:
+            raw = _read(self.spark, STORED_VOXEL_SCHEMA, self.voxels_path)
+            if raw is None:
+                raise FileNotFoundError(f"no voxel store at {self.root}; run an ingest first")
         bound = max_chunks_bound or self._chunk_bound()
         latest = (self.outcomes().groupBy("chunk_id")
                   .agg(F.max_by("status", "run_seq").alias("latest_status"), F.max("run_seq").alias("latest_seq")))
-        return (self.raw_voxels().join(maybe_broadcast(latest, bound), "chunk_id", "left")
+        return (raw.join(maybe_broadcast(latest, bound), "chunk_id", "left")
                 .where(f"latest_status IS NULL OR (latest_status = '{STATUS_OK}' AND run_seq = latest_seq)")
                 .select(*STORED_VOXEL_SCHEMA.fieldNames()))
 
