@@ -10,8 +10,9 @@ Layout under one root folder (shared storage on a cluster):
 
 A full run overwrites ``voxels`` and ``outcomes``; a resume overwrites only the partitions
 of the chunks it attempted (dynamic partition overwrite), so a retried write never
-duplicates rows (S1.12, B3). Readers see only chunks whose latest outcome is ``ok``,
-which hides a stale partition left by a chunk that was re-run into no voxels (B6).
+duplicates rows (S1.12, B3). Voxel rows carry the ``run_seq`` that wrote them, and readers
+show a run-managed chunk only through the rows of its latest ``ok`` run, so no stale
+partition is ever visible (B6).
 """
 
 from __future__ import annotations
