@@ -164,3 +164,13 @@ def test_create_if_absent(spark, store_root):
     st.append_voxels(spark.createDataFrame([(1, 2, 3, 4, 1.0, 0.0, 1.0, 1.0)], VOXEL_SCHEMA))
     st.create()
     assert st.voxels().count() == 1
+
+
+def test_metadata_values_round_trip_exactly(spark, store_root):
+    """Metadata is written through SQL literals: awkward strings must come back unchanged."""
+    st = VoxelStore(spark, store_root)
+    vals = {"json": '["0_1", "1_3"]', "quote": "it's", "backslash": "a\\b\\'c", "newline": "x\ny",
+            "unicode": "höhe ≥ 3σ", "empty": "", "float": 0.1, "int": 123456789012, "bool": False}
+    st.set_metadata(vals)
+    got = {r.key: r.value for r in st.metadata().collect()}
+    assert got == {k: ("False" if v is False else str(v)) for k, v in vals.items()}

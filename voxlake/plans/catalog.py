@@ -28,6 +28,7 @@ from voxlake.schemas import STATUS_FAILED, VOXEL_COLUMNS
 from voxlake.session import scratch_path
 from voxlake.sources import points as P
 from voxlake.sources.store import read_voxel_layout, write_voxel_layout
+from voxlake.sources.values import values_frame
 
 
 @dataclass(frozen=True)
@@ -279,7 +280,7 @@ def ledger_after_resume_q(spark, d):
 
 def run_summary_q(spark, d):
     pts = LINEITEM.points(spark, d)
-    log = spark.createDataFrame(list(LINEITEM.metadata), "key string, value string, version long")
+    log = values_frame(spark, ["key", "value", "version"], ["string", "string", "bigint"], list(LINEITEM.metadata))
     counted = pts.agg(F.lit("point_count").alias("key"), F.count(F.lit(1)).cast("string").alias("value"),
                       F.lit(1).cast("long").alias("version"))
     latest = log.unionByName(counted).groupBy("key").agg(F.max_by("value", "version").alias("value"))

@@ -30,10 +30,13 @@ from voxlake.schemas import STATUS_FAILED
 from voxlake.session import scratch_path
 from voxlake.sources.points import spread
 from voxlake.sources.store import VoxelStore
+from voxlake.sources.values import values_frame
 
 # At most this many chunk boxes are added as literal x/y predicates on a resume read, so that
 # Parquet row groups outside the failed chunks are skipped; more boxes -> semi-join only.
 MAX_PUSHED_BOXES = 64
+# Chunk-id lists up to this length are built as one SQL literal table (no Python worker).
+MAX_LITERAL_IDS = 10_000
 
 
 @dataclass
@@ -67,7 +70,10 @@ def _chunk_list(spark: SparkSession, grid: Grid, ordinals: list[int] | None) ->
     chunks = grid.chunks(spark)
     if ordinals is None:
         return chunks
-    ids = spark.createDataFrame([(int(o),) for o in ordinals], "chunk int")
+    if len(ordinals) <= MAX_LITERAL_IDS:
+        ids = values_frame(spark, ["chunk"], ["int"], [(int(o),) for o in ordinals])
+    else:
+        ids = spark.createDataFrame([(int(o),) for o in ordinals], "chunk int")
     return chunks.join(maybe_broadcast(ids, grid.n_chunks), "chunk", "left_semi")
 
 
@@ -82,7 +88,15 @@ def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelCo
     attempted_ids = [f"{o // grid.size}_{o % grid.size}" for o in attempted]
 
     src = points.where(_box_filter(grid, attempted)) if pushed else points
-    assigned = grid.assign(spread(src))
+    spread_src = spread(src)
+    if spread_src is not src:
+        # Small input (fewer scan tasks than the session runs): write the rebalanced points once
+        # under the checkpoint root, so both jobs below read them in parallel instead of each
+        # repeating the single-task scan. Large inputs never take this branch.
+        staged = scratch_path(spark, "small-input")
+        spread_src.write.parquet(staged)
+        spread_src = spark.read.parquet(staged)
+    assigned = grid.assign(spread_src)
     if ordinals is not None:
         assigned = points_of_chunks(assigned, selected, n)
 

@@ -27,6 +27,7 @@ from pyspark.errors import AnalysisException
 
 from voxlake.operators.clean import maybe_broadcast
 from voxlake.operators.recovery import ledger_from_outcomes
+from voxlake.sources.values import empty_frame, values_frame
 from voxlake.schemas import (INDEX_COLUMNS, METADATA_SCHEMA, OUTCOME_SCHEMA, STATUS_OK,
                              STORED_VOXEL_SCHEMA, VOXEL_COLUMNS)
 
@@ -141,18 +142,18 @@ class VoxelStore:
     def create(self) -> "VoxelStore":
         """S1.7: create the empty tables if absent (existing tables are left as they are)."""
         if not self.exists():
-            write_voxel_layout(self.spark.createDataFrame([], STORED_VOXEL_SCHEMA), self.voxels_path, "reset")
+            write_voxel_layout(empty_frame(self.spark, STORED_VOXEL_SCHEMA), self.voxels_path, "reset")
         if _read(self.spark, OUTCOME_SCHEMA, self.outcomes_path) is None:
-            self.spark.createDataFrame([], OUTCOME_SCHEMA).write.parquet(self.outcomes_path)
+            empty_frame(self.spark, OUTCOME_SCHEMA).write.parquet(self.outcomes_path)
         if _read(self.spark, METADATA_SCHEMA, self.metadata_path) is None:
-            self.spark.createDataFrame([], METADATA_SCHEMA).write.parquet(self.metadata_path)
+            empty_frame(self.spark, METADATA_SCHEMA).write.parquet(self.metadata_path)
         return self
 
     def reset(self) -> None:
         """S1.8: empty the voxel table and its outcome log; metadata is kept."""
-        empty = self.spark.createDataFrame([], STORED_VOXEL_SCHEMA)
+        empty = empty_frame(self.spark, STORED_VOXEL_SCHEMA)
         write_voxel_layout(empty, self.voxels_path, "reset")
-        self.spark.createDataFrame([], OUTCOME_SCHEMA).write.mode("overwrite").parquet(self.outcomes_path)
+        empty_frame(self.spark, OUTCOME_SCHEMA).write.mode("overwrite").parquet(self.outcomes_path)
 
     def _chunk_bound(self) -> int:
         g = self.get_metadata("grid_size", None)
@@ -161,7 +162,7 @@ class VoxelStore:
     # -- outcomes and ledger -----------------------------------------------------------------
     def outcomes(self) -> DataFrame:
         df = _read(self.spark, OUTCOME_SCHEMA, self.outcomes_path)
-        return self.spark.createDataFrame([], OUTCOME_SCHEMA) if df is None else df
+        return empty_frame(self.spark, OUTCOME_SCHEMA) if df is None else df
 
     def next_run_seq(self) -> int:
         row = self.outcomes().agg(F.max("run_seq").alias("m")).first()
@@ -179,7 +180,7 @@ class VoxelStore:
     # -- metadata ----------------------------------------------------------------------------
     def metadata_log(self) -> DataFrame:
         df = _read(self.spark, METADATA_SCHEMA, self.metadata_path)
-        return self.spark.createDataFrame([], METADATA_SCHEMA) if df is None else df
+        return empty_frame(self.spark, METADATA_SCHEMA) if df is None else df
 
     def metadata(self) -> DataFrame:
         """Latest value per key (INSERT OR REPLACE semantics over an append-only log)."""
@@ -189,8 +190,8 @@ class VoxelStore:
         """Append one version of each key; values are stored as text like ``str(v)`` (S8.7)."""
         version = time.time_ns()
         rows = [(str(k), _as_text(v), version) for k, v in values.items()]
-        self.spark.createDataFrame(rows, METADATA_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.metadata_path)
+        (values_frame(self.spark, ["key", "value", "version"], ["string", "string", "bigint"], rows)
+         .coalesce(1).write.mode("append").parquet(self.metadata_path))
 
     def box_voxels(self, min_x=None, max_x=None, min_y=None, max_y=None, min_z=None, max_z=None,
                    is_voxel_coords: bool = False, limit: int = 1000) -> DataFrame:
