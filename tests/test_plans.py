@@ -83,3 +83,12 @@ def test_resume_read_pushes_chunk_boxes(spark, tmp_path):
     x0, x1, y0, y1 = g.box(g.ordinal("0_1"))
     inside = pts.where(f"x BETWEEN {x0!r}D AND {x1!r}D AND y BETWEEN {y0!r}D AND {y1!r}D").count()
     assert q.where("chunk = 1").count() <= inside
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_registered_query_plans_have_no_python(spark, key):
+    """Every registered query stays JVM-side: no Python UDF, pandas or Python-row nodes in its plan."""
+    plan = plan_text(QUERIES[key](spark, "/root/testdata/sf0.001"))
+    for name in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
+                 "ExistingRDD"):
+        assert name not in plan, f"{key}: {name}"
