@@ -101,3 +101,14 @@ def test_grid_size_bounds():
         with pytest.raises(ValueError):
             Grid(Bounds(0.0, 1.0, 0.0, 1.0), bad)
     assert Grid(Bounds(0.0, 1.0, 0.0, 1.0), 46340).n_chunks == 46340 ** 2
+
+
+def test_spread_only_small_inputs(spark):
+    """The rebalance applies to few-split inputs only; many-split inputs are returned as they are."""
+    from voxlake.sources.points import SPREAD_MAX_SPLITS, spread
+    small = spark.range(1000, numPartitions=1).selectExpr("CAST(id AS DOUBLE) AS x", "0D AS y", "0D AS z")
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000, numPartitions=SPREAD_MAX_SPLITS + 1).selectExpr("CAST(id AS DOUBLE) AS x", "0D AS y",
+                                                                              "0D AS z")
+    assert spread(many, min_tasks=10_000) is many          # fewer splits than cores, but not small
+    assert spread(small, min_tasks=1) is small             # already enough tasks

@@ -85,19 +85,28 @@ def embedding_points(spark: SparkSession, sf_dir: str, keep: list[str] | None =
     )
 
 
+# Inputs of at most this many scan splits may be rebalanced (~8 GB at 128 MB splits), so the
+# extra exchange stays small whatever the cluster size.
+SPREAD_MAX_SPLITS = 64
+
+
 def spread(points: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Rebalance a source that scans into fewer tasks than the session runs at once.
+    """Rebalance a small source that scans into fewer tasks than the session runs at once.
 
     A large table scans into thousands of splits and is returned untouched (no shuffle).
     A small one -- e.g. one Parquet row group, which Spark cannot split -- would run the
     whole cleaning and aggregation in a single task; a hash exchange on the coordinates
-    spreads it, and both passes of the cleaning job read that one exchange. The input is
-    bounded by ``min_tasks`` splits here, so a skewed coordinate cannot make a large task.
+    spreads it, and both passes of the cleaning job read that one exchange. Only inputs of
+    at most ``SPREAD_MAX_SPLITS`` splits qualify, so on a large cluster a medium table is
+    never shuffled just because it has fewer splits than there are cores, and a skewed
+    coordinate can only concentrate a bounded amount of data.
     """
     try:
         target = min_tasks or points.sparkSession.sparkContext.defaultParallelism
-        if points.rdd.getNumPartitions() >= target:
-            return points
+        n = points.rdd.getNumPartitions()
     except Exception:          # no RDD view of the plan (e.g. a Connect session): leave it as is
         return points
-    return points.repartition(target, *[c for c in ("x", "y", "z") if c in points.columns])
+    if n >= target or n > SPREAD_MAX_SPLITS:
+        return points
+    return points.repartition(min(target, 4 * SPREAD_MAX_SPLITS),
+                              *[c for c in ("x", "y", "z") if c in points.columns])
