@@ -54,13 +54,13 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the columns ``q_<statistic>`` and ``q_lines`` (intermediate ``q_`` columns dropped)."""
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.withColumn("q_t", t)
-    d = d.withColumn("q_s", F.expr("btrim(q_t, ' \\t\\n\\u000b\\f\\r')"))
+    d = d.withColumn("q_s", F.expr("btrim(q_t, ' \\t\\n\\u000b\\u000c\\r')"))
     d = d.withColumn("q_w", F.when(F.length("q_s") == 0, F.array().cast("array<string>")).otherwise(F.split("q_s", WORD_SPLIT, -1)))
     d = d.withColumn("q_n_words", F.size("q_w").cast("long"))
     d = d.withColumn("q_word_chars", F.length(F.array_join("q_w", "")).cast("long"))
     d = d.withColumn("q_n_symbols", F.regexp_count("q_t", F.lit(SYMBOLS)).cast("long"))
     # Only the wrapped column is used below: one pass over the lines that hold a word.
-    d = d.withColumn("q_l", F.expr("filter(split(q_t, '\\n', -1), x -> length(btrim(x, ' \\t\\n\\u000b\\f\\r')) > 0)"))
+    d = d.withColumn("q_l", F.expr("filter(split(q_t, '\\n', -1), x -> length(btrim(x, ' \\t\\n\\u000b\\u000c\\r')) > 0)"))
     d = d.withColumn("q_lines", F.size("q_l").cast("long"))
     d = d.withColumn("q_n_dup_lines", (F.size("q_l") - F.size(F.array_distinct("q_l"))).cast("long"))
     # Hashes of the 3-word windows, in text order; most texts have no window twice and stop here.
