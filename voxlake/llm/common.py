@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +38,25 @@ def sql_str(value: str) -> str:
 def lower_az(col):
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Before an operator runs Python in tasks: bound Arrow batches and ship this package.
+
+    A batch holds at most 16 MB, so that a worker's memory does not follow text length. The package
+    goes to the executors as a zip through ``addPyFile``, once per application, as they need not have
+    it on their path.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    sc = spark.sparkContext
+    if _SHIPPED.get("to") != sc.applicationId:
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="voxlake-code-"), "voxlake.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(target))
+        _SHIPPED["to"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}

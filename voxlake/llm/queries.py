@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxlake.llm import license_rules, quality_mcd, url_rules
+from voxlake.llm import bpe_scan, elias_fano, license_rules, packing_dp, quality_mcd, url_rules
 from voxlake.llm.common import table
 
 
@@ -12,6 +14,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.rules(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_scan.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe_scan.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.size("offsets").cast("long").alias("n_pieces"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_dp.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = elias_fano.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return elias_fano.read_shards(manifest)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark))
 
@@ -20,6 +39,7 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op7_url_filter": op7_url_filter, "op10_license": op10_license}
+QUERIES = {"op1_quality": op1_quality, "op5_bpe": op5_bpe, "op6_packing": op6_packing, "op7_url_filter": op7_url_filter,
+           "op8_token_shards": op8_token_shards, "op10_license": op10_license}
 
 ORACLE_SQL: dict[str, str] = {}
