@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe_scan, elias_fano, license_rules, packing_dp, quality_mcd, url_rules
+from voxlake.llm import bpe_scan, elias_fano, jaccard_rtree, license_rules, packing_dp, quality_mcd, url_rules
 from voxlake.llm.common import table
 
 
@@ -35,11 +35,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_rtree.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op1_quality": op1_quality, "op5_bpe": op5_bpe, "op6_packing": op6_packing, "op7_url_filter": op7_url_filter,
-           "op8_token_shards": op8_token_shards, "op10_license": op10_license}
+           "op8_token_shards": op8_token_shards, "op9_jaccard": op9_jaccard, "op10_license": op10_license}
 
 ORACLE_SQL: dict[str, str] = {}
