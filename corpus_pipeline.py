@@ -1,10 +1,16 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor kept; all but the
+last return the columns of ``documents``. Nulls, repeated rows, empty tables and further columns are
+handled as the operators' texts state.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlake.llm import quality_mcd
+from voxlake.llm import jaccard_rtree, langid_nb, packing_dp, pii_boost, quality_mcd
 from voxlake.llm.common import written
 
 
@@ -13,7 +19,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_mcd.passing(docs)
 
 
-STAGES = [("quality", quality)]
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; ``lang`` becomes the recognised one."""
+    model = langid_nb.train(docs.where(~langid_nb.held_out()))
+    return langid_nb.known(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 or more on 5-word shingles."""
+    return jaccard_rtree.one_of_each(docs, width=5, share=80, whole=100)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; ``n_chars`` follows the text."""
+    return pii_boost.redacted(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 1024 ids."""
+    return packing_dp.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("private", private),
+          ("packing", packing)]
 
 # Robust estimates, learned models and dynamic programming have no SQL form; tests hold the stages
 # against brute force.

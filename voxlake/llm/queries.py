@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe_scan, elias_fano, jaccard_rtree, langid_nb, license_rules, packing_dp, quality_mcd, url_rules, vptree
+from voxlake.llm import bpe_scan, elias_fano, jaccard_rtree, langid_nb, license_rules, packing_dp, pii_boost, quality_mcd, url_rules, vptree
 from voxlake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.rules(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.find(table(spark, sf_dir, "documents"))
+
+
 def op3_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -55,7 +59,7 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_vptree": op3_vptree, "op4_langid": op4_langid, "op5_bpe": op5_bpe, "op6_packing": op6_packing, "op7_url_filter": op7_url_filter,
+QUERIES = {"op1_quality": op1_quality, "op2_pii": op2_pii, "op3_vptree": op3_vptree, "op4_langid": op4_langid, "op5_bpe": op5_bpe, "op6_packing": op6_packing, "op7_url_filter": op7_url_filter,
            "op8_token_shards": op8_token_shards, "op9_jaccard": op9_jaccard, "op10_license": op10_license}
 
 ORACLE_SQL: dict[str, str] = {}
