@@ -142,7 +142,7 @@ def fit(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         "g0", F.when(F.col("count") >= MIN_GROUP, F.col("g0")).when(F.col("n1") >= MIN_GROUP, F.col("g1"))
         .when(F.col("n2") >= MIN_GROUP, F.col("g2")).alias("g"))
     of = written(of, "mcd-groups")
-    used = of.where(F.col("g").isNotNull()).select("g").distinct()
+    used = written(of.where(F.col("g").isNotNull()).select("g").distinct(), "mcd-used")
     # A row fits every used group that it lies in (a coarse one only where some small group needs it).
     x = v.select(F.explode(F.array("g0", "g1", "g2")).alias("g"), *[f"x{i}" for i in DIMS])
     x = written(x.join(used, "g"), "mcd-vectors")
@@ -203,5 +203,8 @@ def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("t"),
                          F.col(lang).alias("lang"), F.col(source).alias("source"))
     d = _prepared(packed, "lang", "source", "t")
-    x = written(d.where(~F.col("q_base")).select("lang", "source", *[f"x{i}" for i in DIMS]), "quality-stats")
-    return _judged(d, *fit(x)).where("q_kept").select("row.*")
+    x = written(d.select("q_base", "lang", "source", *[f"x{i}" for i in DIMS]), "quality-stats").where(~F.col("q_base"))
+    # The mark keeps the optimizer from moving the filter below the statistics, which would expand them
+    # once for each use (it moves no filter below a non-deterministic column).
+    d = d.withColumn("q_mark", F.monotonically_increasing_id())
+    return _judged(d, *fit(x)).where("q_kept AND q_mark >= 0").select("row.*")
