@@ -19,10 +19,10 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    coordinate minima of their upper corners reach the overlap that a link needs; at the leaves the same
    bound holds on the points.
 4. **Verification** of surviving pairs on the sets themselves, exact.
-5. **Large blocks** (over ``FULL`` classes) first pair every class with the block's smallest one; blocks
-   whose classes have then all met in one component are settled. The others go through the R-tree join in
-   full, in tiles of ``TILE`` classes, for pairs of different components. So a group of mutual near copies
-   costs a star, not all its pairs, and no link between components is missed.
+5. **Large blocks** (over ``FULL`` classes) first pair every class with the block's ``HUBS`` most central
+   points; blocks whose classes have then all met in one component are settled. The others go through the
+   R-tree join in full, in tiles of ``TILE`` classes, for pairs of different components. So a group of
+   mutual near copies costs a star, not all its pairs, and no link between components is missed.
 
 The R-tree alone would not do: in tens of dimensions the corners of a node of unrelated texts bound
 nothing, and the join would compare all texts of a size. The equi-key of step 2 only deals the points
@@ -51,9 +51,11 @@ from voxlake.llm.bpe_scan import in_slices
 from voxlake.llm.common import python_ready, written
 
 WIDTH, SHARE, WHOLE = 3, 90, 100
-DIMS = 64               # coordinates of a count vector
+DIM_BITS = 8
+DIMS = 1 << DIM_BITS    # coordinates of a count vector
 FANOUT = 16
-FULL = 16               # blocks up to this many classes are joined in full at once
+FULL = 16               # blocks of up to this many classes are joined in full at once
+HUBS = 3                # of a large block: its most central classes
 TILE = 2048
 LEVELS = 4
 KEY_BYTES = 5           # a chance agreement of keys only costs a look
@@ -61,7 +63,7 @@ MAX_BROADCAST = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)        # 2**64 / golden ratio: an odd multiplier
 _BASE = 0xD6E8FEB86659FD93                  # odd base of the word polynomial
-_CHUNK = 1 << 16
+_CHUNK = 1 << 13        # pairs whose bounds are computed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -128,7 +130,16 @@ def class_of(shingles: np.ndarray) -> int | None:
 
 def counts_of(shingles: np.ndarray) -> bytes:
     """The count vector: how many shingles fall into each of DIMS groups."""
-    return np.bincount((mix(shingles) >> np.uint64(58)).astype(np.int64), minlength=DIMS).astype("<u4").tobytes()
+    counts = np.bincount((mix(shingles) >> np.uint64(64 - DIM_BITS)).astype(np.int64), minlength=DIMS)
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def vectors_of(packed: list[bytes]) -> np.ndarray:
+    """The count vectors of such rows, as a matrix."""
+    out = np.empty((len(packed), DIMS), np.int32)
+    for i, raw in enumerate(packed):
+        out[i] = np.frombuffer(raw, f"<u{len(raw) // DIMS}")
+    return out
 
 
 def bands(longest: int, share: int, whole: int) -> np.ndarray:
@@ -262,8 +273,8 @@ def _levels(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.n
 
 def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.ndarray, hub: np.ndarray,
                 share: int, whole: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i < j in tree order) of one block, with different labels and one of them a hub, that
-    the bound lets pass. ``hub``: points that may pair with any; two others never pair."""
+    """Index pairs (i < j in tree order) of one block, with one of them a hub, that the bound lets pass.
+    ``hub``: points that may pair with any; two others never pair. Nodes of one label are skipped."""
     levels = _levels(block, size, counts, label)
 
     def passing(level: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, leaf: bool) -> np.ndarray:
@@ -299,46 +310,73 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def joined(members: DataFrame, share: int, whole: int, buckets: int, stars: bool) -> DataFrame:
-    """Candidate pairs ``a < b`` of ``(block, class, size, n, counts, label)`` rows by the R-tree join.
+def central(block: np.ndarray, counts: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Marks, in each block of ``some`` rows, the HUBS points nearest to the block's median vector."""
+    hub = np.zeros(len(block), bool)
+    first = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(block)]):
+        if some[a]:
+            apart = np.abs(counts[a:b] - np.median(counts[a:b], axis=0)).sum(axis=1)
+            hub[a + np.argsort(apart, kind="stable")[:HUBS]] = True
+    return hub
 
-    ``stars``: in blocks of more than FULL classes only the smallest class pairs with the others. Without
-    it such blocks are dealt out in pairs of tiles.
-    """
+
+def _in_tree_order(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    column = {c: table.column(c).to_numpy() for c in table.column_names if c != "counts"}
+    counts = vectors_of(table.column("counts").to_pylist())
+    order = np.lexsort((column["class"], *counts.T[:4], column["n"], column["block"]))
+    return {c: v[order] for c, v in column.items()}, counts[order]
+
+
+def _pairs(name: np.ndarray, found: Iterator[tuple[np.ndarray, np.ndarray]], use=lambda i, j: slice(None)) -> np.ndarray:
+    """The distinct pairs of names, smaller first, of index pairs that come in portions."""
+    held, portion, size = np.empty((0, 2), np.int64), [], 0
+    for i, j in found:
+        keep = use(i, j)
+        x, y = name[i[keep]], name[j[keep]]
+        portion.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        size += len(x)
+        if size > 1 << 20:      # the same pair comes from many blocks
+            held, portion, size = np.unique(np.concatenate([held, *portion]), axis=0), [], 0
+    return np.unique(np.concatenate([held, *portion]), axis=0)
+
+
+_TILES = f"greatest(1, cast(ceil(size / {TILE}) as int))"
+
+
+def starred(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
+    """Candidate pairs ``a < b``: blocks of up to FULL classes in full, of larger ones (tile by tile) the
+    pairs with a hub. Hubs of tiles come again as ``(a, a, block)``."""
+    def join(table: pa.Table) -> pa.Table:
+        c, counts = _in_tree_order(table)
+        hub = central(c["block"], counts, c["size"] > FULL)
+        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["class"], hub | (c["size"] <= FULL), share, whole))
+        at = np.flatnonzero(hub & (c["size"] > TILE))
+        return pa.table({"a": np.concatenate([pairs[:, 0], c["class"][at]]), "b": np.concatenate([pairs[:, 1], c["class"][at]]),
+                         "block": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), c["whole_block"][at]]))})
+
+    m = members.selectExpr("block AS whole_block", "class", "size", "n", "counts",
+                           f"if(size > {TILE}, xxhash64(block, pmod(xxhash64(class), {_TILES})), block) AS block")
+    m = m.withColumn("bucket", F.expr(f"if(size > {TILE}, block, pmod(xxhash64(block), {buckets}))"))
+    return m.groupBy("bucket").applyInArrow(join, "a long, b long, block long")
+
+
+def across(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
+    """Candidate pairs ``a < b`` of different labels, in full: blocks are dealt out in pairs of tiles."""
     def join(table: pa.Table) -> pa.Table:
-        column = lambda c: table.column(c).to_numpy()
-        block, name, n = column("block"), column("class"), column("n")
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4").reshape(-1, DIMS).astype(np.int64)
-        order = np.lexsort((*counts.T[:4], n, block))
-        block, name, n, counts, label, tile = block[order], name[order], n[order], counts[order], column("label")[order], column("tile")[order]
-        hub = np.ones(len(block), bool)
-        if stars:
-            first = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
-            least = np.repeat(np.minimum.reduceat(name, first), np.diff(np.append(first, len(block))))
-            hub = (column("size")[order] <= FULL) | (name == least)
-        a, b = [], []
-        wanted = (column("tile_a")[order], column("tile_b")[order])
-        for i, j in rtree_pairs(block, n, counts, label, hub, share, whole):
-            if not stars:       # of two tiles only the pairs across; of one tile all
-                across = (tile[i] != tile[j]) | (wanted[0][i] == wanted[1][i])
-                i, j = i[across], j[across]
-            a.append(name[i]), b.append(name[j])
-        x, y = (np.concatenate(v or [np.empty(0, np.int64)]) for v in (a, b))
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+        c, counts = _in_tree_order(table)
+        one = c["tile_a"] == c["tile_b"]
+        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["label"], np.ones(len(one), bool), share, whole),
+                       lambda i, j: (c["label"][i] != c["label"][j]) & (one[i] | (c["tile"][i] != c["tile"][j])))
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    tiles = f"greatest(1, cast(ceil(size / {TILE}) as int))"
-    m = members.selectExpr("*", f"cast(pmod(xxhash64(class), {tiles}) as int) AS tile", f"{tiles} AS tiles")
-    if stars:
-        m = m.selectExpr("*", "0 AS tile_a", "0 AS tile_b")
-    else:       # a member takes part in each pair of tiles that holds its own
-        m = m.selectExpr("*", "explode(sequence(0, tiles - 1)) AS other").selectExpr(
-            "*", "least(tile, other) AS tile_a", "greatest(tile, other) AS tile_b")
-    m = m.selectExpr("block", "class", "size", "n", "counts", "label", "tile", "tile_a", "tile_b",
-                     f"pmod(xxhash64(block, tile_a, tile_b), {buckets}) AS bucket")
-    if not stars:
-        # One group per pair of tiles where a block has several, so that memory is bounded by the tile.
-        m = m.selectExpr("* except (bucket)", f"if(size > {TILE}, xxhash64(block, tile_a, tile_b), bucket) AS bucket")
+    m = members.selectExpr("*", f"cast(pmod(xxhash64(class), {_TILES}) as int) AS tile",
+                           f"explode(sequence(0, {_TILES} - 1)) AS other")
+    m = m.selectExpr("block AS whole_block", "class", "size", "n", "counts", "label", "tile",
+                     "least(tile, other) AS tile_a", "greatest(tile, other) AS tile_b")
+    # Each pair of tiles is a block of its own.
+    m = m.withColumn("block", F.xxhash64("whole_block", "tile_a", "tile_b")).drop("whole_block")
+    m = m.withColumn("bucket", F.expr(f"if(size > {TILE}, block, pmod(xxhash64(block), {buckets}))"))
     return m.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
 
 
@@ -405,7 +443,15 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     named = blocks(d, width, share, whole, buckets)
     members = written(named.join(classes.select("class", "n", "counts"), "class").withColumn("label", F.col("class")), "jaccard-blocks")
 
-    pairs = written(joined(members, share, whole, buckets, stars=True), "jaccard-pairs")
+    star = written(starred(members, share, whole, buckets), "jaccard-stars")
+    pairs = star.where("a < b").select("a", "b")
+    hubs = star.where("a = b").select(F.col("a").alias("class"), "block")
+    while not hubs.isEmpty():       # the hubs of a large block's tiles form a smaller block
+        top = hubs.join(classes.select("class", "n", "counts"), "class").join(hubs.groupBy("block").agg(F.count("*").alias("size")), "block")
+        star = written(starred(top, share, whole, buckets), "jaccard-stars")
+        pairs = pairs.union(star.where("a < b").select("a", "b"))
+        hubs = star.where("a = b").select(F.col("a").alias("class"), "block")
+    pairs = written(pairs.distinct(), "jaccard-pairs")
     links = written(verified(pairs, d, where, width, share, whole), "jaccard-links")
     # Rows that repeat an id with another text: their classes belong together.
     twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
@@ -418,9 +464,8 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     open_ = large.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("block")
     rest = written(large.join(open_, "block", "left_semi"), "jaccard-open")
     if not rest.isEmpty():
-        more = written(joined(rest, share, whole, buckets, stars=False), "jaccard-pairs")
-        more = more.join(pairs, ["a", "b"], "left_anti")
-        labels = components(links.union(verified(written(more, "jaccard-pairs"), d, where, width, share, whole)))
+        more = written(across(rest, share, whole, buckets).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+        labels = components(links.union(verified(more, d, where, width, share, whole)))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     least = found.groupBy("label").agg(F.min("id").alias("component_id"))
