@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from voxlake.llm.common import python_ready
 
 MAX_CACHED = 300_000
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 500_000
 BLOCK = 128
 SEP = "\ud800"          # a lone surrogate: in no valid text, so it can stand between texts
 SEP_CP = 0xD800

@@ -43,11 +43,11 @@ def lower_az(col):
 def python_ready(spark: SparkSession) -> None:
     """Before an operator runs Python in tasks: bound Arrow batches and ship this package.
 
-    A batch holds at most 16 MB, so that a worker's memory does not follow text length. The package
+    A batch holds at most 4 MB, so that a worker's memory does not follow text length. The package
     goes to the executors as a zip through ``addPyFile``, once per application, as they need not have
     it on their path.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     sc = spark.sparkContext
     if _SHIPPED.get("to") != sc.applicationId:
         package = Path(__file__).resolve().parents[1]

@@ -8,21 +8,23 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
 1. **Classes.** Texts with equal sets form a class, named by 64 bits of a digest of the set, so a
    group of copies is one point from here on, however many rows it has.
 2. **Blocks.** Sets whose sizes a link allows share size bands. In a band, shingles are hashed into
-   one more group than a linked pair can differ by, so linked sets agree on a whole group: the equi-key
-   is (band, group, content of the group). Empty groups do not count; sets with one are hashed anew, and
-   only after ``LEVELS`` times is emptiness itself a key, which keeps the scheme lossless. A text passage
-   that many documents share does not make a block, as the rest of each group differs. Keys travel packed
-   (13 bytes each), one row per task and bucket, and only keys that several classes hold leave the task.
+   one more group than a linked pair can differ by, plus some spare ones, so linked sets agree on a whole
+   group: the equi-key is (band, group, content of the group). Empty groups are no key; sets with more of
+   them than the spare ones are hashed anew, and only after ``LEVELS`` times is emptiness itself a key,
+   which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
+   rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
+   keys that several classes hold leave the task.
 3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups; the group counts are a point. A
    bucket's blocks are bulk-loaded into one R-tree (block, then size, then counts; leaves of ``FANOUT``),
    joined with itself level by level: a pair of nodes survives if blocks meet, sizes fit, and the summed
    coordinate minima of their upper corners reach the overlap that a link needs; at the leaves the same
    bound holds on the points.
-4. **Verification** of surviving pairs on the sets themselves, exact.
-5. **Large blocks** (over ``FULL`` classes) first pair every class with the block's ``HUBS`` most central
-   points; blocks whose classes have then all met in one component are settled. The others go through the
-   R-tree join in full, in tiles of ``TILE`` classes, for pairs of different components. So a group of
-   mutual near copies costs a star, not all its pairs, and no link between components is missed.
+4. **Verification** of surviving pairs on the texts' sets, exact.
+5. **Stars first.** Every class is paired with its block's smallest class, in blocks of over ``FULL``
+   classes with the ``HUBS`` most central points instead; blocks whose classes have then all met in one
+   component are settled. The others go through the R-tree join in full, in tiles of ``TILE`` classes, for
+   pairs of different components. So a group of mutual near copies costs a star, not all its pairs, and no
+   link between components is missed.
 
 The R-tree alone would not do: in tens of dimensions the corners of a node of unrelated texts bound
 nothing, and the join would compare all texts of a size. The equi-key of step 2 only deals the points
@@ -54,7 +56,7 @@ WIDTH, SHARE, WHOLE = 3, 90, 100
 DIM_BITS = 8
 DIMS = 1 << DIM_BITS    # coordinates of a count vector
 FANOUT = 16
-FULL = 16               # blocks of up to this many classes are joined in full at once
+FULL = 16               # larger blocks look for central hubs
 HUBS = 3                # of a large block: its most central classes
 TILE = 2048
 LEVELS = 4
@@ -161,9 +163,13 @@ def block_keys(sets: list[np.ndarray], share: int, whole: int) -> tuple[np.ndarr
     upward = (sizes > 0) & (sizes * whole >= share * firsts[np.maximum(own, 0) + 1])
     which = np.concatenate([np.flatnonzero(sizes), np.flatnonzero(upward)])
     band = np.concatenate([own[sizes > 0], own[upward] + 1])
-    groups = 2 * (firsts[band + 1] - 1) * (whole - share) // (whole + share) + 1
-    some = groups > 1                       # one group: only equal sets agree, and they are one class
-    which, band, groups = which[some], band[some], groups[some]
+    differ = 2 * (firsts[band + 1] - 1) * (whole - share) // (whole + share)
+    some = differ > 0                       # else only equal sets link, and they are one class
+    which, band, differ = which[some], band[some], differ[some]
+    # Spare groups for the empty ones: with at most that many, an agreeing group is not empty.
+    smallest = np.maximum(firsts[band] * share // whole, 1)
+    spare = np.ceil((differ + 1) * np.exp(-smallest / (differ + 1))).astype(np.int64) + 2
+    groups = differ + 1 + spare
     keys, owner = [], []
     for level in range(LEVELS):
         if not len(which):
@@ -184,8 +190,8 @@ def block_keys(sets: list[np.ndarray], share: int, whole: int) -> tuple[np.ndarr
         use = (held > 0) | (level == LEVELS - 1)
         keys.append(key[use])
         owner.append(which[at[use]])
-        again = np.unique(at[held == 0])
-        which, band, groups = which[again], band[again], groups[again]
+        again = np.bincount(at[held == 0], minlength=len(which)) > spare
+        which, band, groups, spare = which[again], band[again], groups[again], spare[again]
     return np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(owner or [np.empty(0, np.int64)])
 
 
@@ -208,7 +214,7 @@ def points(docs: DataFrame, width: int) -> DataFrame:
 
 
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
-    """``block, class`` rows of every block with at least two classes; equal blocks appear once."""
+    """``block, class, size, least`` rows of every block with at least two classes; equal blocks appear once."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, some in in_slices(_texts(batch)):
@@ -245,7 +251,7 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
         member = np.repeat(several, size)
         classes, size = classes[member], size[several]
         if not len(size):
-            return pa.table({"block": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "size": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "class", "size", "least")})
         # A block is named by its members, so that the many keys a cluster shares make one block.
         starts = np.cumsum(size) - size
         name = mix(np.add.reduceat(mix(classes.view(np.uint64)), starts) + size.astype(np.uint64)).view(np.int64)
@@ -253,10 +259,11 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
         kept = np.zeros(len(size), bool)
         kept[once] = True
         member = np.repeat(kept, size)
-        return pa.table({"block": np.repeat(name, size)[member], "class": classes[member], "size": np.repeat(size, size)[member]})
+        return pa.table({"block": np.repeat(name, size)[member], "class": classes[member], "size": np.repeat(size, size)[member],
+                         "least": np.repeat(np.minimum.reduceat(classes, starts), size)[member]})
 
     sent = docs.mapInArrow(emit, "bucket long, keys binary, classes binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long").dropDuplicates(["block", "class"])
+    return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long, least long").distinct()
 
 
 def _levels(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.ndarray) -> list[dict[str, np.ndarray]]:
@@ -310,14 +317,13 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def central(block: np.ndarray, counts: np.ndarray, some: np.ndarray) -> np.ndarray:
-    """Marks, in each block of ``some`` rows, the HUBS points nearest to the block's median vector."""
+def central(block: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Marks, in each block, the HUBS points nearest to the block's median vector."""
     hub = np.zeros(len(block), bool)
     first = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(block)]):
-        if some[a]:
-            apart = np.abs(counts[a:b] - np.median(counts[a:b], axis=0)).sum(axis=1)
-            hub[a + np.argsort(apart, kind="stable")[:HUBS]] = True
+        apart = np.abs(counts[a:b] - np.median(counts[a:b], axis=0)).sum(axis=1)
+        hub[a + np.argsort(apart, kind="stable")[:HUBS]] = True
     return hub
 
 
@@ -345,12 +351,12 @@ _TILES = f"greatest(1, cast(ceil(size / {TILE}) as int))"
 
 
 def starred(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
-    """Candidate pairs ``a < b``: blocks of up to FULL classes in full, of larger ones (tile by tile) the
-    pairs with a hub. Hubs of tiles come again as ``(a, a, block)``."""
+    """Candidate pairs ``a < b`` of large blocks, tile by tile: those with a hub. Hubs of tiles come again
+    as ``(a, a, block)``."""
     def join(table: pa.Table) -> pa.Table:
         c, counts = _in_tree_order(table)
-        hub = central(c["block"], counts, c["size"] > FULL)
-        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["class"], hub | (c["size"] <= FULL), share, whole))
+        hub = central(c["block"], counts)
+        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["class"], hub, share, whole))
         at = np.flatnonzero(hub & (c["size"] > TILE))
         return pa.table({"a": np.concatenate([pairs[:, 0], c["class"][at]]), "b": np.concatenate([pairs[:, 1], c["class"][at]]),
                          "block": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), c["whole_block"][at]]))})
@@ -380,36 +386,61 @@ def across(members: DataFrame, share: int, whole: int, buckets: int) -> DataFram
     return m.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
 
 
+def bounded(pairs: DataFrame, classes: DataFrame, share: int, whole: int) -> DataFrame:
+    """The pairs whose sizes and summed coordinate minima allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 4))
+            x, y = (vectors_of(batch.column(i).to_pylist()) for i in (3, 5))
+            good = (whole + share) * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= share * (n + m)
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"v_{c}"))
+    fits = f"{whole} * n_a >= {share} * n_b AND {whole} * n_b >= {share} * n_a"
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "n_a", "v_a", "n_b", "v_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, where: DataFrame, width: int, share: int, whole: int) -> DataFrame:
-    """The pairs of classes whose sets link. ``where``: the ``id`` of one document of each class."""
-    needed = written(pairs.selectExpr("explode(array(a, b)) AS class").distinct().join(where, "class").select("class", "id"), "jaccard-needed")
-    ids = needed.select("id").distinct()
-    texts = docs.join(F.broadcast(ids) if needed.count() <= MAX_BROADCAST else ids, "id", "left_semi")
+    """The pairs of classes whose sets link. ``where``: the ``id`` of one document of each class.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, some in in_slices(_texts(batch)):
-                found = shingle_sets(some, width)
-                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in found], pa.int64()),
-                                                  pa.array([s.tobytes() for s in found], pa.binary())], names=["class", "items"])
+    Texts move, not sets (a word compresses better than a hash): the second text of each pair goes to the
+    first one's, once per pair, and the first once per class.
+    """
+    if pairs.isEmpty():
+        return pairs
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[int, np.ndarray | None] = {}
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = int(np.isin(p, q, assume_unique=True, kind="sort").sum()) if len(p) * 20 > len(q) else 0
+            good, first, second = [], batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b, x, y in zip(first, second, batch.column(2), batch.column(3)):
+                if a not in last:       # rows come in order of a
+                    last = {a: _of_class(x.as_py(), a, width)}
+                p, q = last[a], _of_class(y.as_py(), b, width)
+                if p is None or q is None:
+                    good.append(False)
+                    continue
+                both = int(np.isin(p, q, assume_unique=True, kind="sort").sum())
                 good.append(whole * both >= share * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    # A class whose documents repeat an id could come twice.
-    s = texts.mapInArrow(sets, "class long, items binary").join(
-        F.broadcast(needed.select("class")) if needed.count() <= MAX_BROADCAST else needed.select("class"), "class", "left_semi")
-    both = pairs.join(s.select(F.col("class").alias("a"), F.col("items").alias("x")), "a").join(
-        s.select(F.col("class").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
+    def texts(of: DataFrame, name: str) -> DataFrame:
+        return docs.join(F.broadcast(of) if of.count() <= MAX_BROADCAST else of, "id").withColumnRenamed("t", name).drop("id")
+
+    at = lambda c: where.select(F.col("class").alias(c), "id")
+    x = texts(written(pairs.select("a").distinct().join(at("a"), "a"), "jaccard-first"), "x")
+    y = texts(written(pairs.join(at("b"), "b").select("a", "b", "id"), "jaccard-second"), "y")
+    both = y.join(x.hint("merge"), "a").select("a", "b", "x", "y")
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
+def _of_class(text: str | None, name: int, width: int) -> np.ndarray | None:
+    """The text's set if it is of that class (rows may repeat an id with another text)."""
+    found = shingle_sets([text or ""], width)[0]
+    return found if class_of(found) == name else None
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``class, label`` for every end of the edges ``(a, b)``: the smallest class it reaches.
 
@@ -440,17 +471,17 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")),
                       "jaccard-classes")
     where = classes.where("id IS NOT NULL").select("class", "id")
-    named = blocks(d, width, share, whole, buckets)
-    members = written(named.join(classes.select("class", "n", "counts"), "class").withColumn("label", F.col("class")), "jaccard-blocks")
+    members = written(blocks(d, width, share, whole, buckets), "jaccard-blocks")
+    points_ = classes.select("class", "n", "counts")
 
-    star = written(starred(members, share, whole, buckets), "jaccard-stars")
-    pairs = star.where("a < b").select("a", "b")
-    hubs = star.where("a = b").select(F.col("a").alias("class"), "block")
+    pairs = bounded(members.where(f"size <= {FULL} AND class <> least").selectExpr("least AS a", "class AS b").distinct(),
+                    classes, share, whole)
+    hubs = members.where(f"size > {FULL}").select("block", "class", "size")
     while not hubs.isEmpty():       # the hubs of a large block's tiles form a smaller block
-        top = hubs.join(classes.select("class", "n", "counts"), "class").join(hubs.groupBy("block").agg(F.count("*").alias("size")), "block")
-        star = written(starred(top, share, whole, buckets), "jaccard-stars")
+        star = written(starred(hubs.join(points_, "class"), share, whole, buckets), "jaccard-stars")
         pairs = pairs.union(star.where("a < b").select("a", "b"))
-        hubs = star.where("a = b").select(F.col("a").alias("class"), "block")
+        again = star.where("a = b").select("block", F.col("a").alias("class"))
+        hubs = again.join(again.groupBy("block").agg(F.count("*").alias("size")), "block")
     pairs = written(pairs.distinct(), "jaccard-pairs")
     links = written(verified(pairs, d, where, width, share, whole), "jaccard-links")
     # Rows that repeat an id with another text: their classes belong together.
@@ -459,10 +490,10 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     links = written(links.union(same), "jaccard-links")
     labels = components(links)
 
-    # Large blocks whose classes have not all met: the rest of their pairs.
-    large = members.where(f"size > {FULL}").drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_ = large.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("block")
-    rest = written(large.join(open_, "block", "left_semi"), "jaccard-open")
+    # Blocks whose classes have not all met: the rest of their pairs.
+    met = members.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    open_ = met.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("block")
+    rest = written(met.join(open_, "block", "left_semi").join(points_, "class"), "jaccard-open")
     if not rest.isEmpty():
         more = written(across(rest, share, whole, buckets).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         labels = components(links.union(verified(more, d, where, width, share, whole)))
