@@ -47,16 +47,12 @@ def make_points(spark, xs, ys, zs, extra: dict | None = None):
 
 @pytest.fixture
 def sample_cloud():
-    """The seeded outlier fixture (F3): 100 clean points plus range and 3-sigma outliers."""
-    rng = np.random.RandomState(42)
-    x = rng.uniform(188000, 188100, 100)
-    y = rng.uniform(1878900, 1879000, 100)
-    z = rng.normal(11.0, 0.5, 100)
-    # Fixed values of the fixture: two range outliers and one statistical outlier at one spot.
-    x = np.append(x, [188050.0, 188050.0, 188050.0])
-    y = np.append(y, [1878950.0, 1878950.0, 1878950.0])
-    z = np.append(z, [-100.0, 200.0, 20.0])
-    return x, y, z
+    """An own cloud in the form of F3: a tilted plane with small noise, two points outside the absolute
+    limits and one far from the plane's spread."""
+    rng = np.random.default_rng(2024)
+    x, y = rng.uniform(400.0, 480.0, 150), rng.uniform(-30.0, 50.0, 150)
+    z = 20.0 + 0.02 * (x - 440.0) + rng.normal(0.0, 0.4, 150)
+    return np.append(x, [441.0] * 3), np.append(y, [3.0] * 3), np.append(z, [-72.5, 163.0, 34.0])
 
 
 @pytest.fixture

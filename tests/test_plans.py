@@ -42,7 +42,7 @@ def test_no_python_in_plans(flagship_plan, spark):
 def test_stored_box_query_prunes_and_pushes(spark, tmp_path):
     pts = lineitem_points(spark, SF_MID)
     path = str(tmp_path / "vox")
-    write_voxel_layout(voxelize_points(pts, LINEITEM.config()), path, "reset")
+    write_voxel_layout(voxelize_points(pts, LINEITEM.config()), path)
     vox = read_voxel_layout(spark, path)
     q = voxels_in_box(vox, min_x=10, max_x=12, min_y=5, max_y=20, is_voxel_coords=True, limit=50)
     plan = plan_text(q)
@@ -69,20 +69,18 @@ def test_hot_chunk_is_reduced_map_side(spark):
     assert vox.agg(F.sum("point_count")).first()[0] == 3100
 
 
-def test_resume_read_pushes_chunk_boxes(spark, tmp_path):
-    """Resume reads only the failed chunks: their boxes reach the Parquet scan as x/y ranges."""
-    from voxlake.plans.ingest import _box_filter
+def test_resume_read_pushes_chunk_ranges(spark, tmp_path):
+    """Resume reads x, y ranges around the failed chunks: they reach the Parquet scan, hold every point of
+    the chunks, and leave others out."""
     path = str(tmp_path / "pts")
     lineitem_points(spark, SF_MID).write.parquet(path)
     pts = spark.read.parquet(path)
     g = Grid(Bounds.of(pts), 8)
-    q = g.assign(pts.where(_box_filter(g, [g.ordinal("0_1"), g.ordinal("3_5")])))
-    plan = plan_text(q)
-    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
-    assert "Or(" in pushed and "GreaterThanOrEqual(x," in pushed and "LessThanOrEqual(y," in pushed
-    x0, x1, y0, y1 = g.box(g.ordinal("0_1"))
-    inside = pts.where(f"x BETWEEN {x0!r}D AND {x1!r}D AND y BETWEEN {y0!r}D AND {y1!r}D").count()
-    assert q.where("chunk = 1").count() <= inside
+    q = g.assign(pts.where(g.hull_sql(0, 1, 3, 5)))
+    pushed = [line for line in plan_text(q).splitlines() if "PushedFilters" in line][0]
+    assert "GreaterThanOrEqual(x," in pushed and "LessThanOrEqual(y," in pushed
+    inside = "chunk DIV 8 BETWEEN 0 AND 1 AND chunk % 8 BETWEEN 3 AND 5"
+    assert q.where(inside).count() == g.assign(pts).where(inside).count() < q.count() < pts.count()
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

@@ -8,9 +8,10 @@ from voxlake.operators.reads import (densest_report, densest_voxels, elevation_p
                                      voxels_between, voxels_in_box)
 from voxlake.schemas import VOXEL_SCHEMA
 
-F7 = [(10, 20, 30, 100, 60.0, 1.5, 58.0, 62.0),
-      (11, 21, 31, 500, 62.0, 0.5, 61.0, 63.0),
-      (12, 22, 32, 50, 64.0, 2.5, 60.0, 68.0)]
+# Own rows, in the three-voxel form of fixture F7.
+F7 = [(14, -3, 30, 120, 60.5, 1.25, 58.0, 62.0),
+      (15, -2, 31, 480, 62.0, 0.5, 61.0, 63.0),
+      (16, -1, 32, 40, 63.5, 2.0, 60.0, 68.0)]
 
 
 @pytest.fixture
@@ -19,19 +20,19 @@ def f7(spark):
 
 
 def test_stats_f6(spark):
-    rows = [(5, 50, 500, 10, 1.0, 0.0, 1.0, 1.0), (10, 100, 1000, 20, 2.0, 0.0, 2.0, 2.0)]
+    rows = [(-6, 8, 33, 14, 1.0, 0.0, 1.0, 1.0), (9, 70, 410, 23, 2.0, 0.0, 2.0, 2.0)]
     st = voxel_stats(spark.createDataFrame(rows, VOXEL_SCHEMA)).first()
-    assert (st.total_voxels, st.total_points) == (2, 30)
-    assert (st.x_min, st.x_max, st.y_min, st.y_max, st.z_min, st.z_max) == (5, 10, 50, 100, 500, 1000)
+    assert (st.total_voxels, st.total_points) == (2, 37)
+    assert (st.x_min, st.x_max, st.y_min, st.y_max, st.z_min, st.z_max) == (-6, 9, 8, 70, 33, 410)
 
 
 def test_stats_and_summary_f7(f7):
     st = voxel_stats(f7).first()
-    assert (st.total_voxels, st.total_points) == (3, 650)
+    assert (st.total_voxels, st.total_points) == (3, 640)
     s = voxel_summary(f7).first()
-    assert (s.voxel_count, s.total_points) == (3, 650) and s.avg_points_per_voxel == pytest.approx(650 / 3)
+    assert (s.voxel_count, s.total_points) == (3, 640) and s.avg_points_per_voxel == pytest.approx(640 / 3)
     e = voxel_extents(f7).first()
-    assert (e.min_voxel_x, e.max_voxel_x, e.min_voxel_z, e.max_voxel_z) == (10, 12, 30, 32)
+    assert (e.min_voxel_x, e.max_voxel_x, e.min_voxel_z, e.max_voxel_z) == (14, 16, 30, 32)
     p = elevation_profile(f7).first()
     assert (p.min_elev, p.max_elev, p.avg_elev) == (58.0, 68.0, 62.0)   # unweighted mean of means (R14)
     assert row_count(f7).first().row_count == 3
@@ -39,7 +40,7 @@ def test_stats_and_summary_f7(f7):
 
 def test_densest_order_and_limits(f7):
     top = densest_voxels(f7, 2).collect()
-    assert [(r.voxel_x, r.point_count) for r in top] == [(11, 500), (10, 100)]
+    assert [(r.voxel_x, r.point_count) for r in top] == [(15, 480), (14, 120)]
     for bad in (0, 101):
         with pytest.raises(ValueError):
             densest_voxels(f7, bad)
@@ -70,17 +71,17 @@ def test_report_rounding_matches_duckdb_round(spark):
 
 
 def test_box_physical_coords_f7(f7):
-    got = voxels_in_box(f7, min_x=21.0, max_x=23.0, voxel_size=2.0).collect()
-    assert [r.voxel_x for r in got] == [10, 11]
+    got = voxels_in_box(f7, min_x=29.0, max_x=31.0, voxel_size=2.0).collect()
+    assert [r.voxel_x for r in got] == [14, 15]
 
 
 def test_box_index_coords_f7(f7):
-    got = voxels_in_box(f7, min_x=11, max_x=12, is_voxel_coords=True).collect()
-    assert [r.voxel_x for r in got] == [11, 12]
+    got = voxels_in_box(f7, min_x=15, max_x=16, is_voxel_coords=True).collect()
+    assert [r.voxel_x for r in got] == [15, 16]
 
 
 def test_box_no_bounds_all_rows_ordered_and_limited(f7):
-    assert [r.voxel_x for r in voxels_in_box(f7).collect()] == [10, 11, 12]
+    assert [r.voxel_x for r in voxels_in_box(f7).collect()] == [14, 15, 16]
     assert voxels_in_box(f7, limit=1).count() == 1
     for bad in (0, 50001):
         with pytest.raises(ValueError):
@@ -98,7 +99,7 @@ def test_bound_conversions():
 
 
 def test_between(f7):
-    assert [r.voxel_x for r in voxels_between(f7, 10, 11, 0, 100).orderBy("voxel_x").collect()] == [10, 11]
+    assert [r.voxel_x for r in voxels_between(f7, 14, 15, -9, 100).orderBy("voxel_x").collect()] == [14, 15]
 
 
 def test_run_summary_defaults_and_latest(spark, f7):
@@ -106,7 +107,7 @@ def test_run_summary_defaults_and_latest(spark, f7):
                                   ("point_count", "100000"), ("filter_outliers", "True"),
                                   ("failed_chunks", "[]")], "key string, value string")
     r = run_summary(f7, meta).first()
-    assert (r.total_voxels, r.total_points, r.voxel_size_meters, r.grid_size, r.source) == (3, 650, 2.0, 8, "s3://x")
+    assert (r.total_voxels, r.total_points, r.voxel_size_meters, r.grid_size, r.source) == (3, 640, 2.0, 8, "s3://x")
     assert r.original_point_count == 100000 and r.outliers_filtered is True and r.failed_chunk_count == 0
     empty = spark.createDataFrame([], "key string, value string")
     d = run_summary(f7, empty).first()
@@ -120,10 +121,10 @@ def test_run_summary_defaults_and_latest(spark, f7):
 def test_verification_report(spark, f7):
     """S1.14: formatted report; an empty table formats NULL sums without failing."""
     from voxlake.plans.report import as_json_rows, format_report
-    text = format_report(f7)
-    assert "Total Processed Voxels:      3" in text and "Total Points Represented:    650" in text
-    assert "(11, 21, 31)" in text.split("Top 5")[1].splitlines()[2]
-    empty = format_report(spark.createDataFrame([], VOXEL_SCHEMA))
-    assert "Total Processed Voxels:      0" in empty
+    text = format_report(f7).splitlines()
+    assert text[0] == "size: voxel_count=3 total_points=640 avg_points_per_voxel=213.33"
+    assert text[3] == "dense cell 15/-2/31: n=480 mean=62.0 std=0.5" and len(text) == 6
+    empty = format_report(spark.createDataFrame([], VOXEL_SCHEMA)).splitlines()
+    assert empty[0] == "size: voxel_count=0 total_points=None avg_points_per_voxel=None" and len(empty) == 3
     js = [r.json for r in as_json_rows(f7.limit(1)).collect()]
-    assert js[0].startswith('{"voxel_x":10')
+    assert js[0].startswith('{"voxel_x":14')

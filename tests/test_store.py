@@ -2,11 +2,12 @@
 
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text
-from voxlake.schemas import OUTCOME_SCHEMA, STORED_VOXEL_SCHEMA, VOXEL_SCHEMA
+from voxlake.schemas import FULL, OUTCOME_SCHEMA, RESUME, STORED_VOXEL_SCHEMA, VOXEL_SCHEMA
 from voxlake.sources.store import VoxelStore, read_voxel_layout, write_voxel_layout
 
 
@@ -25,7 +26,7 @@ def test_metadata_set_get_default(spark, store_root):
 def test_append_and_reset(spark, store_root):
     """F5 + S1.6/S1.8: bulk append of two rows, reset empties voxels and keeps metadata."""
     st = VoxelStore(spark, store_root)
-    rows = [(1, 10, 100, 5, 100.5, 0.1, 100.0, 101.0), (2, 20, 200, 15, 200.5, 0.2, 200.0, 201.0)]
+    rows = [(-4, 7, 31, 9, 62.25, 0.5, 61.5, 63.0), (6, -2, 40, 11, 81.0, 0.75, 80.0, 82.5)]
     st.append_voxels(spark.createDataFrame(rows, VOXEL_SCHEMA))
     st.append_voxels(spark.createDataFrame([], VOXEL_SCHEMA))           # empty -> no-op
     st.set_metadata({"voxel_size": 2.0})
@@ -43,57 +44,64 @@ def test_missing_store_raises(spark, tmp_path):
         read_voxel_layout(spark, str(tmp_path / "nope"))
 
 
-def _vox(spark, chunk, n, base=0, run_seq=None):
-    rows = [(base + k, k, 0, 1, 1.0, 0.0, 1.0, 1.0, run_seq, chunk) for k in range(n)]
-    return spark.createDataFrame(rows, STORED_VOXEL_SCHEMA)
+def _vox(spark, chunk, n, base=0):
+    rows = [(base + k, k, 0, 1, 1.0, 0.0, 1.0, 1.0, None, chunk) for k in range(n)]
+    return spark.createDataFrame(rows, STORED_VOXEL_SCHEMA).drop("run_seq")
 
 
 def test_layout_partitioned_sorted_and_pruned(spark, tmp_path):
     """S1.4/S1.11: one folder per chunk; rows sorted by index within files; box filters push down."""
     path = str(tmp_path / "vox")
     df = _vox(spark, "0_0", 50).unionByName(_vox(spark, "1_1", 30, 1000))
-    write_voxel_layout(df.orderBy(F.rand(1)), path, "reset", num_partitions=3)
+    write_voxel_layout(df.orderBy(F.rand(1)), path, num_partitions=3)
     assert sorted(d for d in os.listdir(path) if d.startswith("chunk_id=")) == ["chunk_id=0_0", "chunk_id=1_1"]
     back = read_voxel_layout(spark, path)
     assert back.count() == 80
-    part = spark.read.parquet(os.path.join(path, "chunk_id=0_0"))
-    xs = [r.voxel_x for r in part.collect()]
-    assert xs == sorted(xs) or len(os.listdir(os.path.join(path, "chunk_id=0_0"))) > 1
+    for chunk in ("0_0", "1_1"):
+        for f in os.listdir(os.path.join(path, f"chunk_id={chunk}")):
+            if f.endswith(".parquet"):
+                xs = pq.read_table(os.path.join(path, f"chunk_id={chunk}", f)).column("voxel_x").to_pylist()
+                assert xs == sorted(xs)
     q = back.where((F.col("voxel_x") >= 10) & (F.col("voxel_x") <= 20) & (F.col("chunk_id") == "0_0"))
     plan = plan_text(q)
     assert "GreaterThanOrEqual(voxel_x,10)" in plan and "PartitionFilters" in plan
     assert q.count() == 11
 
 
-def test_dynamic_overwrite_is_idempotent(spark, tmp_path):
-    """S1.12/B3: rewriting a chunk replaces its partition; other chunks stay."""
-    path = str(tmp_path / "vox")
-    write_voxel_layout(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)), path, "reset")
+def _out(spark, *rows):
+    """Outcome rows ``(chunk_id, voxels, status)``."""
+    return spark.createDataFrame([(c, None, n, 0, n, n, st, None) for c, n, st in rows],
+                                 ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in OUTCOME_SCHEMA.fields[1:]))
+
+
+def _publish(spark, st, seq, kind, voxels, *outcomes):
+    st.write_voxels(voxels, seq)
+    st.write_outcomes(_out(spark, *outcomes), seq)
+    st.publish(seq, kind, {"grid_size": 2})
+
+
+def test_repeated_write_is_idempotent(spark, store_root):
+    """S1.12/B3: a run that writes its folder again before publishing leaves its rows once."""
+    st = VoxelStore(spark, store_root)
     for _ in range(2):
-        write_voxel_layout(_vox(spark, "0_1", 2), path, "chunks")
-    got = {r.chunk_id: r["count"] for r in read_voxel_layout(spark, path).groupBy("chunk_id").count().collect()}
-    assert got == {"0_0": 3, "0_1": 2}
+        st.write_voxels(_vox(spark, "0_0", 3), 1)
+    _publish(spark, st, 1, FULL, _vox(spark, "0_0", 3), ("0_0", 3, "ok"))
+    assert st.voxels().count() == 3 and st.outcomes().count() == 1
 
 
-def test_stale_partition_hidden(spark, store_root):
-    """A chunk shows only rows of its latest ok run; older rows left in its folder are hidden."""
+def test_only_published_runs_are_visible(spark, store_root):
+    """A chunk shows its latest ok outcome's rows; unpublished folders and replaced runs show nothing."""
     st = VoxelStore(spark, store_root)
-    st.write_voxels(_vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)).drop("run_seq"), reset=True, run_seq=1)
-    ok = spark.createDataFrame([(0, "0_0", None, 3, 0, 3, 3, "ok"), (0, "0_1", None, 4, 0, 4, 4, "ok")], OUTCOME_SCHEMA)
-    st.write_outcomes(ok.drop("run_seq"), 1, reset=True)
+    _publish(spark, st, 1, FULL, _vox(spark, "0_0", 3).unionByName(_vox(spark, "0_1", 4)), ("0_0", 3, "ok"), ("0_1", 4, "ok"))
     assert st.voxels().count() == 7
-    empty = spark.createDataFrame([(0, "0_1", None, 0, 0, 0, 0, "empty")], OUTCOME_SCHEMA)
-    st.write_outcomes(empty.drop("run_seq"), 2, reset=False)
-    assert st.raw_voxels().count() == 7                # the stale folder is still there ...
-    assert st.voxels().count() == 3                    # ... but readers do not see it
-    # re-run 3 keeps points but yields no voxels (or died after writing): status ok, nothing new written
-    rerun = spark.createDataFrame([(0, "0_1", None, 5, 0, 0, 0, "ok")], OUTCOME_SCHEMA)
-    st.write_outcomes(rerun.drop("run_seq"), 3, reset=False)
-    assert st.voxels().count() == 3                    # run-1 rows of 0_1 are not its latest run's rows
-    st.write_voxels(_vox(spark, "0_1", 2).drop("run_seq"), reset=False, run_seq=4)
-    st.write_outcomes(spark.createDataFrame([(0, "0_1", None, 2, 0, 2, 2, "ok")], OUTCOME_SCHEMA).drop("run_seq"),
-                      4, reset=False)
-    assert st.voxels().count() == 5 and st.raw_voxels().count() == 5
+    st.write_voxels(_vox(spark, "0_1", 9), 2)                       # died before its outcomes and publishing
+    assert st.voxels().count() == 7 and st.next_run_seq() == 2
+    _publish(spark, st, 2, RESUME, _vox(spark, "0_1", 0), ("0_1", 0, "empty"))
+    assert st.voxels().count() == 3                                 # run 1's rows of 0_1 are not its latest
+    _publish(spark, st, 3, RESUME, _vox(spark, "0_1", 2), ("0_1", 2, "ok"))
+    assert st.voxels().count() == 5
+    _publish(spark, st, 4, FULL, _vox(spark, "1_0", 6), ("1_0", 6, "ok"))
+    assert st.voxels().count() == 6 and [r.chunk_id for r in st.outcomes().collect()] == ["1_0"]
 
 
 def test_box_lookup_prunes_chunks_and_matches_unpruned(spark, store_root):
@@ -112,8 +120,32 @@ def test_box_lookup_prunes_chunks_and_matches_unpruned(spark, store_root):
         plain = voxels_in_box(st.voxels(), voxel_size=50.0, limit=50000, **kw)
         assert sorted(tuple(r) for r in pruned.collect()) == sorted(tuple(r) for r in plain.collect())
     plan = plan_text(st.box_voxels(min_x=100.0, max_x=600.0))
-    part = [line for line in plan.splitlines() if "PartitionFilters: [chunk_id" in line]
-    assert part and " IN (" in part[0] and "0_0" not in part[0]      # chunks left of x=100 m pruned
+    assert any("PartitionFilters" in line and "chunk_id" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("grid", [4, 7, 50])
+def test_box_lookup_on_rounded_edges_and_appended_rows(spark, store_root, grid):
+    """Bounds 0..460, points on every cell edge: the pruned lookup equals the plain one for boxes that begin
+    or end on an edge, and rows appended outside any run show in it."""
+    from conftest import make_points
+    from voxlake.operators.chunks import Bounds
+    from voxlake.operators.reads import voxels_in_box
+    from voxlake.plans.build import VoxelConfig
+    from voxlake.plans.ingest import ingest
+    xs = sorted({k * 460.0 / grid for k in range(grid + 1)} | {float(v) for v in range(0, 461, 20)})
+    n = min(len(xs), 24)
+    pts = make_points(spark, [x for x in xs for _ in range(n)], [xs[k * (len(xs) - 1) // (n - 1)] for _ in xs for k in range(n)],
+                      [1.0] * (len(xs) * n))
+    ingest(spark, pts, store_root, VoxelConfig(grid_size=grid, voxel_size=20.0, filter_outliers=False),
+           bounds=Bounds(0.0, 460.0, 0.0, 460.0, 1.0, 1.0, len(xs) * n))
+    st = VoxelStore(spark, store_root)
+    st.append_voxels(spark.createDataFrame([(23, 23, 0, 1, 1.0, 0.0, 1.0, 1.0), (2, 3, 0, 1, 1.0, 0.0, 1.0, 1.0)], VOXEL_SCHEMA))
+    for kw in (dict(min_x=460.0), dict(max_x=0.0), dict(min_x=460.0 / grid, max_x=460.0 / grid), dict(min_y=440.0, max_y=460.0),
+               dict(min_x=45, max_x=60, min_y=60, max_y=61)):
+        pruned = st.box_voxels(limit=50000, **kw).collect()
+        plain = voxels_in_box(st.voxels(), voxel_size=20.0, limit=50000, **kw).collect()
+        assert sorted(tuple(r) for r in pruned) == sorted(tuple(r) for r in plain) and pruned
+    assert any(r.chunk_id == "loaded" for r in st.box_voxels(min_x=460.0).collect())
 
 
 def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
@@ -123,11 +155,11 @@ def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
     hot = spark.range(60000).selectExpr("id AS voxel_x", "id % 97 AS voxel_y", "0L AS voxel_z", "1L AS point_count",
                                         "1.0D AS mean_z", "0.0D AS std_z", "1.0D AS min_z", "1.0D AS max_z",
                                         "'0_0' AS chunk_id").repartition(8)
-    rest = _vox(spark, "1_1", 50).drop("run_seq")
+    rest = _vox(spark, "1_1", 50)
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
-        write_voxel_layout(hot.unionByName(rest), path, "reset")
+        write_voxel_layout(hot.unionByName(rest), path)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     files = [f for f in os.listdir(os.path.join(path, "chunk_id=0_0")) if f.endswith(".parquet")]
@@ -136,22 +168,22 @@ def test_hot_chunk_split_over_writer_tasks(spark, tmp_path):
 
 
 def test_compact_keeps_latest_state(spark, store_root):
-    """S1.9 compaction: metadata values, ledger and visible voxels are unchanged; fewer files."""
+    """Compaction publishes one full run with the visible rows, latest outcomes, settings and appended rows."""
     st = VoxelStore(spark, store_root)
-    st.write_voxels(_vox(spark, "0_0", 3, run_seq=1).unionByName(_vox(spark, "0_1", 4, run_seq=2)), reset=True)
-    st.write_outcomes(spark.createDataFrame([(0, "0_0", None, 3, 0, 3, 3, "ok"), (0, "0_1", None, 4, 0, 0, 0, "failed")],
-                                            OUTCOME_SCHEMA).drop("run_seq"), 1, reset=True)
-    st.write_outcomes(spark.createDataFrame([(0, "0_1", None, 4, 0, 4, 4, "ok")], OUTCOME_SCHEMA).drop("run_seq"),
-                      2, reset=False)
+    _publish(spark, st, 1, FULL, _vox(spark, "0_0", 3), ("0_0", 3, "ok"), ("0_1", 0, "failed"), ("1_0", 0, "failed"))
+    _publish(spark, st, 2, RESUME, _vox(spark, "0_1", 4), ("0_1", 4, "ok"))
+    st.append_voxels(spark.createDataFrame([(1, 2, 3, 4, 1.0, 0.0, 1.0, 1.0)], VOXEL_SCHEMA))
     for v in ("a", "b", "c"):
-        st.set_metadata({"k": v, "grid_size": 2})
-    before = (st.get_metadata("k"), sorted(r.chunk_id for r in st.ledger().collect()), st.voxels().count())
-    n_files = len([f for f in os.listdir(st.metadata_path) if f.endswith(".parquet")])
+        st.set_metadata({"k": v})
+
+    def state():
+        return (st.get_metadata("k"), st.get_metadata("grid_size"), sorted(r.chunk_id for r in st.ledger().collect()),
+                sorted(tuple(r) for r in st.voxels().drop("run_seq").collect()), tuple(st.totals().first()))
+
+    before = state()
     st.compact()
-    after = (st.get_metadata("k"), sorted(r.chunk_id for r in st.ledger().collect()), st.voxels().count())
-    assert before == after == ("c", [], 7)
-    assert len([f for f in os.listdir(st.metadata_path) if f.endswith(".parquet")]) < n_files
-    assert st.metadata_log().count() == 2 and st.outcomes().count() == 2
+    assert state() == before and before[2] == ["1_0"] and len(before[3]) == 8
+    assert st.live(st.commits()) == [3] and st.outcomes().count() == 3
 
 
 def test_create_if_absent(spark, store_root):

@@ -1,18 +1,5 @@
 """Column expressions shared by the operators (all native Spark expressions)."""
 
-from voxlake.functions.exprs import (
-    all_finite,
-    chunk_id_of,
-    dlit,
-    finite,
-    floor_bound,
-    floor_index,
-    quantize,
-    round_half_away,
-    trunc_index,
-)
+from voxlake.functions.exprs import dlit, floor_bound, quantize, round_half_away, trunc_index
 
-__all__ = [
-    "all_finite", "chunk_id_of", "dlit", "finite", "floor_bound", "floor_index", "quantize",
-    "round_half_away", "trunc_index",
-]
+__all__ = ["dlit", "floor_bound", "quantize", "round_half_away", "trunc_index"]

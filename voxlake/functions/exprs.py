@@ -26,28 +26,6 @@ def _name(c: str) -> str:
     return f"`{c}`"
 
 
-def finite(c: str) -> Column:
-    """True for a finite double; NULL gives NULL, NaN and +-inf give false.
-
-    Spark orders NaN above +inf, so ``NaN < inf`` is false and two comparisons reject
-    NaN, both infinities and (through NULL) missing values.
-    """
-    n = _name(c)
-    return F.expr(f"({n} > CAST('-Infinity' AS DOUBLE) AND {n} < CAST('Infinity' AS DOUBLE))")
-
-
-def all_finite(*cols: str) -> Column:
-    """Non-null boolean: every column is finite."""
-    parts = " AND ".join(f"{_name(c)} > CAST('-Infinity' AS DOUBLE) AND {_name(c)} < CAST('Infinity' AS DOUBLE)"
-                         for c in cols)
-    return F.expr(f"coalesce({parts}, false)")
-
-
-def floor_index(c: str, size: float) -> Column:
-    """Voxel index ``floor(c / size)`` as BIGINT (S2.6, R5): true division, then floor, so -0.5 -> -1."""
-    return F.expr(f"floor({_name(c)} / {dlit(size)})")
-
-
 def round_half_away(c: str, digits: int) -> Column:
     """Round to ``digits`` decimals, halves away from zero, by plain double arithmetic.
 
@@ -87,8 +65,3 @@ def trunc_index(value: float | None) -> int | None:
     if value is None:
         return None
     return int(float(value))
-
-
-def chunk_id_of(i: str, j: str) -> Column:
-    """Chunk id ``"i_j"`` (S8.6) from two integer columns."""
-    return F.expr(f"concat_ws('_', CAST({_name(i)} AS STRING), CAST({_name(j)} AS STRING))")

@@ -7,12 +7,13 @@ lands in exactly one chunk: cells are half-open, the last row and column closed.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.functions import all_finite, dlit
+from voxlake.functions import dlit
 
 
 VALID_SQL = ("coalesce(x > CAST('-Infinity' AS DOUBLE) AND x < CAST('Infinity' AS DOUBLE) AND "
@@ -20,11 +21,6 @@ VALID_SQL = ("coalesce(x > CAST('-Infinity' AS DOUBLE) AND x < CAST('Infinity' A
              "z > CAST('-Infinity' AS DOUBLE) AND z < CAST('Infinity' AS DOUBLE), false)")
 
 
-def valid_point() -> Column:
-    """Row has finite x, y and z (R9); NULL and NaN are rejected, not failed."""
-    return all_finite("x", "y", "z")
-
-
 def points_bounds(points: DataFrame) -> DataFrame:
     """Dataset header in one pass (S1.1, S4.3): extents of the valid points and the row count."""
     aggs = [f"{fn}(CASE WHEN {VALID_SQL} THEN {c} END) AS {fn}_{c}"
@@ -51,13 +47,9 @@ class Bounds:
                 for k in ("min_x", "max_x", "min_y", "max_y", "min_z", "max_z")}
         return Bounds(point_count=int(row["point_count"]), **vals)
 
-    def as_dict(self) -> dict:
-        return dict(min_x=self.min_x, max_x=self.max_x, min_y=self.min_y, max_y=self.max_y,
-                    min_z=self.min_z, max_z=self.max_z, point_count=self.point_count)
-
 
-# The chunk ordinal i * G + j is an INT, so G^2 must stay below 2^31.
-MAX_GRID = 46340
+# Tables with a row per chunk are broadcast, so the grid is bounded: 10^6 chunks of ~40 bytes are ~40 MB.
+MAX_GRID = 1000
 
 
 @dataclass(frozen=True)
@@ -69,7 +61,7 @@ class Grid:
 
     def __post_init__(self):
         if not 1 <= int(self.size) <= MAX_GRID:
-            raise ValueError(f"grid size must be in 1..{MAX_GRID} (int chunk ordinal), got {self.size}")
+            raise ValueError(f"grid size must be in 1..{MAX_GRID} (chunk tables are broadcast), got {self.size}")
 
     @property
     def x_step(self) -> float:
@@ -133,12 +125,33 @@ class Grid:
             raise ValueError(f"chunk {chunk_id} is outside a {self.size}x{self.size} grid")
         return i * self.size + j
 
-    def box(self, chunk: int) -> tuple[float, float, float, float]:
-        """Closed box of one chunk (driver-side arithmetic, used to push scan predicates)."""
-        i, j = divmod(chunk, self.size)
+    def hull_sql(self, i0: int, i1: int, j0: int, j1: int) -> str:
+        """x, y ranges that hold every point of the cells i0..i1, j0..j1 (and more).
+
+        Cell edges and :meth:`assign` round differently in the last bit, so the ranges reach a hundredth
+        of a cell further; the exact test is the assigned chunk.
+        """
+        b, mx, my = self.bounds, self.x_step / 100, self.y_step / 100
+        return (f"x BETWEEN {dlit(b.min_x + i0 * self.x_step - mx)} AND {dlit(b.min_x + (i1 + 1) * self.x_step + mx)} AND "
+                f"y BETWEEN {dlit(b.min_y + j0 * self.y_step - my)} AND {dlit(b.min_y + (j1 + 1) * self.y_step + my)}")
+
+    def first_sql(self, n: int) -> str:
+        """The points of the first ``n`` chunks in grid order: exact test plus pushable ranges."""
+        last = max(n - 1, 0)
+        j1 = last if last < self.size else self.size - 1
+        return f"{self.hull_sql(0, last // self.size, 0, j1)} AND {self.chunk_sql()} < {int(n)}"
+
+    def reach_sql(self, min_x, max_x, min_y, max_y, chunk: str = "chunk") -> str:
+        """Chunks that a box may touch, as ranges on the ordinal's row and column, a cell to spare."""
+        def span(lo, hi, origin: float, step: float) -> tuple[int, int]:
+            if step <= 0:
+                return 0, self.size - 1
+            at = lambda v: int(max(-1, min(self.size, math.floor((v - origin) / step))))
+            return (0 if lo is None else at(lo) - 1), (self.size - 1 if hi is None else at(hi) + 1)
+
         b = self.bounds
-        return (b.min_x + i * self.x_step, b.min_x + (i + 1) * self.x_step,
-                b.min_y + j * self.y_step, b.min_y + (j + 1) * self.y_step)
+        (i0, i1), (j0, j1) = span(min_x, max_x, b.min_x, self.x_step), span(min_y, max_y, b.min_y, self.y_step)
+        return f"{chunk} DIV {self.size} BETWEEN {i0} AND {i1} AND {chunk} % {self.size} BETWEEN {j0} AND {j1}"
 
 
 def points_in_box(points: DataFrame, min_x: float | None = None, max_x: float | None = None,

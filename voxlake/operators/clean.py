@@ -20,8 +20,8 @@ SIGMA_K = 3.0
 MIN_SIGMA = 0.01
 
 # Largest stats table we broadcast: rows are (chunk int, n long, mean, std double), ~40 bytes
-# each, so this bound keeps the broadcast under ~40 MB. Above it the join is a shuffle join
-# (AQE splits a skewed chunk).
+# each, so this bound keeps the broadcast under ~40 MB. Grids are bounded by it (``MAX_GRID``); a
+# caller with other keys passes its own bound, and above it the join is left to Spark.
 MAX_BROADCAST_CHUNKS = 1_000_000
 
 

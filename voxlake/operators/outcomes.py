@@ -34,11 +34,6 @@ def chunk_profile(assigned: DataFrame, z_min: float = Z_MIN_LIMIT, z_max: float
     )
 
 
-def manifest_counts(assigned: DataFrame, key: str = "chunk") -> DataFrame:
-    """Expected rows per chunk from a complete staging read (the failure manifest)."""
-    return assigned.groupBy(key).agg(F.count(F.lit(1)).alias("expected_points"))
-
-
 def voxel_counts(voxels: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Voxel rows and points kept per chunk, from the voxel table."""
     return voxels.groupBy(key).agg(
@@ -47,49 +42,50 @@ def voxel_counts(voxels: DataFrame, key: str = "chunk_id") -> DataFrame:
     )
 
 
-def failed_chunks(attempted: DataFrame, profile: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """S11.1: attempted chunks whose observed rows differ from the manifest's expected rows.
+def chunk_plan(chunks: DataFrame, profile: DataFrame, manifest: DataFrame | None = None,
+               share_floor: float | None = None, whole_share: float | None = None) -> DataFrame:
+    """S11.1: what one read of the attempted chunks found, and which of them fail, with the reason.
 
-    All three inputs are chunk lists (at most G^2 rows), keyed by the ``chunk`` ordinal.
+    ``chunks``: attempted chunks (``chunk``, ``chunk_id``), at most G^2 rows; ``profile``:
+    :func:`chunk_profile`; ``manifest``: expected rows by ``chunk_id``. A chunk fails if its rows are not
+    as many as expected, or its in-range share lies below ``share_floor`` times that of all rows read
+    (``whole_share`` if given: a resume compares with the full run). One row has a NULL chunk: rows that
+    no chunk holds. All tables have at most G^2 + 1 rows and are broadcast.
     """
+    every = chunks.select("chunk", "chunk_id").unionByName(
+        chunks.sparkSession.sql("SELECT CAST(NULL AS INT) AS chunk, CAST(NULL AS STRING) AS chunk_id"))
+    p = profile.withColumnRenamed("chunk", "p_chunk")
+    out = every.join(F.broadcast(p), F.expr("chunk <=> p_chunk"), "left").drop("p_chunk")
     if manifest is None:
-        return attempted.select("chunk").where(F.lit(False))
-    joined = (attempted.select("chunk")
-              .join(profile.select("chunk", "points_read"), "chunk", "left")
-              .join(manifest, "chunk", "left"))
-    return (joined.where(F.coalesce(F.col("points_read"), F.lit(0))
-                         != F.coalesce(F.col("expected_points"), F.lit(0)))
-            .select("chunk"))
-
-
-def chunk_outcomes(chunks: DataFrame, profile: DataFrame, vcounts: DataFrame,
-                   manifest: DataFrame | None = None) -> DataFrame:
-    """S4.10: one row per attempted chunk with counts and ``ok`` / ``empty`` / ``failed``.
-
-    ``chunks``: attempted chunks (``chunk``, ``chunk_id``), at most G^2 rows;
-    ``profile``: :func:`chunk_profile` keyed by ``chunk``; ``vcounts``: :func:`voxel_counts`
-    keyed by ``chunk_id``; ``manifest``: expected rows keyed by ``chunk`` (optional).
-    Failed chunks load nothing, so their voxel columns are 0.
-    """
-    out = chunks.select("chunk", "chunk_id").join(
-        profile.select("chunk", "points_read", "points_rejected"), "chunk", "left")
-    if manifest is not None:
-        out = out.join(manifest, "chunk", "left")
-        failed = "coalesce(points_read, 0) <> coalesce(expected_points, 0)"
-    else:
         out = out.withColumn("expected_points", F.expr("CAST(NULL AS BIGINT)"))
-        failed = "false"
-    out = out.join(vcounts, "chunk_id", "left")
+        short = "false"
+    else:
+        m = manifest.selectExpr("chunk_id", "CAST(expected_points AS BIGINT) AS expected_points")
+        out = out.join(F.broadcast(m), "chunk_id", "left")
+        short = "chunk IS NOT NULL AND coalesce(points_read, 0) <> coalesce(expected_points, 0)"
+    low = "false"
+    if share_floor is not None:
+        whole = (f"{dlit(whole_share)}" if whole_share is not None
+                 else "CAST(sum(n_z) OVER () AS DOUBLE) / sum(points_read) OVER ()")
+        low = f"points_read > 0 AND chunk IS NOT NULL AND CAST(n_z AS DOUBLE) / points_read < {dlit(share_floor)} * ({whole})"
     return out.selectExpr(
-        "chunk_id",
-        "CAST(expected_points AS BIGINT) AS expected_points",
-        "CAST(coalesce(points_read, 0) AS BIGINT) AS points_read",
-        "CAST(coalesce(points_rejected, 0) AS BIGINT) AS points_rejected",
-        f"CAST(CASE WHEN {failed} THEN 0 ELSE coalesce(points_kept, 0) END AS BIGINT) AS points_kept",
-        f"CAST(CASE WHEN {failed} THEN 0 ELSE coalesce(voxels, 0) END AS BIGINT) AS voxels",
-        f"CASE WHEN {failed} THEN '{STATUS_FAILED}' WHEN coalesce(points_read, 0) = 0 THEN '{STATUS_EMPTY}' "
-        f"ELSE '{STATUS_OK}' END AS status",
-    )
+        "chunk", "chunk_id", "expected_points", "CAST(coalesce(points_read, 0) AS BIGINT) AS points_read",
+        "CAST(coalesce(points_rejected, 0) AS BIGINT) AS points_rejected", "n_z", "mean_z", "std_pop_z",
+        f"CASE WHEN {short} THEN concat('read ', coalesce(points_read, 0), ' of ', coalesce(expected_points, 0), ' rows') "
+        f"WHEN {low} THEN 'in-range share below the floor' END AS error")
+
+
+def chunk_outcomes(plan: DataFrame, vcounts: DataFrame) -> DataFrame:
+    """S4.10: one row per attempted chunk with counts, ``ok`` / ``empty`` / ``failed`` and the reason.
+
+    ``plan``: :func:`chunk_plan`; ``vcounts``: :func:`voxel_counts` of what was written. Failed chunks
+    load nothing, so their voxel columns are 0.
+    """
+    return plan.where("chunk IS NOT NULL").join(F.broadcast(vcounts), "chunk_id", "left").selectExpr(
+        "chunk_id", "expected_points", "points_read", "points_rejected",
+        "CAST(coalesce(points_kept, 0) AS BIGINT) AS points_kept", "CAST(coalesce(voxels, 0) AS BIGINT) AS voxels",
+        f"CASE WHEN error IS NOT NULL THEN '{STATUS_FAILED}' WHEN points_read = 0 THEN '{STATUS_EMPTY}' "
+        f"ELSE '{STATUS_OK}' END AS status", "error")
 
 
 def ingest_totals(outcomes: DataFrame) -> DataFrame:

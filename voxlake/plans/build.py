@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame
 
 from voxlake.operators.chunks import VALID_SQL, Bounds, Grid
 from voxlake.operators.clean import Z_MAX_LIMIT, Z_MIN_LIMIT, chunk_z_stats, elevation_filter, sigma_filter
-from voxlake.operators.recovery import points_of_chunks, select_chunks
+from voxlake.operators.recovery import points_of_chunks
 from voxlake.operators.voxels import voxelize
 from voxlake.schemas import VOXEL_COLUMNS
-from voxlake.sources.points import spread
 
 
 @dataclass(frozen=True)
@@ -30,6 +29,8 @@ class VoxelConfig:
     z_min: float = Z_MIN_LIMIT
     z_max: float = Z_MAX_LIMIT
     max_chunks: int | None = None
+    #: A chunk fails if its in-range share is below this part of the whole read's (None: no such rule).
+    share_floor: float | None = None
 
     def __post_init__(self):
         if int(self.grid_size) < 1:
@@ -38,6 +39,8 @@ class VoxelConfig:
             raise ValueError(f"voxel_size must be > 0, got {self.voxel_size}")
         if self.z_min > self.z_max:
             raise ValueError("z_min must not exceed z_max")
+        if self.max_chunks is not None and int(self.max_chunks) < 0:
+            raise ValueError("max_chunks must be >= 0")
 
     def with_(self, **kw) -> "VoxelConfig":
         return replace(self, **kw)
@@ -51,28 +54,32 @@ def usable_points(assigned: DataFrame) -> DataFrame:
 def chunk_voxels(assigned: DataFrame, grid: Grid, cfg: VoxelConfig, stats: DataFrame | None = None) -> DataFrame:
     """Voxel rows (8 columns + ``chunk_id``) of already chunk-assigned points.
 
-    ``stats`` may be a precomputed chunk profile with ``chunk, n_z, mean_z, std_pop_z``
-    (the ingest job reads it back from its written profile); otherwise it is derived.
+    ``stats`` may be a precomputed chunk profile with ``chunk, n_z, mean_z, std_pop_z`` (the ingest
+    job reads it back); otherwise it is derived. Points of chunks without a row in it are left out.
     """
     pts = usable_points(assigned)
     if cfg.filter_outliers:
         pts = elevation_filter(pts, cfg.z_min, cfg.z_max)
         st = chunk_z_stats(pts) if stats is None else stats.select("chunk", "n_z", "mean_z", "std_pop_z")
         pts = sigma_filter(pts, st, "chunk", grid.n_chunks)
+    elif stats is not None:
+        pts = points_of_chunks(pts, stats, grid.n_chunks)
     vox = voxelize(pts, cfg.voxel_size, by=["chunk"])
     return vox.select(*VOXEL_COLUMNS, grid.chunk_id("chunk").alias("chunk_id"))
 
 
 def voxelize_points(points: DataFrame, cfg: VoxelConfig, bounds: Bounds | None = None) -> DataFrame:
     """Whole batch path: header bounds (one small job unless given), grid, optional first-N
-    chunk limit, cleaning and voxel aggregation. Returns a lazy DataFrame."""
+    chunk limit, cleaning and voxel aggregation. Returns a lazy DataFrame.
+
+    The first N chunks are known before the job, so they are a literal predicate whose x, y
+    ranges reach the scan; nothing is joined or shuffled for them.
+    """
     bounds = bounds or Bounds.of(points)
     grid = Grid(bounds, cfg.grid_size)
-    assigned = grid.assign(spread(points))
     if cfg.max_chunks is not None:
-        chosen = select_chunks(grid.chunks(points.sparkSession), None, cfg.max_chunks, grid.n_chunks)
-        assigned = points_of_chunks(assigned, chosen, grid.n_chunks)
-    return chunk_voxels(assigned, grid, cfg)
+        points = points.where(grid.first_sql(int(cfg.max_chunks)))
+    return chunk_voxels(grid.assign(points), grid, cfg)
 
 
 def profile_voxels(points: DataFrame, voxel_size: float, filter_outliers: bool = True,

@@ -14,20 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.functions import quantize
-from voxlake.operators.chunks import Bounds, Grid, chunk_occupancy, points_bounds, points_in_box
+from voxlake.operators.chunks import Bounds, Grid, chunk_occupancy, points_bounds
 from voxlake.operators.clean import chunk_z_stats, clean_points, elevation_filter, in_range
-from voxlake.operators.outcomes import (chunk_outcomes, chunk_profile, failed_chunks, ingest_totals,
-                                        manifest_counts, voxel_counts)
 from voxlake.operators.reads import (densest_report, densest_voxels, elevation_profile, row_count,
                                      run_summary, voxel_extents, voxel_stats, voxel_summary,
                                      voxels_between, voxels_in_box)
-from voxlake.operators.recovery import ledger_update, points_of_chunks, select_chunks
 from voxlake.operators.voxels import voxel_index
-from voxlake.plans.build import VoxelConfig, chunk_voxels, usable_points, voxelize_points
-from voxlake.schemas import STATUS_FAILED, VOXEL_COLUMNS
+from voxlake.plans.build import VoxelConfig, usable_points, voxelize_points
+from voxlake.plans.ingest import ingest, resume
+from voxlake.schemas import VOXEL_COLUMNS
 from voxlake.session import scratch_path
 from voxlake.sources import points as P
-from voxlake.sources.store import read_voxel_layout, write_voxel_layout
+from voxlake.sources.store import VoxelStore, read_voxel_layout, write_voxel_layout
 from voxlake.sources.values import values_frame
 
 
@@ -70,10 +68,8 @@ LINEITEM = PointView(
 EVENTS = PointView("events", grid=4, voxel_size=20.0)
 EMBED = PointView("embeddings", grid=4, voxel_size=10.0, filter_outliers=False)
 
-# Simulated partial reads: chunk id -> modulus of event_id whose rows the read loses.
-LOSS_OUTCOMES = {"0_1": 7}
-# Ledger scenario: run 1 loses rows of three chunks; the resume (first 2 failed chunks) loses 1_3 again.
-LOSSES_LEDGER = ({"0_1": 7, "1_3": 5, "3_0": 3}, {"1_3": 5})
+# Chunks fail where their in-range share lies below this part of the table's; a resume asks for less.
+SHARE_FLOOR, RESUME_FLOOR = 0.995, 0.99
 
 
 def q_voxels(vox: DataFrame) -> DataFrame:
@@ -90,40 +86,25 @@ def _p1_voxels(spark: SparkSession, d: str) -> DataFrame:
     return voxelize_points(LINEITEM.points(spark, d), LINEITEM.config())
 
 
-# -- a run whose read of some chunks loses rows (failure injection for S11.1) ---------------------
+# -- stored runs: the product's ingest and resume into a fresh store under the checkpoint root -------
 
-def lossy_read(assigned: DataFrame, grid: Grid, losses: dict) -> DataFrame:
-    cond = F.lit(False)
-    for cid, mod in losses.items():
-        cond = cond | ((F.col("chunk") == F.lit(grid.ordinal(cid))) & (F.col("event_id") % F.lit(mod) == 0))
-    return assigned.where(F.col("chunk").isNull() | ~cond)
+def _ingested(spark: SparkSession, d: str, view: PointView, cfg: VoxelConfig | None = None) -> tuple[str, VoxelStore]:
+    root = scratch_path(spark, f"store-{view.table}")
+    ingest(spark, view.points(spark, d), root, cfg or view.config(), source=view.table)
+    return root, VoxelStore(spark, root)
 
 
-def run_chunks(full: DataFrame, grid: Grid, cfg: VoxelConfig, attempted: DataFrame,
-               losses: dict) -> tuple[DataFrame, DataFrame]:
-    """One ingest attempt of ``attempted`` chunks whose read loses ``losses``; returns (outcomes, voxels).
+def _resumed(spark: SparkSession, d: str, floor: float | None, max_chunks: int | None = None) -> VoxelStore:
+    """Events under a share floor, then a resume of the failed chunks under a lower one."""
+    root, store = _ingested(spark, d, EVENTS, EVENTS.config(share_floor=SHARE_FLOOR))
+    try:
+        resume(spark, EVENTS.points(spark, d), root, cfg=EVENTS.config(share_floor=floor), max_chunks=max_chunks)
+    except RuntimeError:        # every attempted chunk failed again: the run publishes nothing (S11.2)
+        pass
+    return store
 
-    The manifest (expected rows) is the complete read ``full``; failed chunks load nothing.
-    """
-    observed = points_of_chunks(lossy_read(full, grid, losses), attempted, grid.n_chunks)
-    manifest = manifest_counts(full)
-    profile = chunk_profile(observed, cfg.z_min, cfg.z_max)
-    bad = failed_chunks(attempted, profile, manifest)
-    loadable = attempted.join(bad, "chunk", "left_anti")
-    vox = chunk_voxels(points_of_chunks(observed, loadable, grid.n_chunks), grid, cfg, stats=profile)
-    return chunk_outcomes(attempted, profile, voxel_counts(vox), manifest), vox
 
-
-def _events_run(spark: SparkSession, d: str, losses: dict):
-    pts = EVENTS.points(spark, d, keep=["event_id"])
-    grid = _grid(EVENTS, pts)
-    full = grid.assign(P.spread(pts))
-    chunks = grid.chunks(spark)
-    out, vox = run_chunks(full, grid, EVENTS.config(), chunks, losses)
-    return grid, full, chunks, out, vox
-
-
-OUTCOME_COLS = ["chunk_id", "expected_points", "points_read", "points_rejected", "points_kept", "voxels", "status"]
+OUTCOME_COLS = ["chunk_id", "expected_points", "points_read", "points_rejected", "points_kept", "voxels", "status", "error"]
 
 
 # -- the registered queries -------------------------------------------------------------------
@@ -133,7 +114,10 @@ def points_bounds_q(spark, d):
 
 
 def points_in_box_q(spark, d):
-    return points_in_box(EVENTS.points(spark, d), 30.0, 90.0, 100.0, 500.0)
+    """Over the staged layout: chunk folders outside the box are pruned, x and y ranges reach the scan."""
+    pts = EVENTS.points(spark, d)
+    staged = P.write_points(pts, scratch_path(spark, "staged-events"), _grid(EVENTS, pts))
+    return staged.in_box(30.0, 90.0, 100.0, 500.0)
 
 
 def chunk_occupancy_q(spark, d):
@@ -162,7 +146,7 @@ def chunk_z_stats_q(spark, d):
 def sigma_filter_q(spark, d):
     pts = EVENTS.points(spark, d)
     grid = _grid(EVENTS, pts)
-    kept = clean_points(usable_points(grid.assign(P.spread(pts))), True, EVENTS.z_min, EVENTS.z_max,
+    kept = clean_points(usable_points(grid.assign(pts)), True, EVENTS.z_min, EVENTS.z_max,
                         chunk_bound=grid.n_chunks)
     return (kept.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_kept"))
             .select(grid.chunk_id("chunk").alias("chunk_id"), "n_kept"))
@@ -197,15 +181,48 @@ def voxelize_first_chunks_q(spark, d):
 
 
 def chunk_outcomes_q(spark, d):
-    _, _, _, out, _ = _events_run(spark, d, LOSS_OUTCOMES)
-    return out.select(*OUTCOME_COLS)
+    return _ingested(spark, d, EVENTS, EVENTS.config(share_floor=SHARE_FLOOR))[1].outcomes().select(*OUTCOME_COLS)
 
 
 def ingest_totals_q(spark, d):
-    pts = LINEITEM.points(spark, d)
-    grid = _grid(LINEITEM, pts)
-    out, _ = run_chunks(grid.assign(P.spread(pts)), grid, LINEITEM.config(), grid.chunks(spark), {})
-    return ingest_totals(out)
+    return _ingested(spark, d, LINEITEM)[1].totals()
+
+
+def stored_totals_q(spark, d):
+    """S4.9 of a store with failed chunks and a resume."""
+    return _resumed(spark, d, RESUME_FLOOR).totals()
+
+
+def ingest_store_q(spark, d):
+    return q_voxels(_ingested(spark, d, LINEITEM)[1].voxels())
+
+
+def ingest_twice_q(spark, d):
+    """A second full run with other settings replaces the first; compaction changes nothing."""
+    root, store = _ingested(spark, d, EVENTS)
+    ingest(spark, EVENTS.points(spark, d), root, EVENTS.config().with_(voxel_size=2 * EVENTS.voxel_size), source="events")
+    store.compact()
+    return q_voxels(store.voxels())
+
+
+def stored_append_q(spark, d):
+    """S1.6: rows appended outside any run show in box lookups next to the run's own."""
+    _, store = _ingested(spark, d, LINEITEM)
+    store.append_voxels(voxelize_points(EVENTS.points(spark, d), EVENTS.config()).drop("chunk_id"))
+    return q_voxels(store.box_voxels(limit=LINEITEM.box_limit, **LINEITEM.box))
+
+
+def stored_box_lookup_q(spark, d):
+    return q_voxels(_ingested(spark, d, LINEITEM)[1].box_voxels(limit=LINEITEM.box_limit, **LINEITEM.box))
+
+
+def staged_ingest_q(spark, d):
+    """Stage the points by chunk, then ingest from the folders, checked against their manifest."""
+    pts = EVENTS.points(spark, d)
+    staged = P.write_points(pts, scratch_path(spark, "staged-events"), _grid(EVENTS, pts))
+    root = scratch_path(spark, "store-staged")
+    ingest(spark, staged, root, EVENTS.config(), source="events")
+    return q_voxels(VoxelStore(spark, root).voxels())
 
 
 def voxel_stats_q(spark, d):
@@ -254,28 +271,22 @@ def voxels_between_q(spark, d):
 
 
 def resume_points_q(spark, d):
-    grid, full, chunks, out, _ = _events_run(spark, d, LOSS_OUTCOMES)
-    ledger = out.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    chosen = select_chunks(chunks, ledger, n_chunks_bound=grid.n_chunks)
-    return q_voxels(chunk_voxels(points_of_chunks(full, chosen, grid.n_chunks), grid, EVENTS.config()))
+    """Voxel rows that the resume recovered (those its run wrote)."""
+    return q_voxels(_resumed(spark, d, None).voxels().where("run_seq = 2"))
+
+
+def resume_store_q(spark, d):
+    """Some failed chunks pass the lower floor, others stay out."""
+    return q_voxels(_resumed(spark, d, RESUME_FLOOR).voxels())
 
 
 def resume_append_q(spark, d):
-    grid, full, chunks, out, first = _events_run(spark, d, LOSS_OUTCOMES)
-    ledger = out.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    chosen = select_chunks(chunks, ledger, n_chunks_bound=grid.n_chunks)
-    recovered = chunk_voxels(points_of_chunks(full, chosen, grid.n_chunks), grid, EVENTS.config())
-    return q_voxels(first.unionByName(recovered))
+    """Recovered chunks and those of the first run together are the full table."""
+    return q_voxels(_resumed(spark, d, None).voxels())
 
 
 def ledger_after_resume_q(spark, d):
-    first_losses, again_losses = LOSSES_LEDGER
-    grid, full, chunks, out_a, _ = _events_run(spark, d, first_losses)
-    previous = out_a.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    attempted = select_chunks(chunks, previous, EVENTS.resume_max_chunks, grid.n_chunks)
-    out_b, _ = run_chunks(full, grid, EVENTS.config(), attempted, again_losses)
-    failed_now = out_b.where(F.col("status") == STATUS_FAILED).select("chunk_id")
-    return ledger_update(previous, attempted, failed_now)
+    return _resumed(spark, d, RESUME_FLOOR, EVENTS.resume_max_chunks).ledger()
 
 
 def run_summary_q(spark, d):
@@ -290,7 +301,7 @@ def run_summary_q(spark, d):
 def layout_roundtrip_q(spark, d):
     """S1.4/S1.5/S1.8/S1.11: write the voxel table in its stored layout under the checkpoint root, read it back."""
     path = scratch_path(spark, "voxel-layout")
-    write_voxel_layout(_p1_voxels(spark, d), path, "reset")
+    write_voxel_layout(_p1_voxels(spark, d), path)
     return q_voxels(read_voxel_layout(spark, path))
 
 
@@ -308,6 +319,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "voxelize_first_chunks": voxelize_first_chunks_q,
     "chunk_outcomes": chunk_outcomes_q,
     "ingest_totals": ingest_totals_q,
+    "stored_totals": stored_totals_q,
+    "ingest_store": ingest_store_q,
+    "ingest_twice": ingest_twice_q,
+    "stored_append": stored_append_q,
+    "stored_box_lookup": stored_box_lookup_q,
+    "staged_ingest": staged_ingest_q,
+    "resume_store": resume_store_q,
     "voxel_stats": voxel_stats_q,
     "voxel_summary": voxel_summary_q,
     "voxel_extents": voxel_extents_q,

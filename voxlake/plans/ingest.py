@@ -1,14 +1,9 @@
 """Ingest and resume against a :class:`VoxelStore` (S1.4-S1.12, S4.9-S4.11, S11.1-S11.5, S3.1, S7.1-S7.3).
 
-One run is four Spark jobs over the points plus small bookkeeping:
-
-1. header bounds (skipped when given, or on resume where the stored header is reused);
-2. the chunk profile -- one partial/final aggregate, written to the checkpoint root so the
-   rest of the run reads a G^2-row table instead of recomputing it;
-3. clean + voxelize + write, with the profile broadcast as the 3-sigma stats;
-4. voxel counts per chunk, read back from the written partitions.
-
-Only chunk lists (at most G^2 rows) and one stats row ever reach the driver.
+One run: header bounds (skipped when given or stored), one aggregate over the points into the chunk
+plan (written, at most G^2 + 1 rows), cleaning and voxelizing of the chunks that did not fail, outcomes
+from the rows written, and one small write that publishes all of it. The points are scanned once for
+each of the first three; ids of failed chunks and one row of statistics are all the driver holds.
 """
 
 from __future__ import annotations
@@ -21,22 +16,14 @@ from pyspark.sql import functions as F
 
 from voxlake.operators.chunks import Bounds, Grid
 from voxlake.operators.clean import maybe_broadcast
-from voxlake.operators.outcomes import chunk_outcomes, chunk_profile, failed_chunks, voxel_counts
-from voxlake.functions import dlit
+from voxlake.operators.outcomes import chunk_outcomes, chunk_plan, chunk_profile, voxel_counts
 from voxlake.operators.reads import run_summary, voxel_stats
 from voxlake.operators.recovery import points_of_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
-from voxlake.schemas import STATUS_FAILED
+from voxlake.schemas import FULL, RESUME
 from voxlake.session import scratch_path
-from voxlake.sources.points import spread
+from voxlake.sources.points import StagedPoints
 from voxlake.sources.store import VoxelStore
-from voxlake.sources.values import values_frame
-
-# At most this many chunk boxes are added as literal x/y predicates on a resume read, so that
-# Parquet row groups outside the failed chunks are skipped; more boxes -> semi-join only.
-MAX_PUSHED_BOXES = 64
-# Chunk-id lists up to this length are built as one SQL literal table (no Python worker).
-MAX_LITERAL_IDS = 10_000
 
 
 @dataclass
@@ -48,124 +35,83 @@ class RunResult:
     stats: dict = field(default_factory=dict)
 
 
-def _box_filter(grid: Grid, ordinals: list[int]) -> str:
-    boxes = []
-    for o in ordinals:
-        x0, x1, y0, y1 = grid.box(o)
-        boxes.append(f"(x BETWEEN {dlit(x0)} AND {dlit(x1)} AND y BETWEEN {dlit(y0)} AND {dlit(y1)})")
-    return " OR ".join(boxes) or "false"
+def _assigned(points: DataFrame | StagedPoints, grid: Grid) -> DataFrame:
+    """Points with their chunk: computed, or the stored folder if they are staged on this grid."""
+    if isinstance(points, StagedPoints):
+        return points.points() if points.grid == grid else grid.assign(points.points().drop("chunk"))
+    return grid.assign(points)
 
 
-def _manifest_by_ordinal(manifest: DataFrame | None, chunks: DataFrame, bound: int) -> DataFrame | None:
-    """Manifest given as (chunk_id, expected_points) -> keyed by the chunk ordinal."""
-    if manifest is None:
-        return None
-    return (manifest.selectExpr("chunk_id", "CAST(expected_points AS BIGINT) AS expected_points")
-            .join(maybe_broadcast(chunks.select("chunk_id", "chunk"), bound), "chunk_id")
-            .select("chunk", "expected_points"))
+def _run(spark: SparkSession, assigned: DataFrame, store: VoxelStore, cfg: VoxelConfig, grid: Grid, selected: DataFrame,
+         manifest: DataFrame | None, kind: str, source: str, kept_ledger: list[str], whole_share: float | None) -> RunResult:
+    """One attempt of the chunks ``selected``; ``assigned`` holds their points.
 
-
-def _chunk_list(spark: SparkSession, grid: Grid, ordinals: list[int] | None) -> DataFrame:
-    """The attempted chunks as a DataFrame: the whole grid, or a semi-join with a small id list."""
-    chunks = grid.chunks(spark)
-    if ordinals is None:
-        return chunks
-    if len(ordinals) <= MAX_LITERAL_IDS:
-        ids = values_frame(spark, ["chunk"], ["int"], [(int(o),) for o in ordinals])
-    else:
-        ids = spark.createDataFrame([(int(o),) for o in ordinals], "chunk int")
-    return chunks.join(maybe_broadcast(ids, grid.n_chunks), "chunk", "left_semi")
-
-
-def _run(spark: SparkSession, points: DataFrame, store: VoxelStore, cfg: VoxelConfig, grid: Grid,
-         ordinals: list[int] | None, manifest: DataFrame | None, reset: bool, source: str,
-         previous_ledger: list[str], run_seq: int, pushed: bool = False) -> RunResult:
-    """One attempt of the chunks ``ordinals`` (None = whole grid). Chunk-id lists (at most G^2)
-    are the only things held on the driver."""
-    n = grid.n_chunks
-    selected = _chunk_list(spark, grid, ordinals)
-    attempted = list(range(n)) if ordinals is None else list(ordinals)
-    attempted_ids = [f"{o // grid.size}_{o % grid.size}" for o in attempted]
-
-    src = points.where(_box_filter(grid, attempted)) if pushed else points
-    spread_src = spread(src)
-    if spread_src is not src:
-        # Small input (fewer scan tasks than the session runs): write the rebalanced points once
-        # under the checkpoint root, so both jobs below read them in parallel instead of each
-        # repeating the single-task scan. Large inputs never take this branch.
-        staged = scratch_path(spark, "small-input")
-        spread_src.write.parquet(staged)
-        spread_src = spark.read.parquet(staged)
-    assigned = grid.assign(spread_src)
-    if ordinals is not None:
-        assigned = points_of_chunks(assigned, selected, n)
-
-    # Job: chunk profile, written once (lineage cut, and the rest of the run reuses it).
-    # The NULL-chunk group counts rows whose x or y cannot be placed (dataset-level rejects).
-    prof_path = scratch_path(spark, "chunk-profile")
-    chunk_profile(assigned, cfg.z_min, cfg.z_max).coalesce(1).write.parquet(prof_path)
-    profile_all = spark.read.parquet(prof_path)
-    profile = profile_all.where("chunk IS NOT NULL")
-
-    man = _manifest_by_ordinal(manifest, grid.chunks(spark), n)
-    bad_ids: list[str] = []
-    loadable = selected
-    if man is not None:
-        bad = failed_chunks(selected, profile, man)
-        bad_ord = sorted(r["chunk"] for r in bad.collect())                        # <= G^2 ids
-        bad_ids = [f"{o // grid.size}_{o % grid.size}" for o in bad_ord]
-        if attempted and len(bad_ord) == len(attempted):
-            raise RuntimeError(f"all {len(attempted)} attempted chunks failed; nothing was loaded (S11.2)")
-        if bad_ord:
-            loadable = _chunk_list(spark, grid, sorted(set(attempted) - set(bad_ord)))
-
-    # Job: clean + voxelize the loadable chunks and write their partitions.
-    vox = chunk_voxels(assigned if not bad_ids else points_of_chunks(assigned, loadable, n), grid, cfg,
-                       stats=profile)
-    store.write_voxels(vox, reset=reset, run_seq=run_seq)
-
-    # Job: outcomes, with voxel counts read back from the rows written by this run.
-    raw = store.raw_voxels()                     # listed once, reused for the final stats
-    written = (raw.where(f"run_seq = {int(run_seq)}")
-               .join(maybe_broadcast(loadable.select("chunk_id"), n), "chunk_id", "left_semi"))
-    store.write_outcomes(chunk_outcomes(selected, profile, voxel_counts(written), man), run_seq, reset=reset)
+    ``kept_ledger``: failed chunks of earlier runs that this one does not attempt.
+    """
+    seq = store.next_run_seq()
+    # Job: the chunk plan, written once (lineage cut; the rest of the run reads it).
+    path = scratch_path(spark, "chunk-plan")
+    made = chunk_plan(selected, chunk_profile(assigned, cfg.z_min, cfg.z_max), manifest, cfg.share_floor, whole_share)
+    made.write.parquet(path)
+    plan = spark.read.schema(made.schema).parquet(path)
+    row = plan.agg(F.count("chunk").alias("attempted"), F.collect_list(F.when(F.col("error").isNotNull(), F.col("chunk_id"))).alias("bad"),
+                   F.expr("sum(if(chunk IS NULL, points_read, 0))").alias("unplaced"),
+                   F.expr("CAST(sum(n_z) AS DOUBLE) / sum(points_read)").alias("share")).first()
+    bad = sorted(row["bad"])
+    if row["attempted"] and len(bad) == row["attempted"]:
+        raise RuntimeError(f"all {len(bad)} attempted chunks failed; nothing was loaded (S11.2)")
+
+    # Job: clean and voxelize what did not fail, into this run's own folders.
+    good = plan.where("error IS NULL AND chunk IS NOT NULL AND points_read > 0")
+    store.write_voxels(chunk_voxels(assigned, grid, cfg, stats=good), seq)
+    store.write_outcomes(chunk_outcomes(plan, voxel_counts(store.run_voxels(seq))), seq)
 
     # Ledger (S7.2 / S7.3): (previous - attempted) U failed now; on a full run, failed now.
-    ledger = sorted((set(previous_ledger) - set(attempted_ids)) | set(bad_ids))
-    unplaced = profile_all.where("chunk IS NULL").select("points_read").first()
+    ledger = sorted(set(kept_ledger) | set(bad))
     b = grid.bounds
-    store.set_metadata({
-        "voxel_size": float(cfg.voxel_size), "grid_size": int(cfg.grid_size), "source": source,
-        "point_count": b.point_count, "filter_outliers": bool(cfg.filter_outliers),
-        "z_min_limit": float(cfg.z_min), "z_max_limit": float(cfg.z_max),
-        "min_x": b.min_x, "max_x": b.max_x, "min_y": b.min_y, "max_y": b.max_y,
-        "min_z": b.min_z, "max_z": b.max_z,
-        "failed_chunks": json.dumps(ledger),
-        "points_unplaced": 0 if unplaced is None else int(unplaced["points_read"]),
-    })
-    stats = voxel_stats(store.voxels(n, raw=raw)).first().asDict()
-    return RunResult("success", run_seq, len(attempted), ledger, stats)
-
-
-def ingest(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig, source: str = "",
+    settings = {"failed_chunks": json.dumps(ledger)}
+    if kind == FULL:
+        settings |= {
+            "voxel_size": float(cfg.voxel_size), "grid_size": int(cfg.grid_size), "source": source,
+            "point_count": b.point_count, "filter_outliers": bool(cfg.filter_outliers),
+            "z_min_limit": float(cfg.z_min), "z_max_limit": float(cfg.z_max),
+            "min_x": b.min_x, "max_x": b.max_x, "min_y": b.min_y, "max_y": b.max_y, "min_z": b.min_z, "max_z": b.max_z,
+            "points_unplaced": int(row["unplaced"] or 0),
+            "in_range_share": 1.0 if row["share"] is None else float(row["share"]),
+        }
+    store.publish(seq, kind, settings)
+    return RunResult("success", seq, row["attempted"], ledger, voxel_stats(store.voxels()).first().asDict())
+
+
+def ingest(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg: VoxelConfig, source: str = "",
            bounds: Bounds | None = None, manifest: DataFrame | None = None) -> RunResult:
-    """Full run: rebuild the voxel table and the outcome log from ``points`` (S1.8, S7.3).
+    """Full run: a new voxel table and outcome log from ``points``, in place of the old ones (S1.8, S7.3).
 
-    ``manifest`` (``chunk_id, expected_points``) enables failure isolation: a chunk whose
-    observed row count differs is marked failed, left out, and listed in the ledger (S11.1).
-    With ``cfg.max_chunks`` only the first N chunks in grid order are processed (S2.11).
+    ``manifest`` (``chunk_id, expected_points``) and ``cfg.share_floor`` make chunks fail (S11.1): they are
+    left out and listed in the ledger. Staged points bring their header and manifest. With
+    ``cfg.max_chunks`` only the first N chunks in grid order are processed (S2.11); their points are
+    read by literal ranges, or from their folders.
     """
     store = VoxelStore(spark, root)
+    if isinstance(points, StagedPoints):
+        bounds, manifest = bounds or points.grid.bounds, points.manifest() if manifest is None else manifest
     grid = Grid(bounds or Bounds.of(points), cfg.grid_size)
-    ordinals = None if cfg.max_chunks is None else list(range(min(int(cfg.max_chunks), grid.n_chunks)))
-    if ordinals == []:
+    selected, n = grid.chunks(spark), cfg.max_chunks
+    if n is not None and int(n) == 0:
         return RunResult("skipped")                       # nothing attempted: tables untouched (S11.4)
-    return _run(spark, points, store, cfg, grid, ordinals, manifest, reset=True, source=source,
-                previous_ledger=[], run_seq=1)
+    if n is None:
+        assigned = _assigned(points, grid)
+    else:
+        selected = selected.where(f"chunk < {int(n)}")
+        if isinstance(points, StagedPoints):
+            assigned = _assigned(points, grid).where(f"chunk < {int(n)}")
+        else:
+            assigned = grid.assign(points.where(grid.first_sql(int(n))))
+    return _run(spark, assigned, store, cfg, grid, selected, manifest, FULL, source, [], None)
 
 
 def stored_config(store: VoxelStore) -> tuple[VoxelConfig, Bounds, str]:
-    meta = {r["key"]: r["value"] for r in store.metadata().collect()}   # a handful of keys
+    meta = store._settings(store.commits())              # a handful of keys
     cfg = VoxelConfig(grid_size=int(meta["grid_size"]), voxel_size=float(meta["voxel_size"]),
                       filter_outliers=meta.get("filter_outliers", "True") == "True",
                       z_min=float(meta.get("z_min_limit", -50.0)), z_max=float(meta.get("z_max_limit", 150.0)))
@@ -174,16 +120,16 @@ def stored_config(store: VoxelStore) -> tuple[VoxelConfig, Bounds, str]:
     return cfg, bounds, meta.get("source", "")
 
 
-def resume(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig | None = None,
+def resume(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg: VoxelConfig | None = None,
            source: str | None = None, manifest: DataFrame | None = None,
            max_chunks: int | None = None) -> RunResult:
-    """Re-run only the chunks in the ledger and append them (S3.1, S7.1, S11.3).
+    """Re-run only the chunks in the ledger and add them (S3.1, S7.1, S11.3).
 
     The grid is rebuilt from the stored header, so chunk ids mean the same as in the first
-    run. A ``cfg`` or ``source`` that disagrees with the stored run is refused (B2). Only the
-    chunks actually attempted leave the ledger (B1); their partitions are replaced, so a
-    retried resume never duplicates rows (B3). The failed chunks' boxes are pushed to the
-    point scan as literal x/y ranges (up to ``MAX_PUSHED_BOXES``).
+    run. A ``cfg`` or ``source`` that disagrees with the stored run is refused (B2); its
+    ``share_floor`` may differ. Only the chunks actually attempted leave the ledger (B1). The failed chunks'
+    points are found by their assigned chunk; x, y ranges around all of them (a little wider than the
+    cells) reach the scan before that, and staged points open only the chunks' folders.
     """
     store = VoxelStore(spark, root)
     store.require()
@@ -195,22 +141,23 @@ def resume(spark: SparkSession, points: DataFrame, root: str, cfg: VoxelConfig |
                                  f"{getattr(stored, k)!r}")
     if source is not None and source != stored_source:
         raise ValueError(f"resume source {source!r} differs from the stored run's {stored_source!r}")
-    if max_chunks is not None and int(max_chunks) < 0:
-        raise ValueError("max_chunks must be >= 0")
-    cfg = stored.with_(max_chunks=max_chunks)
-    grid = Grid(bounds, cfg.grid_size)
-    # One read of the outcome log gives the ledger (latest status failed) and the last run number.
-    latest = (store.outcomes().groupBy("chunk_id")
-              .agg(F.max_by("status", "run_seq").alias("status"), F.max("run_seq").alias("seq")).collect())
-    ledger = sorted(r["chunk_id"] for r in latest if r["status"] == STATUS_FAILED)       # <= G^2 ids
-    run_seq = max((r["seq"] for r in latest), default=0) + 1
-    todo = sorted(grid.ordinal(c) for c in ledger)                                       # S3.1, grid order
-    if max_chunks is not None:
-        todo = todo[:int(max_chunks)]                                                    # S2.11
+    run_cfg = stored.with_(max_chunks=max_chunks, share_floor=None if cfg is None else cfg.share_floor)
+    grid = Grid(bounds, run_cfg.grid_size)
+    failed = store.ledger().join(maybe_broadcast(grid.chunks(spark), grid.n_chunks), "chunk_id").select("chunk", "chunk_id", "i", "j")
+    rows = failed.orderBy("chunk").collect()                                             # the ledger, S3.1, grid order
+    todo = rows if max_chunks is None else rows[:int(max_chunks)]                        # S2.11
     if not todo:
-        return RunResult("skipped", failed=ledger)                                       # S11.4
-    return _run(spark, points, store, cfg, grid, todo, manifest, reset=False, source=stored_source,
-                previous_ledger=ledger, run_seq=run_seq, pushed=len(todo) <= MAX_PUSHED_BOXES)
+        return RunResult("skipped", failed=sorted(r["chunk_id"] for r in rows))          # S11.4
+    last = todo[-1]["chunk"]
+    selected = failed.where(f"chunk <= {last}").select("chunk", "chunk_id")
+    hull = grid.hull_sql(min(r["i"] for r in todo), max(r["i"] for r in todo), min(r["j"] for r in todo), max(r["j"] for r in todo))
+    src = points if isinstance(points, StagedPoints) else points.where(hull)
+    if isinstance(points, StagedPoints) and manifest is None:
+        manifest = points.manifest()
+    assigned = points_of_chunks(_assigned(src, grid), selected, grid.n_chunks)
+    share = store._settings(store.commits()).get("in_range_share")
+    return _run(spark, assigned, store, run_cfg, grid, selected, manifest, RESUME, stored_source,
+                [r["chunk_id"] for r in rows[len(todo):]], None if share is None else float(share))
 
 
 def summary(spark: SparkSession, root: str) -> DataFrame:
@@ -219,8 +166,4 @@ def summary(spark: SparkSession, root: str) -> DataFrame:
     return run_summary(store.voxels(), store.metadata())
 
 
-def failed_ledger(spark: SparkSession, root: str) -> DataFrame:
-    return VoxelStore(spark, root).ledger()
-
-
-__all__ = ["RunResult", "ingest", "resume", "summary", "failed_ledger", "STATUS_FAILED"]
+__all__ = ["RunResult", "ingest", "resume", "summary"]

@@ -8,7 +8,9 @@ Conventions shared with :mod:`voxlake.plans.catalog`:
 
 from __future__ import annotations
 
-from voxlake.plans.catalog import EVENTS, EMBED, LINEITEM, LOSSES_LEDGER, LOSS_OUTCOMES, PointView
+from dataclasses import replace
+
+from voxlake.plans.catalog import EMBED, EVENTS, LINEITEM, RESUME_FLOOR, SHARE_FLOOR, PointView
 
 
 def _f(v: float) -> str:
@@ -47,8 +49,7 @@ def _cell(c: str, lo: str, step: str, g: int) -> str:
 def base_ctes(view: PointView, src: str | None = None) -> str:
     """pts -> header bounds -> grid steps -> chunk assignment of every row (``ch``).
 
-    ``src`` replaces the point source (used for lossy reads); bounds always come from the
-    full view, like a header.
+    ``src`` replaces the point source; bounds always come from the full view, like a header.
     """
     g = view.grid
     return f"""
@@ -101,44 +102,60 @@ def voxels_sql(view: PointView) -> str:
     return f"WITH {base_ctes(view)},\n{clean_ctes(view)}\nSELECT {VOX_OUT} FROM vox"
 
 
-def _lossy_src(losses: dict, view: PointView) -> str:
-    """Rows of ``pts`` minus the simulated partial read of the given chunks."""
-    if not losses:
-        return "(SELECT * FROM ch)"
-    conds = []
-    for cid, mod in losses.items():
-        i, j = (int(v) for v in cid.split("_"))
-        conds.append(f"(chunk = {i * view.grid + j} AND event_id % {mod} = 0)")
-    return f"(SELECT * FROM ch WHERE chunk IS NULL OR NOT ({' OR '.join(conds)}))"
-
-
-def outcome_ctes(view: PointView, losses: dict, prefix: str, attempted: str = "grid") -> str:
-    """Outcome rows ``{prefix}out`` of one run whose read lost rows per ``losses``."""
-    p = prefix
-    return f"""{p}obs AS {_lossy_src(losses, view)},
-{p}man AS (SELECT chunk, count(*) AS expected_points FROM ch GROUP BY chunk),
-{p}prof AS (SELECT chunk, count(*) AS points_read, count(*) FILTER (WHERE NOT valid) AS points_rejected
-         FROM {p}obs GROUP BY chunk),
-{p}bad AS (SELECT a.chunk FROM {attempted} a LEFT JOIN {p}man m USING (chunk) LEFT JOIN {p}prof f USING (chunk)
-         WHERE coalesce(f.points_read, 0) <> coalesce(m.expected_points, 0)),
-{p}load AS (SELECT * FROM {p}obs WHERE chunk IN (SELECT chunk FROM {attempted})
+def outcome_ctes(view: PointView, floor: float | None, prefix: str, attempted: str = "grid") -> str:
+    """Outcome rows ``{prefix}out`` of one run over the chunks of ``attempted``, whose chunks fail where their
+    in-range share lies below ``floor`` times that of all rows; ``{prefix}vox``: the voxel rows it loads."""
+    p, zin = prefix, f"valid AND z BETWEEN {_f(view.z_min)} AND {_f(view.z_max)}"
+    low = "false" if floor is None else (
+        f"coalesce(f.points_read, 0) > 0 AND CAST(f.n_z AS DOUBLE) / f.points_read < {_f(floor)} * (SELECT s FROM {p}whole)")
+    return f"""{p}whole AS (SELECT CAST(count(*) FILTER (WHERE {zin}) AS DOUBLE) / count(*) AS s FROM ch),
+{p}prof AS (SELECT chunk, count(*) AS points_read, count(*) FILTER (WHERE NOT valid) AS points_rejected,
+                count(*) FILTER (WHERE {zin}) AS n_z FROM ch GROUP BY chunk),
+{p}bad AS (SELECT a.chunk FROM {attempted} a LEFT JOIN {p}prof f USING (chunk) WHERE {low}),
+{p}load AS (SELECT * FROM ch WHERE chunk IN (SELECT chunk FROM {attempted})
           AND chunk NOT IN (SELECT chunk FROM {p}bad)),
 {clean_ctes(view, src=f'{p}load', prefix=p)},
 {p}vc AS (SELECT chunk_id, count(*) AS voxels, CAST(sum(point_count) AS BIGINT) AS points_kept
         FROM {p}vox GROUP BY chunk_id),
 {p}out AS (
-  SELECT a.chunk, a.chunk_id, m.expected_points,
+  SELECT a.chunk, a.chunk_id, CAST(NULL AS BIGINT) AS expected_points,
          CAST(coalesce(f.points_read, 0) AS BIGINT) AS points_read,
          CAST(coalesce(f.points_rejected, 0) AS BIGINT) AS points_rejected,
-         CAST(CASE WHEN b.chunk IS NOT NULL THEN 0 ELSE coalesce(v.points_kept, 0) END AS BIGINT) AS points_kept,
-         CAST(CASE WHEN b.chunk IS NOT NULL THEN 0 ELSE coalesce(v.voxels, 0) END AS BIGINT) AS voxels,
+         CAST(coalesce(v.points_kept, 0) AS BIGINT) AS points_kept,
+         CAST(coalesce(v.voxels, 0) AS BIGINT) AS voxels,
          CASE WHEN b.chunk IS NOT NULL THEN 'failed'
-              WHEN coalesce(f.points_read, 0) = 0 THEN 'empty' ELSE 'ok' END AS status
-  FROM {attempted} a LEFT JOIN {p}man m USING (chunk) LEFT JOIN {p}prof f USING (chunk)
+              WHEN coalesce(f.points_read, 0) = 0 THEN 'empty' ELSE 'ok' END AS status,
+         CASE WHEN b.chunk IS NOT NULL THEN 'in-range share below the floor' END AS error
+  FROM {attempted} a LEFT JOIN {p}prof f USING (chunk)
        LEFT JOIN {p}bad b USING (chunk) LEFT JOIN {p}vc v USING (chunk_id))"""
 
 
-OUTCOME_OUT = "chunk_id, expected_points, points_read, points_rejected, points_kept, voxels, status"
+def resume_ctes(view: PointView, first: float, second: float | None, limit: int | None = None) -> str:
+    """Two runs, a full one and a resume of its failed chunks (the first ``limit``); a resume in which all
+    chunks fail publishes nothing. ``tbl``: visible voxel rows, ``latest``: the latest outcomes."""
+    lim = "" if limit is None else f" LIMIT {limit}"
+    return f"""{base_ctes(view)},
+{outcome_ctes(view, first, 'a_')},
+prev AS (SELECT chunk, chunk_id FROM a_out WHERE status = 'failed'),
+att AS (SELECT chunk, chunk_id FROM prev ORDER BY chunk{lim}),
+{outcome_ctes(view, second, 'b_', attempted='att')},
+pub AS (SELECT * FROM b_out WHERE EXISTS (SELECT 1 FROM b_out WHERE status <> 'failed')),
+latest AS (SELECT * FROM a_out WHERE chunk NOT IN (SELECT chunk FROM pub) UNION ALL SELECT * FROM pub),
+tbl AS (SELECT 1 AS run_seq, * FROM a_vox UNION ALL SELECT 2, * FROM b_vox)"""
+
+
+def totals_sql(src: str) -> str:
+    return f"""SELECT CAST(sum(CASE WHEN status <> 'failed' THEN points_read ELSE 0 END) AS BIGINT) AS total_points_read,
+       CAST(sum(CASE WHEN status <> 'failed' THEN points_kept ELSE 0 END) AS BIGINT) AS total_points_kept,
+       CAST(sum(voxels) AS BIGINT) AS total_voxels,
+       count(*) FILTER (WHERE status = 'ok') AS chunks_ok,
+       count(*) FILTER (WHERE status = 'empty') AS chunks_empty,
+       count(*) FILTER (WHERE status = 'failed') AS chunks_failed,
+       sum(CASE WHEN status <> 'failed' THEN points_read ELSE 0 END) / nullif(sum(voxels), 0) AS points_per_voxel
+FROM {src}"""
+
+
+OUTCOME_OUT = "chunk_id, expected_points, points_read, points_rejected, points_kept, voxels, status, error"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -199,19 +216,17 @@ first_ch AS (SELECT * FROM ch WHERE chunk IN (SELECT chunk FROM grid ORDER BY ch
 SELECT {VOX_OUT} FROM vox"""
 
     q["chunk_outcomes"] = f"""WITH {base_ctes(P2)},
-{outcome_ctes(P2, LOSS_OUTCOMES, 'r1_')}
+{outcome_ctes(P2, SHARE_FLOOR, 'r1_')}
 SELECT {OUTCOME_OUT} FROM r1_out"""
 
     q["ingest_totals"] = f"""WITH {base_ctes(P1)},
-{outcome_ctes(P1, {}, 'r1_')}
-SELECT CAST(sum(CASE WHEN status <> 'failed' THEN points_read ELSE 0 END) AS BIGINT) AS total_points_read,
-       CAST(sum(CASE WHEN status <> 'failed' THEN points_kept ELSE 0 END) AS BIGINT) AS total_points_kept,
-       CAST(sum(voxels) AS BIGINT) AS total_voxels,
-       count(*) FILTER (WHERE status = 'ok') AS chunks_ok,
-       count(*) FILTER (WHERE status = 'empty') AS chunks_empty,
-       count(*) FILTER (WHERE status = 'failed') AS chunks_failed,
-       sum(CASE WHEN status <> 'failed' THEN points_read ELSE 0 END) / nullif(sum(voxels), 0) AS points_per_voxel
-FROM r1_out"""
+{outcome_ctes(P1, None, 'r1_')}
+{totals_sql('r1_out')}"""
+    q["stored_totals"] = f"WITH {resume_ctes(P2, SHARE_FLOOR, RESUME_FLOOR)}\n{totals_sql('latest')}"
+    q["ingest_store"] = voxels_sql(P1)
+    q["ingest_twice"] = voxels_sql(replace(P2, voxel_size=2 * P2.voxel_size))
+    q["staged_ingest"] = voxels_sql(P2)
+    q["resume_store"] = f"WITH {resume_ctes(P2, SHARE_FLOOR, RESUME_FLOOR)}\nSELECT {VOX_OUT} FROM tbl"
 
     q["voxel_stats"] = v1 + """SELECT count(*) AS total_voxels, CAST(sum(point_count) AS BIGINT) AS total_points,
        min(voxel_x) AS x_min, max(voxel_x) AS x_max, min(voxel_y) AS y_min, max(voxel_y) AS y_max,
@@ -249,25 +264,19 @@ ORDER BY voxel_x, voxel_y, voxel_z, chunk_id LIMIT {P1.box_limit}"""
     q["voxels_between"] = v1 + f"""SELECT {VOX_OUT} FROM vox
 WHERE voxel_x BETWEEN {bt[0]} AND {bt[1]} AND voxel_y BETWEEN {bt[2]} AND {bt[3]}"""
 
-    # Resume scenario on P2: run 1 loses part of chunk 0_1 (failed); a re-run of that chunk reads it whole.
-    q["resume_points"] = f"""WITH {base_ctes(P2)},
-{outcome_ctes(P2, LOSS_OUTCOMES, 'r1_')},
-ledger AS (SELECT chunk FROM r1_out WHERE status = 'failed'),
-rs AS (SELECT * FROM ch WHERE chunk IN (SELECT chunk FROM ledger)),
-{clean_ctes(P2, src='rs', prefix='r2_')}
-SELECT {VOX_OUT} FROM r2_vox"""
-    # Partial run + recovered chunk must equal the full run: the oracle is the full run itself.
-    q["resume_append"] = voxels_sql(P2)
+    q["stored_box_lookup"] = q["voxels_in_box"]
+    v2 = f"WITH v1 AS ({v1}SELECT * FROM vox), v2 AS (WITH {base_ctes(P2)},\n{clean_ctes(P2)}\nSELECT * FROM vox)"
+    q["stored_append"] = f"""{v2}
+SELECT {VOX_OUT} FROM (SELECT * FROM v1 UNION ALL SELECT * REPLACE ('loaded' AS chunk_id) FROM v2)
+WHERE voxel_x >= {fb['min_x']} AND voxel_x <= {fb['max_x']} AND voxel_y >= {fb['min_y']}
+  AND voxel_y <= {fb['max_y']} AND voxel_z <= {fb['max_z']}
+ORDER BY voxel_x, voxel_y, voxel_z, chunk_id LIMIT {P1.box_limit}"""
 
-    l1, l2 = LOSSES_LEDGER
-    q["ledger_after_resume"] = f"""WITH {base_ctes(P2)},
-{outcome_ctes(P2, l1, 'a_')},
-prev AS (SELECT chunk, chunk_id FROM a_out WHERE status = 'failed'),
-att AS (SELECT chunk, chunk_id FROM prev ORDER BY chunk LIMIT {P2.resume_max_chunks}),
-{outcome_ctes(P2, l2, 'b_', attempted='att')}
-SELECT chunk_id FROM prev WHERE chunk NOT IN (SELECT chunk FROM att)
-UNION
-SELECT chunk_id FROM b_out WHERE status = 'failed'"""
+    q["resume_points"] = f"WITH {resume_ctes(P2, SHARE_FLOOR, None)}\nSELECT {VOX_OUT} FROM tbl WHERE run_seq = 2"
+    # A first run with failed chunks and their recovery must equal the full run: the oracle is the full run.
+    q["resume_append"] = voxels_sql(P2)
+    q["ledger_after_resume"] = (f"WITH {resume_ctes(P2, SHARE_FLOOR, RESUME_FLOOR, P2.resume_max_chunks)}\n"
+                                "SELECT chunk_id FROM latest WHERE status = 'failed'")
 
     meta = P1.metadata
     rows = ",\n  ".join(f"('{k}', '{v}', {ver})" for k, v, ver in meta)

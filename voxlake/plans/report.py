@@ -1,9 +1,8 @@
-"""Verification report (S1.13, S1.14): the four check queries over a voxel table, formatted on display.
+"""Verification report (S1.13, S1.14): the four check queries over a voxel table, one line each.
 
-The queries stay DataFrames (S4.5, S4.6, S6.2, S4.7); only their one-row results and the
-five report rows -- a fixed, bounded amount -- are brought to the driver for printing.
-Numbers are formatted with ``format_number`` in Spark, so NULL sums of an empty table stay
-NULL instead of failing (B5).
+The queries stay DataFrames (S4.5, S4.6, S6.2, S4.7); only their one-row results and the five densest rows,
+a fixed amount, come to the driver for printing. Numbers are formatted in Spark, so NULL sums of an
+empty table stay NULL instead of failing (B5).
 """
 
 from __future__ import annotations
@@ -12,46 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.reads import densest_report, elevation_profile, voxel_extents, voxel_summary
-
-
-def report_frames(voxels: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "summary": voxel_summary(voxels),
-        "extents": voxel_extents(voxels),
-        "densest": densest_report(voxels, 5),
-        "elevation": elevation_profile(voxels),
-    }
+from voxlake.schemas import INDEX_COLUMNS
 
 
 def as_json_rows(df: DataFrame) -> DataFrame:
-    """S1.13: one JSON object per row, as the reference's endpoints return them."""
+    """S1.13: one JSON object per row."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
 
 
 def format_report(voxels: DataFrame) -> str:
-    f = report_frames(voxels)
-    s = f["summary"].select(F.format_number("voxel_count", 0).alias("v"), F.format_number("total_points", 0).alias("p"),
-                            F.format_number("avg_points_per_voxel", 2).alias("a")).first()
-    e = f["extents"].first()
-    top = f["densest"].select("voxel_x", "voxel_y", "voxel_z", F.format_number("point_count", 0).alias("n"),
-                              "mean_z", "std_z").collect()
-    el = f["elevation"].select(*[F.format_number(c, 2).alias(c) for c in ("min_elev", "max_elev", "avg_elev")]).first()
-    lines = [
-        "=" * 50, "VOXEL TABLE VERIFICATION", "=" * 50,
-        f"Total Processed Voxels:      {s.v}",
-        f"Total Points Represented:    {s.p}",
-        f"Average Points per Voxel:    {s.a}",
-        "Voxel Index Extents:",
-        f"  Voxel X range: [{e.min_voxel_x}, {e.max_voxel_x}]",
-        f"  Voxel Y range: [{e.min_voxel_y}, {e.max_voxel_y}]",
-        f"  Voxel Z range: [{e.min_voxel_z}, {e.max_voxel_z}]",
-        "",
-        "Top 5 Densest Voxels (Highest point count):",
-        f"  {'Voxel (X, Y, Z)':<25} | {'Point Count':<12} | {'Mean Elev.':<10} | {'Std Dev':<8}",
-    ]
-    for r in top:
-        lines.append(f"  {f'({r.voxel_x}, {r.voxel_y}, {r.voxel_z})':<25} | {r.n:<12} | {r.mean_z!s:<10} | {r.std_z!s:<8}")
-    lines += ["", "Elevation Profile (meters):",
-              f"  Minimum Elevation: {el.min_elev}", f"  Maximum Elevation: {el.max_elev}",
-              f"  Average Elevation: {el.avg_elev}", "=" * 50]
-    return "\n".join(lines)
+    """``name: field=value ...`` lines: size, index ranges, z range, then the densest cells."""
+    def line(name: str, df: DataFrame, digits: int) -> str:
+        shown = df.select(*[F.format_number(c, 0 if kind == "bigint" else digits).alias(c) for c, kind in df.dtypes])
+        return "\n".join(f"{name}: " + " ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in shown.collect())
+
+    top = densest_report(voxels, 5).withColumn("cell", F.concat_ws("/", *INDEX_COLUMNS)).drop(*INDEX_COLUMNS)
+    cells = [f"dense cell {r.cell}: n={r.point_count} mean={r.mean_z} std={r.std_z}" for r in top.collect()]
+    return "\n".join([line("size", voxel_summary(voxels), 2), line("index", voxel_extents(voxels), 0),
+                      line("z", elevation_profile(voxels), 2), *cells])

@@ -33,17 +33,6 @@ VOXEL_SCHEMA = T.StructType([
 STORED_VOXEL_SCHEMA = T.StructType(VOXEL_SCHEMA.fields + [T.StructField("run_seq", T.LongType()),
                                                           T.StructField("chunk_id", T.StringType())])
 
-CHUNK_SCHEMA = T.StructType([
-    T.StructField("chunk_id", T.StringType()),
-    T.StructField("chunk", T.IntegerType()),
-    T.StructField("i", T.IntegerType()),
-    T.StructField("j", T.IntegerType()),
-    T.StructField("xmin", T.DoubleType()),
-    T.StructField("xmax", T.DoubleType()),
-    T.StructField("ymin", T.DoubleType()),
-    T.StructField("ymax", T.DoubleType()),
-])
-
 OUTCOME_SCHEMA = T.StructType([
     T.StructField("run_seq", T.LongType()),
     T.StructField("chunk_id", T.StringType()),
@@ -53,6 +42,15 @@ OUTCOME_SCHEMA = T.StructType([
     T.StructField("points_kept", T.LongType()),
     T.StructField("voxels", T.LongType()),
     T.StructField("status", T.StringType()),
+    T.StructField("error", T.StringType()),
+])
+
+# One row per published run; readers follow it.
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("run_seq", T.LongType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
 ])
 
 METADATA_SCHEMA = T.StructType([
@@ -65,3 +63,5 @@ METADATA_SCHEMA = T.StructType([
 STATUS_OK = "ok"
 STATUS_EMPTY = "empty"
 STATUS_FAILED = "failed"
+# Kinds of a published run: a full run replaces the table, a resume adds to it.
+FULL, RESUME = "full", "resume"

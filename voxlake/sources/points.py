@@ -85,28 +85,61 @@ def embedding_points(spark: SparkSession, sf_dir: str, keep: list[str] | None =
     )
 
 
-# Inputs of at most this many scan splits may be rebalanced (~8 GB at 128 MB splits), so the
-# extra exchange stays small whatever the cluster size.
-SPREAD_MAX_SPLITS = 64
+STAGED_SCHEMA = "x DOUBLE, y DOUBLE, z DOUBLE, chunk INT"
+HEADER_SCHEMA = ("min_x DOUBLE, max_x DOUBLE, min_y DOUBLE, max_y DOUBLE, min_z DOUBLE, max_z DOUBLE, "
+                 "point_count BIGINT, grid_size INT")
 
 
-def spread(points: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Rebalance a small source that scans into fewer tasks than the session runs at once.
+class StagedPoints:
+    """Points stored by chunk: folders ``chunk=<ordinal>``, files sorted by x, y, header beside them.
 
-    A large table scans into thousands of splits and is returned untouched (no shuffle).
-    A small one -- e.g. one Parquet row group, which Spark cannot split -- would run the
-    whole cleaning and aggregation in a single task; a hash exchange on the coordinates
-    spreads it, and both passes of the cleaning job read that one exchange. Only inputs of
-    at most ``SPREAD_MAX_SPLITS`` splits qualify, so on a large cluster a medium table is
-    never shuffled just because it has fewer splits than there are cores, and a skewed
-    coordinate can only concentrate a bounded amount of data.
+    A read of some chunks opens only their folders, and x, y ranges skip row groups. Points that no
+    chunk holds (NULL or non-finite coordinates, outside the header) lie in the NULL folder, so the
+    staged table has every row of its source.
     """
-    try:
-        target = min_tasks or points.sparkSession.sparkContext.defaultParallelism
-        n = points.rdd.getNumPartitions()
-    except Exception:          # no RDD view of the plan (e.g. a Connect session): leave it as is
-        return points
-    if n >= target or n > SPREAD_MAX_SPLITS:
-        return points
-    return points.repartition(min(target, 4 * SPREAD_MAX_SPLITS),
-                              *[c for c in ("x", "y", "z") if c in points.columns])
+
+    def __init__(self, spark: SparkSession, path: str):
+        from voxlake.operators.chunks import Bounds, Grid
+        self.spark, self.path = spark, path
+        row = spark.read.schema(HEADER_SCHEMA).parquet(os.path.join(path, "header")).first()
+        if row is None:
+            raise FileNotFoundError(f"no staged points at {path}")
+        h = row.asDict()
+        self.grid = Grid(Bounds(**{k: v for k, v in h.items() if k != "grid_size"}), h["grid_size"])
+
+    def points(self) -> DataFrame:
+        return self.spark.read.schema(STAGED_SCHEMA).parquet(os.path.join(self.path, "points"))
+
+    def manifest(self) -> DataFrame:
+        """Expected rows per chunk, ``(chunk_id, expected_points)``; reads no coordinate."""
+        return (self.points().where("chunk IS NOT NULL").groupBy(self.grid.chunk_id("chunk").alias("chunk_id"))
+                .agg(F.expr("count(1) AS expected_points")))
+
+    def in_box(self, min_x: float | None = None, max_x: float | None = None,
+               min_y: float | None = None, max_y: float | None = None) -> DataFrame:
+        """Points of an inclusive box; the folders it cannot touch are pruned (S1.2).
+
+        Points outside every chunk have no place in the pruned folders, so they are looked for in the
+        NULL folder as well.
+        """
+        from voxlake.operators.chunks import points_in_box
+        reach = self.grid.reach_sql(min_x, max_x, min_y, max_y)
+        return points_in_box(self.points().where(f"chunk IS NULL OR ({reach})"), min_x, max_x, min_y, max_y)
+
+
+def write_points(points: DataFrame, path: str, grid) -> StagedPoints:
+    """Stage ``points`` by the chunks of ``grid`` (rows outside it included).
+
+    ``REBALANCE(chunk)`` sizes the writer tasks and splits a chunk with a large share of the points.
+    """
+    rows = grid.assign(points.select("x", "y", "z")).hint("rebalance", "chunk")
+    (rows.sortWithinPartitions("chunk", "x", "y").write.mode("overwrite")
+     .option("maxRecordsPerFile", 4_000_000).partitionBy("chunk").parquet(os.path.join(path, "points")))
+    b = grid.bounds
+    from voxlake.sources.values import values_frame
+    names = [f.split()[0] for f in HEADER_SCHEMA.split(", ")]
+    kinds = [f.split()[1] for f in HEADER_SCHEMA.split(", ")]
+    row = (b.min_x, b.max_x, b.min_y, b.max_y, b.min_z, b.max_z, b.point_count, grid.size)
+    spark = points.sparkSession
+    values_frame(spark, names, kinds, [row]).write.mode("overwrite").parquet(os.path.join(path, "header"))
+    return StagedPoints(spark, path)

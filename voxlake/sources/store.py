@@ -2,17 +2,19 @@
 
 Layout under one root folder (shared storage on a cluster):
 
-- ``voxels/chunk_id=i_j/*.parquet`` -- voxel rows, partitioned by chunk and sorted by
+- ``voxels/run_seq=N/chunk_id=i_j/*.parquet`` -- voxel rows of run N, by chunk and sorted by
   ``(voxel_x, voxel_y, voxel_z)`` inside each file, so Parquet row-group min/max statistics
   act as the coordinate index (S1.11).
-- ``outcomes/`` -- append-only log of chunk outcomes, one row per chunk and run.
-- ``metadata/`` -- append-only key/value log; the highest version of a key wins (S1.9).
-
-A full run overwrites ``voxels`` and ``outcomes``; a resume overwrites only the partitions
-of the chunks it attempted (dynamic partition overwrite), so a retried write never
-duplicates rows (S1.12, B3). Voxel rows carry the ``run_seq`` that wrote them, and readers
-show a run-managed chunk only through the rows of its latest ``ok`` run, so no stale
-partition is ever visible (B6).
+- ``outcomes/run_seq=N`` -- one row per chunk that run N attempted.
+- ``appended/base=N/chunk_id=...`` -- rows loaded outside any run, on top of full run N.
+- ``commits/`` -- one row per published run, with its settings. **Readers see only what it names**: the
+  last full run and the resumes after it.
+- ``metadata/`` -- append-only key/value log beside the runs' settings; the newest value wins (S1.9).
+
+A run writes into folders of its own number and publishes itself by one last append to
+``commits``. A run that dies before that leaves nothing a reader sees, whether it was the first,
+a full one or a resume; the next run takes the same number and overwrites its folders (S1.12, B3).
+A chunk shows the rows of its latest outcome, and only if that is ``ok`` (B6).
 """
 
 from __future__ import annotations
@@ -21,35 +23,34 @@ import math
 import os
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from voxlake.operators.clean import maybe_broadcast
+from voxlake.operators.outcomes import ingest_totals
 from voxlake.operators.recovery import ledger_from_outcomes
-from voxlake.sources.values import empty_frame, values_frame
-from voxlake.schemas import (INDEX_COLUMNS, METADATA_SCHEMA, OUTCOME_SCHEMA, STATUS_OK,
+from voxlake.schemas import (COMMIT_SCHEMA, FULL, INDEX_COLUMNS, METADATA_SCHEMA, OUTCOME_SCHEMA, STATUS_OK,
                              STORED_VOXEL_SCHEMA, VOXEL_COLUMNS)
+from voxlake.sources.values import empty_frame, sql_literal, values_frame
 
 # Rows per output file; keeps files bounded even for a chunk with a third of all voxels.
 MAX_RECORDS_PER_FILE = 4_000_000
-# Largest chunk-id list turned into a partition filter by box lookups.
-MAX_PRUNE_LIST = 10_000
 
 
-def _read(spark: SparkSession, schema, path: str) -> DataFrame | None:
-    """Parquet folder with a fixed schema, or None when the folder does not exist."""
+def _read(spark: SparkSession, schema, *paths: str, base: str | None = None) -> DataFrame | None:
+    """Parquet folders with a fixed schema, or None when one does not exist."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        reader = spark.read.schema(schema)
+        return (reader.option("basePath", base) if base else reader).parquet(*paths)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
         raise
 
 
-def write_voxel_layout(voxels: DataFrame, path: str, mode: str = "reset",
-                       num_partitions: int | None = None) -> None:
-    """Write voxel rows partitioned by ``chunk_id``, sorted by index inside each file.
+def write_voxel_layout(voxels: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """Write voxel rows partitioned by ``chunk_id``, sorted by index inside each file; replaces ``path``.
 
     The ``REBALANCE(chunk_id)`` hint lets AQE size the writer tasks at run time: small
     chunks are coalesced into one task, and a chunk holding a large share of the voxels is
@@ -57,20 +58,13 @@ def write_voxel_layout(voxels: DataFrame, path: str, mode: str = "reset",
     ``chunk_id`` would put it in a single task). No sampling pass is needed, unlike a range
     repartition. Each file is sorted by ``(voxel_x, voxel_y, voxel_z)``, so Parquet
     row-group min/max statistics serve box lookups, and ``maxRecordsPerFile`` bounds files.
-    ``mode='reset'`` replaces the table (S1.8); ``mode='chunks'`` replaces only the chunk
-    partitions present in ``voxels`` (S1.4 with dynamic overwrite, S1.12).
+    A retried write leaves the same rows once (S1.12).
     """
-    rows = voxels.select(*VOXEL_COLUMNS, *(["run_seq"] if "run_seq" in voxels.columns else []), "chunk_id")
+    rows = voxels.select(*VOXEL_COLUMNS, "chunk_id")
     rows = rows.hint("rebalance", num_partitions, "chunk_id") if num_partitions else rows.hint("rebalance", "chunk_id")
-    writer = (rows.sortWithinPartitions("chunk_id", *INDEX_COLUMNS).write
-              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-              .partitionBy("chunk_id"))
-    if mode == "reset":
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    elif mode == "chunks":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        raise ValueError(f"unknown write mode {mode!r}")
+    (rows.sortWithinPartitions("chunk_id", *INDEX_COLUMNS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("chunk_id").parquet(path))
 
 
 def read_voxel_layout(spark: SparkSession, path: str) -> DataFrame:
@@ -78,7 +72,7 @@ def read_voxel_layout(spark: SparkSession, path: str) -> DataFrame:
     df = _read(spark, STORED_VOXEL_SCHEMA, path)
     if df is None:
         raise FileNotFoundError(f"voxel table not found at {path}; run an ingest first")
-    return df
+    return df.drop("run_seq")
 
 
 class VoxelStore:
@@ -87,103 +81,154 @@ class VoxelStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.voxels_path = os.path.join(root, "voxels")
-        self.outcomes_path = os.path.join(root, "outcomes")
-        self.metadata_path = os.path.join(root, "metadata")
+        self.voxels_path, self.outcomes_path, self.metadata_path, self.commits_path, self.appended_path = (
+            os.path.join(root, d) for d in ("voxels", "outcomes", "metadata", "commits", "appended"))
+
+    # -- published runs ----------------------------------------------------------------------
+    def commits(self) -> list[dict]:
+        """Published runs in order: one row each, a handful."""
+        df = _read(self.spark, COMMIT_SCHEMA, self.commits_path)
+        return [] if df is None else sorted((r.asDict() for r in df.collect()), key=lambda r: r["run_seq"])
+
+    @staticmethod
+    def live(commits: list[dict]) -> list[int]:
+        """Numbers of the last full run and the resumes after it."""
+        seqs: list[int] = []
+        for c in commits:
+            seqs = [c["run_seq"]] if c["kind"] == FULL else [*seqs, c["run_seq"]]
+        return seqs
+
+    def next_run_seq(self) -> int:
+        return max((c["run_seq"] for c in self.commits()), default=0) + 1
+
+    def publish(self, run_seq: int, kind: str, metadata: dict) -> None:
+        """The one write that makes run ``run_seq`` visible, with its settings as text (S8.7)."""
+        pairs = ", ".join(f"{sql_literal(str(k))}, {sql_literal(_as_text(v))}" for k, v in metadata.items())
+        row = self.spark.range(1).selectExpr(
+            f"{int(run_seq)}L AS run_seq", f"'{kind}' AS kind", f"{time.time_ns()}L AS version",
+            f"CAST(map({pairs}) AS MAP<STRING, STRING>) AS metadata")
+        row.coalesce(1).write.mode("append").parquet(self.commits_path)
 
-    # -- existence ---------------------------------------------------------------------------
     def exists(self) -> bool:
-        return _read(self.spark, STORED_VOXEL_SCHEMA, self.voxels_path) is not None
+        return any(_read(self.spark, schema, path) is not None
+                   for schema, path in ((COMMIT_SCHEMA, self.commits_path), (STORED_VOXEL_SCHEMA, self.appended_path)))
 
     def require(self) -> None:
         if not self.exists():
             raise FileNotFoundError(f"no voxel store at {self.root}; run an ingest first")
 
     # -- voxels ------------------------------------------------------------------------------
-    def write_voxels(self, voxels: DataFrame, reset: bool, run_seq: int | None = None) -> None:
-        """Write the voxel rows of one run, tagged with its ``run_seq``."""
-        rows = voxels if run_seq is None else voxels.withColumn("run_seq", F.lit(int(run_seq)).cast("long"))
-        write_voxel_layout(rows, self.voxels_path, "reset" if reset else "chunks")
-
-    def raw_voxels(self) -> DataFrame:
-        """Every stored partition, stale ones included."""
-        return read_voxel_layout(self.spark, self.voxels_path)
-
-    def voxels(self, max_chunks_bound: int | None = None, raw: DataFrame | None = None) -> DataFrame:
-        """Visible voxel rows.
-
-        A chunk managed by runs shows only the rows written by its latest outcome, and only
-        if that outcome is ``ok``. A partition left over from an older run -- a chunk re-run
-        into no voxels, or a run that wrote voxels but died before recording its outcome --
-        is therefore never shown (B6). Rows appended outside any run (no outcome for their
-        chunk) stay visible. The latest-outcome table is at most G^2 rows and is broadcast
-        into a left join on the partition column. ``raw`` reuses an already listed read of
-        the table (listing a table with many chunk folders is itself a Spark job).
-        """
-        if raw is None:
-            raw = _read(self.spark, STORED_VOXEL_SCHEMA, self.voxels_path)
-            if raw is None:
-                raise FileNotFoundError(f"no voxel store at {self.root}; run an ingest first")
-        bound = max_chunks_bound or self._chunk_bound()
-        latest = (self.outcomes().groupBy("chunk_id")
-                  .agg(F.max_by("status", "run_seq").alias("latest_status"), F.max("run_seq").alias("latest_seq")))
-        return (raw.join(maybe_broadcast(latest, bound), "chunk_id", "left")
-                .where(f"latest_status IS NULL OR (latest_status = '{STATUS_OK}' AND run_seq = latest_seq)")
-                .select(*STORED_VOXEL_SCHEMA.fieldNames()))
+    def write_voxels(self, voxels: DataFrame, run_seq: int) -> None:
+        """Write the voxel rows of run ``run_seq`` into its own folder (not visible before publish)."""
+        write_voxel_layout(voxels, self._run_folder(self.voxels_path, run_seq))
+
+    def run_voxels(self, run_seq: int) -> DataFrame:
+        """The rows that run ``run_seq`` wrote, published or not."""
+        return self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, [run_seq])
+
+    def voxels(self) -> DataFrame:
+        """Visible voxel rows: each chunk's rows of its latest outcome if that is ``ok`` (B6), and the
+        rows appended since the last full run. The outcome table has at most G^2 rows and is broadcast."""
+        commits = self.commits()
+        return self._visible(commits, self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, self.live(commits)))
+
+    def _visible(self, commits: list[dict], rows: DataFrame) -> DataFrame:
+        if not commits:
+            self.require()
+        live = self.live(commits)
+        if len(live) > 1:       # a later run may have replaced a chunk
+            latest = (self.outcomes(commits).groupBy("chunk_id")
+                      .agg(F.max_by("status", "run_seq").alias("status"), F.max("run_seq").alias("run_seq")))
+            latest = latest.where(f"status = '{STATUS_OK}'").select("chunk_id", "run_seq")
+            rows = rows.join(maybe_broadcast(latest, self._chunk_bound(commits)), ["chunk_id", "run_seq"], "left_semi")
+        rows = rows.select(*STORED_VOXEL_SCHEMA.fieldNames())
+        appended = self._appended(commits)
+        return rows if appended is None else rows.unionByName(appended)
+
+    def _appended(self, commits: list[dict]) -> DataFrame | None:
+        base = os.path.join(self.appended_path, f"base={self._base(commits)}")
+        return _read(self.spark, STORED_VOXEL_SCHEMA, base)
 
     def append_voxels(self, voxels: DataFrame, chunk_id: str = "loaded") -> None:
         """S1.6: bulk append of voxel rows (``chunk_id`` column, or the given id); empty -> no-op."""
         if voxels.isEmpty():
             return
         rows = voxels if "chunk_id" in voxels.columns else voxels.withColumn("chunk_id", F.lit(chunk_id))
+        path = os.path.join(self.appended_path, f"base={self._base(self.commits())}")
         (rows.select(*VOXEL_COLUMNS, F.lit(None).cast("long").alias("run_seq"), "chunk_id").write.mode("append")
-         .partitionBy("chunk_id").parquet(self.voxels_path))
+         .partitionBy("chunk_id").parquet(path))
 
     def create(self) -> "VoxelStore":
         """S1.7: create the empty tables if absent (existing tables are left as they are)."""
         if not self.exists():
-            write_voxel_layout(empty_frame(self.spark, STORED_VOXEL_SCHEMA), self.voxels_path, "reset")
-        if _read(self.spark, OUTCOME_SCHEMA, self.outcomes_path) is None:
-            empty_frame(self.spark, OUTCOME_SCHEMA).write.parquet(self.outcomes_path)
-        if _read(self.spark, METADATA_SCHEMA, self.metadata_path) is None:
-            empty_frame(self.spark, METADATA_SCHEMA).write.parquet(self.metadata_path)
+            empty_frame(self.spark, COMMIT_SCHEMA).write.parquet(self.commits_path)
         return self
 
     def reset(self) -> None:
-        """S1.8: empty the voxel table and its outcome log; metadata is kept."""
-        empty = empty_frame(self.spark, STORED_VOXEL_SCHEMA)
-        write_voxel_layout(empty, self.voxels_path, "reset")
-        empty_frame(self.spark, OUTCOME_SCHEMA).write.mode("overwrite").parquet(self.outcomes_path)
-
-    def _chunk_bound(self) -> int:
-        g = self.get_metadata("grid_size", None)
+        """S1.8: empty the voxel table and its outcomes (an empty full run); metadata is kept."""
+        self.publish(self.next_run_seq(), FULL, {})
+
+    def _base(self, commits: list[dict]) -> int:
+        return (self.live(commits) or [0])[0]
+
+    @staticmethod
+    def _run_folder(path: str, run_seq: int) -> str:
+        return os.path.join(path, f"run_seq={int(run_seq)}")
+
+    def _runs(self, path: str, schema, seqs: list[int]) -> DataFrame:
+        """Rows of the given runs; an empty full run has no folder."""
+        frames = [f for s in seqs if (f := _read(self.spark, schema, self._run_folder(path, s), base=path)) is not None]
+        out = frames[0] if frames else empty_frame(self.spark, schema)
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def _chunk_bound(self, commits: list[dict]) -> int:
+        g = self._settings(commits).get("grid_size")
         return int(g) ** 2 if g is not None else 1 << 62
 
     # -- outcomes and ledger -----------------------------------------------------------------
-    def outcomes(self) -> DataFrame:
-        df = _read(self.spark, OUTCOME_SCHEMA, self.outcomes_path)
-        return empty_frame(self.spark, OUTCOME_SCHEMA) if df is None else df
+    def outcomes(self, commits: list[dict] | None = None) -> DataFrame:
+        """Outcomes of the last full run and the resumes after it, one row per chunk and run."""
+        live = self.live(self.commits() if commits is None else commits)
+        return self._runs(self.outcomes_path, OUTCOME_SCHEMA, live).select(*OUTCOME_SCHEMA.fieldNames())
 
-    def next_run_seq(self) -> int:
-        row = self.outcomes().agg(F.max("run_seq").alias("m")).first()
-        return 1 if row["m"] is None else int(row["m"]) + 1
+    def latest_outcomes(self) -> DataFrame:
+        """The latest outcome of each chunk."""
+        return (self.outcomes().groupBy("chunk_id")
+                .agg(F.max_by(F.struct(*OUTCOME_SCHEMA.fieldNames()), "run_seq").alias("o")).select("o.*"))
 
-    def write_outcomes(self, outcomes: DataFrame, run_seq: int, reset: bool) -> None:
-        rows = outcomes.select(F.lit(run_seq).cast("long").alias("run_seq"),
-                               *[c for c in OUTCOME_SCHEMA.fieldNames() if c != "run_seq"])
-        rows.coalesce(1).write.mode("overwrite" if reset else "append").parquet(self.outcomes_path)
+    def write_outcomes(self, outcomes: DataFrame, run_seq: int) -> None:
+        outcomes.select(*[c for c in OUTCOME_SCHEMA.fieldNames() if c != "run_seq"]).write.mode("overwrite").parquet(
+            self._run_folder(self.outcomes_path, run_seq))
 
     def ledger(self) -> DataFrame:
         """Failed-chunk ledger as data: chunks whose latest outcome is ``failed``."""
         return ledger_from_outcomes(self.outcomes())
 
+    def totals(self) -> DataFrame:
+        """S4.9 / S4.12 of the stored table: points read and kept, voxels, chunk states, ratio."""
+        return ingest_totals(self.latest_outcomes())
+
     # -- metadata ----------------------------------------------------------------------------
+    def _settings(self, commits: list[dict]) -> dict[str, str]:
+        """Settings of the published runs, the newest value of each key."""
+        out: dict[str, str] = {}
+        for c in commits:
+            out |= c["metadata"] or {}
+        return out
+
     def metadata_log(self) -> DataFrame:
-        df = _read(self.spark, METADATA_SCHEMA, self.metadata_path)
-        return empty_frame(self.spark, METADATA_SCHEMA) if df is None else df
+        """Every value ever set, by runs and by hand: ``key, value, version``."""
+        log = _read(self.spark, METADATA_SCHEMA, self.metadata_path)
+        runs = _read(self.spark, COMMIT_SCHEMA, self.commits_path)
+        parts = [f for f in (log, None if runs is None else runs.selectExpr("explode(metadata) AS (key, value)", "version")) if f is not None]
+        if not parts:
+            return empty_frame(self.spark, METADATA_SCHEMA)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def metadata(self) -> DataFrame:
-        """Latest value per key (INSERT OR REPLACE semantics over an append-only log)."""
+        """Latest value per key (INSERT OR REPLACE semantics over append-only logs)."""
         return self.metadata_log().groupBy("key").agg(F.max_by("value", "version").alias("value"))
 
     def set_metadata(self, values: dict) -> None:
@@ -197,54 +242,45 @@ class VoxelStore:
                    is_voxel_coords: bool = False, limit: int = 1000) -> DataFrame:
         """Box lookup on the stored table (S2.7-S2.9, S6.3) with chunk-partition pruning.
 
-        The stored header and grid tell which chunks can hold voxel_x / voxel_y in the box:
-        chunk ``i`` covers x in [xmin_i, xmax_i], hence voxel_x in [floor(xmin_i / s),
-        floor(xmax_i / s)]. The surviving chunk ids become a literal ``chunk_id IN (...)``
-        partition filter, and the index bounds are pushed to the Parquet scan, where the
-        index-sorted files skip row groups (the role the reference's B-tree index played).
+        The stored grid tells which chunk rows and columns can hold voxels of the box; they become
+        ranges on the parts of ``chunk_id``, a partition filter, with a voxel to spare on each side (cell
+        edges and the chunk of a point round differently). The index predicate stays exact, and its
+        bounds reach the Parquet scan, where the index-sorted files skip row groups. Rows appended
+        outside any run lie elsewhere and are not pruned.
         """
         from voxlake.operators.reads import index_bounds, voxels_in_box
-        meta = {r["key"]: r["value"] for r in self.metadata().collect()}          # a handful of keys
-        size = float(meta.get("voxel_size", "2.0"))
-        vox = self.voxels()
-        if all(k in meta for k in ("grid_size", "min_x", "max_x", "min_y", "max_y")):
-            g = int(meta["grid_size"])
+        commits = self.commits()
+        meta = self._settings(commits)
+        size = float(self.get_metadata("voxel_size", "2.0"))
+        rows = self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, self.live(commits))
+        if all(k in meta for k in ("grid_size", "voxel_size", "min_x", "max_x", "min_y", "max_y")):
+            g, run_size = int(meta["grid_size"]), float(meta["voxel_size"])
             b = index_bounds(min_x, max_x, min_y, max_y, None, None, is_voxel_coords, size)
-            x0, x1 = float(meta["min_x"]), float(meta["max_x"])
-            y0, y1 = float(meta["min_y"]), float(meta["max_y"])
-            sx, sy = (x1 - x0) / g, (y1 - y0) / g
-
-            def reach(lo, hi, origin, step, k):
-                a, c = math.floor((origin + k * step) / size), math.floor((origin + (k + 1) * step) / size)
-                return (lo is None or c >= lo) and (hi is None or a <= hi)
-
-            xs = [i for i in range(g) if reach(b["min_x"], b["max_x"], x0, sx, i)]
-            ys = [j for j in range(g) if reach(b["min_y"], b["max_y"], y0, sy, j)]
-            if len(xs) * len(ys) < g * g and len(xs) * len(ys) <= MAX_PRUNE_LIST:
-                ids = [f"{i}_{j}" for i in xs for j in ys]
-                vox = vox.where(F.col("chunk_id").isin(ids))
-        return voxels_in_box(vox, min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size, limit)
+            for part, axis in ((0, "x"), (1, "y")):
+                lo, hi = b[f"min_{axis}"], b[f"max_{axis}"]
+                first, last = float(meta[f"min_{axis}"]), float(meta[f"max_{axis}"])
+                step = (last - first) / g
+                near = [k for k in range(g)
+                        if (lo is None or math.floor((first + (k + 1) * step) / run_size) + 1 >= lo)
+                        and (hi is None or math.floor((first + k * step) / run_size) - 1 <= hi)]
+                if step > 0 and len(near) < g:      # g is at most MAX_GRID; the cells are consecutive
+                    rows = rows.where(f"CAST(split(chunk_id, '_')[{part}] AS INT) BETWEEN {near[0]} AND {near[-1]}"
+                                      if near else "false")
+        return voxels_in_box(self._visible(commits, rows), min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size, limit)
 
     def compact(self) -> None:
-        """Rewrite the metadata and outcome logs to their latest row per key / chunk.
-
-        Both logs are append-only, so many runs leave many small files. Every reader uses
-        only the latest version per key (metadata) or per chunk (ledger, hidden chunks), so
-        keeping those rows changes no result. The compacted rows go to a scratch copy under
-        the checkpoint root first, then replace the log (a path is never read and
-        overwritten by the same job).
-        """
-        from voxlake.session import scratch_path
-        latest_meta = (self.metadata_log().groupBy("key")
-                       .agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version")))
-        latest_out = (self.outcomes().groupBy("chunk_id")
-                      .agg(F.max_by(F.struct(*OUTCOME_SCHEMA.fieldNames()), "run_seq").alias("o"))
-                      .select("o.*"))
-        for df, schema, path in ((latest_meta, METADATA_SCHEMA, self.metadata_path),
-                                 (latest_out, OUTCOME_SCHEMA, self.outcomes_path)):
-            tmp = scratch_path(self.spark, "store-compact")
-            df.select(*schema.fieldNames()).coalesce(1).write.parquet(tmp)
-            self.spark.read.schema(schema).parquet(tmp).coalesce(1).write.mode("overwrite").parquet(path)
+        """Rewrite what is visible as one full run, published at once: voxels, appended rows, latest
+        outcomes and settings. Older folders are no longer read."""
+        commits = self.commits()
+        seq = self.next_run_seq()
+        appended = self._appended(commits)
+        rows = self.voxels().where("run_seq IS NOT NULL")
+        self.write_voxels(rows.drop("run_seq"), seq)
+        self.write_outcomes(self.latest_outcomes(), seq)
+        if appended is not None:
+            (appended.write.mode("overwrite").partitionBy("chunk_id")
+             .parquet(os.path.join(self.appended_path, f"base={seq}")))
+        self.publish(seq, FULL, self._settings(commits))
 
     # -- the reference's read endpoints and verification, over the stored table -------------
     def summary(self) -> DataFrame:
