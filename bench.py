@@ -22,14 +22,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from voxlake.plans.build import voxelize_points  # noqa: E402
-from voxlake.plans.catalog import EVENTS, LINEITEM, LOSS_OUTCOMES, QUERIES, lossy_read, q_voxels  # noqa: E402
+from voxlake.plans.catalog import EVENTS, LINEITEM, QUERIES, RESUME_FLOOR, SHARE_FLOOR, q_voxels  # noqa: E402
 from voxlake.plans.ingest import ingest, resume  # noqa: E402
-from voxlake.operators.chunks import Bounds, Grid  # noqa: E402
+from voxlake.operators.chunks import Bounds  # noqa: E402
 from voxlake.session import scratch_path  # noqa: E402
+from voxlake.sources.store import VoxelStore  # noqa: E402
 
 HEADLINE = [
     "voxelize_clean", "voxelize_events", "voxelize_raw", "voxelize_first_chunks", "chunk_outcomes",
-    "points_bounds", "chunk_occupancy", "voxel_stats", "densest_voxels", "voxels_in_box", "run_summary",
+    "points_bounds", "points_in_box", "chunk_occupancy", "voxel_stats", "densest_voxels", "voxels_in_box", "run_summary",
 ]
 
 
@@ -84,20 +85,23 @@ def main() -> None:
 
     times["ingest_full"] = round(timed(full_ingest, reps), 3)
 
-    ev = EVENTS.points(spark, sf_dir, keep=["event_id"])
-    b = Bounds.of(ev)
-    grid = Grid(b, EVENTS.grid)
-    manifest = (grid.assign(ev).groupBy(grid.chunk_id("chunk").alias("chunk_id")).count()
-                .withColumnRenamed("count", "expected_points"))
-    lossy = lossy_read(grid.assign(ev), grid, LOSS_OUTCOMES).drop("chunk")
+    ev = EVENTS.points(spark, sf_dir)
 
     def ingest_then_resume():
         root = scratch_path(spark, "bench-resume")
-        ingest(spark, lossy, root, EVENTS.config(), source="events", bounds=b, manifest=manifest)
-        resume(spark, ev, root, manifest=manifest)
+        ingest(spark, ev, root, EVENTS.config(share_floor=SHARE_FLOOR), source="events")
+        resume(spark, ev, root, cfg=EVENTS.config(share_floor=RESUME_FLOOR))
 
     times["ingest_and_resume"] = round(timed(ingest_then_resume, reps), 3)
 
+    # Over a stored table: bulk load of its voxel rows into another store, and the pruned box lookup.
+    root = scratch_path(spark, "bench-stored")
+    ingest(spark, p1, root, LINEITEM.config(), source="lineitem")
+    store = VoxelStore(spark, root)
+    rows = store.voxels().drop("run_seq", "chunk_id")
+    times["voxel_load"] = round(timed(lambda: VoxelStore(spark, scratch_path(spark, "bench-load")).append_voxels(rows), reps), 3)
+    times["stored_box_lookup"] = round(timed(lambda: run_noop(store.box_voxels(limit=1000, **LINEITEM.box)), reps), 3)
+
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
