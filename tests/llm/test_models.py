@@ -1,0 +1,170 @@
+"""Language identification, vantage-point search and the pipeline."""
+
+import json
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from voxlake.llm import langid_nb, vptree
+from voxlake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def gram_counts(text):
+    """The n-grams in words: letters lower-cased, runs of others one blank, a blank at both ends."""
+    s = "".join(c if c.isalpha() else " " for c in text.lower())
+    s = " " + " ".join(s.split()) + (" " if s.split() else "")
+    return [s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1) if (n == 2 or s[i + n // 2] != " ")]
+
+
+def test_every_ngram_is_counted_once():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcéñ  .1ßZ") for _ in range(rng.randint(0, 30))) for _ in range(200)] + ["", ".."]
+    bucket, of = langid_nb.grams(texts)
+    for i, t in enumerate(texts):
+        alone, _ = langid_nb.grams([t])
+        assert sorted(bucket[of == i]) == sorted(alone) and len(alone) == len(gram_counts(t)), t
+    word, _ = langid_nb.grams(["ab"])
+    assert len(word) == 2 + 3 + 2       # a b | _a ab b_ | _ab ab_
+
+
+def test_held_out_accuracy_and_fold(spark):
+    rows = QUERIES["op4_langid"](spark, SF).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    out = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in out) / len(out) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows) and {r.lang_pred for r in rows} <= set(truth.values()) | {"und"}
+
+
+def test_model_like_plain_naive_bayes(spark):
+    rows = [("aa", "ala ma kota"), ("aa", "kot"), ("bb", "der hund"), (None, "zzz zzz"), ("bb", None)]
+    m = langid_nb.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert m.languages == ["aa", "bb"] and np.allclose(np.exp(m.prior), [0.5, 0.5])
+    counts = {lang: np.bincount(langid_nb.grams([t or "" for la, t in rows if la == lang])[0], minlength=langid_nb.BUCKETS) for lang in ("aa", "bb")}
+    for i, c in enumerate(counts.values()):
+        assert np.allclose(m.matrix[:, i], np.log((c + langid_nb.ALPHA) / (c.sum() + langid_nb.ALPHA * langid_nb.BUCKETS)))
+    names, score, _ = langid_nb.scores(["hund der", "12", "kota"], m)
+    total = m.prior + m.matrix[langid_nb.grams(["hund der"])[0]].sum(axis=0)
+    assert names == ["bb", "und", "aa"] and score[1] == 0
+    assert score[0] == pytest.approx(math.exp(total[1]) / np.exp(total).sum()) if total.max() > -700 else score[0] > 0.5
+
+
+def test_language_edge_cases(spark):
+    d = spark.createDataFrame([(1, None, "en", 0), (2, "", "en", 0), (3, "123 .", "en", 0), (4, "hello world " * 20000, "en", 0), (4, "hello", None, 0), (None, "größe straße für", "de", 0)],
+                              "doc_id long, text string, lang string, r int")
+    m = langid_nb.train(d)
+    got = sorted((repr(r.doc_id), r.lang_pred) for r in langid_nb.predict(d, m).collect())
+    assert got == [("1", "und"), ("2", "und"), ("3", "und"), ("4", "en"), ("4", "en"), ("None", "de")]
+    kept = langid_nb.known(d, m)
+    assert kept.columns == d.columns and sorted(repr(r.doc_id) for r in kept.collect()) == ["4", "4", "None"]
+    none = langid_nb.train(d.limit(0))
+    assert {r.lang_pred for r in langid_nb.predict(d, none).collect()} == {"und"} and langid_nb.predict(d.limit(0), m).count() == 0
+
+
+# -- search ------------------------------------------------------------------------------------------
+
+def exact(rows, every, k):
+    out = []
+    for q, v in rows:
+        if q % every == 0:
+            near = sorted((float(np.sqrt(np.square(np.array(v) - np.array(w)).sum())), i) for i, w in rows if i != q)
+            out += [(q, n + 1, i, d) for n, (d, i) in enumerate(near[:k])]
+    return out
+
+
+@pytest.mark.parametrize("shard_rows,block", [(4096, 2048), (60, 3)])
+def test_factor_one_is_exact(spark, shard_rows, block):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(300, 6)).round(2)
+    v[100:180] = v[7]           # one very common vector
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(v)]
+    df = spark.createDataFrame([(*r, "s") for r in rows], "vec_id long, embedding array<double>, score string").repartition(3)
+    got = sorted(tuple(r) for r in vptree.nearest(df, every=20, k=10, factor=1.0, shard_rows=shard_rows, query_block=block).collect())
+    want = exact(rows, 20, 10)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_recall_of_the_production_factor(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    got = QUERIES["op3_vptree"](spark, "/root/testdata/sf0.1").collect()
+    want = {(q, i) for q, _, i, _ in exact(rows, 100, 10)}
+    assert len({(r.query_id, r.vec_id) for r in got} & want) / len(want) >= 0.9 and len(got) == len(want)
+
+
+def test_pruning_grows_with_the_factor():
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(2000, 8)) + 6 * rng.integers(0, 3, (2000, 1))
+    seen = []
+    for factor in (1.0, 2.0, 5.0):
+        tree = vptree.Tree(np.arange(2000), v)
+        count = [0]
+        real = vptree.distances
+        vptree.distances = lambda q, w: (count.__setitem__(0, count[0] + len(q) * len(w)), real(q, w))[1]
+        try:
+            tree.search(np.arange(20), v[:20], 10, factor)
+        finally:
+            vptree.distances = real
+        seen.append(count[0])
+    assert seen[0] > seen[1] > seen[2] and seen[0] < 20 * 2000
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (100, [0.0, 0.0]), (200, [nan, 1.0]), (300, None), (400, [None, 1.0]), (500, [inf, 1.0]), (600, []), (None, [1.0, 1.0]),
+            (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in vptree.nearest(df).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 3, 0.5), (0, 2, 1, 1.0)]
+    assert vptree.nearest(df.limit(0)).count() == 0
+
+
+# -- pipeline ----------------------------------------------------------------------------------------
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, row string, r string, t string, k string, id long, g int, label string, jaccard_id long, x0 double"
+
+
+def odd_documents(spark):
+    rng = random.Random(6)
+    base = [" ".join(rng.choice(["der", "hund", "lief", "schnell", "über", "wiese", "bach", "und", "weit"]) + str(rng.randrange(30)) for _ in range(90)) for _ in range(4)]
+    texts = [None, "", "short", *base, base[0], base[0] + " end", "call +1 (234) 555-0199 or a@b.org " + base[1], "#$% " * 90, "1 2 3 " * 30, base[2] * 40]
+    rows = [(i, t, "de" if i % 3 else None, None if i % 4 == 0 else "s", None if t is None else len(t), "a", "b", "c", "d", i, 1, "e", 7, 0.5) for i, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, rows[3], (None, *rows[4][1:])], CLASHING), texts
+
+
+def test_stages_on_odd_documents(spark):
+    """Nulls, blanks, long texts, repeated rows and clashing columns pass every stage; so does an empty table."""
+    docs, texts = odd_documents(spark)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "private", "packing"]
+    for start in (docs, docs.limit(0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES:
+            was, now = now, stage(spark, now, SF)
+            if name != "packing":
+                assert now.columns == docs.columns
+                now = spark.createDataFrame(now.collect(), now.schema)
+                kept = {repr(r.doc_id) for r in now.collect()}
+                if name == "near_duplicates" and start is docs:
+                    assert "3" in kept and "7" not in kept and "8" not in kept and now.where("doc_id = 3").count() == 1
+                if name == "private":
+                    assert not [r for r in now.collect() if "a@b.org" in r.text or "555-0199" in r.text]
+        assert (now.count() > 0) == (start is docs)
+    every = dict(corpus_pipeline.STAGES)
+    for stage in ("language", "near_duplicates", "private", "packing"):
+        assert every[stage](spark, docs, SF).count() > 0
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    """Documents with a good label survive unless they are short, repeat themselves or repeat others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    good = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1"), "doc_id")
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    from voxlake.llm.quality_mcd import rules
+    lost = good.join(kept, "doc_id", "left_anti").join(rules(docs).where("NOT base_failed").select("doc_id"), "doc_id")
+    assert lost.count() == 0
+    assert json.dumps([n for n, _ in corpus_pipeline.STAGES])

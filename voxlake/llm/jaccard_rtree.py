@@ -513,7 +513,7 @@ def one_of_each(docs: DataFrame, width: int, share: int, whole: int, key: str =
     python_ready(docs.sparkSession)
     of = written(linked(docs, width, share, whole, key, text), "jaccard-result")
     gone = written(of.where(f"`{key}` <> component_id").select(F.col(key).alias("jaccard_id")).distinct(), "jaccard-gone")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone, F.col(f"`{key}`") == F.col("jaccard_id"), "left_anti")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone, docs[key] == gone["jaccard_id"], "left_anti")
     twice = of.where(f"`{key}` IS NOT NULL").groupBy(key).count().where("count > 1")
     return kept if twice.isEmpty() else kept.where(f"`{key}` IS NULL").union(
         kept.where(f"`{key}` IS NOT NULL").dropDuplicates([key]))

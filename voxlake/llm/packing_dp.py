@@ -3,7 +3,7 @@
 The documents of a partition, in table order, form one stream of ids (each document's ids, then
 ``end_id``). Windows of at most ``size`` ids tile the stream; candidate cuts are the ends of documents
 (free), of sentences (``SENTENCE`` ids of penalty) and, within stretches that have neither, every
-``STRIDE`` ids (``HARD``). A window costs its padding to ``size``, nothing if its length is a power of
+``size / STRIDES`` ids (``HARD``). A window costs its padding to ``size``, nothing if its length is a power of
 two, plus ``EACH``; the cheapest chain of cuts follows from
 
     cost[j] = penalty[j] + min over i of cost[i] + padding(at[j] - at[i]),
@@ -36,16 +36,17 @@ from voxlake.llm.common import python_ready
 
 SIZE = 1024
 SENTENCE, HARD, EACH = 4.0, 32.0, 1.0
-STRIDE = 128            # hard cuts, in stretches of more than 2 * STRIDE ids without a better one
+STRIDES = 8             # hard cuts, in stretches without better ones, at this part of a window
 BLOCK = 1_000_000
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     """Cut positions of a stream (0 and ``total`` included) and their penalties."""
     soft = np.union1d(np.append(doc_ends, [0, total]), sentence_ends)
-    gaps = np.flatnonzero(np.diff(soft) > 2 * STRIDE)
-    hard = [np.arange(soft[g] + STRIDE, soft[g + 1] - STRIDE // 2, STRIDE) for g in gaps]
+    stride = max(1, size // STRIDES)
+    gaps = np.flatnonzero(np.diff(soft) > 2 * stride)
+    hard = [np.arange(soft[g] + stride, soft[g + 1] - stride // 2, stride) for g in gaps]
     at = np.union1d(soft, np.concatenate(hard)) if hard else soft
     penalty = np.full(len(at), HARD)
     penalty[np.searchsorted(at, soft)] = SENTENCE
@@ -127,7 +128,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE, key: str
             nonlocal sequence, total
             ids, n = np.concatenate(held), np.concatenate(lengths)
             ends = np.cumsum(n)
-            at, penalty = candidates(total, ends, np.flatnonzero(flags[ids]) + 1)
+            at, penalty = candidates(total, ends, np.flatnonzero(flags[ids]) + 1, size)
             cuts = cheapest_cuts(at, penalty, size)
             doc, start, length, window, offset = pieces_of(ends, cuts)
             raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")

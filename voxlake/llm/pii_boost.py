@@ -44,7 +44,7 @@ PATTERNS = {
 }
 # Generators of the method.
 EXTRA = {
-    "number": r"(?<![A-Za-z0-9+.])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+",
+    "number": r"(?<![A-Za-z0-9+.])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![A-Za-z0-9])",
     "handle": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}"
               r"(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z]{2,24}",
     "secret": r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_/+-]{0,63}[0-9])[A-Za-z0-9_+/-]{24,}+",
