@@ -21,7 +21,7 @@ from voxlake.operators.reads import run_summary, voxel_stats
 from voxlake.operators.recovery import points_of_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
 from voxlake.schemas import FULL, RESUME
-from voxlake.session import scratch_path
+from voxlake.session import discard, scratch_path
 from voxlake.sources.points import StagedPoints
 from voxlake.sources.store import VoxelStore
 
@@ -64,7 +64,9 @@ def _run(spark: SparkSession, assigned: DataFrame, store: VoxelStore, cfg: Voxel
     # Job: clean and voxelize what did not fail, into this run's own folders.
     good = plan.where("error IS NULL AND chunk IS NOT NULL AND points_read > 0")
     store.write_voxels(chunk_voxels(assigned, grid, cfg, stats=good), seq)
-    store.write_outcomes(chunk_outcomes(plan, voxel_counts(store.run_voxels(seq))), seq)
+    loaded = store.run_voxels(seq)              # listed once
+    store.write_outcomes(chunk_outcomes(plan, voxel_counts(loaded)), seq)
+    discard(spark, path)
 
     # Ledger (S7.2 / S7.3): (previous - attempted) U failed now; on a full run, failed now.
     ledger = sorted(set(kept_ledger) | set(bad))
@@ -80,7 +82,7 @@ def _run(spark: SparkSession, assigned: DataFrame, store: VoxelStore, cfg: Voxel
             "in_range_share": 1.0 if row["share"] is None else float(row["share"]),
         }
     store.publish(seq, kind, settings)
-    return RunResult("success", seq, row["attempted"], ledger, voxel_stats(store.voxels()).first().asDict())
+    return RunResult("success", seq, row["attempted"], ledger, voxel_stats(loaded if kind == FULL else store.voxels()).first().asDict())
 
 
 def ingest(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg: VoxelConfig, source: str = "",

@@ -55,3 +55,9 @@ _LOCAL_ROOTS: dict[int, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one written intermediate table."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that is no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
