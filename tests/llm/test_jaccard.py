@@ -55,10 +55,9 @@ def corpus(seed):
     return list(enumerate([*texts, "", None, " \n", "A b C", "a B c", "é É x", "É é x"]))
 
 
-@pytest.mark.parametrize("width,share,full,tile", [(3, 90, 16, 2048), (5, 80, 16, 2048), (3, 90, 2, 6), (2, 50, 2, 6)])
-def test_components_like_brute_force(spark, monkeypatch, width, share, full, tile):
-    """Small blocks, large blocks with hubs, and blocks cut into tiles."""
-    monkeypatch.setattr(J, "FULL", full)
+@pytest.mark.parametrize("width,share,tile", [(3, 90, 2048), (5, 80, 2048), (3, 90, 6), (2, 50, 6)])
+def test_components_like_brute_force(spark, monkeypatch, width, share, tile):
+    """Whole blocks, and blocks cut into tiles."""
     monkeypatch.setattr(J, "TILE", tile)
     rows = corpus(width * share)
     df = spark.createDataFrame([(*r, "z", 0) for r in rows], "doc_id long, text string, id string, class long").repartition(3)

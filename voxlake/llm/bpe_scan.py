@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 
 from voxlake.llm.common import python_ready
 
-MAX_CACHED = 300_000
-CHARS_AT_ONCE = 500_000
+MAX_CACHED = 400_000
+CHARS_AT_ONCE = 2_000_000
 BLOCK = 128
 SEP = "\ud800"          # a lone surrogate: in no valid text, so it can stand between texts
 SEP_CP = 0xD800
@@ -173,12 +173,12 @@ class PieceCache:
         return flat[where], upto[first], offsets, first
 
 
-def in_slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Consecutive slices of about CHARS_AT_ONCE characters, each with its first index."""
+def in_slices(texts: list[str], chars: int = CHARS_AT_ONCE) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive slices of about ``chars`` characters, each with its first index."""
     a, held = 0, 0
     for i, t in enumerate(texts):
         held += len(t)
-        if held >= CHARS_AT_ONCE:
+        if held >= chars:
             yield a, texts[a : i + 1]
             a, held = i + 1, 0
     if a < len(texts):

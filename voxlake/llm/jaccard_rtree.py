@@ -14,17 +14,17 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
    rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
    keys that several classes hold leave the task.
-3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups; the group counts are a point. A
-   bucket's blocks are bulk-loaded into one R-tree (block, then size, then counts; leaves of ``FANOUT``),
-   joined with itself level by level: a pair of nodes survives if blocks meet, sizes fit, and the summed
+3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups; the group counts are a point. The
+   points of a shard are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``),
+   joined with itself level by level: a pair of nodes survives if stars meet, sizes fit, and the summed
    coordinate minima of their upper corners reach the overlap that a link needs; at the leaves the same
    bound holds on the points.
 4. **Verification** of surviving pairs on the texts' sets, exact.
-5. **Stars first.** Every class is paired with its block's smallest class, in blocks of over ``FULL``
-   classes with the ``HUBS`` most central points instead; blocks whose classes have then all met in one
-   component are settled. The others go through the R-tree join in full, in tiles of ``TILE`` classes, for
-   pairs of different components. So a group of mutual near copies costs a star, not all its pairs, and no
-   link between components is missed.
+5. **Stars first.** Every class is paired with its blocks' hubs, a hub being the class of a block that lies
+   in the most blocks. Stars whose classes have then all met in one component are settled. The classes of the
+   others go through the R-tree join in full, in tiles of ``TILE``, for pairs of different components (the
+   classes of a block share its hub, so each of their pairs is looked at, once per star). So a group of
+   mutual near copies costs a star, not all its pairs, and no link between components is missed.
 
 The R-tree alone would not do: in tens of dimensions the corners of a node of unrelated texts bound
 nothing, and the join would compare all texts of a size. The equi-key of step 2 only deals the points
@@ -56,10 +56,9 @@ WIDTH, SHARE, WHOLE = 3, 90, 100
 DIM_BITS = 8
 DIMS = 1 << DIM_BITS    # coordinates of a count vector
 FANOUT = 16
-FULL = 16               # larger blocks look for central hubs
-HUBS = 3                # of a large block: its most central classes
 TILE = 2048
 LEVELS = 4
+CHARS = 500_000         # of texts hashed at once
 KEY_BYTES = 5           # a chance agreement of keys only costs a look
 MAX_BROADCAST = 1_000_000
 
@@ -203,7 +202,7 @@ def points(docs: DataFrame, width: int) -> DataFrame:
     """``id, n, class, counts`` of ``(id, t)`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, some in in_slices(_texts(batch)):
+            for a, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, len(some)), pa.array([len(s) for s in sets], pa.int64()),
@@ -214,10 +213,10 @@ def points(docs: DataFrame, width: int) -> DataFrame:
 
 
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
-    """``block, class, size, least`` rows of every block with at least two classes; equal blocks appear once."""
+    """``block, class, size`` rows of every block with at least two classes; equal blocks appear once."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, some in in_slices(_texts(batch)):
+            for _, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 names = [class_of(s) for s in sets]
                 first = {c: i for i, c in reversed(list(enumerate(names))) if c is not None}
@@ -251,7 +250,7 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
         member = np.repeat(several, size)
         classes, size = classes[member], size[several]
         if not len(size):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "class", "size", "least")})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "class", "size")})
         # A block is named by its members, so that the many keys a cluster shares make one block.
         starts = np.cumsum(size) - size
         name = mix(np.add.reduceat(mix(classes.view(np.uint64)), starts) + size.astype(np.uint64)).view(np.int64)
@@ -259,11 +258,10 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
         kept = np.zeros(len(size), bool)
         kept[once] = True
         member = np.repeat(kept, size)
-        return pa.table({"block": np.repeat(name, size)[member], "class": classes[member], "size": np.repeat(size, size)[member],
-                         "least": np.repeat(np.minimum.reduceat(classes, starts), size)[member]})
+        return pa.table({"block": np.repeat(name, size)[member], "class": classes[member], "size": np.repeat(size, size)[member]})
 
     sent = docs.mapInArrow(emit, "bucket long, keys binary, classes binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long, least long").distinct()
+    return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long").distinct()
 
 
 def _levels(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.ndarray) -> list[dict[str, np.ndarray]]:
@@ -317,16 +315,6 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def central(block: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Marks, in each block, the HUBS points nearest to the block's median vector."""
-    hub = np.zeros(len(block), bool)
-    first = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(block)]):
-        apart = np.abs(counts[a:b] - np.median(counts[a:b], axis=0)).sum(axis=1)
-        hub[a + np.argsort(apart, kind="stable")[:HUBS]] = True
-    return hub
-
-
 def _in_tree_order(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
     column = {c: table.column(c).to_numpy() for c in table.column_names if c != "counts"}
     counts = vectors_of(table.column("counts").to_pylist())
@@ -350,25 +338,20 @@ def _pairs(name: np.ndarray, found: Iterator[tuple[np.ndarray, np.ndarray]], use
 _TILES = f"greatest(1, cast(ceil(size / {TILE}) as int))"
 
 
-def starred(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
-    """Candidate pairs ``a < b`` of large blocks, tile by tile: those with a hub. Hubs of tiles come again
-    as ``(a, a, block)``."""
-    def join(table: pa.Table) -> pa.Table:
-        c, counts = _in_tree_order(table)
-        hub = central(c["block"], counts)
-        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["class"], hub, share, whole))
-        at = np.flatnonzero(hub & (c["size"] > TILE))
-        return pa.table({"a": np.concatenate([pairs[:, 0], c["class"][at]]), "b": np.concatenate([pairs[:, 1], c["class"][at]]),
-                         "block": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), c["whole_block"][at]]))})
-
-    m = members.selectExpr("block AS whole_block", "class", "size", "n", "counts",
-                           f"if(size > {TILE}, xxhash64(block, pmod(xxhash64(class), {_TILES})), block) AS block")
-    m = m.withColumn("bucket", F.expr(f"if(size > {TILE}, block, pmod(xxhash64(block), {buckets}))"))
-    return m.groupBy("bucket").applyInArrow(join, "a long, b long, block long")
+def stars(members: DataFrame) -> DataFrame:
+    """``hub, class``: each class with the hub of every block it lies in. A block's hub is its class that lies
+    in the most blocks (the least edited text lies in all of its copies' blocks, so blocks of one group agree
+    on it); ties go to the smaller class."""
+    degree = members.groupBy("class").agg(F.count("*").alias("d"))
+    ranked = members.join(degree, "class")
+    hubs = ranked.groupBy("block").agg(F.max(F.struct("d", (-F.col("class")).alias("c"))).alias("h"))
+    both = members.join(hubs.select("block", (-F.col("h.c")).alias("hub")), "block")
+    return both.where("class <> hub").select("hub", "class").distinct()
 
 
 def across(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
-    """Candidate pairs ``a < b`` of different labels, in full: blocks are dealt out in pairs of tiles."""
+    """Candidate pairs ``a < b`` of different labels within each star (``block``), in full: large stars are dealt
+    out in pairs of tiles."""
     def join(table: pa.Table) -> pa.Table:
         c, counts = _in_tree_order(table)
         one = c["tile_a"] == c["tile_b"]
@@ -472,17 +455,9 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
                       "jaccard-classes")
     where = classes.where("id IS NOT NULL").select("class", "id")
     members = written(blocks(d, width, share, whole, buckets), "jaccard-blocks")
-    points_ = classes.select("class", "n", "counts")
-
-    pairs = bounded(members.where(f"size <= {FULL} AND class <> least").selectExpr("least AS a", "class AS b").distinct(),
-                    classes, share, whole)
-    hubs = members.where(f"size > {FULL}").select("block", "class", "size")
-    while not hubs.isEmpty():       # the hubs of a large block's tiles form a smaller block
-        star = written(starred(hubs.join(points_, "class"), share, whole, buckets), "jaccard-stars")
-        pairs = pairs.union(star.where("a < b").select("a", "b"))
-        again = star.where("a = b").select("block", F.col("a").alias("class"))
-        hubs = again.join(again.groupBy("block").agg(F.count("*").alias("size")), "block")
-    pairs = written(pairs.distinct(), "jaccard-pairs")
+    star = written(stars(members), "jaccard-stars")
+    pairs = bounded(star.selectExpr("least(hub, class) AS a", "greatest(hub, class) AS b").distinct(), classes, share, whole)
+    pairs = written(pairs, "jaccard-pairs")
     links = written(verified(pairs, d, where, width, share, whole), "jaccard-links")
     # Rows that repeat an id with another text: their classes belong together.
     twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
@@ -490,12 +465,14 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     links = written(links.union(same), "jaccard-links")
     labels = components(links)
 
-    # Blocks whose classes have not all met: the rest of their pairs.
-    met = members.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_ = met.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("block")
-    rest = written(met.join(open_, "block", "left_semi").join(points_, "class"), "jaccard-open")
+    # Stars whose classes, but for the hub, have not all met: the rest of their pairs. Classes of a block
+    # share its hub, so no pair of a block is missed.
+    met = star.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    open_ = met.groupBy("hub").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).where("x < y")
+    rest = written(met.join(open_.select("hub", "size"), "hub").select(F.col("hub").alias("block"), "class", "size", "label"), "jaccard-open")
     if not rest.isEmpty():
-        more = written(across(rest, share, whole, buckets).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+        more = across(rest.join(classes.select("class", "n", "counts"), "class"), share, whole, buckets)
+        more = written(more.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         labels = components(links.union(verified(more, d, where, width, share, whole)))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))

@@ -38,6 +38,7 @@ BUCKETS = 1 << BITS
 ALPHA = 0.5
 MAX_LANGUAGES = 200
 CELLS = 1 << 22         # counters at once in scoring
+CHARS = 500_000         # characters at once
 UNKNOWN = "und"
 
 
@@ -100,7 +101,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         docs: dict[str, int] = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, some in in_slices(texts):
+            for a, some in in_slices(texts, CHARS):
                 names = sorted(set(langs[a : a + len(some)]))
                 code = {n: i for i, n in enumerate(names)}
                 own = np.array([code[n] for n in langs[a : a + len(some)]], np.int64)
@@ -168,7 +169,7 @@ def _scored(d: DataFrame, model: Model) -> DataFrame:
         m: Model = sent.value
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, some in in_slices(texts):
+            for a, some in in_slices(texts, CHARS):
                 names, score, margin = scores(some, m) if m.languages else ([UNKNOWN] * len(some), np.zeros(len(some)), np.zeros(len(some)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(some)), pa.array(names, pa.string()),
                                                   pa.array(score), pa.array(margin)], names=["r", "lang_pred", "score", "margin"])

@@ -55,7 +55,7 @@ HINT = (r"(?i)(?:mail|contact|reach|write|phone|tel|call|mobile|fax|card|visa|ac
 BEFORE = 24             # characters of context looked at before a candidate
 SAMPLE = 20_000
 PRECISION = 0.9
-TREES, DEPTH = 10, 3
+TREES, DEPTH = 8, 3
 SEED = 11
 #: Fields of a candidate that the trees see.
 FEATURES = ["f_len", "f_digits", "f_letters", "f_seps", "f_distinct", "f_upper", "f_hint", "f_assign", "f_line", "f_kind"]
@@ -109,20 +109,19 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     for kind in KINDS:
         d = d.withColumn(f"p_base_{kind}", F.expr(f"filter(p_s_{kind}, x -> {check(kind, 'x.m')})"))
     before = f"substring(p_t, greatest(1, x.a + 1 - {BEFORE}), least(x.a, {BEFORE}))"
-    parts = []
-    for code, kind in enumerate(ALL):
-        passed = check(kind, "x.m")
-        parts.append(f"""transform(p_s_{kind}, x -> named_struct('kind', '{kind}', 'a', x.a, 'b', x.b, 'ok', {passed},
-            'f_len', cast(least(x.b - x.a, 80) as double), 'f_digits', cast(length({_digits('x.m')}) as double) / length(x.m),
-            'f_letters', cast(length(regexp_replace(x.m, '[^A-Za-z]', '')) as double) / length(x.m),
-            'f_seps', cast(least(length(regexp_replace(x.m, '[A-Za-z0-9]', '')), 20) as double),
-            'f_distinct', cast(size(array_distinct(split(substring(x.m, 1, 80), ''))) as double),
-            'f_upper', cast(length(regexp_replace(x.m, '[^A-Z]', '')) as double) / length(x.m),
-            'f_hint', if({before} rlike {sql_str(HINT)}, 1D, 0D),
-            'f_assign', if({before} rlike '[:=][ "\\']*$', 1D, 0D),
-            'f_line', if(x.a = 0 or {before} rlike '\\\\n$', 1D, 0D), 'f_kind', {float(code)}D))""")
-    d = d.withColumn("p_cand", F.expr(f"if(p_d or contains(p_t, '@') or size(p_s_handle) > 0, concat({', '.join(parts)}), array())"))
-    return d.drop("p_d", *[f"p_x_{k}" for k in ALL], *[f"p_m_{k}" for k in ALL], *[f"p_s_{k}" for k in ALL])
+    every = ", ".join(f"transform(p_s_{kind}, x -> named_struct('kind', '{kind}', 'code', {float(code)}D, 'a', x.a, 'b', x.b, 'm', x.m, "
+                      f"'ok', {'array_contains(p_base_' + kind + ', x)' if kind in KINDS else 'false'}))" for code, kind in enumerate(ALL))
+    d = d.withColumn("p_all", F.expr(f"concat({every})"))
+    d = d.withColumn("p_cand", F.expr(f"""transform(p_all, x -> named_struct('kind', x.kind, 'a', x.a, 'b', x.b, 'ok', x.ok,
+        'f_len', cast(least(x.b - x.a, 80) as double), 'f_digits', cast(length({_digits('x.m')}) as double) / length(x.m),
+        'f_letters', cast(length(regexp_replace(x.m, '[^A-Za-z]', '')) as double) / length(x.m),
+        'f_seps', cast(least(length(regexp_replace(x.m, '[A-Za-z0-9]', '')), 20) as double),
+        'f_distinct', cast(size(array_distinct(split(substring(x.m, 1, 80), ''))) as double),
+        'f_upper', cast(length(regexp_replace(x.m, '[^A-Z]', '')) as double) / length(x.m),
+        'f_hint', if({before} rlike {sql_str(HINT)}, 1D, 0D),
+        'f_assign', if({before} rlike '[:=][ "\\']*$', 1D, 0D),
+        'f_line', if(x.a = 0 or {before} rlike '\\\\n$', 1D, 0D), 'f_kind', x.code))"""))
+    return d.drop("p_d", "p_all", *[f"p_x_{k}" for k in ALL], *[f"p_m_{k}" for k in ALL], *[f"p_s_{k}" for k in ALL])
 
 
 def train(candidates: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:

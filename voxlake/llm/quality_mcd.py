@@ -43,6 +43,7 @@ CHI_MEDIAN = 3.357      # its median, for the consistency factor
 FLOORS = [0.06, 0.05, 0.15, 0.12]
 ACCURACY = 2000         # of the quantile sketches
 P = len(FLOORS)
+MAX_BROADCAST = 100_000 # groups, about 200 bytes each
 SYMBOLS = r"[#*$%&|<>]"
 
 DIMS = range(P)
@@ -173,8 +174,9 @@ def fit(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _judged(d: DataFrame, of: DataFrame, params: DataFrame) -> DataFrame:
     """Adds ``q_distance`` (null without an estimate) and ``q_kept`` to rows with q_base, q_g0 and x0..."""
-    p = of.join(params, "g", "left").withColumnRenamed("g0", "q_g0").withColumnRenamed("g", "q_g")
-    d = d.join(p, "q_g0", "left")
+    p = written(of.join(params, "g", "left").withColumnRenamed("g0", "q_g0").withColumnRenamed("g", "q_g"), "mcd-by-group")
+    # The rows carry texts, so they should not move: broadcast up to a counted size, beyond it shuffle.
+    d = d.join(F.broadcast(p) if p.count() <= MAX_BROADCAST else p, "q_g0", "left")
     d = d.withColumn("q_distance", _distance("m", "l") / F.col("f"))
     return d.withColumn("q_kept", ~F.col("q_base") & (F.coalesce(F.col("q_distance"), F.lit(0.0)) <= CUTOFF))
 
