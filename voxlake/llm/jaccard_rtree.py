@@ -14,11 +14,12 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
    rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
    keys that several classes hold leave the task.
-3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups; the group counts are a point. The
+3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups, or more for long texts; the group
+   counts are a point. The
    points of a shard are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``),
    joined with itself level by level: a pair of nodes survives if stars meet, sizes fit, and the summed
    coordinate minima of their upper corners reach the overlap that a link needs; at the leaves the same
-   bound holds on the points.
+   bound holds on the points, over all groups that both have.
 4. **Verification** of surviving pairs on the texts' sets, exact.
 5. **Stars first.** Every class is paired with its blocks' hubs, a hub being the class of a block that lies
    in the most blocks. Stars whose classes have then all met in one component are settled. The classes of the
@@ -54,7 +55,8 @@ from voxlake.llm.common import python_ready, written
 
 WIDTH, SHARE, WHOLE = 3, 90, 100
 DIM_BITS = 8
-DIMS = 1 << DIM_BITS    # coordinates of a count vector
+DIMS = 1 << DIM_BITS    # coordinates of a count vector in the tree
+LOAD = 4                # shingles a coordinate at most, on average
 FANOUT = 16
 TILE = 2048
 LEVELS = 4
@@ -130,16 +132,35 @@ def class_of(shingles: np.ndarray) -> int | None:
 
 
 def counts_of(shingles: np.ndarray) -> bytes:
-    """The count vector: how many shingles fall into each of DIMS groups."""
-    counts = np.bincount((mix(shingles) >> np.uint64(64 - DIM_BITS)).astype(np.int64), minlength=DIMS)
-    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
-
-
-def vectors_of(packed: list[bytes]) -> np.ndarray:
-    """The count vectors of such rows, as a matrix."""
-    out = np.empty((len(packed), DIMS), np.int32)
-    for i, raw in enumerate(packed):
-        out[i] = np.frombuffer(raw, f"<u{len(raw) // DIMS}")
+    """The count vector: how many shingles fall into each of DIMS groups, or of a larger power of two for
+    sets of more than LOAD shingles a group (else all long texts would look alike)."""
+    bits = max(DIM_BITS, (len(shingles) // LOAD).bit_length())
+    counts = np.bincount((mix(shingles) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    kind = "u1" if counts.max() < 1 << 8 else "<u4"
+    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
+
+
+def vector_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
+def folded(vector: np.ndarray, dims: int) -> np.ndarray:
+    """The vector over fewer groups (groups are named by leading bits, so neighbours merge)."""
+    return vector if len(vector) == dims else vector.reshape(dims, -1).sum(axis=1)
+
+
+def fine_bound(vectors: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima of index pairs over the most groups that both vectors have."""
+    size = np.array([len(v) for v in vectors])
+    dims, out = np.minimum(size[i], size[j]), np.empty(len(i), np.int64)
+    for d in np.unique(dims).tolist():
+        at = np.flatnonzero(dims == d)
+        rows, back = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        table = np.stack([folded(vectors[r], d) for r in rows.tolist()]).astype(np.int32)
+        step = max(1, (1 << 21) // d)
+        for a in range(0, len(at), step):
+            x, y = back[a : a + step][: len(at) - a], back[len(at) + a : len(at) + a + step]
+            out[at[a : a + step]] = np.minimum(table[x], table[y]).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -315,11 +336,12 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def _in_tree_order(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def _in_tree_order(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, list[np.ndarray]]:
     column = {c: table.column(c).to_numpy() for c in table.column_names if c != "counts"}
-    counts = vectors_of(table.column("counts").to_pylist())
+    vectors = [vector_of(v) for v in table.column("counts").to_pylist()]
+    counts = np.stack([folded(v, DIMS) for v in vectors]).astype(np.int32)
     order = np.lexsort((column["class"], *counts.T[:4], column["n"], column["block"]))
-    return {c: v[order] for c, v in column.items()}, counts[order]
+    return {c: v[order] for c, v in column.items()}, counts[order], [vectors[i] for i in order.tolist()]
 
 
 def _pairs(name: np.ndarray, found: Iterator[tuple[np.ndarray, np.ndarray]], use=lambda i, j: slice(None)) -> np.ndarray:
@@ -353,10 +375,15 @@ def across(members: DataFrame, share: int, whole: int, buckets: int) -> DataFram
     """Candidate pairs ``a < b`` of different labels within each star (``block``), in full: large stars are dealt
     out in pairs of tiles."""
     def join(table: pa.Table) -> pa.Table:
-        c, counts = _in_tree_order(table)
+        c, counts, vectors = _in_tree_order(table)
         one = c["tile_a"] == c["tile_b"]
-        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["label"], np.ones(len(one), bool), share, whole),
-                       lambda i, j: (c["label"][i] != c["label"][j]) & (one[i] | (c["tile"][i] != c["tile"][j])))
+
+        def use(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            keep = np.flatnonzero((c["label"][i] != c["label"][j]) & (one[i] | (c["tile"][i] != c["tile"][j])))
+            bound = fine_bound(vectors, i[keep], j[keep])
+            return keep[(whole + share) * bound >= share * (c["n"][i[keep]] + c["n"][j[keep]])]
+
+        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["label"], np.ones(len(one), bool), share, whole), use)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     m = members.selectExpr("*", f"cast(pmod(xxhash64(class), {_TILES}) as int) AS tile",
@@ -374,8 +401,9 @@ def bounded(pairs: DataFrame, classes: DataFrame, share: int, whole: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(i).to_numpy() for i in (2, 4))
-            x, y = (vectors_of(batch.column(i).to_pylist()) for i in (3, 5))
-            good = (whole + share) * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= share * (n + m)
+            vectors = [vector_of(v) for i in (3, 5) for v in batch.column(i).to_pylist()]
+            bound = fine_bound(vectors, np.arange(len(n)), np.arange(len(n)) + len(n))
+            good = (whole + share) * bound >= share * (n + m)
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"v_{c}"))
