@@ -175,6 +175,16 @@ def test_tree_expression_equals_the_model(spark):
     assert both and max(abs(r.p - r.q) for r in both) < 1e-9
 
 
+def test_rare_kinds_count_beside_very_common_ones(spark, monkeypatch):
+    """A kind far rarer than the sample is fitted and calibrated; the fit stays small."""
+    monkeypatch.setattr(pii_boost, "SAMPLE", 280)
+    texts = [f"order {7 * i}{j} of {i + 100}" for i in range(4000) for j in (1, 22)] + [
+        f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(12)]
+    c = pii_boost.with_candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    model, cut = pii_boost.train(c.select("p_cand"))
+    assert model is not None and "secret" in cut
+
+
 # -- URLs ------------------------------------------------------------------------------------------
 
 def judged(url):

@@ -9,11 +9,12 @@ groups that are no base span), ``handle`` (spelled-out or quoted mail addresses)
 of letters and digits). Each candidate of any kind has format features (length, digits, letters, separators,
 distinct characters, Luhn and octet checks, kind) and context features (a hint word before it, an assignment
 sign, a currency or unit after it). Gradient-boosted trees (Spark ML) are fitted on a bounded sample of
-at most ``SAMPLE`` candidates, labelled by the strong evidence that only some candidates carry: a passed check
-or a hint word is positive, a failed check without a hint negative. The evidence itself is left out of the
+about ``SAMPLE`` candidates, drawn evenly by kind and label (equal ones once) and labelled by the strong
+evidence that only some candidates carry: a passed check or a hint word is positive, a failed check without
+a hint negative. The evidence itself is left out of the
 features of the kind it labels, so the trees must find the format. Each kind's threshold is the smallest
-score whose precision on the other half of the sample reaches ``PRECISION``; without such a score the kind adds
-nothing. The trees become one SQL expression that runs inside each row: no explode, no shuffle, no Python.
+score whose precision over all labelled candidates outside the fit reaches ``PRECISION``; without such a score
+the kind adds nothing. The trees become one SQL expression that runs inside each row: no explode, no shuffle, no Python.
 
 Regular expressions are written without nested backtracking (possessive loops, starts only where a run
 starts), so one very long run of word characters or digits is scanned once.
@@ -53,7 +54,8 @@ ALL = [*KINDS, *EXTRA]
 HINT = (r"(?i)(?:mail|contact|reach|write|phone|tel|call|mobile|fax|card|visa|account|iban|ssn|passport|ip|host|address|"
         r"token|secret|key|password|passwd|pwd|auth)[a-z]{0,6}[\x20:=\"'#.-]{0,6}$")
 BEFORE = 24             # characters of context looked at before a candidate
-SAMPLE = 20_000
+SAMPLE = 20_000         # about the most rows that the trees are fitted on
+DRAWS = 1_000_000       # steps of the share that is drawn for the fit
 PRECISION = 0.9
 TREES, DEPTH = 8, 3
 SEED = 11
@@ -130,26 +132,37 @@ def train(candidates: DataFrame) -> tuple[GBTClassificationModel | None, dict[st
     # Labels by strong evidence; the other candidates are what the trees are for.
     label = F.expr("""CASE WHEN kind IN ('email', 'ip', 'card', 'phone') THEN if(ok, 1D, if(f_hint = 0, 0D, NULL))
         WHEN f_hint = 1 AND f_assign = 1 THEN 1D WHEN f_hint = 0 AND f_assign = 0 THEN 0D END""")
-    c = c.withColumn("label", label).where("label IS NOT NULL").withColumn("draw", F.xxhash64("kind", "a", "b", *FEATURES, F.lit(SEED)))
-    # A bounded sample in a fixed order (equal candidates of different texts are interchangeable).
-    sample = written(c.select("kind", "draw", "label", *FEATURES).orderBy("draw", "kind", "label", *FEATURES).limit(SAMPLE), "pii-sample")
-    if sample.select("label").distinct().count() < 2:
+    c = c.withColumn("label", label).where("label IS NOT NULL")
+    # All labelled candidates, equal ones as one row with their number; equal features fall on the same side of the split.
+    every = written(c.groupBy("kind", "label", *FEATURES).agg(F.count("*").alias("n")), "pii-labelled").withColumn(
+        "draw", F.pmod(F.xxhash64("kind", *FEATURES, F.lit(SEED)), F.lit(DRAWS)))
+    # Draws below this go to the fit: about as many rows of each kind and label, never more than about half of them.
+    strata = {(r["kind"], r["label"]): r["count"] for r in every.groupBy("kind", "label").count().collect()}
+    if len({label for _, label in strata}) < 2:
         return None, {}
-    x = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    fitted = x.where("pmod(draw, 2) = 0")
+    upto = {s: min(DRAWS // 2, DRAWS * (SAMPLE // (2 * len(ALL))) // n) for s, n in strata.items()}
+    every = every.withColumn("fit", F.expr("draw < CASE " + " ".join(
+        f"WHEN kind = '{kind}' AND label = {label!r}D THEN {d}" for (kind, label), d in sorted(upto.items())) + " END"))
+    x = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(every.where("fit"))
+    # In a fixed order, so that equal input gives equal trees.
+    fitted = x.repartition(1).sortWithinPartitions("draw", "kind", "label", *FEATURES)
     if fitted.select("label").distinct().count() < 2:
         return None, {}
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32).fit(fitted.coalesce(1))
-    scored = sample.where("pmod(draw, 2) = 1").withColumn("score", F.expr(trees_sql(model, "")))
-    by_score = scored.groupBy("kind", F.round("score", 3).alias("score")).agg(F.sum("label").alias("good"), F.count("*").alias("n"))
-    # At most ``SAMPLE`` rows: precision of everything at or above each score.
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32).fit(fitted)
+    scored = every.where("NOT fit").withColumn("score", F.round(F.expr(trees_sql(model, "")), 3))
+    # At most 1001 scores for each kind and label: precision of everything at or above each score.
+    found = scored.groupBy("kind", "label", "score").agg(F.sum("n").alias("n")).collect()
     cut: dict[str, float] = {}
     for kind in ALL:
-        good = n = 0
-        for row in by_score.where(F.col("kind") == kind).orderBy(F.desc("score")).collect():
-            good, n = good + row["good"], n + row["n"]
-            if good >= PRECISION * n:
-                cut[kind] = float(row["score"])
+        good = total = 0.0
+        by: dict[float, list[float]] = {}
+        for r in found:
+            if r["kind"] == kind:       # each row stands also for the share of its kind and label that the fit took
+                by.setdefault(r["score"], [0.0, 0.0])[int(r["label"])] += r["n"] * DRAWS / (DRAWS - upto[kind, r["label"]])
+        for score in sorted(by, reverse=True):
+            good, total = good + by[score][1], total + sum(by[score])
+            if good >= PRECISION * total:
+                cut[kind] = float(score)
     return model, cut
 
 
