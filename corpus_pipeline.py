@@ -37,7 +37,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 1024 ids."""
-    return packing_dp.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing_dp.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("private", private),

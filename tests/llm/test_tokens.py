@@ -69,6 +69,15 @@ def test_small_cache_gives_the_same_ids(monkeypatch):
     assert ids.tolist() == bpe_scan.rank_cache(RANKS, P.PATTERN).encode(["one two three two one"])[0].tolist()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n", "it's", "é😀", "a b", "12"]), max_size=8).map("".join), max_size=5))
+def test_ids_like_the_library_at_its_default_setting(texts):
+    """Added tokens are recognised; the library runs as the contract has it."""
+    ids, upto = bpe_scan.model_cache(JSON).ids(texts)
+    lib = Tokenizer.from_file(JSON)
+    assert [ids[a:b].tolist() for a, b in zip(upto, upto[1:])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=300))
 def test_elias_fano_select(steps):
@@ -97,6 +106,19 @@ def test_shards_hold_the_ids_in_order(spark, docs, monkeypatch, per_file):
         elias_fano.parse_shard(b"x" * 80)
 
 
+def test_queries_recognise_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from voxlake.llm.queries import op6_packing, op8_token_shards
+    text = "a <|endoftext|> b"
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    ids = Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+    shard, = op8_token_shards(spark, str(tmp_path)).collect()
+    assert shard[2:] == (5, zlib.crc32(np.array([*ids, 2], "<u4").tobytes()))
+    for r, in (op6_packing(spark, str(tmp_path)).collect(), corpus_pipeline.packing(spark, d, "").collect()):
+        assert (r.doc_tokens, r.length, r.ids_crc32) == (5, 5, zlib.crc32(np.array([*ids, 0], "<u4").tobytes()))
+
+
 def check_packing(rows, texts, size):
     tok = hf()
     by = {}

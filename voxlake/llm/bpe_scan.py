@@ -22,6 +22,7 @@ longest text); an empty table gives an empty table; other columns of the input a
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -215,11 +216,48 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class ModelCache(PieceCache):
+    """A piece cache over the tokenizers library's byte-level BPE model. With ``added``, as the library's default
+    is, the tokenizer's added tokens are found first, leftmost and longest, and the scan runs on what lies between
+    them; without, they are text like any other (the library's ``encode_special_tokens``)."""
+
+    def __init__(self, path: str):
+        self.library, letters = tokenizer(path), byte_letters()
+        merge = self.library.model.tokenize
+        super().__init__(lambda pieces: [[t.id for t in merge(p.decode("latin-1").translate(letters))] for p in pieces])
+        added = self.library.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items() if t.content}
+        #: Do all added tokens match as plain text?
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip for t in added.values())
+        self.find = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+
+    def ids(self, texts: list[str], added: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """All ids; ids before each text (and in all)."""
+        holds = [added and any(c in t for c in self.added) for t in texts]
+        if not any(holds):
+            return self.encode(texts)[:2]
+        # Parts of all texts: plain ones and, between them, added tokens (the odd ones of each text).
+        parts = [(self.find.split(t) if self.plain else [""]) if h else [t] for t, h in zip(texts, holds)]
+        flat, upto = self.encode([x for some in parts for x in some[::2]])[:2]
+        out, sizes, at = [], [], 0
+        for text, h, some in zip(texts, holds, parts):
+            found = []
+            for j, x in enumerate(some):
+                if j % 2:
+                    found.append(np.array([self.added[x]], np.uint32))
+                else:
+                    found.append(flat[upto[at]:upto[at + 1]])
+                    at += 1
+            if h and not self.plain:
+                found = [np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)]
+            out += found
+            sizes.append(sum(map(len, found)))
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 @lru_cache(2)
-def model_cache(path: str) -> PieceCache:
-    """A piece cache over the tokenizers library's byte-level BPE model (no special tokens)."""
-    merge, letters = tokenizer(path).model.tokenize, byte_letters()
-    return PieceCache(lambda pieces: [[t.id for t in merge(p.decode("latin-1").translate(letters))] for p in pieces])
+def model_cache(path: str) -> ModelCache:
+    return ModelCache(path)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:

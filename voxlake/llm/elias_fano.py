@@ -115,7 +115,7 @@ def parse_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray, EliasFano, np.ndarr
     return keys, nulls, ef, part(f"<u{width}", count)
 
 
-def write_shards(docs: DataFrame, path: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_shards(docs: DataFrame, path: str, end_id: int = 2, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Writes the shards; returns the manifest ``(task, part, path, docs, ids, before)``."""
     spark = docs.sparkSession
     python_ready(spark)
@@ -147,7 +147,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = 2, key: str = "doc_id
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, some in in_slices(texts):
-                found, upto, _, _ = cache.encode(some)
+                found, upto = cache.ids(some, added)
                 ids.append(np.insert(found, upto[1:], end_id).astype(wide))
                 sizes.append(np.diff(upto) + 1)
                 keys.append(batch.column(0).slice(a, len(some)))

@@ -112,8 +112,9 @@ def ends_sentence(path: str) -> np.ndarray:
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE, key: str = "doc_id", text: str = "text",
-         block: int = BLOCK) -> DataFrame:
-    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         block: int = BLOCK, added: bool = False) -> DataFrame:
+    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset. ``added``: are the
+    tokenizer's added tokens recognised in the texts?"""
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +147,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE, key: str
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, some in in_slices(texts):
-                ids, upto, _, _ = cache.encode(some)
+                ids, upto = cache.ids(some, added)
                 # The end id after each document's ids.
                 held.append(np.insert(ids, upto[1:], end_id))
                 lengths.append(np.diff(upto) + 1)

@@ -39,11 +39,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing_dp.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing_dp.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = elias_fano.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = elias_fano.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return elias_fano.read_shards(manifest)
 
 
