@@ -263,6 +263,13 @@ def test_licence_rules_and_suppression(spark):
         assert set(filter(None, r.labels.split(","))) == want and r.n_spans == len(spans)
 
 
+def test_licence_gate_sees_wrapped_phrases(spark):
+    texts = {"released into the public\n# domain": "public-domain", "All rights\n *   ---------  reserved": "proprietary", "Creative\r\nCommons Zero": "cc0",
+             "/* Permission is hereby\n * granted, free of charge, to any person obtaining a copy": "mit"}
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r.labels for r in license_rules.scan(d).orderBy("doc_id").collect()] == list(texts.values())
+
+
 # -- all of them -------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("key", ["op1_quality", "op2_pii", "op7_url_filter", "op10_license"])

@@ -84,9 +84,11 @@ PHRASES = [
 ]
 #: Weight of each priority in ``score``.
 WEIGHTS = [1.0, 0.95, 0.85, 0.8, 0.3]
-# Texts without one of these are not looked at further; each keyword above contains or implies one.
-TRIGGER = (r"(?i)licen|(?<![a-z0-9])(?:gpl|lgpl|cddl|cc0?|ofl|berkeley)(?![a-z0-9])|hereby granted|redistribut|public domain|"
-           r"rights.{1,9}reserved|confidential|creative.{1,9}commons")
+# Texts without one of these are not looked at further; each keyword above contains or implies one. Between words
+# stands what the normal form makes one blank.
+RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+TRIGGER = (r"(?i)licen|(?<![a-z0-9])(?:gpl|lgpl|cddl|cc0?|ofl|berkeley)(?![a-z0-9])|redistribut|confidential|"
+           + "|".join(words.replace(" ", RAW_GAP) for words in ("hereby granted", "public domain", "rights reserved", "creative commons")))
 
 
 def rules() -> list[tuple[int, str, str, str]]:
