@@ -185,6 +185,27 @@ def test_rare_kinds_count_beside_very_common_ones(spark, monkeypatch):
     assert model is not None and "secret" in cut
 
 
+def test_format_is_found_where_the_evidence_is_missing(spark):
+    """What labels a kind is none of its features, so the same format without hint and sign is added too."""
+    sha = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    texts = [f'token = "{sha(i)}" x' for i in range(200)] + [f"we saw plainwordsofmanyletters{'abcdefgh'[i % 8] * (i % 20)}{i} here" for i in range(200)]
+    bare = {len(texts) + i: f"ref {sha(1000 + i)} end" for i in range(5)}
+    texts += [*bare.values(), "joe [at] site [dot] org", "so JOE (AT) SITE.ORG"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in pii_boost.find(d).collect()}
+    assert all("secret:4:44" in got[i] for i in bare) and not any("secret" in x for i in range(200, 400) for x in got[i])
+    assert got[405] == ["handle:0:23"] and got[406] == ["handle:3:20"]
+
+
+def test_checks_and_units_are_features(spark):
+    d = spark.createDataFrame([(1, "a 4111-1111-1111-1111 b 4111-1111-1111-1112 c 10.20.30.400 d 1234567 EUR e token: 7654321")], "doc_id long, text string")
+    c = [x.asDict() for x in pii_boost.with_candidates(d).first().p_cand]
+    number = {x["a"]: (x["f_luhn"], x["f_octets"], x["f_unit"]) for x in c if x["kind"] == "number"}
+    assert number == {2: (1, 0, 0), 24: (0, 0, 0), 46: (0, 0, 0), 61: (0, 0, 1), 82: (0, 0, 0)}
+    assert [(x["e_hint"], x["e_assign"], x["f_assign"]) for x in c if x["a"] == 82 and x["kind"] == "number"] == [(True, True, 0)]
+    assert not any(x["f_luhn"] for x in c if x["kind"] == "card") and not any(x["f_octets"] for x in c if x["kind"] == "ip")
+
+
 # -- URLs ------------------------------------------------------------------------------------------
 
 def judged(url):

@@ -5,14 +5,17 @@ and kept if they pass their check (octets, Luhn, digit counts); they are always
 the lengths, in code points, of the pieces between matches.
 
 The method adds spans. High-recall generators propose further, overlapping candidates: ``number`` (long digit
-groups that are no base span), ``handle`` (spelled-out or quoted mail addresses) and ``secret`` (long runs
-of letters and digits). Each candidate of any kind has format features (length, digits, letters, separators,
-distinct characters, Luhn and octet checks, kind) and context features (a hint word before it, an assignment
-sign, a currency or unit after it). Gradient-boosted trees (Spark ML) are fitted on a bounded sample of
-about ``SAMPLE`` candidates, drawn evenly by kind and label (equal ones once) and labelled by the strong
-evidence that only some candidates carry: a passed check or a hint word is positive, a failed check without
-a hint negative. The evidence itself is left out of the
-features of the kind it labels, so the trees must find the format. Each kind's threshold is the smallest
+groups), ``handle`` (spelled-out mail addresses, in any case, also with a plain dot) and ``secret`` (long runs
+of letters and digits). A handle whose at-sign is bracketed passes its check and is added as it is; the trees
+decide about the others. Each candidate of any kind has format features (length, digits, letters, separators,
+distinct characters, upper case, the Luhn check but for cards, the octet check but for addresses, kind) and
+context features (start of a line, a currency or unit after it, for base kinds an assignment sign before it).
+Gradient-boosted trees (Spark ML) are fitted on a bounded sample of about ``SAMPLE`` candidates, drawn evenly
+by kind and label (equal ones once) and labelled by strong evidence. Base kinds: a passed check is positive, a
+failed check without a hint word before it negative. Other kinds: a hint word with an assignment sign is
+positive, neither of them negative, so some true ones count as negative and the precision is estimated low. The
+evidence (``e_hint``, ``e_assign``, the check) is left out of the features of each kind it labels, so the
+trees must find the format, and find it also where the evidence is missing. Each kind's threshold is the smallest
 score whose precision over all labelled candidates outside the fit reaches ``PRECISION``; without such a score
 the kind adds nothing. The trees become one SQL expression that runs inside each row: no explode, no shuffle, no Python.
 
@@ -20,7 +23,7 @@ Regular expressions are written without nested backtracking (possessive loops, s
 starts), so one very long run of word characters or digits is scanned once.
 
 Defined cases: a null text counts as empty (no spans, hash of the empty string); repeated rows give repeated
-rows; without candidates, or with one label only, the method adds nothing; an empty table gives an empty
+rows; without candidates, or with one label only, the trees add nothing; an empty table gives an empty
 table; other columns of the input are ignored (``find``) or kept (``redacted``).
 """
 
@@ -46,21 +49,24 @@ PATTERNS = {
 # Generators of the method.
 EXTRA = {
     "number": r"(?<![A-Za-z0-9+.])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![A-Za-z0-9])",
-    "handle": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}"
-              r"(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z]{2,24}",
+    "handle": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[a-z0-9-]{1,63}"
+              r"(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[a-z]{2,24}",
     "secret": r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_/+-]{0,63}[0-9])[A-Za-z0-9_+/-]{24,}+",
 }
 ALL = [*KINDS, *EXTRA]
 HINT = (r"(?i)(?:mail|contact|reach|write|phone|tel|call|mobile|fax|card|visa|account|iban|ssn|passport|ip|host|address|"
         r"token|secret|key|password|passwd|pwd|auth)[a-z]{0,6}[\x20:=\"'#.-]{0,6}$")
-BEFORE = 24             # characters of context looked at before a candidate
+ASSIGN = r"[:=][ \"']*$"
+UNIT = (r"(?i)^\x20?(?:[%$€£¥°]|(?:usd|eur|euros?|gbp|chf|jpy|dollars?|percent|kg|mg|g|km|cm|mm|m|ml|l|kb|mb|gb|tb|ms|s|min|h|hz|kwh|mw|"
+        r"bytes|days|hours|years|lines|rows|words|pages|items|pieces|times)(?![a-z0-9]))")
+BEFORE, AFTER = 24, 12  # characters of context looked at before and after a candidate
 SAMPLE = 20_000         # about the most rows that the trees are fitted on
 DRAWS = 1_000_000       # steps of the share that is drawn for the fit
 PRECISION = 0.9
 TREES, DEPTH = 8, 3
 SEED = 11
 #: Fields of a candidate that the trees see.
-FEATURES = ["f_len", "f_digits", "f_letters", "f_seps", "f_distinct", "f_upper", "f_hint", "f_assign", "f_line", "f_kind"]
+FEATURES = ["f_len", "f_digits", "f_letters", "f_seps", "f_distinct", "f_upper", "f_luhn", "f_octets", "f_assign", "f_line", "f_unit", "f_kind"]
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})){3}$"
 
 
@@ -80,7 +86,7 @@ def check(kind: str, x: str) -> str:
     n = f"length({_digits(x)})"
     return {"email": "true", "ip": f"{x} rlike {sql_str(OCTETS)}",
             "card": f"(length({x}) >= 13 and {n} between 13 and 19 and {luhn(x)})",
-            "phone": f"{n} between 9 and 15"}.get(kind, "false")
+            "phone": f"{n} between 9 and 15", "handle": f"{x} rlike '(?i)[\\\\[(]at[\\\\])]'"}.get(kind, "false")
 
 
 def _gaps(kind: str, pattern: str) -> str:
@@ -98,7 +104,7 @@ def _placed(c: str) -> str:
 
 
 GATES = {"email": "contains(p_t, '@')", "ip": "p_d and contains(p_t, '.')", "card": "p_d", "phone": "p_d and contains(p_t, '+')",
-         "number": "p_d", "handle": "contains(p_t, 'at') and contains(p_t, 'dot')", "secret": "p_d"}
+         "number": "p_d", "handle": "p_t rlike '(?i)[\\\\[( ]at[\\\\]) ]'", "secret": "p_d"}
 
 
 def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -111,8 +117,11 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     for kind in KINDS:
         d = d.withColumn(f"p_base_{kind}", F.expr(f"filter(p_s_{kind}, x -> {check(kind, 'x.m')})"))
     before = f"substring(p_t, greatest(1, x.a + 1 - {BEFORE}), least(x.a, {BEFORE}))"
+    after = f"substring(p_t, x.b + 1, {AFTER})"
     every = ", ".join(f"transform(p_s_{kind}, x -> named_struct('kind', '{kind}', 'code', {float(code)}D, 'a', x.a, 'b', x.b, 'm', x.m, "
-                      f"'ok', {'array_contains(p_base_' + kind + ', x)' if kind in KINDS else 'false'}))" for code, kind in enumerate(ALL))
+                      f"'before', {before}, 'after', {after}, "
+                      f"'ok', {'array_contains(p_base_' + kind + ', x)' if kind in KINDS else check(kind, 'x.m')}))" for code, kind in enumerate(ALL))
+    extra = f"x.kind IN ({', '.join(map(sql_str, EXTRA))})"
     d = d.withColumn("p_all", F.expr(f"concat({every})"))
     d = d.withColumn("p_cand", F.expr(f"""transform(p_all, x -> named_struct('kind', x.kind, 'a', x.a, 'b', x.b, 'ok', x.ok,
         'f_len', cast(least(x.b - x.a, 80) as double), 'f_digits', cast(length({_digits('x.m')}) as double) / length(x.m),
@@ -120,9 +129,10 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         'f_seps', cast(least(length(regexp_replace(x.m, '[A-Za-z0-9]', '')), 20) as double),
         'f_distinct', cast(size(array_distinct(split(substring(x.m, 1, 80), ''))) as double),
         'f_upper', cast(length(regexp_replace(x.m, '[^A-Z]', '')) as double) / length(x.m),
-        'f_hint', if({before} rlike {sql_str(HINT)}, 1D, 0D),
-        'f_assign', if({before} rlike '[:=][ "\\']*$', 1D, 0D),
-        'f_line', if(x.a = 0 or {before} rlike '\\\\n$', 1D, 0D), 'f_kind', x.code))"""))
+        'e_hint', x.before rlike {sql_str(HINT)}, 'e_assign', x.before rlike {sql_str(ASSIGN)},
+        'f_luhn', if(x.kind <> 'card' and {check('card', 'x.m')}, 1D, 0D), 'f_octets', if(x.kind <> 'ip' and {check('ip', 'x.m')}, 1D, 0D),
+        'f_assign', if(not {extra} and x.before rlike {sql_str(ASSIGN)}, 1D, 0D),
+        'f_line', if(x.a = 0 or x.before rlike '\\\\n$', 1D, 0D), 'f_unit', if(x.after rlike {sql_str(UNIT)}, 1D, 0D), 'f_kind', x.code))"""))
     return d.drop("p_d", "p_all", *[f"p_x_{k}" for k in ALL], *[f"p_m_{k}" for k in ALL], *[f"p_s_{k}" for k in ALL])
 
 
@@ -130,8 +140,8 @@ def train(candidates: DataFrame) -> tuple[GBTClassificationModel | None, dict[st
     """The trees and each kind's threshold, from ``p_cand`` rows."""
     c = candidates.select(F.explode("p_cand").alias("c")).select("c.*")
     # Labels by strong evidence; the other candidates are what the trees are for.
-    label = F.expr("""CASE WHEN kind IN ('email', 'ip', 'card', 'phone') THEN if(ok, 1D, if(f_hint = 0, 0D, NULL))
-        WHEN f_hint = 1 AND f_assign = 1 THEN 1D WHEN f_hint = 0 AND f_assign = 0 THEN 0D END""")
+    label = F.expr("""CASE WHEN kind IN ('email', 'ip', 'card', 'phone') THEN if(ok, 1D, if(e_hint, NULL, 0D))
+        WHEN ok THEN NULL WHEN e_hint AND e_assign THEN 1D WHEN NOT e_hint AND NOT e_assign THEN 0D END""")
     c = c.withColumn("label", label).where("label IS NOT NULL")
     # All labelled candidates, equal ones as one row with their number; equal features fall on the same side of the split.
     every = written(c.groupBy("kind", "label", *FEATURES).agg(F.count("*").alias("n")), "pii-labelled").withColumn(
@@ -181,12 +191,13 @@ def trees_sql(model: GBTClassificationModel, of: str) -> str:
 def _with_spans(d: DataFrame, model: GBTClassificationModel | None, cut: dict[str, float]) -> DataFrame:
     """Adds p_spans: base spans and the method's, as (kind number, a, b, kind), in order."""
     base = ", ".join(f"transform(p_base_{k}, x -> named_struct('o', {i}, 'a', x.a, 'b', x.b, 'kind', '{k}'))" for i, k in enumerate(KINDS))
-    added = "cast(array() as array<struct<o:int,a:int,b:int,kind:string>>)"
+    scored = "false"
     if model is not None and cut:
         least = "CASE c.kind " + " ".join(f"WHEN '{k}' THEN {v!r}D" for k, v in cut.items()) + " ELSE 2D END"
-        order = "CASE c.kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(ALL)) + " END"
-        added = (f"transform(filter(p_cand, c -> not c.ok and round({trees_sql(model, 'c.')}, 3) >= {least}), "
-                 f"c -> named_struct('o', {order}, 'a', c.a, 'b', c.b, 'kind', c.kind))")
+        scored = f"round({trees_sql(model, 'c.')}, 3) >= {least}"
+    order = "CASE c.kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(ALL)) + " END"
+    added = (f"transform(filter(p_cand, c -> if(c.ok, c.kind IN ({', '.join(map(sql_str, EXTRA))}), {scored})), "
+             f"c -> named_struct('o', {order}, 'a', c.a, 'b', c.b, 'kind', c.kind))")
     return d.withColumn("p_spans", F.expr(f"array_sort(concat({base}, {added}))"))
 
 
