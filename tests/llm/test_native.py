@@ -291,6 +291,13 @@ def test_licence_gate_sees_wrapped_phrases(spark):
     assert [r.labels for r in license_rules.scan(d).orderBy("doc_id").collect()] == list(texts.values())
 
 
+def test_licence_identifiers_and_short_forms(spark):
+    texts = {"SPDX-License-Identifier: MIT": "mit", "# SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2", "Apache-2.0": "apache-2", "BSD-3-Clause": "bsd-3.clause",
+             "MPL-2.0": "mpl-2", "GPLv2": "gpl-2", "GPLv3": "gpl-3", "LGPLv2.1": "lgpl-2.1", "3-Clause BSD License": "bsd-3.clause", "BSD 3-Clause License": "bsd-3.clause"}
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.labels for r in license_rules.scan(d).orderBy("doc_id").collect()] == list(texts.values())
+
+
 # -- all of them -------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("key", ["op1_quality", "op2_pii", "op7_url_filter", "op10_license"])

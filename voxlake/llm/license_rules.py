@@ -79,15 +79,22 @@ PHRASES = [
     (1, "reserved", r"all rights reserved", "proprietary"),
     (1, "confidential", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary"),
     (1, "domain", r"(?:released into|dedicated to|in) the public domain", "public-domain"),
-    (4, "license", r"(?:see|read) the (?:attached |accompanying )?license(?: file)?(?: for details)?", "unknown"),
-    (4, "licensed", r"licensed under(?: the)?", "unknown"),
+    (5, "license", r"(?:see|read) the (?:attached |accompanying )?license(?: file)?(?: for details)?", "unknown"),
+    (5, "licensed", r"licensed under(?: the)?", "unknown"),
 ]
+# SPDX identifiers as words: stem, identifier, versions. Without a version only the identifier sentence counts.
+SPDX = [("mit", "mit", [""]), ("isc", "isc", [""]), ("zlib", "zlib", [""]), ("unlicense", "unlicense", [""]), ("apache", "apache", ["1 0", "1 1", "2 0"]),
+        ("bsd", "bsd", ["2 clause", "3 clause", "4 clause"]), ("gpl", "gpl", ["1 0", "2 0", "3 0"]), ("lgpl", "lgpl", ["2 0", "2 1", "3 0"]),
+        ("agpl", "agpl", ["1 0", "3 0"]), ("mpl", "mpl", ["1 0", "1 1", "2 0"]), ("epl", "epl", ["1 0", "2 0"]), ("cddl", "cddl", ["1 0", "1 1"]),
+        ("artistic", "artistic", ["1 0", "2 0"]), ("boost", "bsl", ["1 0"]), ("ofl", "ofl", ["1 0", "1 1"]), ("cc0", "cc0", ["1 0"])]
+# Short names that write the version with a v.
+SHORT = ["gpl", "lgpl", "agpl", "mpl", "epl"]
 #: Weight of each priority in ``score``.
-WEIGHTS = [1.0, 0.95, 0.85, 0.8, 0.3]
+WEIGHTS = [1.0, 0.95, 0.85, 0.8, 0.75, 0.3]
 # Texts without one of these are not looked at further; each keyword above contains or implies one. Between words
 # stands what the normal form makes one blank.
 RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-TRIGGER = (r"(?i)licen|(?<![a-z0-9])(?:gpl|lgpl|cddl|cc0?|ofl|berkeley)(?![a-z0-9])|redistribut|confidential|"
+TRIGGER = (r"(?i)licen|(?<![a-z0-9])(?:[al]?gpl|[al]?gplv[0-9]|[me]pl|[me]plv[0-9]|apache|bsd|bsl|artistic|cddl|cc0?|ofl|berkeley)(?![a-z0-9])|redistribut|confidential|"
            + "|".join(words.replace(" ", RAW_GAP) for words in ("hereby granted", "public domain", "rights reserved", "creative commons")))
 
 
@@ -105,6 +112,20 @@ def rules() -> list[tuple[int, str, str, str]]:
                     found.setdefault(add[1:3], add)
                 add = (2 if version else 3, key, title, label)
                 found.setdefault(add[1:3], add)
+    for stem, name, versions in SPDX:
+        for version in versions:
+            label, title = stem + ("-" + version.replace(" 0", "").replace(" ", ".") if version else ""), f"{name} {version}".strip()
+            tail = "(?: only| or later)?"
+            some = [(4, "spdx", f"spdx license identifier {title}{tail}")]
+            if version:
+                some.append((4, name, title + tail))
+            if name == "bsd":
+                some.append((2, name, f"{version} bsd(?: licen[cs]e)?"))
+            if name in SHORT:
+                v = version.replace(" 0", "(?: 0)?")
+                some += [(2, f"{name}v{version[0]}", f"(?:gnu )?{name}v{v}"), (2, name, f"(?:gnu )?{name} v{v}")]
+            for priority, key, regex in some:
+                found.setdefault((key, regex), (priority, key, regex, label))
     for priority, key, regex, label in PHRASES:
         found.setdefault((key, regex), (priority, key, regex, label))
     return sorted(found.values(), key=lambda r: r[0])
