@@ -90,17 +90,50 @@ def check(kind: str, x: str) -> str:
 
 
 def _gaps(kind: str, pattern: str) -> str:
-    """SQL: the matches in p_x_<kind> with the lengths, in code points, of themselves and of the text
-    between them (split only where there is a match)."""
+    """SQL: the matches in p_x_<kind> with their check and the lengths, in code points, of themselves and of
+    the text between them (split only where there is a match)."""
     return f"""if(size(p_x_{kind}) > 0, zip_with(p_x_{kind}, slice(split(p_t, {sql_str(pattern)}, -1), 1, size(p_x_{kind})),
-        (m, gap) -> named_struct('m', m, 'gap', length(gap), 'len', length(m))), array())"""
+        (m, gap) -> named_struct('m', m, 'gap', length(gap), 'len', length(m), 'ok', {check(kind, 'm')})), array())"""
 
 
-def _placed(c: str) -> str:
-    """SQL: running starts over (gap, len) structs."""
-    return f"""aggregate({c}, named_struct('at', 0, 'out', cast(array() as array<struct<a:int,b:int,m:string>>)),
+# Running values over a list, in time linear in it but for (n / BLOCK)^2 small steps: a fold over the whole
+# list would copy its result at every step. Lists stand in columns that are named twice or more, as the
+# optimizer moves a column named once into the lambda that reads it, where it is computed for each element.
+BLOCK = 64
+
+
+def _blocks(c: str) -> str:
+    """SQL: the list ``c`` in runs of ``BLOCK``."""
+    return f"if(size({c}) > 0, transform(sequence(0, (size({c}) - 1) div {BLOCK}), k -> slice({c}, {BLOCK} * k + 1, {BLOCK})), array())"
+
+
+def _before_blocks(c: str, value: str, step: str) -> str:
+    """SQL: the running value before each run of ``c`` and after the last; ``value`` of a run ``r``, ``step`` from ``{last}`` and ``v``."""
+    return f"aggregate(transform({c}, r -> {value}), array(0), (acc, v) -> array_append(acc, {step.format(last='element_at(acc, -1)')}))"
+
+
+def _placed(kind: str) -> str:
+    """SQL: running starts over the runs of (gap, len) structs."""
+    return f"""flatten(zip_with(p_k_{kind}, slice(p_o_{kind}, 1, size(p_k_{kind})), (r, at) -> aggregate(r,
+        named_struct('at', at, 'out', cast(array() as array<struct<a:int,b:int,m:string,ok:boolean>>)),
         (acc, x) -> named_struct('at', acc.at + x.gap + x.len, 'out', array_append(acc.out,
-            named_struct('a', acc.at + x.gap, 'b', acc.at + x.gap + x.len, 'm', x.m)))).out"""
+            named_struct('a', acc.at + x.gap, 'b', acc.at + x.gap + x.len, 'm', x.m, 'ok', x.ok)))).out))"""
+
+
+# Places in a text are reached through its pieces of this many code points, not from its start.
+WINDOW = 128
+
+
+def _piece(first: str, end: str) -> str:
+    """SQL: the code points of p_t from ``first`` to ``end`` (exclusive), read from p_w."""
+    return (f"substring(array_join(slice(p_w, ({first}) div {WINDOW} + 1, ({end}) div {WINDOW} - ({first}) div {WINDOW} + 1), ''), "
+            f"({first}) % {WINDOW} + 1, ({end}) - ({first}))")
+
+
+def _near(first: str, end: str) -> str:
+    """SQL: like ``_piece``, for at most ``WINDOW`` code points: read from two neighbours, without a slice."""
+    return (f"substring(concat(coalesce(get(p_w, ({first}) div {WINDOW}), ''), coalesce(get(p_w, ({first}) div {WINDOW} + 1), '')), "
+            f"({first}) % {WINDOW} + 1, ({end}) - ({first}))")
 
 
 GATES = {"email": "contains(p_t, '@')", "ip": "p_d and contains(p_t, '.')", "card": "p_d", "phone": "p_d and contains(p_t, '+')",
@@ -108,19 +141,25 @@ GATES = {"email": "contains(p_t, '@')", "ip": "p_d and contains(p_t, '.')", "car
 
 
 def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with p_t (the text), p_base_<kind> (checked spans a, b) and p_cand (all candidates)."""
+    """``docs`` with p_t (the text), p_w (it in pieces, if it has a candidate), p_base_<kind> (checked spans a, b)
+    and p_cand (all candidates)."""
     d = docs.withColumn("p_t", F.coalesce(F.col(text), F.lit(""))).withColumn("p_d", F.expr("p_t rlike '[0-9]'"))
-    for kind, pattern in (PATTERNS | EXTRA).items():
-        d = d.withColumn(f"p_x_{kind}", F.expr(f"if({GATES[kind]}, regexp_extract_all(p_t, {sql_str(pattern)}, 0), array())"))
-        d = d.withColumn(f"p_m_{kind}", F.expr(_gaps(kind, pattern)))
-        d = d.withColumn(f"p_s_{kind}", F.expr(_placed(f"p_m_{kind}")))
-    for kind in KINDS:
-        d = d.withColumn(f"p_base_{kind}", F.expr(f"filter(p_s_{kind}, x -> {check(kind, 'x.m')})"))
-    before = f"substring(p_t, greatest(1, x.a + 1 - {BEFORE}), least(x.a, {BEFORE}))"
-    after = f"substring(p_t, x.b + 1, {AFTER})"
+    each = PATTERNS | EXTRA
+
+    def level(make) -> DataFrame:
+        return d.withColumns({name: F.expr(sql) for kind, pattern in each.items() for name, sql in [make(kind, pattern)]})
+
+    d = level(lambda k, p: (f"p_x_{k}", f"if({GATES[k]}, regexp_extract_all(p_t, {sql_str(p)}, 0), array())"))
+    d = level(lambda k, p: (f"p_m_{k}", _gaps(k, p)))
+    d = level(lambda k, p: (f"p_k_{k}", _blocks(f"p_m_{k}")))
+    d = level(lambda k, p: (f"p_o_{k}", _before_blocks(f"p_k_{k}", "aggregate(r, 0, (t, x) -> t + x.gap + x.len)", "{last} + v")))
+    d = level(lambda k, p: (f"p_s_{k}", _placed(k)))
+    some = " + ".join(f"size(p_x_{k})" for k in each)
+    d = d.withColumn("p_w", F.expr(f"if({some} > 0, regexp_extract_all(p_t, '(?s).{{1,{WINDOW}}}', 0), array())"))
+    d = d.withColumns({f"p_base_{kind}": F.expr(f"filter(p_s_{kind}, x -> x.ok)") for kind in KINDS})
     every = ", ".join(f"transform(p_s_{kind}, x -> named_struct('kind', '{kind}', 'code', {float(code)}D, 'a', x.a, 'b', x.b, 'm', x.m, "
-                      f"'before', {before}, 'after', {after}, "
-                      f"'ok', {'array_contains(p_base_' + kind + ', x)' if kind in KINDS else check(kind, 'x.m')}))" for code, kind in enumerate(ALL))
+                      f"'before', {_near(f'greatest(0, x.a - {BEFORE})', 'x.a')}, 'after', {_near('x.b', f'x.b + {AFTER}')}, "
+                      f"'ok', x.ok))" for code, kind in enumerate(ALL))
     extra = f"x.kind IN ({', '.join(map(sql_str, EXTRA))})"
     d = d.withColumn("p_all", F.expr(f"concat({every})"))
     d = d.withColumn("p_cand", F.expr(f"""transform(p_all, x -> named_struct('kind', x.kind, 'a', x.a, 'b', x.b, 'ok', x.ok,
@@ -133,12 +172,13 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         'f_luhn', if(x.kind <> 'card' and {check('card', 'x.m')}, 1D, 0D), 'f_octets', if(x.kind <> 'ip' and {check('ip', 'x.m')}, 1D, 0D),
         'f_assign', if(not {extra} and x.before rlike {sql_str(ASSIGN)}, 1D, 0D),
         'f_line', if(x.a = 0 or x.before rlike '\\\\n$', 1D, 0D), 'f_unit', if(x.after rlike {sql_str(UNIT)}, 1D, 0D), 'f_kind', x.code))"""))
-    return d.drop("p_d", "p_all", *[f"p_x_{k}" for k in ALL], *[f"p_m_{k}" for k in ALL], *[f"p_s_{k}" for k in ALL])
+    return d.drop("p_d", "p_all", *[f"p_{c}_{k}" for c in "xmkos" for k in ALL])
 
 
 def train(candidates: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
     """The trees and each kind's threshold, from ``p_cand`` rows."""
-    c = candidates.select(F.explode("p_cand").alias("c")).select("c.*")
+    # An inner explode would make the optimizer ask for a non-empty list first, by all candidate work once more at the scan.
+    c = candidates.select(F.explode_outer("p_cand").alias("c")).where("c IS NOT NULL").select("c.*")
     # Labels by strong evidence; the other candidates are what the trees are for.
     label = F.expr("""CASE WHEN kind IN ('email', 'ip', 'card', 'phone') THEN if(ok, 1D, if(e_hint, NULL, 0D))
         WHEN ok THEN NULL WHEN e_hint AND e_assign THEN 1D WHEN NOT e_hint AND NOT e_assign THEN 0D END""")
@@ -204,6 +244,7 @@ def _with_spans(d: DataFrame, model: GBTClassificationModel | None, cut: dict[st
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` for every row."""
     d = with_candidates(docs.select(F.col(key).alias("k"), F.col(text).alias("p_in")), "p_in")
+    d = written(d.select("k", *[f"p_base_{k}" for k in KINDS], "p_cand"), "pii-candidates")
     d = _with_spans(d, *train(d.select("p_cand")))
     listed = lambda a: f"array_join(transform({a}, x -> concat(x.kind, ':', x.a, ':', x.b)), ',')"
     base = ", ".join(f"transform(p_base_{k}, x -> named_struct('kind', '{k}', 'a', x.a, 'b', x.b))" for k in KINDS)
@@ -220,12 +261,17 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("p_in"))
     d = with_candidates(d, "p_in")
     d = _with_spans(d, *train(d.select("p_cand")))
-    # Spans by start; one fold merges overlaps and copies what lies between.
+    # Spans by start. A span that starts before the end of an earlier one belongs to that one's union; the others
+    # are heads, with the end of all before them: what lies between is copied.
     d = d.withColumn("p_by", F.expr("array_sort(transform(p_spans, x -> named_struct('a', x.a, 'o', x.o, 'b', x.b, 'kind', x.kind)))"))
-    d = d.withColumn("p_new", F.expr("""aggregate(p_by, named_struct('at', 0, 'out', cast(array() as array<string>)),
+    d = d.withColumn("p_bk", F.expr(_blocks("p_by")))
+    d = d.withColumn("p_bo", F.expr(_before_blocks("p_bk", "array_max(transform(r, x -> x.b))", "greatest({last}, v)")))
+    d = d.withColumn("p_heads", F.expr("""flatten(zip_with(p_bk, slice(p_bo, 1, size(p_bk)), (r, at) -> aggregate(r,
+        named_struct('at', at, 'out', cast(array() as array<struct<at:int,a:int,kind:string>>)),
         (acc, x) -> named_struct('at', greatest(acc.at, x.b), 'out', if(x.a < acc.at, acc.out,
-            concat(acc.out, array(substring(p_t, acc.at + 1, x.a - acc.at), concat('<', upper(x.kind), '>'))))),
-        acc -> concat(array_join(acc.out, ''), substring(p_t, acc.at + 1)))"""))
+            array_append(acc.out, named_struct('at', acc.at, 'a', x.a, 'kind', x.kind))))).out))"""))
+    d = d.withColumn("p_new", F.expr(f"""concat(array_join(transform(p_heads, x -> concat({_piece('x.at', 'x.a')}, '<', upper(x.kind), '>')), ''),
+        {_piece('element_at(p_bo, -1)', 'length(p_t)')})"""))
     new = F.when(F.col("p_in").isNotNull(), F.when(F.size("p_spans") > 0, F.col("p_new")).otherwise(F.col("p_in")))
     out = {text: new.alias(text)}
     if "n_chars" in cols and text in cols:
