@@ -106,7 +106,9 @@ def test_repeated_and_null_ids(spark):
     assert got == {(1, 38): 1, (2, 38): 1, (3, 38): 1, (None, 38): 1, (None, 1): None, (7, 38): 1, (8, 0): 8}
     kept = J.one_of_each(df.selectExpr("*", "5 AS jaccard_id", "'x' AS label"), 3, 90, 100)
     assert kept.columns == ["doc_id", "text", "jaccard_id", "label"]
-    assert sorted(repr(r.doc_id) for r in kept.collect()) == ["1", "8", "None", "None"]
+    # Text b of id 2 is not text a of id 2: it links to no smaller id, so it stays and 3 goes.
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == ["1", "2", "8", "None", "None"]
+    assert [r.text for r in kept.where("doc_id = 2").collect()] == [b]
     twice = spark.createDataFrame([(4, "x y z w"), (4, "x y z w"), (5, "p q r s")], "doc_id long, text string")
     assert sorted(r.doc_id for r in J.one_of_each(twice, 3, 90, 100).collect()) == [4, 5]
 
@@ -114,3 +116,12 @@ def test_repeated_and_null_ids(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert J.linked(df).count() == 0 and J.one_of_each(df, 5, 80, 100).count() == 0
+
+
+def test_each_text_of_a_repeated_id_is_judged_by_itself(spark):
+    """Two unrelated texts under one id: the one that copies a smaller id goes, the other stays; equal rows become one."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, b), (8, c), (8, None), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in J.one_of_each(df, 5, 80, 100).collect()]
+    assert sorted(got, key=repr) == sorted([(3, a), (5, b), (8, c), (8, None), (None, c)], key=repr)

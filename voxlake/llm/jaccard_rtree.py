@@ -220,17 +220,17 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 
 def points(docs: DataFrame, width: int) -> DataFrame:
-    """``id, n, class, counts`` of ``(id, t)`` rows."""
+    """``id, n, class, counts, h`` of ``(id, t, h)`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, len(some)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([counts_of(s) for s in sets], pa.binary())],
-                    names=["id", "n", "class", "counts"])
+                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([counts_of(s) for s in sets], pa.binary()),
+                    batch.column(2).slice(a, len(some))], names=["id", "n", "class", "counts", "h"])
 
-    return docs.mapInArrow(run, "id long, n long, class long, counts binary")
+    return docs.mapInArrow(run, "id long, n long, class long, counts binary, h long")
 
 
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
@@ -472,13 +472,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int = WHOLE, key: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    """``key, n_shingles, class, component_id`` for every row."""
+           text: str = "text", by_id: bool = True) -> DataFrame:
+    """``key, n_shingles, class, component_id, h`` (a hash of the text) for every row. ``by_id``: do rows that share an
+    id belong together, whatever their texts? Else each text is by itself."""
     spark = docs.sparkSession
     python_ready(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    pts = written(points(d, width), "jaccard-points")
+    pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
     classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")),
                       "jaccard-classes")
     where = classes.where("id IS NOT NULL").select("class", "id")
@@ -487,10 +488,11 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     pairs = bounded(star.selectExpr("least(hub, class) AS a", "greatest(hub, class) AS b").distinct(), classes, share, whole)
     pairs = written(pairs, "jaccard-pairs")
     links = written(verified(pairs, d, where, width, share, whole), "jaccard-links")
-    # Rows that repeat an id with another text: their classes belong together.
-    twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
-    same = pts.join(twice, "id").where("class > a").select("a", F.col("class").alias("b")).distinct()
-    links = written(links.union(same), "jaccard-links")
+    if by_id:
+        # Rows that repeat an id with another text: their classes belong together.
+        twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
+        same = pts.join(twice, "id").where("class > a").select("a", F.col("class").alias("b")).distinct()
+        links = written(links.union(same), "jaccard-links")
     labels = components(links)
 
     # Stars whose classes, but for the hub, have not all met: the rest of their pairs. Classes of a block
@@ -508,17 +510,23 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     of = found.join(least, "label").select("class", "component_id")
     out = pts.join(of, "class", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), "class",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "h")
     return out
 
 
 def one_of_each(docs: DataFrame, width: int, share: int, whole: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that link, directly or not, to a smaller id; of rows that
-    repeat an id with its text one stays; rows without an id stay."""
+    """The rows of ``docs`` without those that link, directly or not, to a smaller id. Of rows that share an id, each
+    text is judged by itself: equal ones become one row, other texts stay or go by their own links. Rows without
+    an id stay."""
     python_ready(docs.sparkSession)
-    of = written(linked(docs, width, share, whole, key, text), "jaccard-result")
-    gone = written(of.where(f"`{key}` <> component_id").select(F.col(key).alias("jaccard_id")).distinct(), "jaccard-gone")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone, docs[key] == gone["jaccard_id"], "left_anti")
-    twice = of.where(f"`{key}` IS NOT NULL").groupBy(key).count().where("count > 1")
-    return kept if twice.isEmpty() else kept.where(f"`{key}` IS NULL").union(
-        kept.where(f"`{key}` IS NOT NULL").dropDuplicates([key]))
+    of = written(linked(docs, width, share, whole, key, text, by_id=False), "jaccard-result")
+    gone = of.where(f"`{key}` <> component_id").select(F.col(key).alias("jaccard_id"), F.col("h").alias("jaccard_h")).distinct()
+    gone = written(gone, "jaccard-gone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("jaccard_row"), F.col(key).cast("long").alias("jaccard_key"),
+                       F.xxhash64(F.col(text)).alias("jaccard_of"))
+    kept = rows.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone,
+                     F.expr("jaccard_key = jaccard_id AND jaccard_of = jaccard_h"), "left_anti")
+    twice = of.where(f"`{key}` IS NOT NULL").groupBy(key, "h").count().where("count > 1")
+    if not twice.isEmpty():
+        kept = kept.where("jaccard_key IS NULL").union(kept.where("jaccard_key IS NOT NULL").dropDuplicates(["jaccard_key", "jaccard_of"]))
+    return kept.select(*[F.col(f"jaccard_row.`{c}`") for c in docs.columns])

@@ -57,14 +57,22 @@ def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, size
 def cheapest_cuts(at: np.ndarray, penalty: np.ndarray, size: int = SIZE) -> np.ndarray:
     """Positions of the cheapest windows' ends, in order (without 0)."""
     n = len(at)
-    # Exact powers of two: for each candidate, earlier ones at such a distance.
-    exact: dict[int, list[int]] = {}
+    # Exact powers of two: pairs (candidate, earlier one at such a distance), by candidate. A table over the block's
+    # positions answers each distance at once.
+    number = np.full(int(at[-1]) + 1, -1, np.int32)
+    number[at] = np.arange(n)
+    late, early = [], []
     k = 1
     while k <= size:
-        i = np.searchsorted(at, at - k)
-        for j in np.flatnonzero(at[np.minimum(i, n - 1)] == at - k).tolist():
-            exact.setdefault(j, []).append(int(i[j]))
+        j = np.arange(int(np.searchsorted(at, k)), n)
+        i = number[at[j] - k]
+        late.append(j[i >= 0])
+        early.append(i[i >= 0])
         k *= 2
+    late, early = np.concatenate(late), np.concatenate(early)
+    order = np.argsort(late, kind="stable")
+    upto = np.searchsorted(late[order], np.arange(n + 1)).tolist()
+    exact = early[order].tolist()
     where, pen = at.tolist(), penalty.tolist()
     cost, came = [0.0] * n, [0] * n
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])      # (cost + at, candidate), increasing
@@ -74,8 +82,8 @@ def cheapest_cuts(at: np.ndarray, penalty: np.ndarray, size: int = SIZE) -> np.n
             queue.popleft()
         best, i = queue[0]
         best += size - here
-        if j in exact:
-            for e in exact[j]:
+        if upto[j] < upto[j + 1]:
+            for e in exact[upto[j]:upto[j + 1]]:
                 if cost[e] < best:
                     best, i = cost[e], e
         best += pen[j] + EACH
