@@ -18,7 +18,7 @@ from voxlake.schemas import STATUS_EMPTY, STATUS_FAILED, STATUS_OK
 
 
 def chunk_profile(assigned: DataFrame, z_min: float = Z_MIN_LIMIT, z_max: float = Z_MAX_LIMIT,
-                  key: str = "chunk") -> DataFrame:
+                  key: str = "chunk", also: list = ()) -> DataFrame:
     """Counts of one read of each chunk, plus the z stats of its valid in-range points.
 
     ``assigned`` holds every row read (valid or not) with its chunk ordinal; rows whose x or y
@@ -31,9 +31,42 @@ def chunk_profile(assigned: DataFrame, z_min: float = Z_MIN_LIMIT, z_max: float
         F.expr(f"count({zin}) AS n_z"),
         F.expr(f"avg({zin}) AS mean_z"),
         F.expr(f"stddev_pop({zin}) AS std_pop_z"),
+        *also,
     )
 
 
+def file_profile(read: DataFrame, z_min: float = Z_MIN_LIMIT, z_max: float = Z_MAX_LIMIT) -> DataFrame:
+    """:func:`chunk_profile` by chunk and file, with the content sum: one scan serves the file check and the profile."""
+    from voxlake.sources.points import CONTENT_SQL
+    rows = chunk_profile(read.withColumn("of", F.struct("chunk", "file")), z_min, z_max, "of", [F.expr(f"{CONTENT_SQL} AS content")])
+    return rows.select("of.*", *[c for c in rows.columns if c != "of"])
+
+
+def merged_profile(files: DataFrame) -> DataFrame:
+    """Chunk profiles from file profiles: counts add up, mean and squared deviations merge by their counts."""
+    mean = F.expr("sum(mean_z * n_z) / nullif(sum(n_z), 0)")
+    sums = files.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in ("points_read", "points_rejected", "n_z")], mean.alias("mean_z"),
+                                      F.expr("collect_list(if(n_z > 0, struct(n_z, mean_z, std_pop_z), NULL)) AS parts"))
+    return sums.select("chunk", "points_read", "points_rejected", "n_z", "mean_z", F.expr(
+        "sqrt(aggregate(parts, 0D, (a, p) -> a + p.n_z * (p.std_pop_z * p.std_pop_z + (p.mean_z - mean_z) * (p.mean_z - mean_z))) / nullif(n_z, 0))"
+    ).alias("std_pop_z"))
+
+
+def file_faults(listed: DataFrame, files: DataFrame) -> DataFrame:
+    """Chunks with a file that is not as it was staged: ``chunk, fault`` (the first such file by name, and how many).
+
+    ``listed``: the file list (``chunk, file, rows, content``); ``files``: :func:`file_profile` of a tolerant
+    read. A lost file and one that cannot be read give no rows; a cut one may give a part.
+    """
+    seen = files.selectExpr("chunk AS c", "file AS f", "points_read", "content AS found")
+    both = listed.join(seen, F.expr("chunk <=> c AND file = f"), "full").selectExpr(
+        "coalesce(chunk, c) AS chunk", "coalesce(file, f) AS file",
+        "CASE WHEN f IS NULL AND rows > 0 THEN 'is lost or unreadable' WHEN file IS NULL THEN 'was not staged' "
+        "WHEN points_read <> rows THEN concat('gave ', points_read, ' of ', rows, ' rows') WHEN found <> content THEN 'has other values' END AS what")
+    bad = both.where("what IS NOT NULL").groupBy("chunk").agg(F.expr("min(struct(file, what)) AS one"), F.count("*").alias("n"))
+    return bad.selectExpr("chunk", "concat('file ', one.file, ' ', one.what, if(n > 1, concat(', and ', n - 1, ' more'), '')) AS fault")
+
+
 def voxel_counts(voxels: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Voxel rows and points kept per chunk, from the voxel table."""
     return voxels.groupBy(key).agg(
@@ -43,12 +76,12 @@ def voxel_counts(voxels: DataFrame, key: str = "chunk_id") -> DataFrame:
 
 
 def chunk_plan(chunks: DataFrame, profile: DataFrame, manifest: DataFrame | None = None,
-               share_floor: float | None = None, whole_share: float | None = None) -> DataFrame:
+               share_floor: float | None = None, whole_share: float | None = None, faults: DataFrame | None = None) -> DataFrame:
     """S11.1: what one read of the attempted chunks found, and which of them fail, with the reason.
 
     ``chunks``: attempted chunks (``chunk``, ``chunk_id``), at most G^2 rows; ``profile``:
-    :func:`chunk_profile`; ``manifest``: expected rows by ``chunk_id``. A chunk fails if its rows are not
-    as many as expected, or its in-range share lies below ``share_floor`` times that of all rows read
+    :func:`chunk_profile`; ``manifest``: expected rows by ``chunk_id``; ``faults``: :func:`file_faults`. A chunk
+    fails if a file of it has a fault, its rows are not as many as expected, or its in-range share lies below ``share_floor`` times that of all rows read
     (``whole_share`` if given: a resume compares with the full run). One row has a NULL chunk: rows that
     no chunk holds. All tables have at most G^2 + 1 rows and are broadcast.
     """
@@ -63,6 +96,10 @@ def chunk_plan(chunks: DataFrame, profile: DataFrame, manifest: DataFrame | None
         m = manifest.selectExpr("chunk_id", "CAST(expected_points AS BIGINT) AS expected_points")
         out = out.join(F.broadcast(m), "chunk_id", "left")
         short = "chunk IS NOT NULL AND coalesce(points_read, 0) <> coalesce(expected_points, 0)"
+    if faults is None:
+        out = out.withColumn("fault", F.expr("CAST(NULL AS STRING)"))
+    else:
+        out = out.join(F.broadcast(faults.withColumnRenamed("chunk", "f_chunk")), F.expr("chunk <=> f_chunk"), "left").drop("f_chunk")
     low = "false"
     if share_floor is not None:
         whole = (f"{dlit(whole_share)}" if whole_share is not None
@@ -71,7 +108,7 @@ def chunk_plan(chunks: DataFrame, profile: DataFrame, manifest: DataFrame | None
     return out.selectExpr(
         "chunk", "chunk_id", "expected_points", "CAST(coalesce(points_read, 0) AS BIGINT) AS points_read",
         "CAST(coalesce(points_rejected, 0) AS BIGINT) AS points_rejected", "n_z", "mean_z", "std_pop_z",
-        f"CASE WHEN {short} THEN concat('read ', coalesce(points_read, 0), ' of ', coalesce(expected_points, 0), ' rows') "
+        f"CASE WHEN fault IS NOT NULL THEN fault WHEN {short} THEN concat('read ', coalesce(points_read, 0), ' of ', coalesce(expected_points, 0), ' rows') "
         f"WHEN {low} THEN 'in-range share below the floor' END AS error")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voxlake.functions import floor_bound, round_half_away, trunc_index
 from voxlake.schemas import INDEX_COLUMNS, VOXEL_COLUMNS
@@ -69,6 +70,53 @@ def row_count(voxels: DataFrame) -> DataFrame:
     return voxels.selectExpr("count(1) AS row_count")
 
 
+# -- the same reads from partial states -----------------------------------------------------------
+# A state is what the reads need of one chunk's rows; states add up or take extremes, so a read of a stored
+# table merges a row for each chunk and run and opens no voxel file.
+
+def chunk_states(voxels: DataFrame) -> DataFrame:
+    """Partial states of voxel rows by chunk: counts, index and elevation extremes, sum of the means."""
+    return voxels.groupBy("chunk_id").agg(*[F.expr(e) for e in (
+        "count(1) AS voxels", "sum(point_count) AS points", *(f"{fn}(voxel_{c}) AS {c}_{fn}" for c in "xyz" for fn in ("min", "max")),
+        "min(min_z) AS lowest", "max(max_z) AS highest", "sum(mean_z) AS sum_mean_z")])
+
+
+def stats_of(states: DataFrame) -> DataFrame:
+    """S4.4 from states; equal to :func:`voxel_stats` of their rows."""
+    return states.selectExpr("coalesce(sum(voxels), 0) AS total_voxels", "sum(points) AS total_points",
+                             *(f"{fn}({c}_{fn}) AS {c}_{fn}" for c in "xyz" for fn in ("min", "max")))
+
+
+def summary_of(states: DataFrame) -> DataFrame:
+    """S4.5 from states."""
+    return states.selectExpr("coalesce(sum(voxels), 0) AS voxel_count", "sum(points) AS total_points",
+                             "CAST(sum(points) AS DOUBLE) / nullif(sum(voxels), 0) AS avg_points_per_voxel")
+
+
+def extents_of(states: DataFrame) -> DataFrame:
+    """S4.6 from states."""
+    return states.selectExpr(*[f"{fn}({c}_{fn}) AS {fn}_voxel_{c}" for c in "xyz" for fn in ("min", "max")])
+
+
+def profile_of(states: DataFrame) -> DataFrame:
+    """S4.7 from states; the mean of voxel means stays unweighted."""
+    return states.selectExpr("min(lowest) AS min_elev", "max(highest) AS max_elev", "sum(sum_mean_z) / nullif(sum(voxels), 0) AS avg_elev")
+
+
+def count_of(states: DataFrame) -> DataFrame:
+    """S4.8 from states."""
+    return states.selectExpr("coalesce(sum(voxels), 0) AS row_count")
+
+
+def densest_by_chunk(voxels: DataFrame, n: int = DENSEST_MAX) -> DataFrame:
+    """The ``n`` densest rows of each chunk, in the order of :func:`densest_voxels`.
+
+    The rank's limit works before the shuffle, so of a chunk with a third of all rows each task sends ``n``.
+    """
+    w = Window.partitionBy("chunk_id").orderBy(F.col("point_count").desc(), *_order(voxels))
+    return voxels.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("rank")
+
+
 def densest_voxels(voxels: DataFrame, limit: int = DENSEST_DEFAULT) -> DataFrame:
     """S6.1: top-N voxel rows by point count (N in 1..100), ties broken by key."""
     n = _check_limit(limit, DENSEST_MAX, "densest")
@@ -137,8 +185,8 @@ METADATA_DEFAULTS = {
 }
 
 
-def run_summary(voxels: DataFrame, metadata: DataFrame) -> DataFrame:
-    """S4.11: table stats plus the typed run configuration with defaults.
+def run_summary(voxels: DataFrame | None, metadata: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """S4.11: table stats (of ``voxels``, or the given one row) plus the typed run configuration with defaults.
 
     ``metadata`` is the latest (key, value) view. Each setting is a scalar subquery over
     it, so nothing is joined and nothing is fetched to the driver.
@@ -150,7 +198,7 @@ def run_summary(voxels: DataFrame, metadata: DataFrame) -> DataFrame:
     # Bad JSON parses to NULL and counts as an empty list (S8.8).
     failed = F.coalesce(F.from_json(setting("failed_chunks"), "array<string>"),
                         F.array().cast("array<string>"))
-    return voxel_stats(voxels).select(
+    return (voxel_stats(voxels) if stats is None else stats).select(
         "*",
         setting("voxel_size").cast("double").alias("voxel_size_meters"),
         setting("grid_size").cast("int").alias("grid_size"),

@@ -7,6 +7,7 @@ with :func:`voxlake.functions.quantize`, the same arithmetic the oracle SQL appl
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,9 +22,9 @@ from voxlake.operators.reads import (densest_report, densest_voxels, elevation_p
                                      voxels_between, voxels_in_box)
 from voxlake.operators.voxels import voxel_index
 from voxlake.plans.build import VoxelConfig, usable_points, voxelize_points
-from voxlake.plans.ingest import ingest, resume
+from voxlake.plans.ingest import AllChunksFailed, ingest, resume
 from voxlake.schemas import VOXEL_COLUMNS
-from voxlake.session import scratch_path
+from voxlake.session import cut_file, scratch_path
 from voxlake.sources import points as P
 from voxlake.sources.store import VoxelStore, read_voxel_layout, write_voxel_layout
 from voxlake.sources.values import values_frame
@@ -99,7 +100,7 @@ def _resumed(spark: SparkSession, d: str, floor: float | None, max_chunks: int |
     root, store = _ingested(spark, d, EVENTS, EVENTS.config(share_floor=SHARE_FLOOR))
     try:
         resume(spark, EVENTS.points(spark, d), root, cfg=EVENTS.config(share_floor=floor), max_chunks=max_chunks)
-    except RuntimeError:        # every attempted chunk failed again: the run publishes nothing (S11.2)
+    except AllChunksFailed:     # the run publishes nothing (S11.2)
         pass
     return store
 
@@ -225,6 +226,53 @@ def staged_ingest_q(spark, d):
     return q_voxels(VoxelStore(spark, root).voxels())
 
 
+def _damaged(spark, d) -> P.StagedPoints:
+    """Events staged by chunk; after that a file of the second occupied chunk is lost and one of the third is cut in half."""
+    pts = EVENTS.points(spark, d)
+    staged = P.write_points(pts, scratch_path(spark, "staged-events"), _grid(EVENTS, pts))
+    files = staged.files().where("chunk IS NOT NULL").groupBy("chunk").agg(F.min("file").alias("file")).orderBy("chunk").limit(3).collect()
+    for r, share in zip(files[1:], (0.0, 0.5)):
+        cut_file(spark, os.path.join(staged.path, "points", f"chunk={r['chunk']}", r["file"]), share)
+    return staged
+
+
+def staged_damage_q(spark, d):
+    """S11.1: exactly the chunks of the lost and of the cut file fail, the others load."""
+    root = scratch_path(spark, "store-damaged")
+    ingest(spark, _damaged(spark, d), root, EVENTS.config(), source="events")
+    return VoxelStore(spark, root).outcomes().select("chunk_id", "expected_points", "points_kept", "voxels", "status")
+
+
+def staged_repair_q(spark, d):
+    """S11.3: a resume from points staged anew recovers the chunks of the damaged files."""
+    root = scratch_path(spark, "store-repaired")
+    ingest(spark, _damaged(spark, d), root, EVENTS.config(), source="events")
+    pts = EVENTS.points(spark, d)
+    resume(spark, P.write_points(pts, scratch_path(spark, "staged-again"), _grid(EVENTS, pts)), root)
+    return q_voxels(VoxelStore(spark, root).voxels())
+
+
+def _stored(spark, d) -> VoxelStore:
+    """Events with failed chunks, a resume that recovers some, and the voxels of another table loaded on top."""
+    store = _resumed(spark, d, RESUME_FLOOR)
+    store.append_voxels(voxelize_points(EMBED.points(spark, d), EMBED.config()).drop("chunk_id"))
+    return store
+
+
+def stored_reads_q(spark, d):
+    """S4.4-S4.8 of a stored table from its partial states, one row."""
+    store = _stored(spark, d)
+    mean = store.voxel_summary().select(quantize("avg_points_per_voxel").alias("avg_points_per_voxel"))
+    height = store.elevation_profile().select("min_elev", "max_elev", quantize("avg_elev").alias("avg_elev"))
+    # One row each; the extents (S4.6) and the count (S4.8) hold the values of the stats under other names.
+    return store.stats().crossJoin(mean).crossJoin(height)
+
+
+def stored_densest_q(spark, d):
+    """S6.1 from the stored densest rows of each chunk."""
+    return q_voxels(_stored(spark, d).densest(100))
+
+
 def voxel_stats_q(spark, d):
     return voxel_stats(_p1_voxels(spark, d))
 
@@ -325,6 +373,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_append": stored_append_q,
     "stored_box_lookup": stored_box_lookup_q,
     "staged_ingest": staged_ingest_q,
+    "staged_damage": staged_damage_q,
+    "staged_repair": staged_repair_q,
+    "stored_reads": stored_reads_q,
+    "stored_densest": stored_densest_q,
     "resume_store": resume_store_q,
     "voxel_stats": voxel_stats_q,
     "voxel_summary": voxel_summary_q,

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from voxlake.operators.chunks import Bounds, Grid
 from voxlake.operators.clean import maybe_broadcast
-from voxlake.operators.outcomes import chunk_outcomes, chunk_plan, chunk_profile, voxel_counts
-from voxlake.operators.reads import run_summary, voxel_stats
+from voxlake.operators.outcomes import (chunk_outcomes, chunk_plan, chunk_profile, file_faults, file_profile, merged_profile)
+from voxlake.operators.reads import stats_of
 from voxlake.operators.recovery import points_of_chunks
 from voxlake.plans.build import VoxelConfig, chunk_voxels
 from voxlake.schemas import FULL, RESUME
@@ -35,38 +35,84 @@ class RunResult:
     stats: dict = field(default_factory=dict)
 
 
-def _assigned(points: DataFrame | StagedPoints, grid: Grid) -> DataFrame:
+class AllChunksFailed(RuntimeError):
+    """Every attempted chunk failed, so the run loaded and published nothing (S11.2)."""
+
+
+@dataclass
+class Read:
+    """The points of one attempt.
+
+    Staged points on their own grid are profiled by a tolerant read that is held against the list of their files;
+    ``only`` names the attempted chunks in a predicate on the folders. Other points have no files of their own:
+    a source that cannot be read ends the run.
+    """
+
+    assigned: DataFrame                     # what is voxelized; strict: an unreadable file raises
+    staged: StagedPoints | None = None
+    only: str = "true"
+    written: str | None = None              # scratch folder of the profile
+
+    def profile(self, cfg: VoxelConfig) -> tuple[DataFrame, DataFrame | None]:
+        """The chunk profile and, for staged points, the file faults."""
+        if self.staged is None:
+            return chunk_profile(self.assigned, cfg.z_min, cfg.z_max), None
+        path = scratch_path(self.assigned.sparkSession, "file-profile")      # a row for each file; removed by the run
+        made = file_profile(self.staged.points(tolerant=True).where(self.only), cfg.z_min, cfg.z_max)
+        made.write.parquet(path)
+        self.written = path
+        files = self.assigned.sparkSession.read.schema(made.schema).parquet(path)
+        return merged_profile(files), file_faults(self.staged.files().where(self.only), files)
+
+    def good(self, bad: list[int]) -> DataFrame:
+        """The points without those of the chunks ``bad``, whose folders are not opened."""
+        if self.staged is None or not bad:
+            return self.assigned
+        return self.assigned.where(f"chunk NOT IN ({', '.join(map(str, bad))})")
+
+
+def _read(points: DataFrame | StagedPoints, grid: Grid, only: str = "true") -> Read:
     """Points with their chunk: computed, or the stored folder if they are staged on this grid."""
     if isinstance(points, StagedPoints):
-        return points.points() if points.grid == grid else grid.assign(points.points().drop("chunk"))
-    return grid.assign(points)
+        if points.grid == grid:
+            return Read(points.points().where(only), points, only)
+        points = points.points().drop("chunk")
+    return Read(grid.assign(points).where(only))
 
 
-def _run(spark: SparkSession, assigned: DataFrame, store: VoxelStore, cfg: VoxelConfig, grid: Grid, selected: DataFrame,
+def _expected(points: DataFrame | StagedPoints, grid: Grid, manifest: DataFrame | None) -> DataFrame | None:
+    """The given manifest, or that of points staged on this grid."""
+    return points.manifest() if manifest is None and isinstance(points, StagedPoints) and points.grid == grid else manifest
+
+
+def _run(spark: SparkSession, read: Read, store: VoxelStore, cfg: VoxelConfig, grid: Grid, selected: DataFrame,
          manifest: DataFrame | None, kind: str, source: str, kept_ledger: list[str], whole_share: float | None) -> RunResult:
-    """One attempt of the chunks ``selected``; ``assigned`` holds their points.
+    """One attempt of the chunks ``selected``; ``read`` holds their points.
 
     ``kept_ledger``: failed chunks of earlier runs that this one does not attempt.
     """
     seq = store.next_run_seq()
     # Job: the chunk plan, written once (lineage cut; the rest of the run reads it).
     path = scratch_path(spark, "chunk-plan")
-    made = chunk_plan(selected, chunk_profile(assigned, cfg.z_min, cfg.z_max), manifest, cfg.share_floor, whole_share)
+    profile, faults = read.profile(cfg)
+    made = chunk_plan(selected, profile, manifest, cfg.share_floor, whole_share, faults)
     made.write.parquet(path)
     plan = spark.read.schema(made.schema).parquet(path)
-    row = plan.agg(F.count("chunk").alias("attempted"), F.collect_list(F.when(F.col("error").isNotNull(), F.col("chunk_id"))).alias("bad"),
+    row = plan.agg(F.count("chunk").alias("attempted"), F.collect_list(F.when(F.col("error").isNotNull() & F.col("chunk").isNotNull(), F.struct("chunk_id", "chunk"))).alias("bad"),
+                   F.max(F.when(F.col("chunk").isNull(), F.col("error"))).alias("outside"),
                    F.expr("sum(if(chunk IS NULL, points_read, 0))").alias("unplaced"),
                    F.expr("CAST(sum(n_z) AS DOUBLE) / sum(points_read)").alias("share")).first()
-    bad = sorted(row["bad"])
+    bad = sorted(r["chunk_id"] for r in row["bad"])
     if row["attempted"] and len(bad) == row["attempted"]:
-        raise RuntimeError(f"all {len(bad)} attempted chunks failed; nothing was loaded (S11.2)")
+        raise AllChunksFailed(f"all {len(bad)} attempted chunks failed; nothing was loaded (S11.2)")
 
     # Job: clean and voxelize what did not fail, into this run's own folders.
     good = plan.where("error IS NULL AND chunk IS NOT NULL AND points_read > 0")
-    store.write_voxels(chunk_voxels(assigned, grid, cfg, stats=good), seq)
-    loaded = store.run_voxels(seq)              # listed once
-    store.write_outcomes(chunk_outcomes(plan, voxel_counts(loaded)), seq)
-    discard(spark, path)
+    store.write_voxels(chunk_voxels(read.good([r["chunk"] for r in row["bad"]]), grid, cfg, stats=good), seq)
+    states = store.write_states(seq)
+    store.write_outcomes(chunk_outcomes(plan, states.selectExpr("chunk_id", "voxels", "points AS points_kept")), seq)
+    for done in filter(None, (path, read.written)):
+        discard(spark, done)
 
     # Ledger (S7.2 / S7.3): (previous - attempted) U failed now; on a full run, failed now.
     ledger = sorted(set(kept_ledger) | set(bad))
@@ -78,11 +124,11 @@ def _run(spark: SparkSession, assigned: DataFrame, store: VoxelStore, cfg: Voxel
             "point_count": b.point_count, "filter_outliers": bool(cfg.filter_outliers),
             "z_min_limit": float(cfg.z_min), "z_max_limit": float(cfg.z_max),
             "min_x": b.min_x, "max_x": b.max_x, "min_y": b.min_y, "max_y": b.max_y, "min_z": b.min_z, "max_z": b.max_z,
-            "points_unplaced": int(row["unplaced"] or 0),
+            "points_unplaced": int(row["unplaced"] or 0), "unplaced_fault": row["outside"] or "",
             "in_range_share": 1.0 if row["share"] is None else float(row["share"]),
         }
     store.publish(seq, kind, settings)
-    return RunResult("success", seq, row["attempted"], ledger, voxel_stats(loaded if kind == FULL else store.voxels()).first().asDict())
+    return RunResult("success", seq, row["attempted"], ledger, stats_of(states if kind == FULL else store.states()).first().asDict())
 
 
 def ingest(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg: VoxelConfig, source: str = "",
@@ -90,26 +136,28 @@ def ingest(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg
     """Full run: a new voxel table and outcome log from ``points``, in place of the old ones (S1.8, S7.3).
 
     ``manifest`` (``chunk_id, expected_points``) and ``cfg.share_floor`` make chunks fail (S11.1): they are
-    left out and listed in the ledger. Staged points bring their header and manifest. With
+    left out and listed in the ledger. Staged points bring their header and the list of their files as staged:
+    a chunk with a lost, cut, unreadable or changed file fails, with the file in its reason. With
     ``cfg.max_chunks`` only the first N chunks in grid order are processed (S2.11); their points are
     read by literal ranges, or from their folders.
     """
     store = VoxelStore(spark, root)
     if isinstance(points, StagedPoints):
-        bounds, manifest = bounds or points.grid.bounds, points.manifest() if manifest is None else manifest
+        bounds = bounds or points.grid.bounds
     grid = Grid(bounds or Bounds.of(points), cfg.grid_size)
+    manifest = _expected(points, grid, manifest)
     selected, n = grid.chunks(spark), cfg.max_chunks
     if n is not None and int(n) == 0:
         return RunResult("skipped")                       # nothing attempted: tables untouched (S11.4)
     if n is None:
-        assigned = _assigned(points, grid)
+        read = _read(points, grid)
     else:
         selected = selected.where(f"chunk < {int(n)}")
         if isinstance(points, StagedPoints):
-            assigned = _assigned(points, grid).where(f"chunk < {int(n)}")
+            read = _read(points, grid, f"chunk < {int(n)}")
         else:
-            assigned = grid.assign(points.where(grid.first_sql(int(n))))
-    return _run(spark, assigned, store, cfg, grid, selected, manifest, FULL, source, [], None)
+            read = _read(points.where(grid.first_sql(int(n))), grid)
+    return _run(spark, read, store, cfg, grid, selected, manifest, FULL, source, [], None)
 
 
 def stored_config(store: VoxelStore) -> tuple[VoxelConfig, Bounds, str]:
@@ -153,19 +201,20 @@ def resume(spark: SparkSession, points: DataFrame | StagedPoints, root: str, cfg
     last = todo[-1]["chunk"]
     selected = failed.where(f"chunk <= {last}").select("chunk", "chunk_id")
     hull = grid.hull_sql(min(r["i"] for r in todo), max(r["i"] for r in todo), min(r["j"] for r in todo), max(r["j"] for r in todo))
-    src = points if isinstance(points, StagedPoints) else points.where(hull)
-    if isinstance(points, StagedPoints) and manifest is None:
-        manifest = points.manifest()
-    assigned = points_of_chunks(_assigned(src, grid), selected, grid.n_chunks)
+    if isinstance(points, StagedPoints):
+        read = _read(points, grid, f"chunk IN ({', '.join(str(r['chunk']) for r in todo)})")
+    else:
+        read = _read(points.where(hull), grid)
+        read.assigned = points_of_chunks(read.assigned, selected, grid.n_chunks)
+    manifest = _expected(points, grid, manifest)
     share = store._settings(store.commits()).get("in_range_share")
-    return _run(spark, assigned, store, run_cfg, grid, selected, manifest, RESUME, stored_source,
+    return _run(spark, read, store, run_cfg, grid, selected, manifest, RESUME, stored_source,
                 [r["chunk_id"] for r in rows[len(todo):]], None if share is None else float(share))
 
 
 def summary(spark: SparkSession, root: str) -> DataFrame:
     """S4.11 / S11.5: stats of the stored table plus the typed run configuration."""
-    store = VoxelStore(spark, root)
-    return run_summary(store.voxels(), store.metadata())
+    return VoxelStore(spark, root).summary()
 
 
-__all__ = ["RunResult", "ingest", "resume", "summary"]
+__all__ = ["AllChunksFailed", "RunResult", "ingest", "resume", "summary"]

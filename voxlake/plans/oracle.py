@@ -226,6 +226,23 @@ SELECT {OUTCOME_OUT} FROM r1_out"""
     q["ingest_store"] = voxels_sql(P1)
     q["ingest_twice"] = voxels_sql(replace(P2, voxel_size=2 * P2.voxel_size))
     q["staged_ingest"] = voxels_sql(P2)
+    q["staged_damage"] = f"""WITH {base_ctes(P2)},
+occ AS (SELECT chunk, count(*) AS n FROM ch WHERE chunk IS NOT NULL GROUP BY chunk),
+bad AS (SELECT chunk FROM occ ORDER BY chunk LIMIT 2 OFFSET 1),
+load AS (SELECT * FROM ch WHERE chunk IS NOT NULL AND chunk NOT IN (SELECT chunk FROM bad)),
+{clean_ctes(P2, src='load')},
+vc AS (SELECT chunk_id, count(*) AS voxels, sum(point_count) AS kept FROM vox GROUP BY chunk_id)
+SELECT g.chunk_id, o.n AS expected_points, CAST(coalesce(v.kept, 0) AS BIGINT) AS points_kept, CAST(coalesce(v.voxels, 0) AS BIGINT) AS voxels,
+       CASE WHEN g.chunk IN (SELECT chunk FROM bad) THEN 'failed' WHEN o.n IS NULL THEN 'empty' ELSE 'ok' END AS status
+FROM grid g LEFT JOIN occ o USING (chunk) LEFT JOIN vc v USING (chunk_id)"""
+    q["staged_repair"] = voxels_sql(P2)
+    stored = (f"WITH run AS (WITH {resume_ctes(P2, SHARE_FLOOR, RESUME_FLOOR)}\nSELECT * EXCLUDE (run_seq) FROM tbl),\n"
+              f"more AS (WITH {base_ctes(P3)},\n{clean_ctes(P3)}\nSELECT * REPLACE ('loaded' AS chunk_id) FROM vox),\n"
+              "vox AS (SELECT * FROM run UNION ALL SELECT * FROM more)\n")
+    q["stored_reads"] = stored + f"""SELECT count(*) AS total_voxels, CAST(sum(point_count) AS BIGINT) AS total_points,
+       min(voxel_x) AS x_min, max(voxel_x) AS x_max, min(voxel_y) AS y_min, max(voxel_y) AS y_max, min(voxel_z) AS z_min, max(voxel_z) AS z_max,
+       {q6('avg(point_count)')} AS avg_points_per_voxel, min(min_z) AS min_elev, max(max_z) AS max_elev, {q6('avg(mean_z)')} AS avg_elev FROM vox"""
+    q["stored_densest"] = stored + f"SELECT {VOX_OUT} FROM vox ORDER BY point_count DESC, voxel_x, voxel_y, voxel_z, chunk_id LIMIT 100"
     q["resume_store"] = f"WITH {resume_ctes(P2, SHARE_FLOOR, RESUME_FLOOR)}\nSELECT {VOX_OUT} FROM tbl"
 
     q["voxel_stats"] = v1 + """SELECT count(*) AS total_voxels, CAST(sum(point_count) AS BIGINT) AS total_points,

@@ -21,11 +21,15 @@ def as_json_rows(df: DataFrame) -> DataFrame:
 
 def format_report(voxels: DataFrame) -> str:
     """``name: field=value ...`` lines: size, index ranges, z range, then the densest cells."""
+    return format_tables(voxel_summary(voxels), voxel_extents(voxels), elevation_profile(voxels), densest_report(voxels, 5))
+
+
+def format_tables(size: DataFrame, index: DataFrame, z: DataFrame, densest: DataFrame) -> str:
+    """The same from the four results, however they were computed."""
     def line(name: str, df: DataFrame, digits: int) -> str:
         shown = df.select(*[F.format_number(c, 0 if kind == "bigint" else digits).alias(c) for c, kind in df.dtypes])
         return "\n".join(f"{name}: " + " ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in shown.collect())
 
-    top = densest_report(voxels, 5).withColumn("cell", F.concat_ws("/", *INDEX_COLUMNS)).drop(*INDEX_COLUMNS)
+    top = densest.withColumn("cell", F.concat_ws("/", *INDEX_COLUMNS)).drop(*INDEX_COLUMNS)
     cells = [f"dense cell {r.cell}: n={r.point_count} mean={r.mean_z} std={r.std_z}" for r in top.collect()]
-    return "\n".join([line("size", voxel_summary(voxels), 2), line("index", voxel_extents(voxels), 0),
-                      line("z", elevation_profile(voxels), 2), *cells])
+    return "\n".join([line("size", size, 2), line("index", index, 0), line("z", z, 2), *cells])

@@ -45,6 +45,12 @@ OUTCOME_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+# Partial states of the table reads: one row per run (or load) and chunk, merged when read.
+STATE_FIELDS = [T.StructField(n, T.LongType()) for n in ("voxels", "points", "x_min", "x_max", "y_min", "y_max", "z_min", "z_max")] + [
+    T.StructField(n, T.DoubleType()) for n in ("lowest", "highest", "sum_mean_z")]
+STATE_SCHEMA = T.StructType(STATE_FIELDS + [T.StructField("run_seq", T.LongType()), T.StructField("chunk_id", T.StringType())])
+LOAD_SCHEMA = T.StructType(STATE_FIELDS + [T.StructField("load", T.StringType()), T.StructField("chunk_id", T.StringType())])
+
 # One row per published run; readers follow it.
 COMMIT_SCHEMA = T.StructType([
     T.StructField("run_seq", T.LongType()),

@@ -61,3 +61,19 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that is no longer read."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def cut_file(spark: SparkSession, path: str, share: float) -> None:
+    """Keep the first ``share`` of a file's bytes, or remove it for 0: what a failed disk or transfer leaves."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if share > 0:
+        rest = jvm.org.apache.hadoop.fs.Path(path + ".cut")
+        source, target = fs.open(at), fs.create(rest)
+        jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, int(fs.getFileStatus(at).getLen() * share))
+        source.close()
+        target.close()
+    fs.delete(at, False)
+    if share > 0:
+        fs.rename(rest, at)

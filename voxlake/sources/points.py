@@ -88,14 +88,21 @@ def embedding_points(spark: SparkSession, sf_dir: str, keep: list[str] | None =
 STAGED_SCHEMA = "x DOUBLE, y DOUBLE, z DOUBLE, chunk INT"
 HEADER_SCHEMA = ("min_x DOUBLE, max_x DOUBLE, min_y DOUBLE, max_y DOUBLE, min_z DOUBLE, max_z DOUBLE, "
                  "point_count BIGINT, grid_size INT")
+FILES_SCHEMA = "chunk INT, file STRING, rows BIGINT, content BIGINT"
+# Order-free sum over the values of a set of rows; 28 bits each, so 3 * 10^10 rows fit. NULL and NaN count as themselves.
+CONTENT_SQL = "CAST(coalesce(sum(xxhash64(x, y, z) & 268435455), 0) AS BIGINT)"
 
 
 class StagedPoints:
-    """Points stored by chunk: folders ``chunk=<ordinal>``, files sorted by x, y, header beside them.
+    """Points stored by chunk: folders ``chunk=<ordinal>``, files sorted by x, y, header and file list beside them.
 
     A read of some chunks opens only their folders, and x, y ranges skip row groups. Points that no
     chunk holds (NULL or non-finite coordinates, outside the header) lie in the NULL folder, so the
     staged table has every row of its source.
+
+    ``files`` lists each file with its rows and a content sum as they were when it was staged. A later
+    read is held against that list, so that a lost, cut, unreadable or changed file is seen, and only its
+    chunk fails (S11.1).
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -107,13 +114,24 @@ class StagedPoints:
         h = row.asDict()
         self.grid = Grid(Bounds(**{k: v for k, v in h.items() if k != "grid_size"}), h["grid_size"])
 
-    def points(self) -> DataFrame:
-        return self.spark.read.schema(STAGED_SCHEMA).parquet(os.path.join(self.path, "points"))
+    def points(self, tolerant: bool = False) -> DataFrame:
+        """The staged rows. ``tolerant``: files that are lost or cannot be read give no rows instead of an error; only
+        for reads that are held against :meth:`files`, with the column ``file`` for that."""
+        reader = self.spark.read.schema(STAGED_SCHEMA)
+        where = os.path.join(self.path, "points")
+        if not tolerant:
+            return reader.parquet(where)
+        lax = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(where)
+        return lax.select("*", F.col("_metadata.file_name").alias("file"))
+
+    def files(self) -> DataFrame:
+        """``chunk, file, rows, content`` of every file as staged."""
+        return self.spark.read.schema(FILES_SCHEMA).parquet(os.path.join(self.path, "files"))
 
     def manifest(self) -> DataFrame:
-        """Expected rows per chunk, ``(chunk_id, expected_points)``; reads no coordinate."""
-        return (self.points().where("chunk IS NOT NULL").groupBy(self.grid.chunk_id("chunk").alias("chunk_id"))
-                .agg(F.expr("count(1) AS expected_points")))
+        """Expected rows per chunk as staged, ``(chunk_id, expected_points)``; reads no point."""
+        return (self.files().where("chunk IS NOT NULL").groupBy(self.grid.chunk_id("chunk").alias("chunk_id"))
+                .agg(F.sum("rows").alias("expected_points")))
 
     def in_box(self, min_x: float | None = None, max_x: float | None = None,
                min_y: float | None = None, max_y: float | None = None) -> DataFrame:
@@ -130,16 +148,30 @@ class StagedPoints:
 def write_points(points: DataFrame, path: str, grid) -> StagedPoints:
     """Stage ``points`` by the chunks of ``grid`` (rows outside it included).
 
-    ``REBALANCE(chunk)`` sizes the writer tasks and splits a chunk with a large share of the points.
+    ``REBALANCE(chunk)`` sizes the writer tasks and splits a chunk with a large share of the points. The file
+    list is taken from the files just written and compared, chunk by chunk, with rows and content sums of the
+    source, so a source that changes between the two reads, or a write that loses rows, raises. The header is
+    written last: without it there are no staged points.
     """
-    rows = grid.assign(points.select("x", "y", "z")).hint("rebalance", "chunk")
-    (rows.sortWithinPartitions("chunk", "x", "y").write.mode("overwrite")
-     .option("maxRecordsPerFile", 4_000_000).partitionBy("chunk").parquet(os.path.join(path, "points")))
-    b = grid.bounds
     from voxlake.sources.values import values_frame
+    spark = points.sparkSession
+    assigned = grid.assign(points.select("x", "y", "z"))
+    where = os.path.join(path, "points")
+    (assigned.hint("rebalance", "chunk").sortWithinPartitions("chunk", "x", "y").write.mode("overwrite")
+     .option("maxRecordsPerFile", 4_000_000).partitionBy("chunk").parquet(where))
+    back = spark.read.schema(STAGED_SCHEMA).parquet(where).select("*", F.col("_metadata.file_name").alias("file"))
+    (back.groupBy("chunk", "file").agg(F.expr("count(1) AS rows"), F.expr(f"{CONTENT_SQL} AS content"))
+     .write.mode("overwrite").parquet(os.path.join(path, "files")))
+    listed = (spark.read.schema(FILES_SCHEMA).parquet(os.path.join(path, "files")).groupBy("chunk")
+              .agg(F.expr("sum(rows) AS rows"), F.expr("sum(content) AS content")))
+    source = assigned.groupBy("chunk").agg(F.expr("count(1) AS rows"), F.expr(f"{CONTENT_SQL} AS content"))
+    differ = source.exceptAll(listed).unionByName(listed.exceptAll(source)).agg(F.expr("array_sort(collect_set(chunk)) AS bad"),
+                                                                               F.count("*").alias("n")).first()
+    if differ["n"]:
+        raise RuntimeError(f"staged points at {path} differ from their source in chunks {differ['bad']}")
+    b = grid.bounds
     names = [f.split()[0] for f in HEADER_SCHEMA.split(", ")]
     kinds = [f.split()[1] for f in HEADER_SCHEMA.split(", ")]
     row = (b.min_x, b.max_x, b.min_y, b.max_y, b.min_z, b.max_z, b.point_count, grid.size)
-    spark = points.sparkSession
     values_frame(spark, names, kinds, [row]).write.mode("overwrite").parquet(os.path.join(path, "header"))
     return StagedPoints(spark, path)

@@ -6,7 +6,10 @@ Layout under one root folder (shared storage on a cluster):
   ``(voxel_x, voxel_y, voxel_z)`` inside each file, so Parquet row-group min/max statistics
   act as the coordinate index (S1.11).
 - ``outcomes/run_seq=N`` -- one row per chunk that run N attempted.
-- ``appended/base=N/chunk_id=...`` -- rows loaded outside any run, on top of full run N.
+- ``states/run_seq=N``, ``densest/run_seq=N`` -- partial states of run N's rows by chunk, and the 100 densest rows of
+  each chunk: the table reads (S4.4-S4.8, S6.1) merge these and open no voxel file.
+- ``appended/base=N/load=.../chunk_id=...`` -- rows loaded outside any run, on top of full run N; ``loads/base=N``
+  holds their states, one append for each load, and **readers see only the loads it names**.
 - ``commits/`` -- one row per published run, with its settings. **Readers see only what it names**: the
   last full run and the resumes after it.
 - ``metadata/`` -- append-only key/value log beside the runs' settings; the newest value wins (S1.9).
@@ -22,6 +25,7 @@ from __future__ import annotations
 import math
 import os
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +34,9 @@ from pyspark.sql import functions as F
 from voxlake.operators.clean import maybe_broadcast
 from voxlake.operators.outcomes import ingest_totals
 from voxlake.operators.recovery import ledger_from_outcomes
-from voxlake.schemas import (COMMIT_SCHEMA, FULL, INDEX_COLUMNS, METADATA_SCHEMA, OUTCOME_SCHEMA, STATUS_OK,
-                             STORED_VOXEL_SCHEMA, VOXEL_COLUMNS)
+from voxlake.schemas import (COMMIT_SCHEMA, FULL, INDEX_COLUMNS, LOAD_SCHEMA, METADATA_SCHEMA, OUTCOME_SCHEMA, STATE_SCHEMA,
+                             STATUS_OK, STORED_VOXEL_SCHEMA, VOXEL_COLUMNS)
+from voxlake.session import discard
 from voxlake.sources.values import empty_frame, sql_literal, values_frame
 
 # Rows per output file; keeps files bounded even for a chunk with a third of all voxels.
@@ -81,8 +86,9 @@ class VoxelStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.voxels_path, self.outcomes_path, self.metadata_path, self.commits_path, self.appended_path = (
-            os.path.join(root, d) for d in ("voxels", "outcomes", "metadata", "commits", "appended"))
+        (self.voxels_path, self.outcomes_path, self.metadata_path, self.commits_path, self.appended_path, self.states_path,
+         self.densest_path, self.loads_path) = (
+            os.path.join(root, d) for d in ("voxels", "outcomes", "metadata", "commits", "appended", "states", "densest", "loads"))
 
     # -- published runs ----------------------------------------------------------------------
     def commits(self) -> list[dict]:
@@ -111,7 +117,7 @@ class VoxelStore:
 
     def exists(self) -> bool:
         return any(_read(self.spark, schema, path) is not None
-                   for schema, path in ((COMMIT_SCHEMA, self.commits_path), (STORED_VOXEL_SCHEMA, self.appended_path)))
+                   for schema, path in ((COMMIT_SCHEMA, self.commits_path), (LOAD_SCHEMA, self.loads_path)))
 
     def require(self) -> None:
         if not self.exists():
@@ -120,8 +126,19 @@ class VoxelStore:
     # -- voxels ------------------------------------------------------------------------------
     def write_voxels(self, voxels: DataFrame, run_seq: int) -> None:
         """Write the voxel rows of run ``run_seq`` into its own folder (not visible before publish)."""
+        # A run of this number that died may have left loads (a compaction copies them before it publishes).
+        for path in (self.loads_path, self.appended_path):
+            discard(self.spark, os.path.join(path, f"base={int(run_seq)}"))
         write_voxel_layout(voxels, self._run_folder(self.voxels_path, run_seq))
 
+    def write_states(self, run_seq: int) -> DataFrame:
+        """Partial states and densest rows of what run ``run_seq`` wrote; gives its states."""
+        from voxlake.operators.reads import chunk_states, densest_by_chunk
+        rows = self.run_voxels(run_seq)
+        chunk_states(rows).write.mode("overwrite").parquet(self._run_folder(self.states_path, run_seq))
+        densest_by_chunk(rows.drop("run_seq")).write.mode("overwrite").parquet(self._run_folder(self.densest_path, run_seq))
+        return self._runs(self.states_path, STATE_SCHEMA, [run_seq])
+
     def run_voxels(self, run_seq: int) -> DataFrame:
         """The rows that run ``run_seq`` wrote, published or not."""
         return self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, [run_seq])
@@ -132,31 +149,86 @@ class VoxelStore:
         commits = self.commits()
         return self._visible(commits, self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, self.live(commits)))
 
-    def _visible(self, commits: list[dict], rows: DataFrame) -> DataFrame:
+    def _latest(self, commits: list[dict], rows: DataFrame) -> DataFrame:
+        """Of rows of the live runs (``chunk_id, run_seq``), those of each chunk's latest outcome, if that is ``ok``."""
         if not commits:
             self.require()
-        live = self.live(commits)
-        if len(live) > 1:       # a later run may have replaced a chunk
+        if len(self.live(commits)) > 1:       # a later run may have replaced a chunk
             latest = (self.outcomes(commits).groupBy("chunk_id")
                       .agg(F.max_by("status", "run_seq").alias("status"), F.max("run_seq").alias("run_seq")))
             latest = latest.where(f"status = '{STATUS_OK}'").select("chunk_id", "run_seq")
             rows = rows.join(maybe_broadcast(latest, self._chunk_bound(commits)), ["chunk_id", "run_seq"], "left_semi")
-        rows = rows.select(*STORED_VOXEL_SCHEMA.fieldNames())
+        return rows
+
+    def _visible(self, commits: list[dict], rows: DataFrame) -> DataFrame:
+        rows = self._latest(commits, rows).select(*STORED_VOXEL_SCHEMA.fieldNames())
         appended = self._appended(commits)
         return rows if appended is None else rows.unionByName(appended)
 
+    def states(self) -> DataFrame:
+        """Partial states of the visible rows: a row for each chunk and run or load, no voxel file is opened."""
+        from voxlake.operators.reads import chunk_states
+        commits = self.commits()
+        names = [f for f in STATE_SCHEMA.fieldNames() if f != "run_seq"]
+        parts = []
+        for s in self.live(commits):
+            found = _read(self.spark, STATE_SCHEMA, self._run_folder(self.states_path, s), base=self.states_path)
+            # A run written without states (by an earlier version) is read whole.
+            parts.append(chunk_states(self.run_voxels(s)).withColumn("run_seq", F.lit(s).cast("long")) if found is None else found)
+        rows = parts[0] if parts else empty_frame(self.spark, STATE_SCHEMA)
+        for f in parts[1:]:
+            rows = rows.unionByName(f)
+        rows, loads = self._latest(commits, rows).select(*names), self._loads(commits)
+        return rows if loads is None else rows.unionByName(loads.select(*names))
+
+    def _densest(self) -> DataFrame:
+        """The densest rows of each chunk and run or load, of those that are visible."""
+        from voxlake.operators.reads import densest_by_chunk
+        commits = self.commits()
+        rows = empty_frame(self.spark, STORED_VOXEL_SCHEMA)
+        for s in self.live(commits):
+            found = _read(self.spark, STORED_VOXEL_SCHEMA, self._run_folder(self.densest_path, s), base=self.densest_path)
+            rows = rows.unionByName(densest_by_chunk(self.run_voxels(s)) if found is None else found)
+        rows = self._latest(commits, rows).select(*STORED_VOXEL_SCHEMA.fieldNames())
+        loads = self._load_rows(commits, self.densest_path)
+        return rows if loads is None else rows.unionByName(loads)
+
+    def _loads(self, commits: list[dict]) -> DataFrame | None:
+        return _read(self.spark, LOAD_SCHEMA, os.path.join(self.loads_path, f"base={self._base(commits)}"))
+
+    def _load_names(self, commits: list[dict]) -> list[str]:
+        """The published loads on top of the last full run: one name for each append."""
+        loads = self._loads(commits)
+        return [] if loads is None else sorted(r["load"] for r in loads.select("load").distinct().collect())
+
+    def _load_rows(self, commits: list[dict], folder: str) -> DataFrame | None:
+        """Rows of the published loads under ``folder``."""
+        names = self._load_names(commits)
+        if not names:
+            return None
+        rows = _read(self.spark, STORED_VOXEL_SCHEMA, *(os.path.join(folder, f"load={x}") for x in names), base=folder)
+        return rows.select(*STORED_VOXEL_SCHEMA.fieldNames())
+
     def _appended(self, commits: list[dict]) -> DataFrame | None:
-        base = os.path.join(self.appended_path, f"base={self._base(commits)}")
-        return _read(self.spark, STORED_VOXEL_SCHEMA, base)
+        return self._load_rows(commits, os.path.join(self.appended_path, f"base={self._base(commits)}"))
 
     def append_voxels(self, voxels: DataFrame, chunk_id: str = "loaded") -> None:
-        """S1.6: bulk append of voxel rows (``chunk_id`` column, or the given id); empty -> no-op."""
+        """S1.6: bulk append of voxel rows (``chunk_id`` column, or the given id); empty -> no-op. The last write, of
+        the load's states, makes it visible, so a load that dies or is tried again shows once or not at all."""
         if voxels.isEmpty():
             return
         rows = voxels if "chunk_id" in voxels.columns else voxels.withColumn("chunk_id", F.lit(chunk_id))
-        path = os.path.join(self.appended_path, f"base={self._base(self.commits())}")
-        (rows.select(*VOXEL_COLUMNS, F.lit(None).cast("long").alias("run_seq"), "chunk_id").write.mode("append")
-         .partitionBy("chunk_id").parquet(path))
+        self._load(rows, self._base(self.commits()))
+
+    def _load(self, rows: DataFrame, base: int) -> None:
+        from voxlake.operators.reads import chunk_states, densest_by_chunk
+        load = uuid.uuid4().hex
+        path = os.path.join(self.appended_path, f"base={base}", f"load={load}")
+        rows.select(*VOXEL_COLUMNS, F.lit(None).cast("long").alias("run_seq"), "chunk_id").write.partitionBy("chunk_id").parquet(path)
+        written = _read(self.spark, STORED_VOXEL_SCHEMA, path)
+        densest_by_chunk(written).write.parquet(os.path.join(self.densest_path, f"load={load}"))
+        (chunk_states(written).withColumn("load", F.lit(load)).write.mode("append")
+         .parquet(os.path.join(self.loads_path, f"base={base}")))
 
     def create(self) -> "VoxelStore":
         """S1.7: create the empty tables if absent (existing tables are left as they are)."""
@@ -277,26 +349,56 @@ class VoxelStore:
         rows = self.voxels().where("run_seq IS NOT NULL")
         self.write_voxels(rows.drop("run_seq"), seq)
         self.write_outcomes(self.latest_outcomes(), seq)
+        self.write_states(seq)
         if appended is not None:
-            (appended.write.mode("overwrite").partitionBy("chunk_id")
-             .parquet(os.path.join(self.appended_path, f"base={seq}")))
+            self._load(appended, seq)
         self.publish(seq, FULL, self._settings(commits))
 
-    # -- the reference's read endpoints and verification, over the stored table -------------
+    # -- the read endpoints and verification, over the stored table: from partial states, no voxel is read ----------
+    def stats(self) -> DataFrame:
+        """Rows, points and index ranges (S4.4)."""
+        from voxlake.operators.reads import stats_of
+        return stats_of(self.states())
+
+    def voxel_summary(self) -> DataFrame:
+        """Rows, points, points per row (S4.5)."""
+        from voxlake.operators.reads import summary_of
+        return summary_of(self.states())
+
+    def extents(self) -> DataFrame:
+        """Extremes of each index (S4.6)."""
+        from voxlake.operators.reads import extents_of
+        return extents_of(self.states())
+
+    def elevation_profile(self) -> DataFrame:
+        """Lowest, highest and mean elevation (S4.7)."""
+        from voxlake.operators.reads import profile_of
+        return profile_of(self.states())
+
+    def row_count(self) -> DataFrame:
+        """Number of voxel rows (S4.8)."""
+        from voxlake.operators.reads import count_of
+        return count_of(self.states())
+
     def summary(self) -> DataFrame:
         """Table stats plus the typed run configuration (S4.11)."""
         from voxlake.operators.reads import run_summary
-        return run_summary(self.voxels(), self.metadata())
+        return run_summary(None, self.metadata(), self.stats())
 
     def densest(self, limit: int = 10) -> DataFrame:
-        """Top-N voxel rows by point count (S6.1)."""
+        """Top-N voxel rows by point count (S6.1), from the stored densest rows of each chunk (N is at most their number)."""
         from voxlake.operators.reads import densest_voxels
-        return densest_voxels(self.voxels(), limit)
+        return densest_voxels(self._densest(), limit)
+
+    def densest_report(self, limit: int = 5) -> DataFrame:
+        """Top-5 report with rounded elevations (S6.2)."""
+        from voxlake.operators.reads import densest_report
+        return densest_report(self._densest(), limit)
 
     def report(self) -> str:
         """The four verification queries, formatted (S1.14)."""
-        from voxlake.plans.report import format_report
-        return format_report(self.voxels())
+        from voxlake.plans.report import format_tables
+        return format_tables(self.voxel_summary(), self.extents(), self.elevation_profile(), self.densest_report())
 
     def get_metadata(self, key: str, default: str | None = None) -> str | None:
         """Point lookup with default (S1.10); a missing key gives the default, errors propagate."""
