@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -65,3 +65,22 @@ def trunc_index(value: float | None) -> int | None:
     if value is None:
         return None
     return int(float(value))
+
+
+# Spreading 21 bits so that two free ones follow each: shift and mask of each step (the usual bit masks).
+SPREAD_STEPS = [(32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)]
+CURVE_BITS = 21
+
+
+def with_curve(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``df`` with ``name``: the place of three integer columns on a Z-order curve.
+
+    Each index keeps its lowest 21 bits, counted from -2^20, so the curve repeats every 2,097,152 voxels: a
+    table wider than that keeps its order but for a seam. Each step is a column of its own, as a nested
+    expression would double at each.
+    """
+    parts = [f"{name}_{i}" for i in range(3)]
+    df = df.withColumns({p: F.expr(f"({c} + {1 << (CURVE_BITS - 1)}L) & {(1 << CURVE_BITS) - 1}L") for p, c in zip(parts, columns)})
+    for shift, mask in SPREAD_STEPS:
+        df = df.withColumns({p: F.expr(f"({p} | shiftleft({p}, {shift})) & {mask}L") for p in parts})
+    return df.withColumn(name, F.expr(f"{parts[0]} | shiftleft({parts[1]}, 1) | shiftleft({parts[2]}, 2)")).drop(*parts)
