@@ -14,18 +14,20 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
    rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
    keys that several classes hold leave the task.
-3. **Count-vector R-tree.** Shingles are hashed into ``DIMS`` groups, or more for long texts; the group
-   counts are a point. The
-   points of a shard are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``),
-   joined with itself level by level: a pair of nodes survives if stars meet, sizes fit, and the summed
-   coordinate minima of their upper corners reach the overlap that a link needs; at the leaves the same
-   bound holds on the points, over all groups that both have.
-4. **Verification** of surviving pairs on the texts' sets, exact.
-5. **Stars first.** Every class is paired with its blocks' hubs, a hub being the class of a block that lies
-   in the most blocks. Stars whose classes have then all met in one component are settled. The classes of the
-   others go through the R-tree join in full, in tiles of ``TILE``, for pairs of different components (the
+3. **Stars.** A block's hub is its class that lies in the most blocks; a star is a hub with the classes of its
+   blocks. Stars are dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most, with their texts.
+4. **Count-vector R-tree.** In a tile, shingles are hashed into ``DIMS`` groups; the group counts of a class are a
+   point. The points are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``), joined
+   with itself level by level: a pair of nodes survives if stars meet, sizes fit, labels may differ and the
+   summed coordinate minima of their upper corners reach the overlap that a link needs. Every link comes out of
+   such a join.
+5. **Verification** of surviving pairs on the texts' sets, exact, in the same task: candidates are never
+   rows, and a tile gives as many links as join its classes, not all of them.
+6. **Two rounds.** First the hub's pairs only (nodes without a hub do not meet). Stars whose classes have then all met in one
+   component are settled. The others are joined in full, in pairs of tiles, for pairs of different components (the
    classes of a block share its hub, so each of their pairs is looked at, once per star). So a group of
-   mutual near copies costs a star, not all its pairs, and no link between components is missed.
+   mutual near copies costs a star, not all its pairs, and no link between components is missed. A group
+   whose similarities lie about the threshold costs a look at all its pairs, but no rows for them.
 
 The R-tree alone would not do: in tens of dimensions the corners of a node of unrelated texts bound
 nothing, and the join would compare all texts of a size. The equi-key of step 2 only deals the points
@@ -56,9 +58,10 @@ from voxlake.llm.common import python_ready, written
 WIDTH, SHARE, WHOLE = 3, 90, 100
 DIM_BITS = 8
 DIMS = 1 << DIM_BITS    # coordinates of a count vector in the tree
-LOAD = 4                # shingles a coordinate at most, on average
 FANOUT = 16
-TILE = 2048
+TILE = 2048             # classes of a star in one task
+TILE_SHINGLES = 1_000_000   # their shingles, about
+BUCKET_KEYS = 4_000_000     # keys of a bucket, about
 LEVELS = 4
 CHARS = 500_000         # of texts hashed at once
 KEY_BYTES = 5           # a chance agreement of keys only costs a look
@@ -131,37 +134,9 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def counts_of(shingles: np.ndarray) -> bytes:
-    """The count vector: how many shingles fall into each of DIMS groups, or of a larger power of two for
-    sets of more than LOAD shingles a group (else all long texts would look alike)."""
-    bits = max(DIM_BITS, (len(shingles) // LOAD).bit_length())
-    counts = np.bincount((mix(shingles) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    kind = "u1" if counts.max() < 1 << 8 else "<u4"
-    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
-
-
-def vector_of(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
-
-
-def folded(vector: np.ndarray, dims: int) -> np.ndarray:
-    """The vector over fewer groups (groups are named by leading bits, so neighbours merge)."""
-    return vector if len(vector) == dims else vector.reshape(dims, -1).sum(axis=1)
-
-
-def fine_bound(vectors: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Summed coordinate minima of index pairs over the most groups that both vectors have."""
-    size = np.array([len(v) for v in vectors])
-    dims, out = np.minimum(size[i], size[j]), np.empty(len(i), np.int64)
-    for d in np.unique(dims).tolist():
-        at = np.flatnonzero(dims == d)
-        rows, back = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
-        table = np.stack([folded(vectors[r], d) for r in rows.tolist()]).astype(np.int32)
-        step = max(1, (1 << 21) // d)
-        for a in range(0, len(at), step):
-            x, y = back[a : a + step][: len(at) - a], back[len(at) + a : len(at) + a + step]
-            out[at[a : a + step]] = np.minimum(table[x], table[y]).sum(axis=1, dtype=np.int64)
-    return out
+def counts_of(shingles: np.ndarray) -> np.ndarray:
+    """The count vector: how many shingles fall into each of DIMS groups."""
+    return np.bincount((mix(shingles) >> np.uint64(64 - DIM_BITS)).astype(np.int64), minlength=DIMS)
 
 
 def bands(longest: int, share: int, whole: int) -> np.ndarray:
@@ -220,17 +195,17 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 
 def points(docs: DataFrame, width: int) -> DataFrame:
-    """``id, n, class, counts, h`` of ``(id, t, h)`` rows."""
+    """``id, n, class, h`` of ``(id, t, h)`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, len(some)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([counts_of(s) for s in sets], pa.binary()),
-                    batch.column(2).slice(a, len(some))], names=["id", "n", "class", "counts", "h"])
+                    pa.array([class_of(s) for s in sets], pa.int64()), batch.column(2).slice(a, len(some))],
+                    names=["id", "n", "class", "h"])
 
-    return docs.mapInArrow(run, "id long, n long, class long, counts binary, h long")
+    return docs.mapInArrow(run, "id long, n long, class long, h long")
 
 
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
@@ -285,15 +260,17 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
     return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long").distinct()
 
 
-def _levels(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.ndarray) -> list[dict[str, np.ndarray]]:
-    """Bulk-loaded R-tree, leaves first: per node the ranges of blocks and sizes and the upper corner."""
-    levels = [{"b0": block, "b1": block, "s0": size, "s1": size, "top": counts, "l0": label, "l1": label}]
+def _levels(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label: np.ndarray, hub: np.ndarray) -> list[dict[str, np.ndarray]]:
+    """Bulk-loaded R-tree, leaves first: per node the ranges of blocks and sizes, the upper corner, and whether a
+    hub is below."""
+    levels = [{"b0": block, "b1": block, "s0": size, "s1": size, "top": counts, "l0": label, "l1": label, "hub": hub}]
     while len(levels[-1]["b0"]) > 1:
         below = levels[-1]
         at = np.arange(0, len(below["b0"]), FANOUT)
         levels.append({"b0": below["b0"][at], "b1": np.maximum.reduceat(below["b1"], at), "s0": np.minimum.reduceat(below["s0"], at),
                        "s1": np.maximum.reduceat(below["s1"], at), "top": np.maximum.reduceat(below["top"], at),
-                       "l0": np.minimum.reduceat(below["l0"], at), "l1": np.maximum.reduceat(below["l1"], at)})
+                       "l0": np.minimum.reduceat(below["l0"], at), "l1": np.maximum.reduceat(below["l1"], at),
+                       "hub": np.logical_or.reduceat(below["hub"], at)})
     return levels
 
 
@@ -301,14 +278,15 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
                 share: int, whole: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j in tree order) of one block, with one of them a hub, that the bound lets pass.
     ``hub``: points that may pair with any; two others never pair. Nodes of one label are skipped."""
-    levels = _levels(block, size, counts, label)
+    levels = _levels(block, size, counts, label, hub)
 
     def passing(level: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, leaf: bool) -> np.ndarray:
         ok = (level["b0"][i] <= level["b1"][j]) & (level["b0"][j] <= level["b1"][i])
         ok &= (whole * level["s1"][i] >= share * level["s0"][j]) & (whole * level["s1"][j] >= share * level["s0"][i])
         ok &= (level["l0"][i] != level["l1"][j]) | (level["l1"][i] != level["l0"][j])      # some labels differ
+        ok &= level["hub"][i] | level["hub"][j]
         if leaf:
-            ok &= (i < j) & (hub[i] | hub[j])
+            ok &= i < j
         for a in range(0, len(i), _CHUNK):
             at = a + np.flatnonzero(ok[a : a + _CHUNK])
             bound = np.minimum(level["top"][i[at]], level["top"][j[at]]).sum(axis=1, dtype=np.int64)
@@ -336,30 +314,6 @@ def rtree_pairs(block: np.ndarray, size: np.ndarray, counts: np.ndarray, label:
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def _in_tree_order(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, list[np.ndarray]]:
-    column = {c: table.column(c).to_numpy() for c in table.column_names if c != "counts"}
-    vectors = [vector_of(v) for v in table.column("counts").to_pylist()]
-    counts = np.stack([folded(v, DIMS) for v in vectors]).astype(np.int32)
-    order = np.lexsort((column["class"], *counts.T[:4], column["n"], column["block"]))
-    return {c: v[order] for c, v in column.items()}, counts[order], [vectors[i] for i in order.tolist()]
-
-
-def _pairs(name: np.ndarray, found: Iterator[tuple[np.ndarray, np.ndarray]], use=lambda i, j: slice(None)) -> np.ndarray:
-    """The distinct pairs of names, smaller first, of index pairs that come in portions."""
-    held, portion, size = np.empty((0, 2), np.int64), [], 0
-    for i, j in found:
-        keep = use(i, j)
-        x, y = name[i[keep]], name[j[keep]]
-        portion.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-        size += len(x)
-        if size > 1 << 20:      # the same pair comes from many blocks
-            held, portion, size = np.unique(np.concatenate([held, *portion]), axis=0), [], 0
-    return np.unique(np.concatenate([held, *portion]), axis=0)
-
-
-_TILES = f"greatest(1, cast(ceil(size / {TILE}) as int))"
-
-
 def stars(members: DataFrame) -> DataFrame:
     """``hub, class``: each class with the hub of every block it lies in. A block's hub is its class that lies
     in the most blocks (the least edited text lies in all of its copies' blocks, so blocks of one group agree
@@ -371,79 +325,90 @@ def stars(members: DataFrame) -> DataFrame:
     return both.where("class <> hub").select("hub", "class").distinct()
 
 
-def across(members: DataFrame, share: int, whole: int, buckets: int) -> DataFrame:
-    """Candidate pairs ``a < b`` of different labels within each star (``block``), in full: large stars are dealt
-    out in pairs of tiles."""
-    def join(table: pa.Table) -> pa.Table:
-        c, counts, vectors = _in_tree_order(table)
-        one = c["tile_a"] == c["tile_b"]
-
-        def use(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            keep = np.flatnonzero((c["label"][i] != c["label"][j]) & (one[i] | (c["tile"][i] != c["tile"][j])))
-            bound = fine_bound(vectors, i[keep], j[keep])
-            return keep[(whole + share) * bound >= share * (c["n"][i[keep]] + c["n"][j[keep]])]
-
-        pairs = _pairs(c["class"], rtree_pairs(c["block"], c["n"], counts, c["label"], np.ones(len(one), bool), share, whole), use)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    m = members.selectExpr("*", f"cast(pmod(xxhash64(class), {_TILES}) as int) AS tile",
-                           f"explode(sequence(0, {_TILES} - 1)) AS other")
-    m = m.selectExpr("block AS whole_block", "class", "size", "n", "counts", "label", "tile",
-                     "least(tile, other) AS tile_a", "greatest(tile, other) AS tile_b")
-    # Each pair of tiles is a block of its own.
-    m = m.withColumn("block", F.xxhash64("whole_block", "tile_a", "tile_b")).drop("whole_block")
-    m = m.withColumn("bucket", F.expr(f"if(size > {TILE}, block, pmod(xxhash64(block), {buckets}))"))
-    return m.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
-
-
-def bounded(pairs: DataFrame, classes: DataFrame, share: int, whole: int) -> DataFrame:
-    """The pairs whose sizes and summed coordinate minima allow a link."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = (batch.column(i).to_numpy() for i in (2, 4))
-            vectors = [vector_of(v) for i in (3, 5) for v in batch.column(i).to_pylist()]
-            bound = fine_bound(vectors, np.arange(len(n)), np.arange(len(n)) + len(n))
-            good = (whole + share) * bound >= share * (n + m)
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"v_{c}"))
-    fits = f"{whole} * n_a >= {share} * n_b AND {whole} * n_b >= {share} * n_a"
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "n_a", "v_a", "n_b", "v_b")
-    return both.mapInArrow(run, "a long, b long")
+def links_of(sets: list[np.ndarray], pairs: Iterator[tuple[np.ndarray, np.ndarray]], label: np.ndarray, share: int,
+             whole: int) -> list[tuple[int, int]]:
+    """Index pairs whose sets link, out of candidate pairs: as many as join all the labels that links join. Pairs of
+    labels that have met are not looked at again."""
+    names, own = np.unique(label, return_inverse=True)
+    own, up = own.tolist(), list(range(len(names)))
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    words, local = np.unique(np.concatenate(sets), return_inverse=True)
+    sets = np.split(local.reshape(-1), np.cumsum([len(s) for s in sets])[:-1])
+    here, out = np.zeros(len(words), np.uint8), []
+    for first, second in pairs:
+        order = np.argsort(first, kind="stable")
+        first, second = first[order], second[order]
+        cut = np.flatnonzero(np.diff(first, prepend=-1)).tolist()
+        for a, b in zip(cut, [*cut[1:], len(first)]):
+            i = int(first[a])
+            root = find(own[i])
+            others = [j for j in second[a:b].tolist() if find(own[j]) != root]
+            if not others:
+                continue
+            n = np.array([len(sets[j]) for j in others])
+            here[sets[i]] = 1
+            both = np.add.reduceat(here[np.concatenate([sets[j] for j in others])], np.cumsum(n) - n, dtype=np.int64)
+            here[sets[i]] = 0
+            for at in np.flatnonzero(whole * both >= share * (len(sets[i]) + n - both)).tolist():
+                x, y = find(own[i]), find(own[others[at]])
+                if x != y:
+                    up[y] = x
+                    out.append((i, others[at]))
+    return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, where: DataFrame, width: int, share: int, whole: int) -> DataFrame:
-    """The pairs of classes whose sets link. ``where``: the ``id`` of one document of each class.
+def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int, full: bool) -> DataFrame:
+    """Links ``a, b`` between different labels of each star, enough to join all that its links join. ``members``:
+    ``star, class, hub, id, label`` (``hub``: is it the star's hub; ``id``: a document of the class) and ``n``.
 
-    Texts move, not sets (a word compresses better than a hash): the second text of each pair goes to the
-    first one's, once per pair, and the first once per class.
+    ``full``: all pairs of the star but those with the hub, large stars dealt out in pairs of tiles; else the hub's
+    pairs, the hub copied to every tile. A tile has about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most.
+    Its texts come to the task, so candidates are verified where they arise and none is ever a row.
     """
-    if pairs.isEmpty():
-        return pairs
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[int, np.ndarray | None] = {}
-        for batch in batches:
-            good, first, second = [], batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b, x, y in zip(first, second, batch.column(2), batch.column(3)):
-                if a not in last:       # rows come in order of a
-                    last = {a: _of_class(x.as_py(), a, width)}
-                p, q = last[a], _of_class(y.as_py(), b, width)
-                if p is None or q is None:
-                    good.append(False)
-                    continue
-                both = int(np.isin(p, q, assume_unique=True, kind="sort").sum())
-                good.append(whole * both >= share * (len(p) + len(q) - both))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    def texts(of: DataFrame, name: str) -> DataFrame:
-        return docs.join(F.broadcast(of) if of.count() <= MAX_BROADCAST else of, "id").withColumnRenamed("t", name).drop("id")
-
-    at = lambda c: where.select(F.col("class").alias(c), "id")
-    x = texts(written(pairs.select("a").distinct().join(at("a"), "a"), "jaccard-first"), "x")
-    y = texts(written(pairs.join(at("b"), "b").select("a", "b", "id"), "jaccard-second"), "y")
-    both = y.join(x.hint("merge"), "a").select("a", "b", "x", "y")
-    return both.mapInArrow(check, "a long, b long").distinct()
+    def join(table: pa.Table) -> pa.Table:
+        c = {k: table.column(k).to_numpy() for k in ("block", "class", "label", "hub", "tile", "one")}
+        sets = [_of_class(t, k, width) for t, k in zip(table.column("t").to_pylist(), c["class"].tolist())]
+        # Rows that repeat an id bring another text, or the same one again.
+        _, once = np.unique(np.stack([c["block"], c["class"], [s is None for s in sets]]), axis=1, return_index=True)
+        once = np.array([i for i in once.tolist() if sets[i] is not None], np.int64)
+        if not len(once):
+            return pa.table({k: pa.array([], pa.int64()) for k in ("a", "b")})
+        counts = np.stack([counts_of(sets[i]) for i in once.tolist()]).astype(np.int32)
+        n = np.array([len(sets[i]) for i in once.tolist()])
+        order = np.lexsort((c["class"][once], *counts.T[:4], n, c["block"][once]))
+        once, counts, n = once[order], counts[order], n[order]
+        c = {k: v[once] for k, v in c.items()}
+        may = np.ones(len(once), bool) if full else c["hub"].astype(bool)
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for i, j in rtree_pairs(c["block"], n, counts, c["label"], may, share, whole):
+                use = c["one"][i].astype(bool) | (c["tile"][i] != c["tile"][j])
+                yield i[use], j[use]
+
+        found = links_of([sets[i] for i in once.tolist()], pairs(), c["label"], share, whole)
+        ends = c["class"][np.array(found, np.int64).reshape(-1, 2)]
+        return pa.table({"a": ends.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends.max(axis=1, initial=np.iinfo(np.int64).min)})
+
+    sums = members.groupBy("star").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    tiles = F.expr(f"cast(greatest(1, ceil(size / {TILE}), ceil(weight / {TILE_SHINGLES})) as int)")
+    m = members.join(sums.select("star", tiles.alias("tiles")), "star").withColumn("tile", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
+    m = m.withColumn("other", F.expr("explode(sequence(0, tiles - 1))" if full else "explode(if(hub, sequence(0, tiles - 1), array(tile)))"))
+    m = m.selectExpr("*", *(("least(tile, other) AS x", "greatest(tile, other) AS y") if full else ("other AS x", "other AS y")))
+    # Each tile, or pair of tiles, is a block of its own; small stars share a bucket, as many as hold about one tile's texts.
+    held = members.agg(F.sum("n")).first()[0] or 0
+    buckets = max(buckets, -(-held // TILE_SHINGLES))
+    m = m.withColumn("block", F.xxhash64("star", "x", "y"))
+    m = m.selectExpr(f"if(tiles > 1, block, pmod(xxhash64(block), {buckets})) AS bucket", "block", "class", "hub", "id", "label",
+                     "tile", "x = y AS one")
+    m = written(m, "jaccard-tiles")
+    texts = docs.join(F.broadcast(m) if m.count() <= MAX_BROADCAST else m, "id").drop("id")
+    return texts.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
 
 
 def _of_class(text: str | None, name: int, width: int) -> np.ndarray | None:
@@ -480,14 +445,15 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
-    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")),
-                      "jaccard-classes")
-    where = classes.where("id IS NOT NULL").select("class", "id")
-    members = written(blocks(d, width, share, whole, buckets), "jaccard-blocks")
+    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-classes")
+    # Keys of a set: a group for each difference a link allows, in two bands at most; as many again for spare ones.
+    keys = (classes.agg(F.sum("n")).first()[0] or 0) * 8 * (whole - share) * whole // ((whole + share) * share)
+    members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS))), "jaccard-blocks")
     star = written(stars(members), "jaccard-stars")
-    pairs = bounded(star.selectExpr("least(hub, class) AS a", "greatest(hub, class) AS b").distinct(), classes, share, whole)
-    pairs = written(pairs, "jaccard-pairs")
-    links = written(verified(pairs, d, where, width, share, whole), "jaccard-links")
+    where = classes.where("id IS NOT NULL")
+    spokes = star.selectExpr("hub AS star", "class", "false AS hub").union(star.selectExpr("hub", "hub", "true").distinct())
+    spokes = written(spokes.join(where, "class").withColumn("label", F.col("class")), "jaccard-spokes")
+    links = written(star_links(spokes, d, width, share, whole, buckets, False), "jaccard-links")
     if by_id:
         # Rows that repeat an id with another text: their classes belong together.
         twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
@@ -497,13 +463,12 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
 
     # Stars whose classes, but for the hub, have not all met: the rest of their pairs. Classes of a block
     # share its hub, so no pair of a block is missed.
-    met = star.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_ = met.groupBy("hub").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size")).where("x < y")
-    rest = written(met.join(open_.select("hub", "size"), "hub").select(F.col("hub").alias("block"), "class", "size", "label"), "jaccard-open")
+    met = spokes.where("NOT hub").drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    open_ = met.groupBy("star").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("star")
+    rest = written(met.join(open_, "star"), "jaccard-open")
     if not rest.isEmpty():
-        more = across(rest.join(classes.select("class", "n", "counts"), "class"), share, whole, buckets)
-        more = written(more.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
-        labels = components(links.union(verified(more, d, where, width, share, whole)))
+        more = written(star_links(rest, d, width, share, whole, buckets, True), "jaccard-links")
+        labels = components(links.union(more))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     least = found.groupBy("label").agg(F.min("id").alias("component_id"))
