@@ -154,6 +154,18 @@ def box_predicate(bounds: dict) -> str:
     return " AND ".join(parts) or "true"
 
 
+def box_state_predicate(bounds: dict) -> str:
+    """The states whose index extremes meet the box; others hold none of its rows."""
+    tests = [f"{c}_max >= {int(v)}" for c in "xyz" if (v := bounds.get(f"min_{c}")) is not None]
+    tests += [f"{c}_min <= {int(v)}" for c in "xyz" if (v := bounds.get(f"max_{c}")) is not None]
+    return " AND ".join(tests) or "true"
+
+
+def ordered_box(voxels: DataFrame, bounds: dict, limit: int) -> DataFrame:
+    """The first ``limit`` rows of a box of index bounds, in index order (S6.3)."""
+    return voxels.where(box_predicate(bounds)).orderBy(*_order(voxels)).limit(limit).select(*_out_cols(voxels))
+
+
 def voxels_in_box(voxels: DataFrame, min_x=None, max_x=None, min_y=None, max_y=None,
                   min_z=None, max_z=None, is_voxel_coords: bool = False, voxel_size: float = 2.0,
                   limit: int = BOX_DEFAULT) -> DataFrame:
@@ -165,7 +177,7 @@ def voxels_in_box(voxels: DataFrame, min_x=None, max_x=None, min_y=None, max_y=N
     """
     n = _check_limit(limit, BOX_MAX, "box")
     b = index_bounds(min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, voxel_size)
-    return voxels.where(box_predicate(b)).orderBy(*_order(voxels)).limit(n).select(*_out_cols(voxels))
+    return ordered_box(voxels, b, n)
 
 
 def voxels_between(voxels: DataFrame, x_lo: int, x_hi: int, y_lo: int, y_hi: int) -> DataFrame:

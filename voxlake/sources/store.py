@@ -44,6 +44,8 @@ from voxlake.sources.values import empty_frame, sql_literal, values_frame
 ROW_GROUP_BYTES = 16 << 20
 # Rows per output file; keeps files bounded even for a chunk with a third of all voxels.
 MAX_RECORDS_PER_FILE = 4_000_000
+# A box lookup looks at grid columns of about this many rows at first, then at twice as many.
+STEP_ROWS = 1_000_000
 
 
 def _read(spark: SparkSession, schema, *paths: str, base: str | None = None) -> DataFrame | None:
@@ -178,9 +180,13 @@ class VoxelStore:
 
     def states(self) -> DataFrame:
         """Partial states of the visible rows: a row for each chunk and run or load, no voxel file is opened."""
-        from voxlake.operators.reads import chunk_states
         commits = self.commits()
-        names = [f for f in STATE_SCHEMA.fieldNames() if f != "run_seq"]
+        rows, loads = self._run_states(commits), self._loads(commits)
+        return rows if loads is None else rows.unionByName(loads.select(*rows.columns))
+
+    def _run_states(self, commits: list[dict]) -> DataFrame:
+        """The states of the visible rows of the live runs, without loads."""
+        from voxlake.operators.reads import chunk_states
         parts = []
         for s in self.live(commits):
             found = _read(self.spark, STATE_SCHEMA, self._run_folder(self.states_path, s), base=self.states_path)
@@ -189,8 +195,7 @@ class VoxelStore:
         rows = parts[0] if parts else empty_frame(self.spark, STATE_SCHEMA)
         for f in parts[1:]:
             rows = rows.unionByName(f)
-        rows, loads = self._latest(commits, rows).select(*names), self._loads(commits)
-        return rows if loads is None else rows.unionByName(loads.select(*names))
+        return self._latest(commits, rows).select(*[f for f in STATE_SCHEMA.fieldNames() if f != "run_seq"])
 
     def _densest(self) -> DataFrame:
         """The densest rows of each chunk and run or load, of those that are visible."""
@@ -328,29 +333,68 @@ class VoxelStore:
         The stored grid tells which chunk rows and columns can hold voxels of the box; they become
         ranges on the parts of ``chunk_id``, a partition filter, with a voxel to spare on each side (cell
         edges and the chunk of a point round differently). The index predicate stays exact, and its
-        bounds reach the Parquet scan, where the index-sorted files skip row groups. Rows appended
-        outside any run lie elsewhere and are not pruned.
+        bounds reach the Parquet scan, where row groups are skipped. Rows appended outside any run lie
+        elsewhere and are not pruned. Of a box with far more rows than the limit only the first grid
+        columns are read (:meth:`_first_columns`).
         """
-        from voxlake.operators.reads import index_bounds, voxels_in_box
+        from voxlake.operators.reads import BOX_MAX, _check_limit, index_bounds, voxels_in_box
+        limit = _check_limit(limit, BOX_MAX, "box")
         commits = self.commits()
-        meta = self._settings(commits)
         size = float(self.get_metadata("voxel_size", "2.0"))
-        rows = self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, self.live(commits))
-        if all(k in meta for k in ("grid_size", "voxel_size", "min_x", "max_x", "min_y", "max_y")):
-            g, run_size = int(meta["grid_size"]), float(meta["voxel_size"])
-            b = index_bounds(min_x, max_x, min_y, max_y, None, None, is_voxel_coords, size)
-            for part, axis in ((0, "x"), (1, "y")):
-                lo, hi = b[f"min_{axis}"], b[f"max_{axis}"]
-                first, last = float(meta[f"min_{axis}"]), float(meta[f"max_{axis}"])
-                step = (last - first) / g
-                near = [k for k in range(g)
-                        if (lo is None or math.floor((first + (k + 1) * step) / run_size) + 1 >= lo)
-                        and (hi is None or math.floor((first + k * step) / run_size) - 1 <= hi)]
-                if step > 0 and len(near) < g:      # g is at most MAX_GRID; the cells are consecutive
-                    rows = rows.where(f"CAST(split(chunk_id, '_')[{part}] AS INT) BETWEEN {near[0]} AND {near[-1]}"
-                                      if near else "false")
+        bounds = index_bounds(min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size)
+        rows = self._near(commits, self._runs(self.voxels_path, STORED_VOXEL_SCHEMA, self.live(commits)), bounds)
+        rows = self._first_columns(commits, rows, bounds, limit)
         return voxels_in_box(self._visible(commits, rows), min_x, max_x, min_y, max_y, min_z, max_z, is_voxel_coords, size, limit)
 
+    def _near(self, commits: list[dict], rows: DataFrame, bounds: dict) -> DataFrame:
+        """``rows`` of the chunks that can hold voxels of the box, by the stored grid."""
+        meta = self._settings(commits)
+        if not all(k in meta for k in ("grid_size", "voxel_size", "min_x", "max_x", "min_y", "max_y")):
+            return rows
+        g, size = int(meta["grid_size"]), float(meta["voxel_size"])
+        for part, axis in ((0, "x"), (1, "y")):
+            lo, hi = bounds[f"min_{axis}"], bounds[f"max_{axis}"]
+            first, last = float(meta[f"min_{axis}"]), float(meta[f"max_{axis}"])
+            step = (last - first) / g
+            near = [k for k in range(g)
+                    if (lo is None or math.floor((first + (k + 1) * step) / size) + 1 >= lo)
+                    and (hi is None or math.floor((first + k * step) / size) - 1 <= hi)]
+            if step > 0 and len(near) < g:      # g is at most MAX_GRID; the cells are consecutive
+                rows = rows.where(f"CAST(split(chunk_id, '_')[{part}] AS INT) BETWEEN {near[0]} AND {near[-1]}"
+                                  if near else "false")
+        return rows
+
+    def _first_columns(self, commits: list[dict], rows: DataFrame, bounds: dict, limit: int) -> DataFrame:
+        """S6.3: ``rows`` of the first grid columns only, as soon as they fill the limit (loads included) and no row
+        of a later column can come before the last of them.
+
+        The stored states tell each column's rows and lowest voxel_x (a row for each column, at most MAX_GRID, on the
+        driver). Columns of ``STEP_ROWS`` rows are looked at first, then of twice as many; boxes that cannot
+        hold more than that are read at once, without a look.
+        """
+        from voxlake.operators.reads import box_state_predicate, ordered_box
+        if "grid_size" not in self._settings(commits):      # chunk ids name no columns
+            return rows
+        column = "CAST(split(chunk_id, '_')[0] AS INT)"
+        found = (self._run_states(commits).where(box_state_predicate(bounds)).groupBy(F.expr(column).alias("i"))
+                 .agg(F.min("x_min").alias("low"), F.sum("voxels").alias("n")).orderBy("i").collect())
+        later = [math.inf] * (len(found) + 1)               # the lowest voxel_x from a column on
+        for k in range(len(found) - 1, -1, -1):
+            later[k] = min(later[k + 1], found[k]["low"])
+        seen, held, goal = 0, 0, max(limit, STEP_ROWS)
+        while True:
+            while seen < len(found) and held < goal:
+                held += found[seen]["n"]
+                seen += 1
+            if seen == len(found):
+                return rows
+            some = rows.where(f"{column} <= {found[seen - 1]['i']}")
+            full = (ordered_box(self._visible(commits, some), bounds, limit)
+                    .agg(F.count("*").alias("n"), F.max("voxel_x").alias("x")).first())
+            if full["n"] == limit and full["x"] < later[seen]:
+                return some.where(f"voxel_x <= {full['x']}")
+            goal = held * 2
+
     def compact(self) -> None:
         """Rewrite what is visible as one full run, published at once: voxels, appended rows, latest
         outcomes and settings. Older folders are no longer read."""
@@ -413,6 +457,8 @@ class VoxelStore:
 
     def get_metadata(self, key: str, default: str | None = None) -> str | None:
         """Point lookup with default (S1.10); a missing key gives the default, errors propagate."""
+        if _read(self.spark, METADATA_SCHEMA, self.metadata_path) is None:     # runs' settings alone: no job but the commits'
+            return self._settings(self.commits()).get(key, default)
         row = self.metadata().where(F.col("key") == key).select("value").first()
         return default if row is None else row["value"]
 
