@@ -2,6 +2,7 @@
 
 import pytest
 
+from voxlake.operators.chunks import Bounds, Grid
 from voxlake.operators.reads import voxels_in_box
 from voxlake.plans.build import VoxelConfig
 from voxlake.plans.ingest import ingest, resume
@@ -66,7 +67,9 @@ def test_loads_and_resumed_chunks_count(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "store")
     pts = spark.range(1600).selectExpr("CAST(id % 40 AS DOUBLE) AS x", "CAST(id DIV 40 AS DOUBLE) AS y", "CAST(id % 3 AS DOUBLE) AS z")
     cfg = VoxelConfig(grid_size=4, voxel_size=1.0, filter_outliers=False)
-    manifest = spark.createDataFrame([("0_0", 7), ("0_2", 7)], "chunk_id string, expected_points long")
+    grid = Grid(Bounds.of(pts), cfg.grid_size)      # a chunk that the manifest does not name is expected to be empty
+    manifest = (grid.assign(pts).groupBy(grid.chunk_id().alias("chunk_id")).count()
+                .selectExpr("chunk_id", "if(chunk_id IN ('0_0', '0_2'), 7, count) AS expected_points"))
     assert ingest(spark, pts, root, cfg, manifest=manifest).failed == ["0_0", "0_2"]
     store = VoxelStore(spark, root)
 
