@@ -15,7 +15,8 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
    keys that several classes hold leave the task.
 3. **Stars.** A block's hub is its class that lies in the most blocks; a star is a hub with the classes of its
-   blocks. Stars are dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most, with their texts.
+   blocks. Stars that share classes make a family, dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES``
+   shingles at most. A text comes to a tile's task once, however many stars hold it.
 4. **Count-vector R-tree.** In a tile, shingles are hashed into ``DIMS`` groups; the group counts of a class are a
    point. The points are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``), joined
    with itself level by level: a pair of nodes survives if stars meet, sizes fit, labels may differ and the
@@ -363,58 +364,91 @@ def links_of(sets: list[np.ndarray], pairs: Iterator[tuple[np.ndarray, np.ndarra
     return out
 
 
+def near_stars(members: DataFrame) -> DataFrame:
+    """``star, family``: the smallest star within two steps over shared classes. Stars of one group of near copies
+    mostly agree on it, so their texts travel together; a star that does not only costs another copy of a text."""
+    spokes = members.select("star", "class")
+    low = spokes.withColumn("family", F.col("star"))
+    for _ in range(2):
+        least = low.groupBy("class").agg(F.min("family").alias("least"))
+        family = low.join(least, "class").groupBy("star").agg(F.min("least").alias("family"))
+        low = spokes.join(family, "star")
+    return family
+
+
+def dealt(members: DataFrame, buckets: int, full: bool) -> DataFrame:
+    """``bucket, block, class, hub, id, label, tile, one``: each star's classes in every task where their pairs are looked at.
+
+    A family's classes are cut into tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most. A task has
+    two tiles of one family, or small families whole, as many as hold about one tile's shingles. With ``full``, a star has its
+    classes in all pairs of its tiles; else each class meets its hub. ``one``: do both tiles coincide?
+    """
+    m = members.join(written(near_stars(members), "jaccard-families"), "star")
+    sums = m.select("family", "class", "n").distinct().groupBy("family").agg(F.expr(
+        f"cast(greatest(1, ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"),
+        F.expr(f"sum(greatest(n, {DIMS}))").alias("weight"))
+    sums = written(sums, "jaccard-tiles")
+    held = sums.where("tiles = 1").agg(F.sum("weight")).first()[0] or 0
+    buckets = max(buckets, -(-held // TILE_SHINGLES))
+    m = written(m.join(sums, "family").withColumn("tile", F.expr("cast(pmod(xxhash64(class), tiles) as int)")), "jaccard-tiled")
+    at = m.where("true" if full else "NOT hub").select("star", F.col("tile").alias("other")).distinct()
+    if full:
+        m = m.join(at, "star")
+    else:
+        home = F.expr("cast(pmod(xxhash64(star), tiles) as int)")
+        m = m.where("NOT hub").withColumn("other", home).unionByName(m.where("hub").join(at, "star"), allowMissingColumns=True)
+    m = m.selectExpr("*", "least(tile, other) AS x", "greatest(tile, other) AS y")
+    return m.selectExpr(f"if(tiles > 1, xxhash64(family, x, y), pmod(xxhash64(family), {buckets})) AS bucket",
+                        "xxhash64(star, x, y) AS block", "class", "hub", "id", "label", "tile", "x = y AS one")
+
+
 def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int, full: bool) -> DataFrame:
     """Links ``a, b`` between different labels of each star, enough to join all that its links join. ``members``:
     ``star, class, hub, id, label`` (``hub``: is it the star's hub; ``id``: a document of the class) and ``n``.
 
-    ``full``: all pairs of the star but those with the hub, large stars dealt out in pairs of tiles; else the hub's
-    pairs, the hub copied to every tile. A tile has about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most.
-    Its texts come to the task, so candidates are verified where they arise and none is ever a row.
+    ``full``: all pairs of the star (which then comes without its hub); else the hub's pairs. A text comes to a task once,
+    however many stars there hold it, and candidates are verified where they arise, so none is ever a row.
     """
-    def join(table: pa.Table) -> pa.Table:
-        c = {k: table.column(k).to_numpy() for k in ("block", "class", "label", "hub", "tile", "one")}
-        sets = [_of_class(t, k, width) for t, k in zip(table.column("t").to_pylist(), c["class"].tolist())]
-        # Rows that repeat an id bring another text, or the same one again.
-        _, once = np.unique(np.stack([c["block"], c["class"], [s is None for s in sets]]), axis=1, return_index=True)
-        once = np.array([i for i in once.tolist() if sets[i] is not None], np.int64)
-        if not len(once):
+    def join(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        c = {k: rows.column(k).to_numpy() for k in ("block", "class", "label", "hub", "tile", "one")}
+        wanted, of = set(c["class"].tolist()), {}
+        for _, some in in_slices([t or "" for t in texts.column("t").to_pylist()], CHARS):
+            for found in shingle_sets(some, width):
+                if (name := class_of(found)) in wanted:     # rows may repeat an id with another text
+                    of[name] = found
+        if not of:
             return pa.table({k: pa.array([], pa.int64()) for k in ("a", "b")})
-        counts = np.stack([counts_of(sets[i]) for i in once.tolist()]).astype(np.int32)
-        n = np.array([len(sets[i]) for i in once.tolist()])
-        order = np.lexsort((c["class"][once], *counts.T[:4], n, c["block"][once]))
-        once, counts, n = once[order], counts[order], n[order]
-        c = {k: v[once] for k, v in c.items()}
-        may = np.ones(len(once), bool) if full else c["hub"].astype(bool)
+        names = np.array(sorted(of), np.int64)
+        sets = [of[k] for k in names.tolist()]
+        c = {k: v[np.isin(c["class"], names)] for k, v in c.items()}
+        counts, n = np.stack([counts_of(s) for s in sets]).astype(np.int32), np.array([len(s) for s in sets])
+        own = np.searchsorted(names, c["class"])
+        order = np.lexsort((c["class"], *counts[:, :4].T[:, own], n[own], c["block"]))
+        own, c = own[order], {k: v[order] for k, v in c.items()}
+        label = np.empty(len(names), np.int64)
+        label[own] = c["label"]
+        may = np.ones(len(own), bool) if full else c["hub"].astype(bool)
+        ends = np.append(np.flatnonzero(np.diff(c["block"])) + 1, len(own))
 
         def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for i, j in rtree_pairs(c["block"], n, counts, c["label"], may, share, whole):
-                use = c["one"][i].astype(bool) | (c["tile"][i] != c["tile"][j])
-                yield i[use], j[use]
-
-        found = links_of([sets[i] for i in once.tolist()], pairs(), c["label"], share, whole)
-        ends = c["class"][np.array(found, np.int64).reshape(-1, 2)]
-        return pa.table({"a": ends.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends.max(axis=1, initial=np.iinfo(np.int64).min)})
-
-    sums = members.groupBy("star").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
-    tiles = F.expr(f"cast(greatest(1, ceil(size / {TILE}), ceil(weight / {TILE_SHINGLES})) as int)")
-    m = members.join(sums.select("star", tiles.alias("tiles")), "star").withColumn("tile", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
-    m = m.withColumn("other", F.expr("explode(sequence(0, tiles - 1))" if full else "explode(if(hub, sequence(0, tiles - 1), array(tile)))"))
-    m = m.selectExpr("*", *(("least(tile, other) AS x", "greatest(tile, other) AS y") if full else ("other AS x", "other AS y")))
-    # Each tile, or pair of tiles, is a block of its own; small stars share a bucket, as many as hold about one tile's texts.
-    held = members.agg(F.sum("n")).first()[0] or 0
-    buckets = max(buckets, -(-held // TILE_SHINGLES))
-    m = m.withColumn("block", F.xxhash64("star", "x", "y"))
-    m = m.selectExpr(f"if(tiles > 1, block, pmod(xxhash64(block), {buckets})) AS bucket", "block", "class", "hub", "id", "label",
-                     "tile", "x = y AS one")
-    m = written(m, "jaccard-tiles")
-    texts = docs.join(F.broadcast(m) if m.count() <= MAX_BROADCAST else m, "id").drop("id")
-    return texts.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
-
-
-def _of_class(text: str | None, name: int, width: int) -> np.ndarray | None:
-    """The text's set if it is of that class (rows may repeat an id with another text)."""
-    found = shingle_sets([text or ""], width)[0]
-    return found if class_of(found) == name else None
+            a = 0
+            while a < len(own):     # whole stars, about a tile at once: a point is a kilobyte
+                b = ends[max(np.searchsorted(ends, a + TILE, "right") - 1, np.searchsorted(ends, a, "right"))]
+                for i, j in rtree_pairs(c["block"][a:b], n[own[a:b]], counts[own[a:b]], c["label"][a:b], may[a:b], share, whole):
+                    i, j = i + a, j + a
+                    use = c["one"][i].astype(bool) | (c["tile"][i] != c["tile"][j])
+                    yield own[i[use]], own[j[use]]
+                a = b
+
+        found = links_of(sets, pairs(), label, share, whole)
+        ends_of = names[np.array(found, np.int64).reshape(-1, 2)]
+        return pa.table({"a": ends_of.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends_of.max(axis=1, initial=np.iinfo(np.int64).min)})
+
+    m = written(dealt(members, buckets, full), "jaccard-dealt")
+    route = written(m.select("bucket", "id").distinct(), "jaccard-route")
+    texts = docs.join(F.broadcast(route) if route.count() <= MAX_BROADCAST else route, "id").select("bucket", "t")
+    rows = m.drop("id")
+    return texts.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInArrow(join, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
