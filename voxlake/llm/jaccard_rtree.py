@@ -25,8 +25,8 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
 5. **Verification** of surviving pairs on the texts' sets, exact, in the same task: candidates are never
    rows, and a tile gives as many links as join its classes, not all of them.
 6. **Two rounds.** First the hub's pairs only (nodes without a hub do not meet). Stars whose classes have then all met in one
-   component are settled. The others are joined in full, in pairs of tiles, for pairs of different components (the
-   classes of a block share its hub, so each of their pairs is looked at, once per star). So a group of
+   component are settled. In the others, the classes outside the star's largest component meet all of the star, for pairs
+   of different components (the classes of a block share its hub, so each of their pairs is looked at). So a group of
    mutual near copies costs a star, not all its pairs, and no link between components is missed. A group
    whose similarities lie about the threshold costs a look at all its pairs, but no rows for them.
 
@@ -376,41 +376,40 @@ def near_stars(members: DataFrame) -> DataFrame:
     return family
 
 
-def dealt(members: DataFrame, buckets: int, full: bool) -> DataFrame:
-    """``bucket, block, class, hub, id, label, tile, one``: each star's classes in every task where their pairs are looked at.
+def dealt(members: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, block, class, head, id, label``: each star's classes in the tasks where they meet the star's heads.
 
-    A family's classes are cut into tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most. A task has
-    two tiles of one family, or small families whole, as many as hold about one tile's shingles. With ``full``, a star has its
-    classes in all pairs of its tiles; else each class meets its hub. ``one``: do both tiles coincide?
+    A family's classes are cut into tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most, its heads
+    into sides of that size. A task has one tile and one side of a family, or small families whole, as many as hold
+    about one tile's shingles. A class goes to the sides of its stars' heads, a head to the tiles of its stars' classes;
+    so a family with few heads costs about one copy of each text, however many tiles it has.
     """
     m = members.join(written(near_stars(members), "jaccard-families"), "star")
-    sums = m.select("family", "class", "n").distinct().groupBy("family").agg(F.expr(
-        f"cast(greatest(1, ceil(count(1) / {TILE}), ceil(sum(n) / {TILE_SHINGLES})) as int)").alias("tiles"),
-        F.expr(f"sum(greatest(n, {DIMS}))").alias("weight"))
+    cut = lambda use: f"cast(greatest(1, ceil(count_if({use}) / {TILE}), ceil(sum(if({use}, n, 0)) / {TILE_SHINGLES})) as int)"
+    sums = m.groupBy("family", "class", "n").agg(F.max("head").alias("head")).groupBy("family").agg(
+        F.expr(cut("true")).alias("tiles"), F.expr(cut("head")).alias("sides"), F.expr(f"sum(greatest(n, {DIMS}))").alias("weight"))
     sums = written(sums, "jaccard-tiles")
     held = sums.where("tiles = 1").agg(F.sum("weight")).first()[0] or 0
     buckets = max(buckets, -(-held // TILE_SHINGLES))
-    m = written(m.join(sums, "family").withColumn("tile", F.expr("cast(pmod(xxhash64(class), tiles) as int)")), "jaccard-tiled")
-    at = m.where("true" if full else "NOT hub").select("star", F.col("tile").alias("other")).distinct()
-    if full:
-        m = m.join(at, "star")
-    else:
-        home = F.expr("cast(pmod(xxhash64(star), tiles) as int)")
-        m = m.where("NOT hub").withColumn("other", home).unionByName(m.where("hub").join(at, "star"), allowMissingColumns=True)
-    m = m.selectExpr("*", "least(tile, other) AS x", "greatest(tile, other) AS y")
-    return m.selectExpr(f"if(tiles > 1, xxhash64(family, x, y), pmod(xxhash64(family), {buckets})) AS bucket",
-                        "xxhash64(star, x, y) AS block", "class", "hub", "id", "label", "tile", "x = y AS one")
-
-
-def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int, full: bool) -> DataFrame:
+    m = written(m.join(sums, "family").selectExpr("*", "cast(pmod(xxhash64(class), tiles) as int) AS tile",
+                                                  "cast(pmod(xxhash64(class, 1), sides) as int) AS side"), "jaccard-tiled")
+    to_side = m.where("head").selectExpr("star", "side AS y").distinct()
+    to_tile = m.selectExpr("star", "tile AS x").distinct()
+    rows = m.withColumnRenamed("tile", "x").drop("side").join(to_side, "star").unionByName(
+        m.where("head").withColumnRenamed("side", "y").drop("tile").join(to_tile, "star"))
+    return rows.selectExpr(f"if(tiles > 1, xxhash64(family, x, y), pmod(xxhash64(family), {buckets})) AS bucket",
+                           "star AS block", "class", "head", "id", "label").distinct()
+
+
+def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
     """Links ``a, b`` between different labels of each star, enough to join all that its links join. ``members``:
-    ``star, class, hub, id, label`` (``hub``: is it the star's hub; ``id``: a document of the class) and ``n``.
+    ``star, class, head, id, label`` (``head``: the pairs with it are looked at; ``id``: a document of the class) and ``n``.
 
-    ``full``: all pairs of the star (which then comes without its hub); else the hub's pairs. A text comes to a task once,
-    however many stars there hold it, and candidates are verified where they arise, so none is ever a row.
+    A text comes to a task once, however many stars there hold it, and candidates are verified where they arise,
+    so none is ever a row.
     """
     def join(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        c = {k: rows.column(k).to_numpy() for k in ("block", "class", "label", "hub", "tile", "one")}
+        c = {k: rows.column(k).to_numpy() for k in ("block", "class", "label", "head")}
         wanted, of = set(c["class"].tolist()), {}
         for _, some in in_slices([t or "" for t in texts.column("t").to_pylist()], CHARS):
             for found in shingle_sets(some, width):
@@ -422,29 +421,29 @@ def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whol
         sets = [of[k] for k in names.tolist()]
         c = {k: v[np.isin(c["class"], names)] for k, v in c.items()}
         counts, n = np.stack([counts_of(s) for s in sets]).astype(np.int32), np.array([len(s) for s in sets])
-        own = np.searchsorted(names, c["class"])
-        order = np.lexsort((c["class"], *counts[:, :4].T[:, own], n[own], c["block"]))
-        own, c = own[order], {k: v[order] for k, v in c.items()}
-        label = np.empty(len(names), np.int64)
-        label[own] = c["label"]
-        may = np.ones(len(own), bool) if full else c["hub"].astype(bool)
-        ends = np.append(np.flatnonzero(np.diff(c["block"])) + 1, len(own))
+        own, head = np.searchsorted(names, c["class"]), c["head"].astype(bool)
+        order = np.lexsort((~head, c["class"], *counts[:, :4].T[:, own], n[own], c["block"]))
+        own, head, block, label = own[order], head[order], c["block"][order], c["label"][order]
+        once = np.ones(len(own), bool)      # a head may also come as one of the tile's classes
+        once[1:] = (own[1:] != own[:-1]) | (block[1:] != block[:-1])
+        own, head, block, label = own[once], head[once], block[once], label[once]
+        of_set = np.empty(len(names), np.int64)
+        of_set[own] = label
+        ends = np.append(np.flatnonzero(np.diff(block)) + 1, len(own))
 
         def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             a = 0
             while a < len(own):     # whole stars, about a tile at once: a point is a kilobyte
                 b = ends[max(np.searchsorted(ends, a + TILE, "right") - 1, np.searchsorted(ends, a, "right"))]
-                for i, j in rtree_pairs(c["block"][a:b], n[own[a:b]], counts[own[a:b]], c["label"][a:b], may[a:b], share, whole):
-                    i, j = i + a, j + a
-                    use = c["one"][i].astype(bool) | (c["tile"][i] != c["tile"][j])
-                    yield own[i[use]], own[j[use]]
+                for i, j in rtree_pairs(block[a:b], n[own[a:b]], counts[own[a:b]], label[a:b], head[a:b], share, whole):
+                    yield own[i + a], own[j + a]
                 a = b
 
-        found = links_of(sets, pairs(), label, share, whole)
-        ends_of = names[np.array(found, np.int64).reshape(-1, 2)]
-        return pa.table({"a": ends_of.min(axis=1, initial=np.iinfo(np.int64).max), "b": ends_of.max(axis=1, initial=np.iinfo(np.int64).min)})
+        found = links_of(sets, pairs(), of_set, share, whole)
+        both = names[np.array(found, np.int64).reshape(-1, 2)]
+        return pa.table({"a": both.min(axis=1, initial=np.iinfo(np.int64).max), "b": both.max(axis=1, initial=np.iinfo(np.int64).min)})
 
-    m = written(dealt(members, buckets, full), "jaccard-dealt")
+    m = written(dealt(members, buckets), "jaccard-dealt")
     route = written(m.select("bucket", "id").distinct(), "jaccard-route")
     texts = docs.join(F.broadcast(route) if route.count() <= MAX_BROADCAST else route, "id").select("bucket", "t")
     rows = m.drop("id")
@@ -485,9 +484,9 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS))), "jaccard-blocks")
     star = written(stars(members), "jaccard-stars")
     where = classes.where("id IS NOT NULL")
-    spokes = star.selectExpr("hub AS star", "class", "false AS hub").union(star.selectExpr("hub", "hub", "true").distinct())
+    spokes = star.selectExpr("hub AS star", "class", "false AS head").union(star.selectExpr("hub", "hub", "true").distinct())
     spokes = written(spokes.join(where, "class").withColumn("label", F.col("class")), "jaccard-spokes")
-    links = written(star_links(spokes, d, width, share, whole, buckets, False), "jaccard-links")
+    links = written(star_links(spokes, d, width, share, whole, buckets), "jaccard-links")
     if by_id:
         # Rows that repeat an id with another text: their classes belong together.
         twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
@@ -496,12 +495,14 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     labels = components(links)
 
     # Stars whose classes, but for the hub, have not all met: the rest of their pairs. Classes of a block
-    # share its hub, so no pair of a block is missed.
-    met = spokes.where("NOT hub").drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_ = met.groupBy("star").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("star")
-    rest = written(met.join(open_, "star"), "jaccard-open")
+    # share its hub, so no pair of a block is missed. Of two classes of different components one at least is
+    # outside the star's largest, so those outside are the heads.
+    met = spokes.where("NOT head").drop("label", "head").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    parts = met.groupBy("star", "label").agg(F.count("*").alias("size"))
+    open_ = parts.groupBy("star").agg(F.expr("max_by(label, struct(size, label)) AS largest"), F.count("*").alias("parts")).where("parts > 1")
+    rest = written(met.join(open_, "star").withColumn("head", F.expr("label <> largest")).drop("largest", "parts"), "jaccard-open")
     if not rest.isEmpty():
-        more = written(star_links(rest, d, width, share, whole, buckets, True), "jaccard-links")
+        more = written(star_links(rest, d, width, share, whole, buckets), "jaccard-links")
         labels = components(links.union(more))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
