@@ -22,8 +22,9 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    with itself level by level: a pair of nodes survives if stars meet, sizes fit, labels may differ and the
    summed coordinate minima of their upper corners reach the overlap that a link needs. Every link comes out of
    such a join.
-5. **Verification** of surviving pairs on the texts' sets, exact, in the same task: candidates are never
-   rows, and a tile gives as many links as join its classes, not all of them.
+5. **Verification** of surviving pairs on the texts' sets, exact. The trees are joined with count vectors first, which
+   tells the classes that are in any surviving pair; only their texts travel, and a second join verifies its pairs in the
+   same task. Candidates are never rows, and a tile gives as many links as join its classes, not all of them.
 6. **Two rounds.** First the hub's pairs only (nodes without a hub do not meet). Stars whose classes have then all met in one
    component are settled. In the others, the classes outside the star's largest component meet all of the star, for pairs
    of different components (the classes of a block share its hub, so each of their pairs is looked at). So a group of
@@ -140,6 +141,16 @@ def counts_of(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((mix(shingles) >> np.uint64(64 - DIM_BITS)).astype(np.int64), minlength=DIMS)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A count vector as bytes: one for each count, or four where a count needs them."""
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else "<u4").tobytes()
+
+
+def unpacked(vectors: list[bytes]) -> np.ndarray:
+    """The count vectors as rows."""
+    return np.stack([np.frombuffer(v, np.uint8 if len(v) == DIMS else "<u4") for v in vectors]).astype(np.int32)
+
+
 def bands(longest: int, share: int, whole: int) -> np.ndarray:
     """First sizes of the size bands: each about (whole / share)**2 times the last."""
     out = [1]
@@ -196,17 +207,17 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 
 def points(docs: DataFrame, width: int) -> DataFrame:
-    """``id, n, class, h`` of ``(id, t, h)`` rows."""
+    """``id, n, class, counts, h`` of ``(id, t, h)`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, len(some)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_of(s) for s in sets], pa.int64()), batch.column(2).slice(a, len(some))],
-                    names=["id", "n", "class", "h"])
+                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([packed(counts_of(s)) for s in sets], pa.binary()),
+                    batch.column(2).slice(a, len(some))], names=["id", "n", "class", "counts", "h"])
 
-    return docs.mapInArrow(run, "id long, n long, class long, h long")
+    return docs.mapInArrow(run, "id long, n long, class long, counts binary, h long")
 
 
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
@@ -401,16 +412,53 @@ def dealt(members: DataFrame, buckets: int) -> DataFrame:
                            "star AS block", "class", "head", "id", "label").distinct()
 
 
-def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
+def tree_join(rows: pa.Table, names: np.ndarray, counts: np.ndarray, n: np.ndarray, share: int,
+              whole: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """Labels of the classes ``names`` (sorted) and the pairs of their indexes that the trees of all stars in ``rows``
+    (``block, class, label, head``) let pass."""
+    c = {k: rows.column(k).to_numpy() for k in ("block", "class", "label", "head")}
+    c = {k: v[np.isin(c["class"], names)] for k, v in c.items()}
+    own, head = np.searchsorted(names, c["class"]), c["head"].astype(bool)
+    order = np.lexsort((~head, c["class"], *counts[:, :4].T[:, own], n[own], c["block"]))
+    own, head, block, label = own[order], head[order], c["block"][order], c["label"][order]
+    once = np.ones(len(own), bool)      # a head may also come as one of the tile's classes
+    once[1:] = (own[1:] != own[:-1]) | (block[1:] != block[:-1])
+    own, head, block, label = own[once], head[once], block[once], label[once]
+    of_set = np.empty(len(names), np.int64)
+    of_set[own] = label
+    ends = np.append(np.flatnonzero(np.diff(block)) + 1, len(own))
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        a = 0
+        while a < len(own):     # whole stars, about a tile at once: a point is a kilobyte
+            b = ends[max(np.searchsorted(ends, a + TILE, "right") - 1, np.searchsorted(ends, a, "right"))]
+            for i, j in rtree_pairs(block[a:b], n[own[a:b]], counts[own[a:b]], label[a:b], head[a:b], share, whole):
+                yield own[i + a], own[j + a]
+            a = b
+
+    return of_set, pairs()
+
+
+def star_links(members: DataFrame, vectors: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
     """Links ``a, b`` between different labels of each star, enough to join all that its links join. ``members``:
-    ``star, class, head, id, label`` (``head``: the pairs with it are looked at; ``id``: a document of the class) and ``n``.
+    ``star, class, head, id, label`` (``head``: the pairs with it are looked at; ``id``: a document of the class) and ``n``;
+    ``vectors``: ``class, n, counts``.
 
-    A text comes to a task once, however many stars there hold it, and candidates are verified where they arise,
-    so none is ever a row.
+    The trees are joined twice. The first time with count vectors alone, to learn which classes are in any pair that
+    the bound lets pass: one row for a class and task, no pairs. Then with the texts of those, once for a class and
+    task, to verify the pairs where they arise.
     """
+    def near(points_: pa.Table, rows: pa.Table) -> pa.Table:
+        points_ = points_.sort_by("class")
+        names, n = points_.column("class").to_numpy(), points_.column("n").to_numpy()
+        met = np.zeros(len(names), bool)
+        if len(names):
+            for i, j in tree_join(rows, names, unpacked(points_.column("counts").to_pylist()), n, share, whole)[1]:
+                met[i] = met[j] = True
+        return pa.table({"bucket": points_.column("at").filter(pa.array(met)), "class": names[met]})
+
     def join(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        c = {k: rows.column(k).to_numpy() for k in ("block", "class", "label", "head")}
-        wanted, of = set(c["class"].tolist()), {}
+        wanted, of = set(rows.column("class").to_pylist()), {}
         for _, some in in_slices([t or "" for t in texts.column("t").to_pylist()], CHARS):
             for found in shingle_sets(some, width):
                 if (name := class_of(found)) in wanted:     # rows may repeat an id with another text
@@ -419,35 +467,19 @@ def star_links(members: DataFrame, docs: DataFrame, width: int, share: int, whol
             return pa.table({k: pa.array([], pa.int64()) for k in ("a", "b")})
         names = np.array(sorted(of), np.int64)
         sets = [of[k] for k in names.tolist()]
-        c = {k: v[np.isin(c["class"], names)] for k, v in c.items()}
-        counts, n = np.stack([counts_of(s) for s in sets]).astype(np.int32), np.array([len(s) for s in sets])
-        own, head = np.searchsorted(names, c["class"]), c["head"].astype(bool)
-        order = np.lexsort((~head, c["class"], *counts[:, :4].T[:, own], n[own], c["block"]))
-        own, head, block, label = own[order], head[order], c["block"][order], c["label"][order]
-        once = np.ones(len(own), bool)      # a head may also come as one of the tile's classes
-        once[1:] = (own[1:] != own[:-1]) | (block[1:] != block[:-1])
-        own, head, block, label = own[once], head[once], block[once], label[once]
-        of_set = np.empty(len(names), np.int64)
-        of_set[own] = label
-        ends = np.append(np.flatnonzero(np.diff(block)) + 1, len(own))
-
-        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            a = 0
-            while a < len(own):     # whole stars, about a tile at once: a point is a kilobyte
-                b = ends[max(np.searchsorted(ends, a + TILE, "right") - 1, np.searchsorted(ends, a, "right"))]
-                for i, j in rtree_pairs(block[a:b], n[own[a:b]], counts[own[a:b]], label[a:b], head[a:b], share, whole):
-                    yield own[i + a], own[j + a]
-                a = b
-
-        found = links_of(sets, pairs(), of_set, share, whole)
+        label, pairs = tree_join(rows, names, np.stack([counts_of(s) for s in sets]).astype(np.int32), np.array([len(s) for s in sets]), share, whole)
+        found = links_of(sets, pairs, label, share, whole)
         both = names[np.array(found, np.int64).reshape(-1, 2)]
         return pa.table({"a": both.min(axis=1, initial=np.iinfo(np.int64).max), "b": both.max(axis=1, initial=np.iinfo(np.int64).min)})
 
     m = written(dealt(members, buckets), "jaccard-dealt")
+    points_ = m.selectExpr("bucket AS at", "class AS c").distinct().join(vectors.withColumnRenamed("class", "c"), "c")
+    points_ = points_.selectExpr("at", "c AS class", "n", "counts")
+    met = points_.groupBy("at").cogroup(m.drop("id").groupBy("bucket")).applyInArrow(near, "bucket long, class long")
+    m = written(m.join(written(met, "jaccard-met"), ["bucket", "class"]), "jaccard-left")
     route = written(m.select("bucket", "id").distinct(), "jaccard-route")
     texts = docs.join(F.broadcast(route) if route.count() <= MAX_BROADCAST else route, "id").select("bucket", "t")
-    rows = m.drop("id")
-    return texts.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInArrow(join, "a long, b long").distinct()
+    return texts.groupBy("bucket").cogroup(m.drop("id").groupBy("bucket")).applyInArrow(join, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -478,15 +510,15 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
-    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-classes")
+    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-classes")
     # Keys of a set: a group for each difference a link allows, in two bands at most; as many again for spare ones.
     keys = (classes.agg(F.sum("n")).first()[0] or 0) * 8 * (whole - share) * whole // ((whole + share) * share)
     members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS))), "jaccard-blocks")
     star = written(stars(members), "jaccard-stars")
-    where = classes.where("id IS NOT NULL")
+    where, vectors = classes.where("id IS NOT NULL").drop("counts"), classes.select("class", "n", "counts")
     spokes = star.selectExpr("hub AS star", "class", "false AS head").union(star.selectExpr("hub", "hub", "true").distinct())
     spokes = written(spokes.join(where, "class").withColumn("label", F.col("class")), "jaccard-spokes")
-    links = written(star_links(spokes, d, width, share, whole, buckets), "jaccard-links")
+    links = written(star_links(spokes, vectors, d, width, share, whole, buckets), "jaccard-links")
     if by_id:
         # Rows that repeat an id with another text: their classes belong together.
         twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
@@ -502,7 +534,7 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     open_ = parts.groupBy("star").agg(F.expr("max_by(label, struct(size, label)) AS largest"), F.count("*").alias("parts")).where("parts > 1")
     rest = written(met.join(open_, "star").withColumn("head", F.expr("label <> largest")).drop("largest", "parts"), "jaccard-open")
     if not rest.isEmpty():
-        more = written(star_links(rest, d, width, share, whole, buckets), "jaccard-links")
+        more = written(star_links(rest, vectors, d, width, share, whole, buckets), "jaccard-links")
         labels = components(links.union(more))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
