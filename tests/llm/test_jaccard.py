@@ -125,3 +125,40 @@ def test_each_text_of_a_repeated_id_is_judged_by_itself(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(r) for r in J.one_of_each(df, 5, 80, 100).collect()]
     assert sorted(got, key=repr) == sorted([(3, a), (5, b), (8, c), (8, None), (None, c)], key=repr)
+
+
+def test_keys_agree_under_any_ranks():
+    """The tally only orders the shingles: whatever it says, linked sets share a key."""
+    rng = np.random.default_rng(6)
+    for share in (50, 80, 90):
+        for n in (2, 4, 5, 9, 10, 37, 200):
+            for _ in range(20):
+                ranks = rng.integers(0, 256, J.SLOTS).astype(np.uint8)
+                a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+                b = np.unique(np.concatenate([a[rng.integers(0, n + 1):], rng.integers(0, 1 << 63, rng.integers(0, n + 1)).astype(np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if len(b) and 100 * both >= share * (len(a) + len(b) - both) and len(a) + len(b) != 2 * both:
+                    keys, owner = J.block_keys([a, b], share, 100, ranks)
+                    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (share, n)
+
+
+def test_a_passage_that_many_texts_share_makes_no_block(spark):
+    """Unrelated texts around one passage meet in no block; two near copies among them do."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{' '.join(f'x{k}_{i}' for i in range(50))} {passage}" for k in range(120)]
+    texts.append(texts[7].replace("x7_20 ", "other "))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(3)
+    J.python_ready(spark)
+    names = {J.class_of(s) for s in J.shingle_sets([texts[7], texts[120]], 5)}
+    assert {r["class"] for r in J.blocks(df, 5, 80, 100, 4).collect()} == names
+    linked = J.linked(df, 5, 80, 100, "id", "t")
+    assert {r.id: r.component_id for r in linked.collect()} == {k: k for k in range(120)} | {120: 7}
+
+
+def test_tally_counts_every_row(spark):
+    """Each slot's byte is the logarithm of its hits over all tasks, repeated rows and nulls included."""
+    texts = ["a b c d", "a b c d", "b c d e f", "", None, "x"] * 5
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(4)
+    J.python_ready(spark)
+    hits = np.bincount(J.slots_of(np.concatenate(J.shingle_sets([t or "" for t in texts], 3))), minlength=J.SLOTS)
+    assert J.tally(df, 3).tolist() == (np.log2(hits + 1) * 8).astype(np.uint8).tolist()

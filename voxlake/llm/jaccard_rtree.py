@@ -7,13 +7,11 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
 
 1. **Classes.** Texts with equal sets form a class, named by 64 bits of a digest of the set, so a
    group of copies is one point from here on, however many rows it has.
-2. **Blocks.** Sets whose sizes a link allows share size bands. In a band, shingles are hashed into
-   one more group than a linked pair can differ by, plus some spare ones, so linked sets agree on a whole
-   group: the equi-key is (band, group, content of the group). Empty groups are no key; sets with more of
-   them than the spare ones are hashed anew, and only after ``LEVELS`` times is emptiness itself a key,
-   which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
-   rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
-   keys that several classes hold leave the task.
+2. **Blocks.** Shingles are put into one order for the whole table, rare ones first: by how often their slot of a
+   tally of ``SLOTS`` slots is hit, then by hash. Linked sets share a shingle among the first ``n - ceil(n * share / whole) + 1``
+   of each, so the equi-key is one shingle of that prefix. Any order that all sets share is lossless; the tally only
+   keeps passages that many texts share out of the prefixes, as each text has rarer shingles of its own. Keys travel packed
+   (13 bytes each), one row per task and bucket, and only keys that several classes hold leave the task.
 3. **Stars.** A block's hub is its class that lies in the most blocks; a star is a hub with the classes of its
    blocks. Stars that share classes make a family, dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES``
    shingles at most. A text comes to a tile's task once, however many stars hold it.
@@ -51,6 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +63,10 @@ FANOUT = 16
 TILE = 2048             # classes of a star in one task
 TILE_SHINGLES = 1_000_000   # their shingles, about
 BUCKET_KEYS = 4_000_000     # keys of a bucket, about
-LEVELS = 4
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS  # of the tally of shingles
+PART = 1 << 14          # slots of the tally in one row
+TASKS = 256             # groups of tasks whose counts are summed first
 CHARS = 500_000         # of texts hashed at once
 KEY_BYTES = 5           # a chance agreement of keys only costs a look
 MAX_BROADCAST = 1_000_000
@@ -151,55 +153,27 @@ def unpacked(vectors: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(v, np.uint8 if len(v) == DIMS else "<u4") for v in vectors]).astype(np.int32)
 
 
-def bands(longest: int, share: int, whole: int) -> np.ndarray:
-    """First sizes of the size bands: each about (whole / share)**2 times the last."""
-    out = [1]
-    while out[-1] <= longest:
-        out.append(max(out[-1] + 1, -(-out[-1] * whole * whole // (share * share))))
-    return np.array([*out, -(-out[-1] * whole * whole // (share * share))], np.int64)
+def slots_of(shingles: np.ndarray) -> np.ndarray:
+    """The slot of the tally that each shingle hits."""
+    return (mix(shingles + np.uint64(_BASE)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def block_keys(sets: list[np.ndarray], share: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, and for each the index of its set: see step 2 of the module's text."""
+def block_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and for each the index of its set: see step 2 of the module's text. ``ranks``: a byte for each slot of the
+    tally, smaller for rarer shingles; without it they come in the order of their hashes."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    if not len(sizes) or not sizes.max():
+    some = np.flatnonzero(sizes * whole // share > sizes)       # else only equal sets link, and they are one class
+    if not len(some):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    firsts = bands(int(sizes.max()), share, whole)
-    own = np.searchsorted(firsts, sizes, "right") - 1
-    # A set also joins the next band if a set of that band may link with it.
-    upward = (sizes > 0) & (sizes * whole >= share * firsts[np.maximum(own, 0) + 1])
-    which = np.concatenate([np.flatnonzero(sizes), np.flatnonzero(upward)])
-    band = np.concatenate([own[sizes > 0], own[upward] + 1])
-    differ = 2 * (firsts[band + 1] - 1) * (whole - share) // (whole + share)
-    some = differ > 0                       # else only equal sets link, and they are one class
-    which, band, differ = which[some], band[some], differ[some]
-    # Spare groups for the empty ones: with at most that many, an agreeing group is not empty.
-    smallest = np.maximum(firsts[band] * share // whole, 1)
-    spare = np.ceil((differ + 1) * np.exp(-smallest / (differ + 1))).astype(np.int64) + 2
-    groups = differ + 1 + spare
-    keys, owner = [], []
-    for level in range(LEVELS):
-        if not len(which):
-            break
-        n = sizes[which]
-        item = np.concatenate([sets[i] for i in which.tolist()])
-        seeded = mix(item + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        start = np.cumsum(groups) - groups
-        slot = np.repeat(start, n) + ((seeded >> np.uint64(32)) * np.repeat(groups, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        total = int(groups.sum())
-        body = mix(seeded)
-        low = np.bincount(slot, (body & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
-        high = np.bincount(slot, (body >> np.uint64(32)).astype(np.float64), total).astype(np.uint64)
-        held = np.bincount(slot, minlength=total)
-        at = np.repeat(np.arange(len(which)), groups)
-        place = (np.arange(total) - start[at]).astype(np.uint64) + (band[at].astype(np.uint64) << np.uint64(40)) + np.uint64(level << 56)
-        key = mix(mix(low * _ODD + high) + mix(place))
-        use = (held > 0) | (level == LEVELS - 1)
-        keys.append(key[use])
-        owner.append(which[at[use]])
-        again = np.bincount(at[held == 0], minlength=len(which)) > spare
-        which, band, groups, spare = which[again], band[again], groups[again], spare[again]
-    return np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(owner or [np.empty(0, np.int64)])
+    n = sizes[some]
+    item = np.concatenate([sets[i] for i in some.tolist()])
+    key = mix(item) >> np.uint64(8)
+    if ranks is not None:
+        key |= ranks[slots_of(item)].astype(np.uint64) << np.uint64(56)
+    prefix = n - -(-share * n // whole) + 1
+    ends = np.cumsum(n)
+    keys = [np.partition(key[b - m : b], k - 1)[:k] for b, m, k in zip(ends.tolist(), n.tolist(), prefix.tolist())]
+    return mix(np.concatenate(keys)), np.repeat(some, prefix)
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -220,8 +194,40 @@ def points(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, class long, counts binary, h long")
 
 
+def tally(docs: DataFrame, width: int) -> np.ndarray:
+    """A byte for each slot: the logarithm of how many shingles of all rows hit it. Each task counts its rows; the
+    counts are summed by part of the slots, over groups of tasks first."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, some in in_slices(_texts(batch), CHARS):
+                hits += np.bincount(slots_of(np.concatenate(shingle_sets(some, width))), minlength=SLOTS)
+        if hits.any():
+            parts = hits.astype("<u4").reshape(-1, PART)
+            task = TaskContext.get().partitionId() % TASKS
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), task)),
+                                              pa.array([v.tobytes() for v in parts], pa.binary())], names=["part", "task", "hits"])
+
+    def total(table: pa.Table) -> pa.Table:
+        hits = np.zeros(PART, np.int64)
+        for v in table.column("hits"):
+            hits += np.frombuffer(v.as_py(), "<u4")
+        hits = np.minimum(hits, (1 << 32) - 1).astype("<u4")        # only an order, so it may stop there
+        return pa.table({"part": table.column("part")[:1], "task": table.column("task")[:1], "hits": pa.array([hits.tobytes()], pa.binary())})
+
+    schema = "part long, task long, hits binary"
+    found = docs.mapInArrow(count, schema).groupBy("part", "task").applyInArrow(total, schema).groupBy("part").applyInArrow(total, schema)
+    ranks = np.zeros(SLOTS, np.uint8)
+    for row in found.collect():
+        hits = np.frombuffer(row.hits, "<u4").astype(np.float64)
+        ranks[row.part * PART : (row.part + 1) * PART] = np.minimum(np.log2(hits + 1) * 8, 255)
+    return ranks
+
+
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
     """``block, class, size`` rows of every block with at least two classes; equal blocks appear once."""
+    ranks = docs.sparkSession.sparkContext.broadcast(tally(docs, width))
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, some in in_slices(_texts(batch), CHARS):
@@ -229,7 +235,7 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) ->
                 names = [class_of(s) for s in sets]
                 first = {c: i for i, c in reversed(list(enumerate(names))) if c is not None}
                 sets = [sets[i] for i in first.values()]
-                keys, owner = block_keys(sets, share, whole)
+                keys, owner = block_keys(sets, share, whole, ranks.value)
                 classes = np.array(list(first), np.int64)[owner] if len(owner) else np.empty(0, np.int64)
                 bucket = (mix(keys) >> np.uint64(32)).astype(np.int64) % buckets
                 order = np.argsort(bucket, kind="stable")
@@ -511,8 +517,8 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
     classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-classes")
-    # Keys of a set: a group for each difference a link allows, in two bands at most; as many again for spare ones.
-    keys = (classes.agg(F.sum("n")).first()[0] or 0) * 8 * (whole - share) * whole // ((whole + share) * share)
+    shingles, sets = classes.agg(F.sum("n"), F.count("*")).first()
+    keys = (shingles or 0) * (whole - share) // whole + sets
     members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS))), "jaccard-blocks")
     star = written(stars(members), "jaccard-stars")
     where, vectors = classes.where("id IS NOT NULL").drop("counts"), classes.select("class", "n", "counts")
