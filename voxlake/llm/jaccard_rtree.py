@@ -12,6 +12,13 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
    of each, so the equi-key is one shingle of that prefix. Any order that all sets share is lossless; the tally only
    keeps passages that many texts share out of the prefixes, as each text has rarer shingles of its own. Keys travel packed
    (13 bytes each), one row per task and bucket, and only keys that several classes hold leave the task.
+   Without ``rare`` (small allowed differences, long groups): sets whose sizes a link allows share size bands. In a band, shingles are hashed into
+   one more group than a linked pair can differ by, plus some spare ones, so linked sets agree on a whole
+   group: the equi-key is (band, group, content of the group). Empty groups are no key; sets with more of
+   them than the spare ones are hashed anew, and only after ``LEVELS`` times is emptiness itself a key,
+   which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
+   rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
+   keys that several classes hold leave the task.
 3. **Stars.** A block's hub is its class that lies in the most blocks; a star is a hub with the classes of its
    blocks. Stars that share classes make a family, dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES``
    shingles at most. A text comes to a tile's task once, however many stars hold it.
@@ -63,6 +70,7 @@ FANOUT = 16
 TILE = 2048             # classes of a star in one task
 TILE_SHINGLES = 1_000_000   # their shingles, about
 BUCKET_KEYS = 4_000_000     # keys of a bucket, about
+LEVELS = 4
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS  # of the tally of shingles
 PART = 1 << 14          # slots of the tally in one row
@@ -158,9 +166,62 @@ def slots_of(shingles: np.ndarray) -> np.ndarray:
     return (mix(shingles + np.uint64(_BASE)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
+def bands(longest: int, share: int, whole: int) -> np.ndarray:
+    """First sizes of the size bands: each about (whole / share)**2 times the last."""
+    out = [1]
+    while out[-1] <= longest:
+        out.append(max(out[-1] + 1, -(-out[-1] * whole * whole // (share * share))))
+    return np.array([*out, -(-out[-1] * whole * whole // (share * share))], np.int64)
+
+
+def group_keys(sets: list[np.ndarray], share: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and for each the index of its set: groups of shingles, see step 2 of the module's text."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if not len(sizes) or not sizes.max():
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    firsts = bands(int(sizes.max()), share, whole)
+    own = np.searchsorted(firsts, sizes, "right") - 1
+    # A set also joins the next band if a set of that band may link with it.
+    upward = (sizes > 0) & (sizes * whole >= share * firsts[np.maximum(own, 0) + 1])
+    which = np.concatenate([np.flatnonzero(sizes), np.flatnonzero(upward)])
+    band = np.concatenate([own[sizes > 0], own[upward] + 1])
+    differ = 2 * (firsts[band + 1] - 1) * (whole - share) // (whole + share)
+    some = differ > 0                       # else only equal sets link, and they are one class
+    which, band, differ = which[some], band[some], differ[some]
+    # Spare groups for the empty ones: with at most that many, an agreeing group is not empty.
+    smallest = np.maximum(firsts[band] * share // whole, 1)
+    spare = np.ceil((differ + 1) * np.exp(-smallest / (differ + 1))).astype(np.int64) + 2
+    groups = differ + 1 + spare
+    keys, owner = [], []
+    for level in range(LEVELS):
+        if not len(which):
+            break
+        n = sizes[which]
+        item = np.concatenate([sets[i] for i in which.tolist()])
+        seeded = mix(item + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        start = np.cumsum(groups) - groups
+        slot = np.repeat(start, n) + ((seeded >> np.uint64(32)) * np.repeat(groups, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        total = int(groups.sum())
+        body = mix(seeded)
+        low = np.bincount(slot, (body & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
+        high = np.bincount(slot, (body >> np.uint64(32)).astype(np.float64), total).astype(np.uint64)
+        held = np.bincount(slot, minlength=total)
+        at = np.repeat(np.arange(len(which)), groups)
+        place = (np.arange(total) - start[at]).astype(np.uint64) + (band[at].astype(np.uint64) << np.uint64(40)) + np.uint64(level << 56)
+        key = mix(mix(low * _ODD + high) + mix(place))
+        use = (held > 0) | (level == LEVELS - 1)
+        keys.append(key[use])
+        owner.append(which[at[use]])
+        again = np.bincount(at[held == 0], minlength=len(which)) > spare
+        which, band, groups, spare = which[again], band[again], groups[again], spare[again]
+    return np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(owner or [np.empty(0, np.int64)])
+
+
 def block_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Keys, and for each the index of its set: see step 2 of the module's text. ``ranks``: a byte for each slot of the
-    tally, smaller for rarer shingles; without it they come in the order of their hashes."""
+    tally, smaller for rarer shingles; without it the keys are groups of shingles."""
+    if ranks is None:
+        return group_keys(sets, share, whole)
     sizes = np.array([len(s) for s in sets], np.int64)
     some = np.flatnonzero(sizes * whole // share > sizes)       # else only equal sets link, and they are one class
     if not len(some):
@@ -168,8 +229,7 @@ def block_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray
     n = sizes[some]
     item = np.concatenate([sets[i] for i in some.tolist()])
     key = mix(item) >> np.uint64(8)
-    if ranks is not None:
-        key |= ranks[slots_of(item)].astype(np.uint64) << np.uint64(56)
+    key |= ranks[slots_of(item)].astype(np.uint64) << np.uint64(56)
     prefix = n - -(-share * n // whole) + 1
     ends = np.cumsum(n)
     keys = [np.partition(key[b - m : b], k - 1)[:k] for b, m, k in zip(ends.tolist(), n.tolist(), prefix.tolist())]
@@ -224,9 +284,9 @@ def tally(docs: DataFrame, width: int) -> np.ndarray:
     return ranks
 
 
-def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
+def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int, rare: bool = True) -> DataFrame:
     """``block, class, size`` rows of every block with at least two classes; equal blocks appear once."""
-    ranks = docs.sparkSession.sparkContext.broadcast(tally(docs, width))
+    ranks = docs.sparkSession.sparkContext.broadcast(tally(docs, width) if rare else None)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -508,9 +568,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int = WHOLE, key: str = "doc_id",
-           text: str = "text", by_id: bool = True) -> DataFrame:
+           text: str = "text", by_id: bool = True, rare: bool = False) -> DataFrame:
     """``key, n_shingles, class, component_id, h`` (a hash of the text) for every row. ``by_id``: do rows that share an
-    id belong together, whatever their texts? Else each text is by itself."""
+    id belong together, whatever their texts? Else each text is by itself. ``rare``: keys by rare shingles, not by groups; the result is the same."""
     spark = docs.sparkSession
     python_ready(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
@@ -518,8 +578,8 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
     classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-classes")
     shingles, sets = classes.agg(F.sum("n"), F.count("*")).first()
-    keys = (shingles or 0) * (whole - share) // whole + sets
-    members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS))), "jaccard-blocks")
+    keys = (shingles or 0) * (whole - share) // whole + sets if rare else (shingles or 0) * 8 * (whole - share) * whole // ((whole + share) * share)
+    members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS)), rare), "jaccard-blocks")
     star = written(stars(members), "jaccard-stars")
     where, vectors = classes.where("id IS NOT NULL").drop("counts"), classes.select("class", "n", "counts")
     spokes = star.selectExpr("hub AS star", "class", "false AS head").union(star.selectExpr("hub", "hub", "true").distinct())
@@ -557,7 +617,7 @@ def one_of_each(docs: DataFrame, width: int, share: int, whole: int, key: str =
     text is judged by itself: equal ones become one row, other texts stay or go by their own links. Rows without
     an id stay."""
     python_ready(docs.sparkSession)
-    of = written(linked(docs, width, share, whole, key, text, by_id=False), "jaccard-result")
+    of = written(linked(docs, width, share, whole, key, text, by_id=False, rare=True), "jaccard-result")
     gone = of.where(f"`{key}` <> component_id").select(F.col(key).alias("jaccard_id"), F.col("h").alias("jaccard_h")).distinct()
     gone = written(gone, "jaccard-gone")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("jaccard_row"), F.col(key).cast("long").alias("jaccard_key"),
