@@ -162,3 +162,74 @@ def test_tally_counts_every_row(spark):
     J.python_ready(spark)
     hits = np.bincount(J.slots_of(np.concatenate(J.shingle_sets([t or "" for t in texts], 3))), minlength=J.SLOTS)
     assert J.tally(df, 3).tolist() == (np.log2(hits + 1) * 8).astype(np.uint8).tolist()
+
+
+def test_linked_sets_meet_by_size_and_early_keys():
+    """Whatever the ranks, linked sets lie in one block; sets too far apart in size do not, whatever keys they share."""
+    rng = np.random.default_rng(7)
+    gap, seen = J.level_gap(80, 100), 0
+    for n in (4, 5, 9, 10, 37, 200, 3000):
+        for _ in range(20):
+            ranks = rng.integers(0, 256, J.SLOTS).astype(np.uint8)
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.unique(np.concatenate([a[rng.integers(0, n // 4 + 1):], rng.integers(0, 1 << 63, rng.integers(0, n // 4 + 1)).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            keys, owner, early = J.prefix_keys([a, b], 80, 100, ranks)
+            levels = J.size_levels(np.array([len(a), len(b)]))
+            classes, size = J.meeting(keys, owner, levels[owner], early, gap)
+            if 100 * both >= 80 * (len(a) + len(b) - both) and len(a) + len(b) != 2 * both:
+                seen += 1
+                assert {0, 1} in [set(v.tolist()) for v in np.split(classes, np.cumsum(size)[:-1])], n
+    assert seen > 40
+    key, two = np.array([5, 5], np.uint64), np.array([1, 2])
+    assert J.meeting(key, two, J.size_levels(np.array([40, 200])), np.array([True, True]), gap)[1].tolist() == []
+    assert J.meeting(key, two, J.size_levels(np.array([40, 44])), np.array([False, True]), gap)[1].tolist() == []
+    assert J.meeting(key, two, J.size_levels(np.array([40, 44])), np.array([True, False]), gap)[0].tolist() == [1, 2]
+
+
+def test_stored_vectors_tell_long_texts_apart():
+    """Unrelated sets of many shingles are refused before their texts travel; sets that link never are."""
+    rng = np.random.default_rng(8)
+    for n in (300, 1023, 1024, 20_000, 60_000):
+        a, b = (np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for _ in "ab")
+        near = np.unique(np.concatenate([a[n // 10:], b[: n // 10]]))
+        va, vb, vn = (J.unpacked(J.packed(J.counts_of(s, J.dim_bits(len(s)))), len(s)) for s in (a, b, near))
+        assert J.folded(va, J.DIM_BITS).tolist() == J.counts_of(a).tolist()
+        assert not J.may_link(va, vb, len(a) + len(b), 80, 100) and J.may_link(va, vn, len(a) + len(near), 80, 100)
+    assert J.unpacked(J.packed(J.counts_of(np.full(2000, 7, np.uint64), 9)), 2000).max() == 2000
+
+
+def test_a_chain_of_unrelated_stars_is_dealt_in_proportion(spark, monkeypatch):
+    """Stars that hang together by one class each are one family with many heads: each pair of a star still meets, and
+    the copies of classes follow the stars, not the square of the family."""
+    monkeypatch.setattr(J, "TILE", 6)
+    rows = [(1, c, c > 0, c, c, 30) for c in range(3)] + [(s, c, c != 0, c, c, 30) for s in range(2, 301) for c in (0, 3 * s, 3 * s + 1)]
+    members = spark.createDataFrame(rows, "star long, class long, head boolean, id long, label long, n long").repartition(3)
+    got = J.dealt(members, 4).collect()
+    at = {}
+    for r in got:
+        at.setdefault((r.block, r["class"]), set()).add(r.bucket)
+    for star, c, head, *_ in rows:
+        if head:
+            assert all(at[star, c] & at[star, other] for s, other, *_ in rows if s == star)
+    assert len(got) <= 2 * len(rows), len(got)
+
+
+def test_long_texts_hold_more_keys_than_a_byte_counts(spark):
+    """A class with hundreds of keys in a bucket meets its near copy; sizes and early keys arrive with the keys."""
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(words), " ".join(words[:1990] + ["x"] + words[1991:]), " ".join(f"y{i}" for i in range(500))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(2)
+    J.python_ready(spark)
+    names = {J.class_of(s) for s in J.shingle_sets(texts[:2], 5)}
+    for rare in (True, False):
+        assert {r["class"] for r in J.blocks(df, 5, 80, 100, 1, rare).collect()} == names
+
+
+def test_tally_sums_over_groups_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(J, "TASKS", 2)
+    texts = [f"a b c d{i % 7}" for i in range(700)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(9)
+    J.python_ready(spark)
+    hits = np.bincount(J.slots_of(np.concatenate(J.shingle_sets(texts, 3))), minlength=J.SLOTS)
+    assert J.tally(df, 3).tolist() == (np.log2(hits + 1) * 8).astype(np.uint8).tolist()

@@ -26,6 +26,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused_gone(spark: SparkSession) -> None:
+    """Shuffle files behind tables that have been written and reread go when the driver collects its garbage, which a
+    large heap puts off until after the query; ask for it."""
+    spark._jvm.System.gc()
+
+
 def shared_root(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 

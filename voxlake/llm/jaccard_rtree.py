@@ -10,26 +10,28 @@ text, A-Z lower-cased; a text with fewer words is one shingle). Two documents li
 2. **Blocks.** Shingles are put into one order for the whole table, rare ones first: by how often their slot of a
    tally of ``SLOTS`` slots is hit, then by hash. Linked sets share a shingle among the first ``n - ceil(n * share / whole) + 1``
    of each, so the equi-key is one shingle of that prefix. Any order that all sets share is lossless; the tally only
-   keeps passages that many texts share out of the prefixes, as each text has rarer shingles of its own. Keys travel packed
-   (13 bytes each), one row per task and bucket, and only keys that several classes hold leave the task.
+   keeps passages that many texts share out of the prefixes, as each text has rarer shingles of its own. The first shingle
+   that two linked sets share lies still earlier in the smaller one, and their sizes are alike: classes of a key that are
+   too far apart in size, or below the first that holds it early, make no block (``meeting``).
    Without ``rare`` (small allowed differences, long groups): sets whose sizes a link allows share size bands. In a band, shingles are hashed into
    one more group than a linked pair can differ by, plus some spare ones, so linked sets agree on a whole
    group: the equi-key is (band, group, content of the group). Empty groups are no key; sets with more of
    them than the spare ones are hashed anew, and only after ``LEVELS`` times is emptiness itself a key,
    which keeps the scheme lossless. A text passage that many documents share does not make a block, as the
-   rest of each group differs. Keys travel packed (13 bytes each), one row per task and bucket, and only
-   keys that several classes hold leave the task.
+   rest of each group differs. Either way keys travel packed, five bytes each and eleven for a class with its keys in a
+   bucket, one row for a bucket and about ``KEYS`` keys, and only keys that several classes hold leave the task.
 3. **Stars.** A block's hub is its class that lies in the most blocks; a star is a hub with the classes of its
    blocks. Stars that share classes make a family, dealt out in tiles of about ``TILE`` classes and ``TILE_SHINGLES``
-   shingles at most. A text comes to a tile's task once, however many stars hold it.
+   shingles at most. A text comes to a tile's task once, however many stars hold it. Where that costs more copies than
+   the stars by themselves, as in a family of unrelated texts that hang together by passages, each star is dealt out alone.
 4. **Count-vector R-tree.** In a tile, shingles are hashed into ``DIMS`` groups; the group counts of a class are a
    point. The points are bulk-loaded into one R-tree (star, then size, then counts; leaves of ``FANOUT``), joined
    with itself level by level: a pair of nodes survives if stars meet, sizes fit, labels may differ and the
    summed coordinate minima of their upper corners reach the overlap that a link needs. Every link comes out of
    such a join.
 5. **Verification** of surviving pairs on the texts' sets, exact. The trees are joined with count vectors first, which
-   tells the classes that are in any surviving pair; only their texts travel, and a second join verifies its pairs in the
-   same task. Candidates are never rows, and a tile gives as many links as join its classes, not all of them.
+   tells the classes that are in any surviving pair; of long texts the pair must also survive finer vectors, with at most
+   ``LOAD`` shingles to a coordinate. Only their texts travel, and a second join verifies its pairs in the same task. Candidates are never rows, and a tile gives as many links as join its classes, not all of them.
 6. **Two rounds.** First the hub's pairs only (nodes without a hub do not meet). Stars whose classes have then all met in one
    component are settled. In the others, the classes outside the star's largest component meet all of the star, for pairs
    of different components (the classes of a block share its hub, so each of their pairs is looked at). So a group of
@@ -61,21 +63,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm.bpe_scan import in_slices
-from voxlake.llm.common import python_ready, written
+from voxlake.llm.common import python_ready, unused_gone, written
 
 WIDTH, SHARE, WHOLE = 3, 90, 100
 DIM_BITS = 8
 DIMS = 1 << DIM_BITS    # coordinates of a count vector in the tree
+LOAD = 4                # shingles to a coordinate of a stored vector at most, on average
 FANOUT = 16
 TILE = 2048             # classes of a star in one task
 TILE_SHINGLES = 1_000_000   # their shingles, about
-BUCKET_KEYS = 4_000_000     # keys of a bucket, about
+BUCKET_KEYS = 2_000_000     # keys of a bucket, about
+LEAST_BUCKETS = 64      # that small tables are spread over, if there are as many partitions
 LEVELS = 4
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS  # of the tally of shingles
 PART = 1 << 14          # slots of the tally in one row
-TASKS = 256             # groups of tasks whose counts are summed first
+TASKS = 64              # tasks whose counts are summed first
+STEP = 1.04             # ratio of sizes from one level to the next
 CHARS = 500_000         # of texts hashed at once
+KEYS = 500_000          # keys packed at once, about
 KEY_BYTES = 5           # a chance agreement of keys only costs a look
 MAX_BROADCAST = 1_000_000
 
@@ -146,9 +152,20 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def counts_of(shingles: np.ndarray) -> np.ndarray:
-    """The count vector: how many shingles fall into each of DIMS groups."""
-    return np.bincount((mix(shingles) >> np.uint64(64 - DIM_BITS)).astype(np.int64), minlength=DIMS)
+def dim_bits(n: int) -> int:
+    """The stored vector of a set of n shingles has two to this power coordinates: in few of them, long texts all look
+    alike, as every coordinate holds about as much in each."""
+    return max(DIM_BITS, (n // LOAD).bit_length())
+
+
+def counts_of(shingles: np.ndarray, bits: int = DIM_BITS) -> np.ndarray:
+    """The count vector: how many shingles fall into each of ``1 << bits`` groups."""
+    return np.bincount((mix(shingles) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def folded(counts: np.ndarray, bits: int) -> np.ndarray:
+    """The vector of the same set in fewer groups."""
+    return counts.reshape(1 << bits, -1).sum(axis=1, dtype=np.int32)
 
 
 def packed(counts: np.ndarray) -> bytes:
@@ -156,9 +173,9 @@ def packed(counts: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max() < 1 << 8 else "<u4").tobytes()
 
 
-def unpacked(vectors: list[bytes]) -> np.ndarray:
-    """The count vectors as rows."""
-    return np.stack([np.frombuffer(v, np.uint8 if len(v) == DIMS else "<u4") for v in vectors]).astype(np.int32)
+def unpacked(vector: bytes, n: int) -> np.ndarray:
+    """The stored count vector of a set of n shingles."""
+    return np.frombuffer(vector, np.uint8 if len(vector) == 1 << dim_bits(n) else "<u4").astype(np.int32)
 
 
 def slots_of(shingles: np.ndarray) -> np.ndarray:
@@ -217,23 +234,57 @@ def group_keys(sets: list[np.ndarray], share: int, whole: int) -> tuple[np.ndarr
     return np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(owner or [np.empty(0, np.int64)])
 
 
-def block_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, and for each the index of its set: see step 2 of the module's text. ``ranks``: a byte for each slot of the
-    tally, smaller for rarer shingles; without it the keys are groups of shingles."""
-    if ranks is None:
-        return group_keys(sets, share, whole)
+def prefix_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, for each the index of its set, and whether it is one of the set's early ones: the first shingle that two
+    linked sets share is among the first ``n - ceil(2 * n * share / (whole + share)) + 1`` of the smaller one."""
     sizes = np.array([len(s) for s in sets], np.int64)
     some = np.flatnonzero(sizes * whole // share > sizes)       # else only equal sets link, and they are one class
     if not len(some):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     n = sizes[some]
     item = np.concatenate([sets[i] for i in some.tolist()])
     key = mix(item) >> np.uint64(8)
     key |= ranks[slots_of(item)].astype(np.uint64) << np.uint64(56)
     prefix = n - -(-share * n // whole) + 1
+    early = n - -(-2 * share * n // (whole + share)) + 1
     ends = np.cumsum(n)
-    keys = [np.partition(key[b - m : b], k - 1)[:k] for b, m, k in zip(ends.tolist(), n.tolist(), prefix.tolist())]
-    return mix(np.concatenate(keys)), np.repeat(some, prefix)
+    keys = [np.partition(key[b - m : b], (e - 1, k - 1))[:k] for b, m, k, e in zip(ends.tolist(), n.tolist(), prefix.tolist(), early.tolist())]
+    place = np.arange(prefix.sum()) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+    return mix(np.concatenate(keys)), np.repeat(some, prefix), place < np.repeat(early, prefix)
+
+
+def block_keys(sets: list[np.ndarray], share: int, whole: int, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and for each the index of its set: see step 2 of the module's text. ``ranks``: a byte for each slot of the
+    tally, smaller for rarer shingles; without it the keys are groups of shingles."""
+    return group_keys(sets, share, whole) if ranks is None else prefix_keys(sets, share, whole, ranks)[:2]
+
+
+def size_levels(sizes: np.ndarray) -> np.ndarray:
+    """Sizes as bytes: the logarithm to the base STEP, as far as a byte goes."""
+    return np.minimum(np.log(np.maximum(sizes, 1)) / np.log(STEP), 255).astype(np.uint8)
+
+
+def level_gap(share: int, whole: int) -> int:
+    """How far the levels of two sets that link can lie apart."""
+    return int(np.log(whole / share) / np.log(STEP) + 1e-6) + 1
+
+
+def meeting(keys: np.ndarray, classes: np.ndarray, levels: np.ndarray, early: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all blocks, one block after the other, and the blocks' sizes: classes that share a key, as far as
+    one of them may link with another by their sizes and by which of the keys are early."""
+    order = np.lexsort((~early, classes, levels, keys))
+    keys, classes, levels, early = keys[order], classes[order], levels[order].astype(np.int64), early[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])
+    keys, classes, levels, early = keys[new], classes[new], levels[new], early[new]
+    cut = np.ones(len(keys), bool)
+    cut[1:] = (keys[1:] != keys[:-1]) | (levels[1:] - levels[:-1] > gap)
+    block = np.cumsum(cut) - 1
+    # The smaller set of a linked pair holds the key early, so nothing below the first such set links.
+    lowest = np.minimum.reduceat(np.where(early, levels, 256), np.flatnonzero(cut)) if len(keys) else levels
+    use = levels >= lowest[block]
+    size = np.bincount(block[use], minlength=0)
+    return classes[use][size[block[use]] > 1], size[size > 1]
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -248,7 +299,7 @@ def points(docs: DataFrame, width: int) -> DataFrame:
                 sets = shingle_sets(some, width)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, len(some)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([packed(counts_of(s)) for s in sets], pa.binary()),
+                    pa.array([class_of(s) for s in sets], pa.int64()), pa.array([packed(counts_of(s, dim_bits(len(s)))) for s in sets], pa.binary()),
                     batch.column(2).slice(a, len(some))], names=["id", "n", "class", "counts", "h"])
 
     return docs.mapInArrow(run, "id long, n long, class long, counts binary, h long")
@@ -256,30 +307,36 @@ def points(docs: DataFrame, width: int) -> DataFrame:
 
 def tally(docs: DataFrame, width: int) -> np.ndarray:
     """A byte for each slot: the logarithm of how many shingles of all rows hit it. Each task counts its rows; the
-    counts are summed by part of the slots, over groups of tasks first."""
+    counts are summed by part of the slots, over groups of tasks first. Counts travel in as few bytes as they need."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for _, some in in_slices(_texts(batch), CHARS):
                 hits += np.bincount(slots_of(np.concatenate(shingle_sets(some, width))), minlength=SLOTS)
         if hits.any():
-            parts = hits.astype("<u4").reshape(-1, PART)
-            task = TaskContext.get().partitionId() % TASKS
+            parts = hits.reshape(-1, PART)
+            task = TaskContext.get().partitionId() // TASKS
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), task)),
-                                              pa.array([v.tobytes() for v in parts], pa.binary())], names=["part", "task", "hits"])
+                                              pa.array([short(v) for v in parts], pa.binary())], names=["part", "task", "hits"])
+
+    def short(hits: np.ndarray) -> bytes:
+        most = min(int(hits.max()), (1 << 32) - 1)      # only an order, so it may stop there
+        return np.minimum(hits, most).astype(np.min_scalar_type(most).newbyteorder("<")).tobytes()
 
     def total(table: pa.Table) -> pa.Table:
         hits = np.zeros(PART, np.int64)
         for v in table.column("hits"):
-            hits += np.frombuffer(v.as_py(), "<u4")
-        hits = np.minimum(hits, (1 << 32) - 1).astype("<u4")        # only an order, so it may stop there
-        return pa.table({"part": table.column("part")[:1], "task": table.column("task")[:1], "hits": pa.array([hits.tobytes()], pa.binary())})
+            hits += np.frombuffer(v.as_py(), f"<u{len(v.as_py()) // PART}")
+        task = pa.array([table.column("task")[0].as_py() // TASKS])
+        return pa.table({"part": table.column("part")[:1], "task": task, "hits": pa.array([short(hits)], pa.binary())})
 
     schema = "part long, task long, hits binary"
-    found = docs.mapInArrow(count, schema).groupBy("part", "task").applyInArrow(total, schema).groupBy("part").applyInArrow(total, schema)
+    found = docs.mapInArrow(count, schema)
+    for by in (["part", "task"], ["part", "task"], ["part"]):
+        found = found.groupBy(*by).applyInArrow(total, schema)
     ranks = np.zeros(SLOTS, np.uint8)
     for row in found.collect():
-        hits = np.frombuffer(row.hits, "<u4").astype(np.float64)
+        hits = np.frombuffer(row.hits, f"<u{len(row.hits) // PART}").astype(np.float64)
         ranks[row.part * PART : (row.part + 1) * PART] = np.minimum(np.log2(hits + 1) * 8, 255)
     return ranks
 
@@ -287,42 +344,59 @@ def tally(docs: DataFrame, width: int) -> np.ndarray:
 def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int, rare: bool = True) -> DataFrame:
     """``block, class, size`` rows of every block with at least two classes; equal blocks appear once."""
     ranks = docs.sparkSession.sparkContext.broadcast(tally(docs, width) if rare else None)
+    gap = level_gap(share, whole)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             for _, some in in_slices(_texts(batch), CHARS):
                 sets = shingle_sets(some, width)
                 names = [class_of(s) for s in sets]
                 first = {c: i for i, c in reversed(list(enumerate(names))) if c is not None}
                 sets = [sets[i] for i in first.values()]
-                keys, owner = block_keys(sets, share, whole, ranks.value)
-                classes = np.array(list(first), np.int64)[owner] if len(owner) else np.empty(0, np.int64)
-                bucket = (mix(keys) >> np.uint64(32)).astype(np.int64) % buckets
-                order = np.argsort(bucket, kind="stable")
-                keys, classes, bucket = keys[order], classes[order], bucket[order]
-                cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-                packed = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
-                spans = list(zip(cut.tolist(), [*cut[1:].tolist(), len(keys)]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(bucket[cut], pa.int64()), pa.array([packed[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([classes[a:b].tobytes() for a, b in spans], pa.binary())], names=["bucket", "keys", "classes"])
+                if ranks.value is None:
+                    keys, owner = group_keys(sets, share, whole)
+                    early = np.ones(len(keys), bool)
+                else:
+                    keys, owner, early = prefix_keys(sets, share, whole, ranks.value)
+                if len(keys):
+                    levels = size_levels(np.array([len(s) for s in sets]))
+                    held.append((keys, np.array(list(first), np.int64)[owner], levels[owner], early))
+                    n += len(keys)
+                if n >= KEYS:
+                    yield rows(*map(np.concatenate, zip(*held)))
+                    held, n = [], 0
+        if held:
+            yield rows(*map(np.concatenate, zip(*held)))
+
+    def rows(keys: np.ndarray, classes: np.ndarray, levels: np.ndarray, early: np.ndarray) -> pa.RecordBatch:
+        bucket = (mix(keys) >> np.uint64(32)).astype(np.int64) % buckets
+        order = np.lexsort((~early, classes, bucket))
+        keys, classes, levels, early, bucket = keys[order], classes[order], levels[order], early[order], bucket[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (classes[1:] != classes[:-1])
+        run = np.flatnonzero(new)
+        place = np.arange(len(keys)) - np.repeat(run, np.diff(np.append(run, len(keys))))
+        run = np.flatnonzero(place % 255 == 0)      # a class with its keys, as many as a byte can count
+        n = np.diff(np.append(run, len(keys))).astype(np.uint8)
+        at_first = np.add.reduceat(early, run, dtype=np.uint8)
+        cut = np.flatnonzero(np.diff(bucket[run], prepend=-1))
+        first = run[cut]
+        low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+        of = [(low, first, len(keys)), *((v, cut, len(run)) for v in (classes[run], levels[run], n, at_first))]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), *(
+            pa.array([v[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), end])], pa.binary()) for v, at, end in of)],
+            names=["bucket", "keys", "classes", "levels", "n", "early"])
 
     def meet(table: pa.Table) -> pa.Table:
-        raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :KEY_BYTES] = raw
-        keys = wide.view(np.uint64).reshape(-1)
-        classes = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
-        order = np.lexsort((classes, keys))
-        keys, classes = keys[order], classes[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])
-        keys, classes = keys[new], classes[new]
-        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
-        size = np.diff(np.append(starts, len(keys)))
-        several = size > 1
-        member = np.repeat(several, size)
-        classes, size = classes[member], size[several]
+        raw, classes, levels, n, early = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (
+            ("keys", np.uint8), ("classes", np.int64), ("levels", np.uint8), ("n", np.uint8), ("early", np.uint8)))
+        wide = np.zeros((len(raw) // KEY_BYTES, 8), np.uint8)
+        wide[:, :KEY_BYTES] = raw.reshape(-1, KEY_BYTES)
+        n = n.astype(np.int64)
+        place = np.arange(len(wide)) - np.repeat(np.cumsum(n) - n, n)
+        classes, levels, early = np.repeat(classes, n), np.repeat(levels, n), place < np.repeat(early, n)
+        classes, size = meeting(wide.view(np.uint64).reshape(-1), classes, levels, early, gap)
         if not len(size):
             return pa.table({c: pa.array([], pa.int64()) for c in ("block", "class", "size")})
         # A block is named by its members, so that the many keys a cluster shares make one block.
@@ -334,7 +408,7 @@ def blocks(docs: DataFrame, width: int, share: int, whole: int, buckets: int, ra
         member = np.repeat(kept, size)
         return pa.table({"block": np.repeat(name, size)[member], "class": classes[member], "size": np.repeat(size, size)[member]})
 
-    sent = docs.mapInArrow(emit, "bucket long, keys binary, classes binary")
+    sent = docs.mapInArrow(emit, "bucket long, keys binary, classes binary, levels binary, n binary, early binary")
     return sent.groupBy("bucket").applyInArrow(meet, "block long, class long, size long").distinct()
 
 
@@ -459,17 +533,25 @@ def dealt(members: DataFrame, buckets: int) -> DataFrame:
     A family's classes are cut into tiles of about ``TILE`` classes and ``TILE_SHINGLES`` shingles at most, its heads
     into sides of that size. A task has one tile and one side of a family, or small families whole, as many as hold
     about one tile's shingles. A class goes to the sides of its stars' heads, a head to the tiles of its stars' classes;
-    so a family with few heads costs about one copy of each text, however many tiles it has.
+    so a family with few heads costs about one copy of each text, however many tiles it has. A family with many heads,
+    as when unrelated texts hang together by passages that two or three of them share, would give each class to most
+    sides, which grows with the square: where its stars by themselves get by with half the copies, each is its own family.
     """
     m = members.join(written(near_stars(members), "jaccard-families"), "star")
     cut = lambda use: f"cast(greatest(1, ceil(count_if({use}) / {TILE}), ceil(sum(if({use}, n, 0)) / {TILE_SHINGLES})) as int)"
-    sums = m.groupBy("family", "class", "n").agg(F.max("head").alias("head")).groupBy("family").agg(
-        F.expr(cut("true")).alias("tiles"), F.expr(cut("head")).alias("sides"), F.expr(f"sum(greatest(n, {DIMS}))").alias("weight"))
-    sums = written(sums, "jaccard-tiles")
-    held = sums.where("tiles = 1").agg(F.sum("weight")).first()[0] or 0
+    tiles, sides, weight = F.expr(cut("true")).alias("tiles"), F.expr(cut("head")).alias("sides"), F.expr(f"sum(greatest(n, {DIMS}))").alias("weight")
+    sums = m.groupBy("family", "class", "n").agg(F.max("head").alias("head")).groupBy("family").agg(tiles, sides, weight)
+    own = m.groupBy("family", "star").agg(F.struct(tiles, sides, weight).alias("own"), F.count("*").alias("size"), F.expr("count_if(head) AS heads"))
+    both = written(own.join(sums, "family"), "jaccard-sizes")
+    # Copies of classes that a family's tasks get at most, or those of its stars, each dealt out by itself.
+    apart = both.groupBy("family").agg(F.expr("sum(size * least(sides, heads) + heads * least(tiles, size)) > "
+                                              "2 * sum(size * own.sides + heads * own.tiles)").alias("apart"))
+    sums = written(both.join(apart, "family").selectExpr("star", "if(apart, star, family) AS family", *(
+        f"if(apart, own.{k}, {k}) AS {k}" for k in ("tiles", "sides", "weight"))), "jaccard-tiles")
+    held = sums.where("tiles = 1").groupBy("family").agg(F.max("weight").alias("weight")).agg(F.sum("weight")).first()[0] or 0
     buckets = max(buckets, -(-held // TILE_SHINGLES))
-    m = written(m.join(sums, "family").selectExpr("*", "cast(pmod(xxhash64(class), tiles) as int) AS tile",
-                                                  "cast(pmod(xxhash64(class, 1), sides) as int) AS side"), "jaccard-tiled")
+    m = written(members.join(sums, "star").selectExpr("*", "cast(pmod(xxhash64(class), tiles) as int) AS tile",
+                                                      "cast(pmod(xxhash64(class, 1), sides) as int) AS side"), "jaccard-tiled")
     to_side = m.where("head").selectExpr("star", "side AS y").distinct()
     to_tile = m.selectExpr("star", "tile AS x").distinct()
     rows = m.withColumnRenamed("tile", "x").drop("side").join(to_side, "star").unionByName(
@@ -505,6 +587,12 @@ def tree_join(rows: pa.Table, names: np.ndarray, counts: np.ndarray, n: np.ndarr
     return of_set, pairs()
 
 
+def may_link(a: np.ndarray, b: np.ndarray, n: int, share: int, whole: int) -> bool:
+    """Do the stored vectors of two sets, of n shingles together, allow a link?"""
+    bits = min(len(a), len(b)).bit_length() - 1
+    return (whole + share) * int(np.minimum(folded(a, bits), folded(b, bits)).sum()) >= share * n
+
+
 def star_links(members: DataFrame, vectors: DataFrame, docs: DataFrame, width: int, share: int, whole: int, buckets: int) -> DataFrame:
     """Links ``a, b`` between different labels of each star, enough to join all that its links join. ``members``:
     ``star, class, head, id, label`` (``head``: the pairs with it are looked at; ``id``: a document of the class) and ``n``;
@@ -519,8 +607,14 @@ def star_links(members: DataFrame, vectors: DataFrame, docs: DataFrame, width: i
         names, n = points_.column("class").to_numpy(), points_.column("n").to_numpy()
         met = np.zeros(len(names), bool)
         if len(names):
-            for i, j in tree_join(rows, names, unpacked(points_.column("counts").to_pylist()), n, share, whole)[1]:
-                met[i] = met[j] = True
+            fine = [unpacked(v.as_py(), k) for v, k in zip(points_.column("counts"), n.tolist())]
+            for i, j in tree_join(rows, names, np.stack([folded(v, DIM_BITS) for v in fine]), n, share, whole)[1]:
+                left = ~(met[i] & met[j])
+                i, j = i[left], j[left]
+                ok = (n[i] < LOAD * DIMS) | (n[j] < LOAD * DIMS)      # the tree's vectors are as fine as theirs
+                for at in np.flatnonzero(~ok).tolist():
+                    ok[at] = may_link(fine[i[at]], fine[j[at]], int(n[i[at]] + n[j[at]]), share, whole)
+                met[i[ok]] = met[j[ok]] = True
         return pa.table({"bucket": points_.column("at").filter(pa.array(met)), "class": names[met]})
 
     def join(texts: pa.Table, rows: pa.Table) -> pa.Table:
@@ -573,23 +667,31 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     id belong together, whatever their texts? Else each text is by itself. ``rare``: keys by rare shingles, not by groups; the result is the same."""
     spark = docs.sparkSession
     python_ready(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * 2
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
     pts = written(points(d.withColumn("h", F.xxhash64("t")), width), "jaccard-points")
-    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-classes")
+    classes = written(pts.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-classes")
     shingles, sets = classes.agg(F.sum("n"), F.count("*")).first()
     keys = (shingles or 0) * (whole - share) // whole + sets if rare else (shingles or 0) * 8 * (whole - share) * whole // ((whole + share) * share)
-    members = written(blocks(d, width, share, whole, max(buckets, -(-keys // BUCKET_KEYS)), rare), "jaccard-blocks")
+    # As few buckets as memory allows: a class is named once for all of its keys in a bucket.
+    members = written(blocks(d, width, share, whole, max(min(parts, LEAST_BUCKETS), -(-keys // BUCKET_KEYS)), rare), "jaccard-blocks")
+    unused_gone(spark)
     star = written(stars(members), "jaccard-stars")
-    where, vectors = classes.where("id IS NOT NULL").drop("counts"), classes.select("class", "n", "counts")
+    where = classes.where("id IS NOT NULL")
     spokes = star.selectExpr("hub AS star", "class", "false AS head").union(star.selectExpr("hub", "hub", "true").distinct())
     spokes = written(spokes.join(where, "class").withColumn("label", F.col("class")), "jaccard-spokes")
+    held = written(spokes.select("class").distinct(), "jaccard-held")
+    vectors = pts.join(F.broadcast(held) if held.count() <= MAX_BROADCAST else held, "class", "left_semi").groupBy("class").agg(
+        F.first("n").alias("n"), F.first("counts").alias("counts"))
+    vectors = written(vectors, "jaccard-vectors")
     links = written(star_links(spokes, vectors, d, width, share, whole, buckets), "jaccard-links")
     if by_id:
         # Rows that repeat an id with another text: their classes belong together.
         twice = pts.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
         same = pts.join(twice, "id").where("class > a").select("a", F.col("class").alias("b")).distinct()
         links = written(links.union(same), "jaccard-links")
+    unused_gone(spark)
     labels = components(links)
 
     # Stars whose classes, but for the hub, have not all met: the rest of their pairs. Classes of a block
@@ -601,6 +703,7 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE, whole: int =
     rest = written(met.join(open_, "star").withColumn("head", F.expr("label <> largest")).drop("largest", "parts"), "jaccard-open")
     if not rest.isEmpty():
         more = written(star_links(rest, vectors, d, width, share, whole, buckets), "jaccard-links")
+        unused_gone(spark)
         labels = components(links.union(more))
 
     found = classes.select("class", "id").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
